@@ -1,14 +1,12 @@
-"""Scoring formulas as column expressions.
+"""Scoring formulas as SQL expressions over the counter columns.
 
-All of them are JVM-side expressions; a zero denominator yields 0.0 unless the
-function says otherwise.
+Each function returns expression text for ``selectExpr``/``expr``; Catalyst
+compiles it into the surrounding stage. A zero denominator yields 0.0 unless
+the function says otherwise.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Fixed values of the scoring model.
 START_RATING = 0.5
 START_CHEMISTRY = 0.5
@@ -25,57 +23,47 @@ LINEUP_SIZE = 11
 # A rating change at or below this is float noise, not a change.
 CHANGE_TOLERANCE = 1e-9
 
-
-def ratio(numerator: Column, denominator: Column) -> Column:
-    return F.coalesce(F.try_divide(numerator.cast("double"), denominator.cast("double")), F.lit(0.0))
-
-
-def pass_num() -> Column:
-    return F.col("acc_pass") + F.col("key_acc_pass")
-
-
-def pass_tot() -> Column:
-    return F.col("acc_pass") + F.col("inacc_pass") + F.col("key_acc_pass") + F.col("key_inacc_pass")
-
-
-def pass_accuracy() -> Column:
-    return ratio(pass_num(), pass_tot())
+PASS_NUM = "acc_pass + key_acc_pass"
+PASS_TOT = "acc_pass + inacc_pass + key_acc_pass + key_inacc_pass"
 
 
-def duel_effectiveness() -> Column:
-    won, neutral, lost = F.col("duel_won"), F.col("duel_neutral"), F.col("duel_lost")
-    return ratio(won + 0.5 * neutral, won + lost + neutral)
+def double(value: float) -> str:
+    """A DOUBLE literal (a bare decimal would be of DECIMAL type)."""
+    return f"{value!r}D"
 
 
-def free_kick_effectiveness() -> Column:
-    """May exceed 1: a penalty adds to the numerator only."""
-    return ratio(F.col("fk_acc") + F.col("penalty"), F.col("fk_acc") + F.col("fk_inacc"))
+def ratio(numerator: str, denominator: str) -> str:
+    return f"coalesce(try_divide(double({numerator}), double({denominator})), 0D)"
 
 
-def shots_on_target() -> Column:
-    goal, on, off = F.col("goal"), F.col("on_target"), F.col("off_target")
-    return ratio(goal + 0.5 * (on - goal), on + off + goal)
+# The four ratios of one player's match. Free kicks may exceed 1: a penalty
+# adds to the numerator only.
+RATIOS = {
+    "pass_accuracy": ratio(PASS_NUM, PASS_TOT),
+    "duel_effectiveness": ratio("duel_won + 0.5D * duel_neutral", "duel_won + duel_lost + duel_neutral"),
+    "fk_effectiveness": ratio("fk_acc + penalty", "fk_acc + fk_inacc"),
+    "shots_on_target": ratio("goal + 0.5D * (on_target - goal)", "on_target + off_target + goal"),
+}
 
 
-def match_rating(minutes: Column) -> Column:
+def match_rating(minutes: str) -> str:
     """Rating of one match from the four ratios, playing time, fouls and own goals."""
     base = (
-        PASS_WEIGHT * F.col("pass_accuracy")
-        + DUEL_WEIGHT * F.col("duel_effectiveness")
-        + SHOT_WEIGHT * F.col("shots_on_target")
-        + FREE_KICK_WEIGHT * F.col("fk_effectiveness")
+        f"({double(PASS_WEIGHT)} * pass_accuracy + {double(DUEL_WEIGHT)} * duel_effectiveness"
+        f" + {double(SHOT_WEIGHT)} * shots_on_target + {double(FREE_KICK_WEIGHT)} * fk_effectiveness)"
     )
-    share = F.when(minutes == FULL_MATCH_MINUTES, F.lit(FULL_MATCH_BONUS)).otherwise(
-        minutes / F.lit(float(FULL_MATCH_MINUTES))
+    share = (
+        f"if({minutes} = {FULL_MATCH_MINUTES}, {double(FULL_MATCH_BONUS)},"
+        f" {minutes} / {double(float(FULL_MATCH_MINUTES))})"
     )
-    discount = 1 - FOUL_PENALTY * F.col("fouls") - OWN_GOAL_PENALTY * F.col("own_goal")
-    return 0.5 + 0.5 * base * share * discount
+    discount = f"(1 - {double(FOUL_PENALTY)} * fouls - {double(OWN_GOAL_PENALTY)} * own_goal)"
+    return f"0.5D + 0.5D * {base} * {share} * {discount}"
 
 
-def changed(delta: Column) -> Column:
-    return F.abs(delta) > CHANGE_TOLERANCE
+def changed(delta: str) -> str:
+    return f"abs({delta}) > {double(CHANGE_TOLERANCE)}"
 
 
-def win_chance(mine: Column, other: Column) -> Column:
+def win_chance(mine: str, other: str) -> str:
     """Percent, not clamped (-50 to 150); NULL when both strengths are 0."""
-    return (0.5 + F.try_divide(mine - other, mine + other)) * 100
+    return f"(0.5D + try_divide({mine} - {other}, {mine} + {other})) * 100"

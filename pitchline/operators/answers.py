@@ -64,7 +64,10 @@ def named_details(summaries: DataFrame, players: DataFrame, teams: DataFrame) ->
         return F.transform(ordered, lambda x: x["v"]).alias(kind)
 
     lists = items.groupBy(*keys).agg(*[gathered(kind) for kind in _LISTS])
-    winners = team_names.select(F.col("team_id").alias("winner"), F.col("team").alias("winner_name"))
+    # Winner 0 is a draw, whatever the team table holds under that id.
+    winners = team_names.where("team_id <> 0").select(
+        F.col("team_id").alias("winner"), F.col("team").alias("winner_name")
+    )
     header = summaries.select(*keys, "duration", "venue", "gameweek", "winner").join(winners, "winner", "left")
     filled = {
         "goals": "array<struct<name:string,team:string,number_of_goals:int>>",

@@ -7,15 +7,16 @@ edge has the start value; that replaces a table of all pairs of all players.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from pitchline.functions.formulas import START_CHEMISTRY, changed
+from pitchline.functions.formulas import START_CHEMISTRY, changed, double
 from pitchline.operators.scan import affine_fold, chunk_of
 from pitchline.operators.stats import assigned
 from pitchline.settings import CHUNK_DAYS
 
 PAIR = ["player_lo", "player_hi"]
 
+_START = double(START_CHEMISTRY)
+
 
 def _same_match_pairs(rows: DataFrame, carry: list[str]) -> DataFrame:
     """Unordered pairs of rows of one match.
@@ -23,17 +24,18 @@ def _same_match_pairs(rows: DataFrame, carry: list[str]) -> DataFrame:
     An equi-join on the match with the order as residual condition; a match has
     as many rows as its two squads.
     """
-    left = rows.select("match_id", F.col("player_id").alias("player_lo"), *[F.col(c).alias(f"{c}_lo") for c in carry])
-    right = rows.select("match_id", F.col("player_id").alias("player_hi"), *[F.col(c).alias(f"{c}_hi") for c in carry])
+    left, right = (
+        rows.selectExpr("match_id", f"player_id AS player_{s}", *[f"{c} AS {c}_{s}" for c in carry])
+        for s in ("lo", "hi")
+    )
     return left.join(right, "match_id").where("player_lo < player_hi")
 
 
 def chemistry_init(members: DataFrame) -> DataFrame:
     """Start edges of all pairs listed in a match together, the only ones that can change."""
     listed = assigned(members.select("match_id", "player_id"))
-    return _same_match_pairs(listed, []).select(*PAIR).distinct().withColumn(
-        "chemistry", F.lit(START_CHEMISTRY)
-    )
+    pairs = _same_match_pairs(listed, []).select(*PAIR).distinct()
+    return pairs.selectExpr(*PAIR, f"{_START} AS chemistry")
 
 
 def pair_updates(history: DataFrame, keep_unchanged: bool = False) -> DataFrame:
@@ -44,29 +46,22 @@ def pair_updates(history: DataFrame, keep_unchanged: bool = False) -> DataFrame:
     """
     rows = history.select("match_id", "match_day", "kickoff", "player_id", "team_id", "rating_change")
     if not keep_unchanged:
-        rows = rows.where(changed(F.col("rating_change")))
+        rows = rows.where(changed("rating_change"))
     pairs = _same_match_pairs(rows, ["match_day", "kickoff", "team_id", "rating_change"])
-    one, two = F.col("rating_change_lo"), F.col("rating_change_hi")
-    same_team = F.col("team_id_lo") == F.col("team_id_hi")
-    same_sign = ((one < 0) & (two < 0)) | ((one > 0) & (two > 0))
-    delta = F.abs(one + two) / 2
+    one, two = "rating_change_lo", "rating_change_hi"
+    same_sign = f"({one} < 0 AND {two} < 0 OR {one} > 0 AND {two} > 0)"
+    delta = f"abs({one} + {two}) / 2"
     if keep_unchanged:
-        delta = F.when(changed(one) & changed(two), delta).otherwise(0.0)
-    return pairs.select(
-        "match_id",
-        F.col("match_day_lo").alias("match_day"),
-        F.col("kickoff_lo").alias("kickoff"),
-        *PAIR,
-        delta.alias("delta"),
-        (same_team == same_sign).alias("up"),
+        delta = f"if({changed(one)} AND {changed(two)}, {delta}, 0D)"
+    return pairs.selectExpr(
+        "match_id", "match_day_lo AS match_day", "kickoff_lo AS kickoff", *PAIR,
+        f"{delta} AS delta", f"(team_id_lo = team_id_hi) = {same_sign} AS up",
     )
 
 
 def pair_maps(updates: DataFrame) -> DataFrame:
     """Each update as a map on the edge: c + d(1 - c) going up, c - dc going down."""
-    return updates.withColumn("a", 1 - F.col("delta")).withColumn(
-        "b", F.when(F.col("up"), F.col("delta")).otherwise(0.0)
-    )
+    return updates.selectExpr("*", "1 - delta AS a", "if(up, delta, 0D) AS b")
 
 
 def fold_days(updates: DataFrame) -> DataFrame:
@@ -77,28 +72,31 @@ def fold_days(updates: DataFrame) -> DataFrame:
 def apply_maps(maps: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """Chemistry from one composite map per pair, on top of earlier edges."""
     if base is None:
-        return maps.select(*PAIR, (F.col("a") * START_CHEMISTRY + F.col("b")).alias("chemistry"))
-    start = F.coalesce(F.col("chemistry"), F.lit(START_CHEMISTRY))
-    value = F.coalesce(F.col("a"), F.lit(1.0)) * start + F.coalesce(F.col("b"), F.lit(0.0))
-    return maps.join(base, PAIR, "full").select(*PAIR, value.alias("chemistry"))
+        return maps.selectExpr(*PAIR, f"a * {_START} + b AS chemistry")
+    value = f"coalesce(a, 1D) * coalesce(chemistry, {_START}) + coalesce(b, 0D)"
+    return maps.join(base, PAIR, "full").selectExpr(*PAIR, f"{value} AS chemistry")
+
+
+def fold_chunks(maps: DataFrame, base: DataFrame | None = None, chunk_days: int = CHUNK_DAYS) -> DataFrame:
+    """Edges from maps (match_day, a, b) in day order: per calendar chunk, then per pair."""
+    order = [c for c in ("kickoff", "match_id") if c in maps.columns] or ["match_day"]
+    chunked = maps.selectExpr("*", f"{chunk_of('match_day', chunk_days)} AS chunk")
+    per_chunk = affine_fold(chunked, [*PAIR, "chunk"], order)
+    return apply_maps(affine_fold(per_chunk, PAIR, ["chunk"]), base)
 
 
 def chemistry(
     updates: DataFrame, base: DataFrame | None = None, chunk_days: int = CHUNK_DAYS
 ) -> DataFrame:
-    """Edges after all updates, folded per calendar chunk and then per pair."""
-    chunked = pair_maps(updates).withColumn("chunk", chunk_of("match_day", chunk_days))
-    per_chunk = affine_fold(chunked, [*PAIR, "chunk"], ["kickoff", "match_id"])
-    return apply_maps(affine_fold(per_chunk, PAIR, ["chunk"]), base)
+    """Edges after all updates."""
+    return fold_chunks(pair_maps(updates), base, chunk_days)
 
 
 def lookup(pairs: DataFrame, edges: DataFrame) -> DataFrame:
-    """Chemistry of given pairs, whatever the order of the two players."""
-    keyed = pairs.withColumn("player_lo", F.least("player_a", "player_b")).withColumn(
-        "player_hi", F.greatest("player_a", "player_b")
+    """Chemistry of given pairs (player_a, player_b), whatever their order."""
+    keyed = pairs.selectExpr(
+        "*", "least(player_a, player_b) AS player_lo", "greatest(player_a, player_b) AS player_hi"
     )
-    return (
-        keyed.join(edges.select(*PAIR, "chemistry"), PAIR, "left")
-        .withColumn("chemistry", F.coalesce("chemistry", F.lit(START_CHEMISTRY)))
-        .drop(*PAIR)
+    return keyed.join(edges.select(*PAIR, "chemistry"), PAIR, "left").selectExpr(
+        f"* EXCEPT ({', '.join(PAIR)}, chemistry)", f"coalesce(chemistry, {_START}) AS chemistry"
     )

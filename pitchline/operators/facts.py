@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
 class Rule(NamedTuple):
@@ -38,25 +37,23 @@ RULES = (
 COUNTERS = tuple(rule.counter for rule in RULES)
 
 
-def _has(tag: int) -> Column:
-    return F.coalesce(F.array_contains("tag_ids", tag), F.lit(False))
+def _has(tag: int) -> str:
+    return f"coalesce(array_contains(tag_ids, {tag}), false)"
 
 
-def _condition(rule: Rule) -> Column:
+def _counter(rule: Rule) -> str:
     parts = []
     if rule.code is not None:
-        parts.append(F.col("event_code") == rule.code)
+        parts.append(f"event_code = {rule.code}")
     if rule.sub_event is not None:
-        parts.append(F.col("sub_event") == rule.sub_event)
+        parts.append(f"sub_event = {rule.sub_event}")
     parts += [_has(tag) for tag in rule.tags]
-    parts += [~_has(tag) for tag in rule.absent]
-    condition = parts[0]
-    for part in parts[1:]:
-        condition = condition & part
-    return condition
+    parts += [f"NOT {_has(tag)}" for tag in rule.absent]
+    return f"if({' AND '.join(parts)}, 1, 0) AS {rule.counter}"
 
 
 def event_facts(events: DataFrame) -> DataFrame:
     """Keep every event, also those that raise no counter."""
-    counters = [F.when(_condition(r), 1).otherwise(0).alias(r.counter) for r in RULES]
-    return events.select("event_id", "match_id", "team_id", "player_id", "event_code", *counters)
+    return events.selectExpr(
+        "event_id", "match_id", "team_id", "player_id", "event_code", *[_counter(r) for r in RULES]
+    )

@@ -2,43 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchline.functions.formulas import FULL_MATCH_MINUTES
+from pitchline.functions.formulas import FULL_MATCH_MINUTES as FULL
 from pitchline.operators.scan import chunk_of, prefix_count
 from pitchline.settings import CHUNK_DAYS
 
 ON_FIELD = "on_field"
 FULL_90 = "full_90"
 
+_NOBODY = "CAST(array() AS ARRAY<STRUCT<slot: STRING, slot_pos: INT, idx: INT, player_id: BIGINT, sub_minute: INT>>)"
 
-def _first_minute(substitutions: Column, side: str, player: Column) -> Column:
-    """Minute of the first substitution naming the player, NULL if none."""
-    return F.get(F.filter(substitutions, lambda s: s[side] == player), F.lit(0))["minute"]
+
+def _listed(slot: str, slot_pos: int, side: str) -> str:
+    """Members of one list with the minute of the first substitution naming them."""
+    minute = f"get(filter(t.substitutions, s -> s.{side} = m.playerId), 0).minute"
+    member = (
+        f"named_struct('slot', '{slot}', 'slot_pos', {slot_pos}, 'idx', i,"
+        f" 'player_id', m.playerId, 'sub_minute', {minute})"
+    )
+    return f"coalesce(transform(t.{slot}, (m, i) -> {member}), {_NOBODY})"
 
 
 def squad_members(matches: DataFrame) -> DataFrame:
     """One row per listed player, bench before line-up within a team."""
-    team = matches.select("match_id", "match_day", "kickoff", "status", F.explode("teams").alias("t"))
-
-    def member(slot: str, slot_pos: int, side: str):
-        return lambda m, i: F.struct(
-            F.lit(slot).alias("slot"),
-            F.lit(slot_pos).alias("slot_pos"),
-            i.alias("idx"),
-            m["playerId"].alias("player_id"),
-            _first_minute(F.col("t.substitutions"), side, m["playerId"]).alias("sub_minute"),
-        )
-
-    listed = F.concat(
-        F.coalesce(F.transform("t.bench", member("bench", 0, "playerIn")), F.array()),
-        F.coalesce(F.transform("t.lineup", member("lineup", 1, "playerOut")), F.array()),
-    )
-    return team.select(
+    team = matches.selectExpr("match_id", "match_day", "kickoff", "status", "explode(teams) AS t")
+    listed = f"concat({_listed('bench', 0, 'playerIn')}, {_listed('lineup', 1, 'playerOut')})"
+    return team.selectExpr(
         "match_id", "match_day", "kickoff", "status",
-        F.col("t.team_pos").alias("team_pos"), F.col("t.team_id").alias("team_id"),
-        F.inline(listed),
+        "t.team_pos AS team_pos", "t.team_id AS team_id", f"inline({listed})",
     )
 
 
@@ -48,52 +41,43 @@ def appearances(matches: DataFrame, minutes_mode: str = ON_FIELD) -> DataFrame:
     ``on_field`` gives the real minutes; ``full_90`` credits everybody with 90
     in matches whose status is ``Played``.
     """
-    full = F.lit(FULL_MATCH_MINUTES)
-    bench = F.col("slot") == "bench"
-    unused = bench & F.col("sub_minute").isNull()
-    minute_in = F.when(unused, -1).when(bench, F.col("sub_minute")).otherwise(0)
-    minute_out = F.when(unused, -1).when(bench, full).otherwise(F.coalesce("sub_minute", full))
-    on_field = F.when(unused, 0).otherwise(minute_out - minute_in)
+    bench = "slot = 'bench'"
+    unused = f"({bench} AND sub_minute IS NULL)"
+    entered = f"CASE WHEN {unused} THEN -1 WHEN {bench} THEN sub_minute ELSE 0 END"
+    left = f"CASE WHEN {unused} THEN -1 WHEN {bench} THEN {FULL} ELSE coalesce(sub_minute, {FULL}) END"
+    minutes = f"if({unused}, 0, {left} - {entered})"
     if minutes_mode == FULL_90:
-        minutes = F.when(F.col("status") == "Played", full).otherwise(on_field)
-    elif minutes_mode == ON_FIELD:
-        minutes = on_field
-    else:
+        minutes = f"if(status = 'Played', {FULL}, {minutes})"
+    elif minutes_mode != ON_FIELD:
         raise ValueError(f"unknown minutes_mode {minutes_mode!r}")
-    return squad_members(matches).select(
+    return squad_members(matches).selectExpr(
         "match_id", "match_day", "kickoff", "player_id", "team_id", "team_pos", "slot",
-        minute_in.alias("minute_in"),
-        minute_out.alias("minute_out"),
-        minutes.alias("minutes"),
-        (~unused).alias("participated"),
+        f"{entered} AS minute_in",
+        f"{left} AS minute_out",
+        f"{minutes} AS minutes",
+        f"NOT {unused} AS participated",
     )
 
 
 def match_counts(apps: DataFrame) -> DataFrame:
     """Matches played per player; being listed without coming on does not count."""
-    played = apps.where("participated")
-    return played.groupBy("player_id").agg(F.count(F.lit(1)).alias("matches_played"))
+    return apps.where("participated").groupBy("player_id").agg(F.expr("count(1) AS matches_played"))
 
 
 def prior_matches(
-    apps: DataFrame,
-    played: DataFrame | None = None,
-    seeds: DataFrame | None = None,
-    chunk_days: int = CHUNK_DAYS,
+    played: DataFrame, seeds: DataFrame | None = None, chunk_days: int = CHUNK_DAYS
 ) -> DataFrame:
     """Add ``prior_matches``: how many matches the player took part in before.
 
-    ``apps`` holds participations only. ``played`` may name a cheaper source of
-    the same participations for the per-chunk totals; ``seeds`` carries counts
-    from before the given rows.
+    ``played`` holds participations only, one row per match and player;
+    ``seeds`` (player_id, seed_matches) carries counts from before these rows.
+    The result keeps the calendar ``chunk`` it is partitioned by.
     """
-    rows = apps.withColumn("chunk", chunk_of("match_day", chunk_days))
-    source = rows if played is None else played.withColumn("chunk", chunk_of("match_day", chunk_days))
-    counted = prefix_count(rows, ["player_id"], ["kickoff", "match_id"], "chunk", "prior_matches", source)
-    if seeds is not None:
-        counted = (
-            counted.join(seeds.select("player_id", "seed_matches"), "player_id", "left")
-            .withColumn("prior_matches", F.col("prior_matches") + F.coalesce("seed_matches", F.lit(0)))
-            .drop("seed_matches")
-        )
-    return counted.drop("chunk")
+    rows = played.selectExpr("*", f"{chunk_of('match_day', chunk_days)} AS chunk")
+    counted = prefix_count(rows, ["player_id"], ["kickoff", "match_id"], "chunk", "prior_matches")
+    if seeds is None:
+        return counted
+    earlier = seeds.select("player_id", "seed_matches")
+    return counted.join(earlier, "player_id", "left").selectExpr(
+        "* EXCEPT (prior_matches, seed_matches)", "prior_matches + coalesce(seed_matches, 0) AS prior_matches"
+    )

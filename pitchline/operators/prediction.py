@@ -124,7 +124,7 @@ def predict(
             F.struct(
                 F.lit(i).alias("team"),
                 F.col(f"name_{i}").alias("name"),
-                F.when(~failed, win_chance(F.col(f"strength_{i}"), F.col(f"strength_{3 - i}"))).alias("winning_chance"),
+                F.when(~failed, F.expr(win_chance(f"strength_{i}", f"strength_{3 - i}"))).alias("winning_chance"),
                 F.col(f"valid_{i}").alias("valid"),
                 F.when(failed, "unknown player").alias("error"),
             )

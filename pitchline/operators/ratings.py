@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchline.functions import formulas
@@ -11,7 +11,7 @@ from pitchline.operators.scan import affine_history, chunk_of
 from pitchline.operators.stats import assigned
 from pitchline.settings import CHUNK_DAYS
 
-_RATED = ("pass_accuracy", "duel_effectiveness", "fk_effectiveness", "shots_on_target", "fouls", "own_goal")
+_START = formulas.double(formulas.START_RATING)
 
 
 def match_ratings(
@@ -28,14 +28,11 @@ def match_ratings(
     played = assigned(apps.where("participated")).select(
         "match_id", "match_day", "kickoff", "player_id", "minutes"
     )
-    measured = stats.select("match_id", "player_id", "team_id", *_RATED)
-    rows = prior_matches(
-        played.join(measured, ["match_id", "player_id"], "left"),
-        played=played, seeds=seeds, chunk_days=chunk_days,
-    )
-    return rows.where(F.col("pass_accuracy").isNotNull()).select(
-        "match_id", "match_day", "kickoff", "player_id", "team_id", "minutes", "prior_matches",
-        formulas.match_rating(F.col("minutes")).alias("match_rating"),
+    measured = stats.select("match_id", "player_id", "team_id", *formulas.RATIOS, "fouls", "own_goal")
+    rows = prior_matches(played.join(measured, ["match_id", "player_id"], "left"), seeds, chunk_days)
+    return rows.where("pass_accuracy IS NOT NULL").selectExpr(
+        "match_id", "match_day", "kickoff", "chunk", "player_id", "team_id", "minutes", "prior_matches",
+        f"{formulas.match_rating('minutes')} AS match_rating",
     )
 
 
@@ -44,35 +41,33 @@ def player_ratings(
 ) -> DataFrame:
     """Rating history: (match_rating + old * n) / (1 + n) in match order.
 
-    ``seeds`` carries (player_id, seed_rating) from before the given rows.
-    A player without a team (id 0) is rated but shows no change.
+    ``seeds`` (player_id, seed_rating) carries ratings from before these rows.
+    A player without a team (id 0) is rated but shows no change. Rows that
+    already carry a calendar ``chunk`` keep it, and with it their partitioning.
     """
-    n = F.col("prior_matches").cast("double")
-    steps = (
-        rated.withColumn("chunk", chunk_of("match_day", chunk_days))
-        .withColumn("_fa", n / (1 + n))
-        .withColumn("_fb", F.col("match_rating") / (1 + n))
-    )
-    if seeds is None:
-        steps = steps.withColumn("_start", F.lit(formulas.START_RATING))
-    else:
-        steps = (
-            steps.join(seeds.select("player_id", "seed_rating"), "player_id", "left")
-            .withColumn("_start", F.coalesce("seed_rating", F.lit(formulas.START_RATING)))
-            .drop("seed_rating")
-        )
+    if "chunk" not in rated.columns:
+        rated = rated.selectExpr("*", f"{chunk_of('match_day', chunk_days)} AS chunk")
+    start = _START
+    if seeds is not None:
+        rated = rated.join(seeds.select("player_id", "seed_rating"), "player_id", "left")
+        start = f"coalesce(seed_rating, {_START})"
+    n = "double(prior_matches)"
+    steps = rated.selectExpr(
+        "*", f"{n} / (1 + {n}) AS _fa", f"match_rating / (1 + {n}) AS _fb", f"{start} AS _start"
+    ).drop("seed_rating")
     history = affine_history(
-        steps, ["player_id"], ["kickoff", "match_id"], "chunk", "_fa", "_fb", "_start", "old_rating", "rating"
+        steps, ["player_id"], ["kickoff", "match_id"], "chunk", "_fa", "_fb", "_start", "_old", "rating"
+    )
+    return history.selectExpr(
+        "* EXCEPT (_fa, _fb, _start, _old, chunk)", "if(team_id = 0, 0D, rating - _old) AS rating_change"
     )
-    change = F.when(F.col("team_id") == 0, 0.0).otherwise(F.col("rating") - F.col("old_rating"))
-    return history.withColumn("rating_change", change).drop("_fa", "_fb", "_start", "old_rating", "chunk")
 
 
 def latest_ratings(history: DataFrame) -> DataFrame:
     """Last row of each player's history, found by a partial aggregate."""
-    order = F.struct("kickoff", "match_id")
-    value = F.struct("match_id", "team_id", "match_rating", "rating", "rating_change")
-    return history.groupBy("player_id").agg(F.max_by(value, order).alias("v")).select("player_id", "v.*")
+    value = "struct(match_id, team_id, match_rating, rating, rating_change)"
+    latest = history.groupBy("player_id").agg(F.expr(f"max_by({value}, struct(kickoff, match_id)) AS v"))
+    return latest.select("player_id", "v.*")
 
 
 def running_mean_ratings(rated: DataFrame) -> DataFrame:
@@ -81,10 +76,8 @@ def running_mean_ratings(rated: DataFrame) -> DataFrame:
     With n = number of earlier rated matches the recurrence is the running mean
     of the match ratings, one window over ``match_id`` order.
     """
-    upto = Window.partitionBy("player_id").orderBy("match_id").rowsBetween(Window.unboundedPreceding, 0)
-    ordered = Window.partitionBy("player_id").orderBy("match_id")
-    rating = F.avg("match_rating").over(upto)
-    return rated.withColumn("rating", rating).withColumn(
-        "rating_change",
-        F.col("rating") - F.coalesce(F.lag("rating").over(ordered), F.lit(formulas.START_RATING)),
+    window = "PARTITION BY player_id ORDER BY match_id"
+    mean = rated.selectExpr("*", f"avg(match_rating) OVER ({window} ROWS UNBOUNDED PRECEDING) AS rating")
+    return mean.selectExpr(
+        "*", f"rating - coalesce(lag(rating) OVER ({window}), {_START}) AS rating_change"
     )

@@ -11,28 +11,40 @@ an array longer than one chunk.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def chunk_of(day: str, days: int) -> Column:
-    return F.expr(f"unix_date({day}) div {int(days)}")
+def chunk_of(day: str, days: int) -> str:
+    return f"unix_date({day}) div {int(days)}"
 
 
-def prefix_count(
-    df: DataFrame, keys: list[str], order: list[str], chunk: str, out: str, source: DataFrame
-) -> DataFrame:
-    """Number of earlier rows of the same key; ``source`` has one row per row of ``df``."""
-    local = Window.partitionBy(*keys, chunk).orderBy(*order)
-    earlier = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    totals = source.groupBy(*keys, chunk).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = totals.select(*keys, chunk, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-    return (
-        df.withColumn("_local", F.row_number().over(local) - 1)
-        .join(offsets, [*keys, chunk])
-        .withColumn(out, F.col("_offset") + F.col("_local"))
-        .drop("_offset", "_local")
+def _over(part: list[str], order: list[str], rows: str = "") -> str:
+    return f"OVER (PARTITION BY {', '.join(part)} ORDER BY {', '.join(order)} {rows})"
+
+
+_UP_TO_HERE = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+_BEFORE_HERE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
+
+def _last_rows(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The last row of every group, as struct ``last``.
+
+    Keeping the whole row leaves the plan below identical to that of ``rows``,
+    so the shuffle under both is run once and reused.
+    """
+    row = f"struct({', '.join(rows.columns)})"
+    return rows.groupBy(*keys).agg(F.expr(f"max_by({row}, struct({', '.join(order)})) AS last"))
+
+
+def prefix_count(df: DataFrame, keys: list[str], order: list[str], chunk: str, out: str) -> DataFrame:
+    """Number of earlier rows of the same key."""
+    part = [*keys, chunk]
+    rows = df.selectExpr("*", f"row_number() {_over(part, order)} AS _nth")
+    totals = _last_rows(rows, part, order).selectExpr(
+        *part, f"coalesce(sum(last._nth) {_over(keys, [chunk], _BEFORE_HERE)}, 0) AS _offset"
     )
+    return rows.join(totals, part).selectExpr("* EXCEPT (_nth, _offset)", f"_offset + _nth - 1 AS {out}")
 
 
 def _running_maps(df: DataFrame, part: list[str], order: list[str], a: str, b: str) -> DataFrame:
@@ -42,14 +54,14 @@ def _running_maps(df: DataFrame, part: list[str], order: list[str], a: str, b: s
     ``P * sum(b / P)``. A zero factor forgets everything before it, so it opens
     a new segment whose composite factor stays 0.
     """
-    upto = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    segment = Window.partitionBy(*part, "_seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        df.withColumn("_seg", F.sum(F.when(F.col(a) == 0, 1).otherwise(0)).over(upto))
-        .withColumn("_p", F.product(F.when(F.col(a) == 0, 1.0).otherwise(F.col(a))).over(segment))
-        .withColumn("_b", F.col("_p") * F.sum(F.col(b) / F.col("_p")).over(segment))
-        .withColumn("_a", F.when(F.col("_seg") == 0, F.col("_p")).otherwise(0.0))
-        .drop("_seg", "_p")
+    in_segment = [*part, "_seg"]
+    upto = Window.partitionBy(*in_segment).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    segments = df.selectExpr("*", f"sum(if({a} = 0, 1, 0)) {_over(part, order, _UP_TO_HERE)} AS _seg")
+    products = segments.withColumn("_p", F.product(F.expr(f"if({a} = 0, 1D, {a})")).over(upto))
+    return products.selectExpr(
+        "* EXCEPT (_p, _seg)",
+        "if(_seg = 0, _p, 0D) AS _a",
+        f"_p * sum({b} / _p) {_over(in_segment, order, _UP_TO_HERE)} AS _b",
     )
 
 
@@ -68,59 +80,37 @@ def affine_history(
 
     ``init`` is a column that is constant per key.
     """
-    local = Window.partitionBy(*keys, chunk).orderBy(*order)
-    rows = (
-        _running_maps(df, [*keys, chunk], order, a, b)
-        .withColumn("_pa", F.lag("_a").over(local))
-        .withColumn("_pb", F.lag("_b").over(local))
-    )
-
-    # The composite of a chunk is that of its last row. Keeping whole rows in
-    # this aggregate leaves the plan below identical to that of ``rows``, so the
-    # shuffled input is reused instead of being computed twice.
-    last = rows.groupBy(*keys, chunk).agg(
-        F.max_by(F.struct(*rows.columns), F.struct(*order)).alias("_last")
+    part = [*keys, chunk]
+    rows = _running_maps(df, part, order, a, b).selectExpr(
+        "*", f"lag(_a) {_over(part, order)} AS _pa", f"lag(_b) {_over(part, order)} AS _pb"
     )
-    totals = last.select(
-        *keys, chunk, F.col("_last._a").alias("_ca"), F.col("_last._b").alias("_cb"),
-        F.col(f"_last.{init}").alias("_init"),
+    totals = _last_rows(rows, part, order).selectExpr(
+        *part, "last._a AS _ca", "last._b AS _cb", f"last.{init} AS _init"
     )
     chained = _running_maps(totals, keys, [chunk], "_ca", "_cb")
-    previous = Window.partitionBy(*keys).orderBy(chunk)
-    entry = chained.select(
-        *keys, chunk,
-        F.coalesce(
-            F.lag("_a").over(previous) * F.col("_init") + F.lag("_b").over(previous), F.col("_init")
-        ).alias("_entry"),
-    )
-    return (
-        rows.join(entry, [*keys, chunk])
-        .withColumn(after, F.col("_a") * F.col("_entry") + F.col("_b"))
-        .withColumn(before, F.coalesce(F.col("_pa") * F.col("_entry") + F.col("_pb"), F.col("_entry")))
-        .drop("_a", "_b", "_pa", "_pb", "_entry")
+    earlier = _over(keys, [chunk])
+    entry = chained.selectExpr(
+        *part, f"coalesce(lag(_a) {earlier} * _init + lag(_b) {earlier}, _init) AS _entry"
     )
-
-
-def _compose(maps: Column) -> Column:
-    """Composite of an ordered array of maps with fields a, b."""
-    start = F.struct(F.lit(1.0).alias("a"), F.lit(0.0).alias("b"))
-    return F.aggregate(
-        maps,
-        start,
-        lambda acc, m: F.struct((m["a"] * acc["a"]).alias("a"), (m["a"] * acc["b"] + m["b"]).alias("b")),
+    return rows.join(entry, part).selectExpr(
+        "* EXCEPT (_a, _b, _pa, _pb, _entry)",
+        f"coalesce(_pa * _entry + _pb, _entry) AS {before}",
+        f"_a * _entry + _b AS {after}",
     )
 
 
-def affine_fold(
-    df: DataFrame, keys: list[str], order: list[str], a: str = "a", b: str = "b"
-) -> DataFrame:
-    """Composite map (a, b) per key, its maps taken in ``order``.
+def affine_fold(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Composite map (a, b) per key of the maps (a, b) taken in ``order``.
 
     Gathers one key's maps in one array; callers put a calendar chunk in
     ``keys`` and fold the chunk composites again.
     """
-    step = F.struct(*order, F.col(a).alias("a"), F.col(b).alias("b"))
-    gathered = df.groupBy(*keys).agg(F.array_sort(F.collect_list(step)).alias("maps"))
-    return gathered.select(*keys, _compose(F.col("maps")).alias("m")).select(
-        *keys, F.col("m.a").alias(a), F.col("m.b").alias(b)
+    gathered = df.groupBy(*keys).agg(
+        F.expr(f"array_sort(collect_list(struct({', '.join(order)}, a, b))) AS maps")
+    )
+    composed = gathered.selectExpr(
+        *keys,
+        "aggregate(maps, struct(1D AS a, 0D AS b),"
+        " (acc, m) -> struct(m.a * acc.a AS a, m.a * acc.b + m.b AS b)) AS m",
     )
+    return composed.selectExpr(*keys, "m.a AS a", "m.b AS b")

@@ -13,7 +13,15 @@ NO_PLAYER = 0
 
 def assigned(df: DataFrame) -> DataFrame:
     """Drop the "no player" sentinel; stated before the shuffle, it is a hot key."""
-    return df.where(F.col("player_id") != NO_PLAYER)
+    return df.where(f"player_id <> {NO_PLAYER}")
+
+
+def _count(rows: DataFrame, order: str) -> DataFrame:
+    return rows.groupBy("match_id", "player_id").agg(
+        F.expr(f"max_by(team_id, {order}) AS team_id"),
+        F.expr(f"max({order}) AS last_event_id"),
+        *[F.expr(f"sum({c}) AS {c}") for c in COUNTERS],
+    )
 
 
 def count_by_player(facts: DataFrame) -> DataFrame:
@@ -23,36 +31,23 @@ def count_by_player(facts: DataFrame) -> DataFrame:
     this is a hash aggregate with a map-side partial: however hot a player or a
     match is, each task sends one row per key.
     """
-    sums = [F.sum(c).cast("bigint").alias(c) for c in COUNTERS]
-    return facts.groupBy("match_id", "player_id").agg(
-        F.max_by("team_id", "event_id").alias("team_id"),
-        F.max("event_id").alias("last_event_id"),
-        *sums,
-    )
+    return _count(facts, "event_id")
 
 
 def merge_counts(partials: DataFrame) -> DataFrame:
     """Merge partial counts of the same (match, player), in any order and grouping."""
-    sums = [F.sum(c).cast("bigint").alias(c) for c in COUNTERS]
-    return partials.groupBy("match_id", "player_id").agg(
-        F.max_by("team_id", "last_event_id").alias("team_id"),
-        F.max("last_event_id").alias("last_event_id"),
-        *sums,
-    )
+    return _count(partials, "last_event_id")
 
 
 def with_ratios(counts: DataFrame) -> DataFrame:
-    return counts.select(
+    return counts.selectExpr(
         "match_id",
         "player_id",
         "team_id",
         *COUNTERS,
-        formulas.pass_accuracy().alias("pass_accuracy"),
-        formulas.duel_effectiveness().alias("duel_effectiveness"),
-        formulas.free_kick_effectiveness().alias("fk_effectiveness"),
-        formulas.shots_on_target().alias("shots_on_target"),
-        formulas.pass_num().alias("pass_num"),
-        formulas.pass_tot().alias("pass_tot"),
+        *[f"{expr} AS {name}" for name, expr in formulas.RATIOS.items()],
+        f"{formulas.PASS_NUM} AS pass_num",
+        f"{formulas.PASS_TOT} AS pass_tot",
     )
 
 
@@ -68,12 +63,12 @@ def player_profiles(stats: DataFrame) -> DataFrame:
     mean and is what the profile answer shows.
     """
     total = stats.groupBy("player_id").agg(
-        F.sum("fouls").cast("bigint").alias("fouls"),
-        F.sum("goal").cast("bigint").alias("goals"),
-        F.sum("own_goal").cast("bigint").alias("own_goals"),
-        F.sum("pass_num").cast("bigint").alias("pass_num"),
-        F.sum("pass_tot").cast("bigint").alias("pass_tot"),
-        F.sum("shots_on_target").alias("shots_target_sum"),
-        F.avg("shots_on_target").alias("shots_target_avg"),
+        F.expr("sum(fouls) AS fouls"),
+        F.expr("sum(goal) AS goals"),
+        F.expr("sum(own_goal) AS own_goals"),
+        F.expr("sum(pass_num) AS pass_num"),
+        F.expr("sum(pass_tot) AS pass_tot"),
+        F.expr("sum(shots_on_target) AS shots_target_sum"),
+        F.expr("avg(shots_on_target) AS shots_target_avg"),
     )
-    return total.withColumn("pass_accuracy", formulas.ratio(F.col("pass_num"), F.col("pass_tot")))
+    return total.selectExpr("*", f"{formulas.ratio('pass_num', 'pass_tot')} AS pass_accuracy")

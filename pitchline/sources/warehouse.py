@@ -8,7 +8,7 @@ rows, so the same tables can be derived by any SQL engine.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchline.operators.facts import event_facts
@@ -28,48 +28,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _team_of(bucket: Column, pos: Column) -> Column:
-    return (1 + (2 * bucket + pos) % TEAMS).cast("bigint")
+def _team_of(half_bucket: str) -> str:
+    return f"1 + ({half_bucket}) % {TEAMS}"
+
+
+_TAG_RULES = {
+    1801: "k < 60",
+    1802: "k >= 60 AND k < 97",
+    302: "k % 7 = 0",
+    701: "k % 3 = 0",
+    702: "k % 3 = 1",
+    703: "k % 3 = 2",
+    101: "k % 11 = 0",
+    102: "k % 53 = 0",
+}
 
 
 def events(raw: DataFrame) -> DataFrame:
     """Typed event rows; ``raw`` may be a stream."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    code = F.create_map(*[F.lit(v) for item in EVENT_CODES.items() for v in item])
-    day = F.datediff(F.col("ts").cast("date"), F.lit(FIRST_DAY).cast("date")).cast("bigint")
-    base = raw.select(
+    base = raw.selectExpr(
         "event_id",
-        F.col("ts").cast("timestamp").alias("event_ts"),
-        F.col("user_id").alias("player_id"),
-        F.expr(f"user_id div {SQUADS}").alias("bucket"),
-        F.expr(f"user_id div {TEAM}").alias("half_bucket"),
-        day.alias("day"),
-        code[F.col("event_type")].alias("event_code"),
-        k.alias("k"),
-    )
-
-    def tag(condition: Column, number: int) -> Column:
-        return F.when(condition, number).otherwise(0)
-
-    k = F.col("k")
-    tags = F.array(
-        tag(k < 60, 1801),
-        tag((k >= 60) & (k < 97), 1802),
-        tag(k % 7 == 0, 302),
-        tag(k % 3 == 0, 701),
-        tag(k % 3 == 1, 702),
-        tag(k % 3 == 2, 703),
-        tag(k % 11 == 0, 101),
-        tag(k % 53 == 0, 102),
+        "CAST(ts AS TIMESTAMP) AS event_ts",
+        "user_id",
+        "event_type",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        f"CAST(datediff(CAST(ts AS DATE), DATE '{FIRST_DAY}') AS BIGINT) AS day",
     )
-    return base.select(
+    codes = " ".join(f"WHEN '{name}' THEN {code}" for name, code in EVENT_CODES.items())
+    tags = ", ".join(f"if({rule}, {tag}, 0)" for tag, rule in _TAG_RULES.items())
+    return base.selectExpr(
         "event_id",
-        (F.col("day") * DAY_BASE + F.col("bucket")).alias("match_id"),
-        (1 + F.col("half_bucket") % TEAMS).alias("team_id"),
-        "player_id",
-        "event_code",
-        F.when(k % 5 == 0, 35).otherwise(30).alias("sub_event"),
-        F.array_remove(tags, 0).alias("tag_ids"),
+        f"day * {DAY_BASE} + user_id div {SQUADS} AS match_id",
+        f"{_team_of(f'user_id div {TEAM}')} AS team_id",
+        "user_id AS player_id",
+        f"CASE event_type {codes} END AS event_code",
+        "if(k % 5 = 0, 35, 30) AS sub_event",
+        f"array_remove(array({tags}), 0) AS tag_ids",
         "event_ts",
         "day",
     )
@@ -77,18 +71,15 @@ def events(raw: DataFrame) -> DataFrame:
 
 def event_line(df: DataFrame) -> DataFrame:
     """The event rows as JSON lines."""
-    record = F.struct(
-        F.col("event_code").alias("eventId"),
-        F.col("sub_event").cast("string").alias("subEventId"),
-        F.transform("tag_ids", lambda t: F.struct(t.alias("id"))).alias("tags"),
-        F.col("player_id").alias("playerId"),
-        F.col("match_id").alias("matchId"),
-        F.col("team_id").alias("teamId"),
-        F.col("event_id").alias("id"),
-        (F.unix_micros("event_ts") % 2_700_000_000 / 1e6).alias("eventSec"),
-        F.when(F.hour("event_ts") < 12, "1H").otherwise("2H").alias("matchPeriod"),
+    return df.selectExpr(
+        """to_json(named_struct(
+            'eventId', event_code,
+            'subEventId', string(sub_event),
+            'tags', transform(tag_ids, t -> named_struct('id', t)),
+            'playerId', player_id, 'matchId', match_id, 'teamId', team_id, 'id', event_id,
+            'eventSec', (unix_micros(event_ts) % 2700000000) / 1e6D,
+            'matchPeriod', if(hour(event_ts) < 12, '1H', '2H'))) AS value"""
     )
-    return df.select(F.to_json(record).alias("value"))
 
 
 def counts(raw: DataFrame) -> DataFrame:
@@ -96,175 +87,147 @@ def counts(raw: DataFrame) -> DataFrame:
     return count_by_player(event_facts(events(raw)))
 
 
+def _member(p: str) -> str:
+    """Squad entry of player ``p``; ``c`` maps the players of the match to their counters."""
+    slot = f"{p} % {TEAM}"
+    fouls = f"coalesce(c[{p}].fouls, 0)"
+
+    def text(counter: str) -> str:
+        value = f"coalesce(c[{p}].{counter}, 0)"
+        return f"if({slot} = 9 AND {value} = 0, 'null', string({value}))"
+
+    return (
+        f"named_struct('playerId', {p}, 'goals', {text('goal')}, 'ownGoals', {text('own_goal')},"
+        f" 'yellowCards', CASE WHEN {slot} = 10 THEN 'null' WHEN {fouls} >= 2 THEN string(30 + {fouls}) ELSE '0' END,"
+        f" 'redCards', if({fouls} >= 4, '80', '0'))"
+    )
+
+
+def _team(pos: int) -> str:
+    first = f"(bucket * {SQUADS} + {pos * TEAM})"
+    team_id = _team_of(f"2 * bucket + {pos}")
+    minute = f"46 + (day + {team_id}) % 39"
+    members = f"filter(squad, p -> (p div {TEAM}) % 2 = {pos})"
+
+    def substitution(bench: int, lineup: int, later: int) -> str:
+        there = f"array_contains(squad, {first} + {bench}) AND array_contains(squad, {first} + {lineup})"
+        return (
+            f"if({there}, named_struct('playerIn', {first} + {bench}, 'playerOut', {first} + {lineup},"
+            f" 'minute', int({minute} + {later})), NULL)"
+        )
+
+    substitutions = f"filter(array({substitution(8, 0, 0)}, {substitution(9, 1, 5)}), s -> s IS NOT NULL)"
+    return (
+        f"named_struct('team_pos', {pos}, 'team_id', {team_id},"
+        f" 'substitutions', if(day % 7 = 3, NULL, {substitutions}),"
+        f" 'lineup', transform(filter({members}, p -> p % {TEAM} <= 7), p -> {_member('p')}),"
+        f" 'bench', transform(filter({members}, p -> p % {TEAM} >= 8), p -> {_member('p')}))"
+    )
+
+
 def matches(counted: DataFrame) -> DataFrame:
     """Typed match rows from the per-player counters.
 
-    Every user of a bucket is listed in every match of that bucket. The lists
-    gathered here hold at most 11 players each.
+    Every user of a bucket is listed in every match of that bucket. Both
+    aggregates gather at most 22 players by the definition of a bucket.
     """
-    bucket = F.col("match_id") % DAY_BASE
-    users = counted.select("player_id").distinct().withColumn("bucket", F.expr(f"player_id div {SQUADS}"))
-    played = counted.select("match_id").distinct().select(
-        "match_id", bucket.alias("bucket"), F.expr(f"match_id div {DAY_BASE}").alias("day")
-    )
-    listing = (
-        played.join(users, "bucket")
-        .join(counted.select("match_id", "player_id", "goal", "own_goal", "fouls"), ["match_id", "player_id"], "left")
-        .na.fill(0, ["goal", "own_goal", "fouls"])
-    )
-    slot = F.col("player_id") % TEAM
-    text = lambda c: F.when((slot == 9) & (F.col(c) == 0), "null").otherwise(F.col(c).cast("string"))
-    member = F.struct(
-        F.col("player_id").alias("playerId"),
-        text("goal").alias("goals"),
-        text("own_goal").alias("ownGoals"),
-        F.when(slot == 10, "null")
-        .when(F.col("fouls") >= 2, (30 + F.col("fouls")).cast("string"))
-        .otherwise("0").alias("yellowCards"),
-        F.when(F.col("fouls") >= 4, "80").otherwise("0").alias("redCards"),
+    squads = counted.groupBy(F.expr(f"player_id div {SQUADS} AS bucket")).agg(
+        F.expr("array_sort(collect_set(player_id)) AS squad")
     )
-    team_pos = F.expr(f"player_id div {TEAM}") % 2
 
-    def listed(pos: int, where: Column) -> Column:
-        return F.array_sort(F.collect_list(F.when((team_pos == pos) & where, member)))
+    def goals(pos: int) -> str:
+        return f"coalesce(sum(goal) FILTER (WHERE (player_id div {TEAM}) % 2 = {pos}), 0) AS goals_{pos}"
 
-    gathered = listing.groupBy("match_id", "bucket", "day").agg(
-        *[listed(pos, slot <= 7).alias(f"lineup_{pos}") for pos in (0, 1)],
-        *[listed(pos, slot >= 8).alias(f"bench_{pos}") for pos in (0, 1)],
-        *[F.sum(F.when(team_pos == pos, F.col("goal"))).alias(f"goals_{pos}") for pos in (0, 1)],
+    played = counted.groupBy("match_id").agg(
+        F.expr(
+            "map_from_entries(collect_list(struct(player_id, struct(goal, own_goal, fouls)))) AS c"
+        ),
+        F.expr(goals(0)),
+        F.expr(goals(1)),
     )
-    day, bucket = F.col("day"), F.col("bucket")
-
-    def team(pos: int) -> Column:
-        team_id = _team_of(bucket, F.lit(pos))
-        first = bucket * SQUADS + pos * TEAM
-        there = lambda side, n: F.exists(f"{side}_{pos}", lambda m: m["playerId"] == first + n)
-        minute = (46 + (day + team_id) % 39).cast("int")
-
-        def substitution(bench_slot: int, lineup_slot: int, later: int) -> Column:
-            return F.when(
-                there("bench", bench_slot) & there("lineup", lineup_slot),
-                F.struct(
-                    (first + bench_slot).alias("playerIn"),
-                    (first + lineup_slot).alias("playerOut"),
-                    (minute + later).alias("minute"),
-                ),
-            )
-
-        subs = F.filter(F.array(substitution(8, 0, 0), substitution(9, 1, 5)), lambda s: s.isNotNull())
-        return F.struct(
-            F.lit(pos).alias("team_pos"),
-            team_id.alias("team_id"),
-            F.when(day % 7 != 3, subs).alias("substitutions"),
-            F.col(f"lineup_{pos}").alias("lineup"),
-            F.col(f"bench_{pos}").alias("bench"),
-        )
-
-    home, away = F.coalesce("goals_0", F.lit(0)), F.coalesce("goals_1", F.lit(0))
-    date = F.date_add(F.lit(FIRST_DAY).cast("date"), day.cast("int"))
-    return gathered.select(
+    games = played.selectExpr(
+        "*", f"match_id % {DAY_BASE} AS bucket", f"match_id div {DAY_BASE} AS day",
+        f"date_add(DATE '{FIRST_DAY}', int(match_id div {DAY_BASE})) AS match_day",
+    )
+    home, away = _team_of("2 * bucket"), _team_of("2 * bucket + 1")
+    return games.join(squads, "bucket").selectExpr(
         "match_id",
-        F.when(day % 5 != 0, "Played").otherwise("Suspended").alias("status"),
-        F.timestamp_seconds(F.unix_date(date).cast("bigint") * 86400 + 15 * 3600).alias("kickoff"),
-        date.alias("match_day"),
-        date.cast("string").alias("date"),
-        F.concat(F.lit("B"), bucket, F.lit(" day "), day).alias("label"),
-        F.lit("Regular").alias("duration"),
-        F.when(home > away, _team_of(bucket, F.lit(0)))
-        .when(away > home, _team_of(bucket, F.lit(1)))
-        .otherwise(F.lit(0).cast("bigint")).alias("winner"),
-        F.concat(F.lit("Ground "), _team_of(bucket, F.lit(0))).alias("venue"),
-        F.expr("cast(day div 7 + 1 AS INT)").alias("gameweek"),
-        F.array(team(0), team(1)).alias("teams"),
+        "if(day % 5 <> 0, 'Played', 'Suspended') AS status",
+        "timestamp_seconds(bigint(unix_date(match_day)) * 86400 + 15 * 3600) AS kickoff",
+        "match_day",
+        "string(match_day) AS date",
+        "concat('B', bucket, ' day ', day) AS label",
+        "'Regular' AS duration",
+        f"CASE WHEN goals_0 > goals_1 THEN {home} WHEN goals_1 > goals_0 THEN {away} ELSE 0 END AS winner",
+        f"concat('Ground ', {home}) AS venue",
+        "int(day div 7 + 1) AS gameweek",
+        f"array({_team(0)}, {_team(1)}) AS teams",
     )
 
 
 def match_line(typed: DataFrame) -> DataFrame:
     """The match rows as JSON lines; missing substitutions become the string "null"."""
-    def teams_data(substitutions) -> Column:
-        entry = lambda t: F.struct(
-            t["team_id"].cast("string"),
-            F.struct(
-                F.struct(
-                    substitutions(t).alias("substitutions"), t["lineup"].alias("lineup"), t["bench"].alias("bench")
-                ).alias("formation")
-            ),
-        )
-        return F.map_from_entries(F.transform("teams", entry))
-
-    def record(substitutions) -> Column:
-        return F.to_json(
-            F.struct(
-                F.col("match_id").alias("wyId"), "status",
-                F.concat("date", F.lit(" 15:00:00")).alias("dateutc"),
-                "label", "duration", "winner", "venue", "gameweek",
-                teams_data(substitutions).alias("teamsData"),
-            )
+
+    def record(substitutions: str) -> str:
+        formation = f"named_struct('substitutions', {substitutions}, 'lineup', t.lineup, 'bench', t.bench)"
+        entry = f"struct(string(t.team_id), named_struct('formation', {formation}))"
+        return (
+            "to_json(named_struct('wyId', match_id, 'status', status, 'dateutc', concat(date, ' 15:00:00'),"
+            " 'label', label, 'duration', duration, 'winner', winner, 'venue', venue, 'gameweek', gameweek,"
+            f" 'teamsData', map_from_entries(transform(teams, t -> {entry}))))"
         )
 
-    value = F.when(
-        F.exists("teams", lambda t: t["substitutions"].isNull()), record(lambda t: F.lit("null"))
-    ).otherwise(record(lambda t: t["substitutions"]))
-    return typed.select(value.alias("value"))
+    missing = "exists(teams, t -> t.substitutions IS NULL)"
+    return typed.selectExpr(f"if({missing}, {record(chr(39) + 'null' + chr(39))}, {record('t.substitutions')}) AS value")
 
 
 def mixed_lines(raw: DataFrame) -> DataFrame:
     """One line per event: event and match records, records that are both or
     neither, null keys and lines that are no object."""
-    n = F.col("event_id")
-    text = n.cast("string")
-    value = (
-        F.when(n % 97 == 0, F.concat(F.lit("junk{"), text))
-        .when(n % 89 == 0, F.concat(F.lit("["), text, F.lit("]")))
-        .when(n % 83 == 0, F.concat(F.lit('{"eventId":8,"id":'), text))
-        .when(n % 79 == 0, F.concat(F.lit('{"wyId":null,"label":"'), text, F.lit('"}')))
-        .when(n % 73 == 0, F.concat(F.lit('{"wyId":'), text, F.lit(',"eventId":null,"id":'), text, F.lit("}")))
-        .when(n % 71 == 0, F.concat(F.lit('{"other":{"eventId":1,"wyId":2},"id":'), text, F.lit("}")))
-        .when(n % 11 == 0, F.concat(F.lit('{"wyId":'), text, F.lit("}")))
-        .otherwise(F.concat(F.lit('{"eventId":8,"id":'), text, F.lit("}")))
+    return raw.selectExpr(
+        """CASE WHEN event_id % 97 = 0 THEN concat('junk{', event_id)
+                WHEN event_id % 89 = 0 THEN concat('[', event_id, ']')
+                WHEN event_id % 83 = 0 THEN concat('{"eventId":8,"id":', event_id)
+                WHEN event_id % 79 = 0 THEN concat('{"wyId":null,"label":"', event_id, '"}')
+                WHEN event_id % 73 = 0 THEN concat('{"wyId":', event_id, ',"eventId":null,"id":', event_id, '}')
+                WHEN event_id % 71 = 0 THEN concat('{"other":{"eventId":1,"wyId":2},"id":', event_id, '}')
+                WHEN event_id % 11 = 0 THEN concat('{"wyId":', event_id, '}')
+                ELSE concat('{"eventId":8,"id":', event_id, '}') END AS value"""
     )
-    return raw.select(value.alias("value"))
 
 
 def players(customer: DataFrame) -> DataFrame:
-    slot = F.col("c_custkey") % TEAM
-    role = F.when(slot == 0, "GK").when(slot <= 4, "DF").when(slot <= 8, "MD").otherwise("FW")
-    return customer.select(F.col("c_custkey").alias("Id"), F.col("c_name").alias("name"), role.alias("role"))
+    slot = f"c_custkey % {TEAM}"
+    role = f"CASE WHEN {slot} = 0 THEN 'GK' WHEN {slot} <= 4 THEN 'DF' WHEN {slot} <= 8 THEN 'MD' ELSE 'FW' END"
+    return customer.selectExpr("c_custkey AS Id", "c_name AS name", f"{role} AS role")
 
 
 def teams(nation: DataFrame) -> DataFrame:
-    return nation.select(F.col("n_nationkey").cast("bigint").alias("Id"), F.col("n_name").alias("name"))
+    return nation.selectExpr("bigint(n_nationkey) AS Id", "n_name AS name")
 
 
 def prediction_requests(users: DataFrame, player_names: DataFrame, team_names: DataFrame) -> DataFrame:
-    """One request per bucket with a full squad of 22 named players.
-
-    Team names come from the team table, 20 ids at most.
-    """
-    named = users.join(player_names.select(F.col("Id").alias("player_id"), "name"), "player_id").withColumn(
-        "bucket", F.expr(f"player_id div {SQUADS}")
+    """One request per bucket with a full squad of 22 named players."""
+    named = users.join(player_names.selectExpr("Id AS player_id", "name"), "player_id")
+    squads = named.groupBy(F.expr(f"player_id div {SQUADS} AS req_id")).agg(
+        F.expr("array_sort(collect_list(struct(player_id, name))) AS squad")
     )
-    side = F.array_sort(F.collect_list(F.struct("player_id", "name")))
-    full = named.groupBy("bucket").agg(side.alias("all")).where(F.size("all") == SQUADS)
-    first, second = (team_names.select(F.col("Id").alias(f"t{i}"), F.col("name").alias(f"name{i}")) for i in (1, 2))
-    with_teams = (
-        full.withColumn("t1", _team_of(F.col("bucket"), F.lit(0)))
-        .withColumn("t2", _team_of(F.col("bucket"), F.lit(1)))
-        .join(first, "t1").join(second, "t2")
+    full = squads.where(f"size(squad) = {SQUADS}").selectExpr(
+        "*", f"{_team_of('2 * req_id')} AS t1", f"{_team_of('2 * req_id + 1')} AS t2"
     )
-    def team(i: int) -> Column:
-        return F.struct(
-            F.col(f"name{i}").alias("name"), F.slice(F.col("all.name"), 1 + (i - 1) * TEAM, TEAM).alias("players")
-        )
-
-    return with_teams.select(F.col("bucket").alias("req_id"), team(1).alias("team1"), team(2).alias("team2"))
+    for i in (1, 2):
+        full = full.join(team_names.selectExpr(f"Id AS t{i}", f"name AS name{i}"), f"t{i}")
+    sides = [
+        f"named_struct('name', name{i}, 'players', slice(squad.name, {1 + (i - 1) * TEAM}, {TEAM})) AS team{i}"
+        for i in (1, 2)
+    ]
+    return full.selectExpr("req_id", *sides)
 
 
 def request_documents(users: DataFrame) -> DataFrame:
     """One JSON request per user, cycling through all request types and none."""
-    kind = F.col("player_id") % 7
-    body = (
-        F.when(kind == 6, F.to_json(F.struct(F.lit("x").alias("label"))))
-        .otherwise(F.to_json(F.struct(kind.cast("int").alias("req_type"), F.concat(F.lit("n"), "player_id").alias("name"))))
+    kind = "player_id % 7"
+    typed = f"to_json(named_struct('req_type', int({kind}), 'name', concat('n', player_id)))"
+    return users.selectExpr(
+        "player_id AS req_id", f"if({kind} = 6, to_json(named_struct('label', 'x')), {typed}) AS value"
     )
-    return users.select(F.col("player_id").alias("req_id"), body.alias("value"))
