@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pitchline.functions.formulas import START_CHEMISTRY, changed, double
 from pitchline.operators.scan import affine_fold, chunk_of
 from pitchline.operators.stats import assigned
-from pitchline.settings import CHUNK_DAYS
 
 PAIR = ["player_lo", "player_hi"]
 
@@ -77,19 +76,23 @@ def apply_maps(maps: DataFrame, base: DataFrame | None = None) -> DataFrame:
     return maps.join(base, PAIR, "full").selectExpr(*PAIR, f"{value} AS chemistry")
 
 
-def fold_chunks(maps: DataFrame, base: DataFrame | None = None, chunk_days: int = CHUNK_DAYS) -> DataFrame:
-    """Edges from maps (match_day, a, b) in day order: per calendar chunk, then per pair."""
+def fold_maps(maps: DataFrame, base: DataFrame | None = None, chunk_days: int | None = None) -> DataFrame:
+    """Edges from maps (match_day, a, b), folded per pair in match order.
+
+    With ``chunk_days`` a pair's maps are folded per calendar chunk first.
+    """
     order = [c for c in ("kickoff", "match_id") if c in maps.columns] or ["match_day"]
-    chunked = maps.selectExpr("*", f"{chunk_of('match_day', chunk_days)} AS chunk")
-    per_chunk = affine_fold(chunked, [*PAIR, "chunk"], order)
-    return apply_maps(affine_fold(per_chunk, PAIR, ["chunk"]), base)
+    if chunk_days is not None:
+        chunked = maps.selectExpr("*", f"{chunk_of('match_day', chunk_days)} AS chunk")
+        maps, order = affine_fold(chunked, [*PAIR, "chunk"], order), ["chunk"]
+    return apply_maps(affine_fold(maps, PAIR, order), base)
 
 
 def chemistry(
-    updates: DataFrame, base: DataFrame | None = None, chunk_days: int = CHUNK_DAYS
+    updates: DataFrame, base: DataFrame | None = None, chunk_days: int | None = None
 ) -> DataFrame:
     """Edges after all updates."""
-    return fold_chunks(pair_maps(updates), base, chunk_days)
+    return fold_maps(pair_maps(updates), base, chunk_days)
 
 
 def lookup(pairs: DataFrame, edges: DataFrame) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from pitchline.functions.formulas import FULL_MATCH_MINUTES as FULL
 from pitchline.operators.scan import chunk_of, prefix_count
-from pitchline.settings import CHUNK_DAYS
 
 ON_FIELD = "on_field"
 FULL_90 = "full_90"
@@ -27,12 +26,15 @@ def _listed(slot: str, slot_pos: int, side: str) -> str:
 
 def squad_members(matches: DataFrame) -> DataFrame:
     """One row per listed player, bench before line-up within a team."""
-    team = matches.selectExpr("match_id", "match_day", "kickoff", "status", "explode(teams) AS t")
+    # The outer generators keep Catalyst from adding "array is not empty" filters,
+    # which would evaluate the nested expressions a second time.
+    team = matches.selectExpr("match_id", "match_day", "kickoff", "status", "explode_outer(teams) AS t")
     listed = f"concat({_listed('bench', 0, 'playerIn')}, {_listed('lineup', 1, 'playerOut')})"
-    return team.selectExpr(
+    members = team.selectExpr(
         "match_id", "match_day", "kickoff", "status",
-        "t.team_pos AS team_pos", "t.team_id AS team_id", f"inline({listed})",
+        "t.team_pos AS team_pos", "t.team_id AS team_id", f"inline_outer({listed})",
     )
+    return members.where("player_id IS NOT NULL")
 
 
 def appearances(matches: DataFrame, minutes_mode: str = ON_FIELD) -> DataFrame:
@@ -65,16 +67,20 @@ def match_counts(apps: DataFrame) -> DataFrame:
 
 
 def prior_matches(
-    played: DataFrame, seeds: DataFrame | None = None, chunk_days: int = CHUNK_DAYS
+    played: DataFrame, seeds: DataFrame | None = None, chunk_days: int | None = None
 ) -> DataFrame:
     """Add ``prior_matches``: how many matches the player took part in before.
 
     ``played`` holds participations only, one row per match and player;
     ``seeds`` (player_id, seed_matches) carries counts from before these rows.
-    The result keeps the calendar ``chunk`` it is partitioned by.
+    With ``chunk_days`` long timelines are split by calendar chunk.
     """
-    rows = played.selectExpr("*", f"{chunk_of('match_day', chunk_days)} AS chunk")
-    counted = prefix_count(rows, ["player_id"], ["kickoff", "match_id"], "chunk", "prior_matches")
+    keys, order = ["player_id"], ["kickoff", "match_id"]
+    if chunk_days is None:
+        counted = prefix_count(played, keys, order, "prior_matches")
+    else:
+        rows = played.selectExpr("*", f"{chunk_of('match_day', chunk_days)} AS chunk")
+        counted = prefix_count(rows, keys, order, "prior_matches", "chunk").drop("chunk")
     if seeds is None:
         return counted
     earlier = seeds.select("player_id", "seed_matches")

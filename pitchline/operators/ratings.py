@@ -9,57 +9,62 @@ from pitchline.functions import formulas
 from pitchline.operators.lineup import prior_matches
 from pitchline.operators.scan import affine_history, chunk_of
 from pitchline.operators.stats import assigned
-from pitchline.settings import CHUNK_DAYS
 
 _START = formulas.double(formulas.START_RATING)
 
 
-def match_ratings(
-    stats: DataFrame,
-    apps: DataFrame,
-    seeds: DataFrame | None = None,
-    chunk_days: int = CHUNK_DAYS,
-) -> DataFrame:
-    """Rating per (match, player) that took part and has events.
+def participations(stats: DataFrame, apps: DataFrame) -> DataFrame:
+    """One row per match and player on the field, with the figures a rating needs.
 
-    Every participation enters the count of prior matches, with or without
-    events, so the count is taken before unrated participations are dropped.
+    Figures are NULL for a player without events; such a match is not rated but
+    counts as played.
     """
     played = assigned(apps.where("participated")).select(
         "match_id", "match_day", "kickoff", "player_id", "minutes"
     )
     measured = stats.select("match_id", "player_id", "team_id", *formulas.RATIOS, "fouls", "own_goal")
-    rows = prior_matches(played.join(measured, ["match_id", "player_id"], "left"), seeds, chunk_days)
-    return rows.where("pass_accuracy IS NOT NULL").selectExpr(
-        "match_id", "match_day", "kickoff", "chunk", "player_id", "team_id", "minutes", "prior_matches",
+    return played.join(measured, ["match_id", "player_id"], "left")
+
+
+def match_ratings(
+    played: DataFrame, seeds: DataFrame | None = None, chunk_days: int | None = None
+) -> DataFrame:
+    """Rating of every participation that has events.
+
+    Prior matches are counted over all participations, before those without
+    events are dropped.
+    """
+    counted = prior_matches(played, seeds, chunk_days).where("pass_accuracy IS NOT NULL")
+    return counted.selectExpr(
+        "match_id", "match_day", "kickoff", "player_id", "team_id", "minutes", "prior_matches",
         f"{formulas.match_rating('minutes')} AS match_rating",
     )
 
 
 def player_ratings(
-    rated: DataFrame, seeds: DataFrame | None = None, chunk_days: int = CHUNK_DAYS
+    rated: DataFrame, seeds: DataFrame | None = None, chunk_days: int | None = None
 ) -> DataFrame:
     """Rating history: (match_rating + old * n) / (1 + n) in match order.
 
     ``seeds`` (player_id, seed_rating) carries ratings from before these rows.
-    A player without a team (id 0) is rated but shows no change. Rows that
-    already carry a calendar ``chunk`` keep it, and with it their partitioning.
+    A player without a team (id 0) is rated but shows no change. Without
+    ``chunk_days`` the scan uses the partitioning by player of ``rated``.
     """
-    if "chunk" not in rated.columns:
-        rated = rated.selectExpr("*", f"{chunk_of('match_day', chunk_days)} AS chunk")
     start = _START
     if seeds is not None:
         rated = rated.join(seeds.select("player_id", "seed_rating"), "player_id", "left")
         start = f"coalesce(seed_rating, {_START})"
     n = "double(prior_matches)"
     steps = rated.selectExpr(
-        "*", f"{n} / (1 + {n}) AS _fa", f"match_rating / (1 + {n}) AS _fb", f"{start} AS _start"
+        "*", f"{n} / (1 + {n}) AS a", f"match_rating / (1 + {n}) AS b", f"{start} AS _start"
     ).drop("seed_rating")
-    history = affine_history(
-        steps, ["player_id"], ["kickoff", "match_id"], "chunk", "_fa", "_fb", "_start", "_old", "rating"
-    )
-    return history.selectExpr(
-        "* EXCEPT (_fa, _fb, _start, _old, chunk)", "if(team_id = 0, 0D, rating - _old) AS rating_change"
+    chunk = None
+    if chunk_days is not None:
+        chunk = "chunk"
+        steps = steps.selectExpr("*", f"{chunk_of('match_day', chunk_days)} AS chunk")
+    history = affine_history(steps, ["player_id"], ["kickoff", "match_id"], "_start", "_old", "rating", chunk)
+    return history.drop("a", "b", "_start", "chunk").selectExpr(
+        "* EXCEPT (_old)", "if(team_id = 0, 0D, rating - _old) AS rating_change"
     )
 
 

@@ -1,12 +1,16 @@
-"""Ordered recurrences over one key's timeline, split between tasks.
+"""Ordered recurrences over one key's timeline.
 
 A rating history and a chemistry edge are both affine recurrences
-``x' = a * x + b`` in match order. Affine maps compose associatively, so a
-timeline can be cut into calendar chunks: each (key, chunk) is scanned on its
-own, only one composite per chunk travels to the key's task, and the entry
-value of every chunk is joined back. A key holding a large part of all rows is
-thus spread over as many tasks as it has chunks, and no step gathers rows into
-an array longer than one chunk.
+``x' = a * x + b`` in match order. Affine maps compose associatively, which
+gives two exact ways to run them:
+
+* one window per key: a single shuffle, for timelines of checked length;
+* cut into calendar chunks: each (key, chunk) is scanned on its own, only one
+  composite per chunk travels to the key's task, and the entry value of every
+  chunk is joined back. A key holding a large part of all rows is spread over
+  as many tasks as it has chunks.
+
+``longest`` measures the timelines so that callers can pick the way.
 """
 
 from __future__ import annotations
@@ -27,23 +31,22 @@ _UP_TO_HERE = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 _BEFORE_HERE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
-def _last_rows(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last row of every group, as struct ``last``.
-
-    Keeping the whole row leaves the plan below identical to that of ``rows``,
-    so the shuffle under both is run once and reused.
-    """
-    row = f"struct({', '.join(rows.columns)})"
-    return rows.groupBy(*keys).agg(F.expr(f"max_by({row}, struct({', '.join(order)})) AS last"))
+def longest(df: DataFrame, key: str) -> int:
+    """Rows of the longest timeline; one number reaches the driver."""
+    return df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
 
 
-def prefix_count(df: DataFrame, keys: list[str], order: list[str], chunk: str, out: str) -> DataFrame:
+def prefix_count(
+    df: DataFrame, keys: list[str], order: list[str], out: str, chunk: str | None = None
+) -> DataFrame:
     """Number of earlier rows of the same key."""
+    if chunk is None:
+        return df.selectExpr("*", f"bigint(row_number() {_over(keys, order)} - 1) AS {out}")
     part = [*keys, chunk]
-    rows = df.selectExpr("*", f"row_number() {_over(part, order)} AS _nth")
-    totals = _last_rows(rows, part, order).selectExpr(
-        *part, f"coalesce(sum(last._nth) {_over(keys, [chunk], _BEFORE_HERE)}, 0) AS _offset"
+    totals = df.groupBy(*part).agg(F.expr("count(1) AS _rows")).selectExpr(
+        *part, f"coalesce(sum(_rows) {_over(keys, [chunk], _BEFORE_HERE)}, 0) AS _offset"
     )
+    rows = df.selectExpr("*", f"row_number() {_over(part, order)} AS _nth")
     return rows.join(totals, part).selectExpr("* EXCEPT (_nth, _offset)", f"_offset + _nth - 1 AS {out}")
 
 
@@ -69,25 +72,27 @@ def affine_history(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    chunk: str,
-    a: str,
-    b: str,
     init: str,
     before: str,
     after: str,
+    chunk: str | None = None,
 ) -> DataFrame:
     """Value before and after every row of ``x' = a * x + b``, starting at ``init``.
 
-    ``init`` is a column that is constant per key.
+    ``a`` and ``b`` are columns of ``df``; ``init`` is constant per key.
     """
+    if chunk is None:
+        scanned = _running_maps(df, keys, order, "a", "b").selectExpr(
+            "* EXCEPT (_a, _b)", f"_a * {init} + _b AS {after}"
+        )
+        return scanned.selectExpr("*", f"coalesce(lag({after}) {_over(keys, order)}, {init}) AS {before}")
     part = [*keys, chunk]
-    rows = _running_maps(df, part, order, a, b).selectExpr(
+    rows = _running_maps(df, part, order, "a", "b").selectExpr(
         "*", f"lag(_a) {_over(part, order)} AS _pa", f"lag(_b) {_over(part, order)} AS _pb"
     )
-    totals = _last_rows(rows, part, order).selectExpr(
-        *part, "last._a AS _ca", "last._b AS _cb", f"last.{init} AS _init"
-    )
-    chained = _running_maps(totals, keys, [chunk], "_ca", "_cb")
+    composite = affine_fold(df, part, order).withColumnsRenamed({"a": "_ca", "b": "_cb"})
+    starts = df.groupBy(*keys).agg(F.expr(f"max({init}) AS _init"))
+    chained = _running_maps(composite, keys, [chunk], "_ca", "_cb").join(starts, keys)
     earlier = _over(keys, [chunk])
     entry = chained.selectExpr(
         *part, f"coalesce(lag(_a) {earlier} * _init + lag(_b) {earlier}, _init) AS _entry"

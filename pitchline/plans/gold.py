@@ -1,9 +1,9 @@
 """The batch composition: from typed events and match records to all results.
 
 Each stage is a function of the stages before it. ``Gold`` builds a stage when
-it is first asked for and writes the two tables that several later stages read
-(player counts, rating history), so the events are scanned once however many
-results are asked for.
+it is first asked for and writes the two compact tables that several later
+stages read (player counts, participations), so the events are scanned once
+however many results are asked for.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitchline.operators import chemistry, lineup, ratings, stats, summary
 from pitchline.operators.facts import event_facts
-from pitchline.settings import CHUNK_DAYS, materialize
+from pitchline.operators.scan import longest
+from pitchline.settings import CHUNK_DAYS, TIMELINE_LIMIT, materialize
 from pitchline.sources import lines as line_source
 from pitchline.sources import warehouse
 
@@ -25,12 +26,14 @@ class Gold:
         counts: DataFrame,
         matches: DataFrame,
         minutes_mode: str = lineup.ON_FIELD,
+        timeline_limit: int = TIMELINE_LIMIT,
         chunk_days: int = CHUNK_DAYS,
     ):
         self.counts = counts
         self.matches = matches
         self.minutes_mode = minutes_mode
-        self.chunk_days = chunk_days
+        self.timeline_limit = timeline_limit
+        self.split_days = chunk_days
 
     @classmethod
     def from_lines(cls, lines: DataFrame, **options) -> "Gold":
@@ -62,17 +65,26 @@ class Gold:
         return lineup.match_counts(self.appearances)
 
     @cached_property
-    def match_ratings(self) -> DataFrame:
-        return ratings.match_ratings(self.player_match_stats, self.appearances, chunk_days=self.chunk_days)
+    def participations(self) -> DataFrame:
+        return materialize(ratings.participations(self.player_match_stats, self.appearances), "participations")
 
     @cached_property
-    def rating_history(self) -> DataFrame:
-        return ratings.player_ratings(self.match_ratings, chunk_days=self.chunk_days)
+    def chunk_days(self) -> int | None:
+        """None while every player's timeline is short enough for one window."""
+        hot = longest(self.participations, "player_id") > self.timeline_limit
+        return self.split_days if hot else None
+
+    @cached_property
+    def match_ratings(self) -> DataFrame:
+        return ratings.match_ratings(self.participations, chunk_days=self.chunk_days)
 
     @cached_property
-    def stored_history(self) -> DataFrame:
-        """The history written once, for results that read it more than once."""
-        return materialize(self.rating_history, "rating_history")
+    def rating_history(self) -> DataFrame:
+        rated = self.match_ratings
+        if self.chunk_days is not None:
+            # The split scan reads its input several times.
+            rated = materialize(rated, "match_ratings")
+        return ratings.player_ratings(rated, chunk_days=self.chunk_days)
 
     @cached_property
     def latest_ratings(self) -> DataFrame:
@@ -84,7 +96,7 @@ class Gold:
 
     @cached_property
     def pair_updates(self) -> DataFrame:
-        return chemistry.pair_updates(self.stored_history)
+        return chemistry.pair_updates(self.rating_history)
 
     @cached_property
     def chemistry(self) -> DataFrame:

@@ -192,7 +192,7 @@ def prior_match_ordinal(spark, sf_dir):
 @query
 def match_rating(spark, sf_dir):
     """Rating of every played match with real minutes."""
-    return Gold.from_warehouse(spark, sf_dir).match_ratings.drop("kickoff", "match_day", "chunk")
+    return Gold.from_warehouse(spark, sf_dir).match_ratings.drop("kickoff", "match_day")
 
 
 @query
@@ -215,8 +215,8 @@ def rating_history(spark, sf_dir):
 
 @query
 def rating_fold_general(spark, sf_dir):
-    """The same recurrence with everybody credited 90 minutes, in weekly chunks."""
-    gold = Gold.from_warehouse(spark, sf_dir, minutes_mode=lineup.FULL_90, chunk_days=7)
+    """Everybody credited 90 minutes, every timeline split into weekly chunks."""
+    gold = Gold.from_warehouse(spark, sf_dir, minutes_mode=lineup.FULL_90, timeline_limit=0, chunk_days=7)
     return gold.rating_history.select("player_id", "match_id", "prior_matches", "rating", "rating_change")
 
 
@@ -318,7 +318,7 @@ def team_strength(spark, sf_dir):
     """Strength of the requested teams."""
     gold = Gold.from_warehouse(spark, sf_dir)
     members = prediction.lineups(_prediction_requests(spark, sf_dir, gold.counts), players(spark, sf_dir))
-    return prediction.team_strength(members, gold.chemistry, ratings.latest_ratings(gold.stored_history))
+    return prediction.team_strength(members, gold.chemistry, gold.latest_ratings)
 
 
 @query
@@ -327,7 +327,7 @@ def win_prediction(spark, sf_dir):
     gold = Gold.from_warehouse(spark, sf_dir)
     return prediction.predict(
         _prediction_requests(spark, sf_dir, gold.counts), players(spark, sf_dir),
-        ratings.latest_ratings(gold.stored_history), gold.chemistry,
+        gold.latest_ratings, gold.chemistry,
     )
 
 

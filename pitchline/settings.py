@@ -7,8 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Length of the calendar chunk that splits one player's (or pair's) timeline
-# between tasks in the ordered scans.
+# A player's timeline of at most this many participations is scanned by one
+# window; longer ones are split into calendar chunks of CHUNK_DAYS.
+TIMELINE_LIMIT = 100_000
 CHUNK_DAYS = 28
 
 
