@@ -50,11 +50,13 @@ def pair_updates(history: DataFrame, keep_unchanged: bool = False) -> DataFrame:
     one, two = "rating_change_lo", "rating_change_hi"
     same_sign = f"({one} < 0 AND {two} < 0 OR {one} > 0 AND {two} > 0)"
     delta = f"abs({one} + {two}) / 2"
+    both = f"({changed(one)} AND {changed(two)})"
     if keep_unchanged:
-        delta = f"if({changed(one)} AND {changed(two)}, {delta}, 0D)"
+        delta = f"if({both}, {delta}, 0D)"
     return pairs.selectExpr(
         "match_id", "match_day_lo AS match_day", "kickoff_lo AS kickoff", *PAIR,
         f"{delta} AS delta", f"(team_id_lo = team_id_hi) = {same_sign} AS up",
+        *([f"{both} AS updated"] if keep_unchanged else []),
     )
 
 
@@ -64,8 +66,10 @@ def pair_maps(updates: DataFrame) -> DataFrame:
 
 
 def fold_days(updates: DataFrame) -> DataFrame:
-    """Composite map per pair and match day."""
-    return affine_fold(pair_maps(updates), [*PAIR, "match_day"], ["kickoff", "match_id"])
+    """Composite map per pair and match day, with the number of real updates ``n``."""
+    return affine_fold(
+        pair_maps(updates), [*PAIR, "match_day"], ["kickoff", "match_id"], "sum(int(updated)) AS n"
+    )
 
 
 def apply_maps(maps: DataFrame, base: DataFrame | None = None) -> DataFrame:

@@ -52,8 +52,8 @@ def _counter(rule: Rule) -> str:
     return f"if({' AND '.join(parts)}, 1, 0) AS {rule.counter}"
 
 
-def event_facts(events: DataFrame) -> DataFrame:
-    """Keep every event, also those that raise no counter."""
+def event_facts(events: DataFrame, *carry: str) -> DataFrame:
+    """Keep every event, also those that raise no counter, and the columns in ``carry``."""
     return events.selectExpr(
-        "event_id", "match_id", "team_id", "player_id", "event_code", *[_counter(r) for r in RULES]
+        "event_id", "match_id", "team_id", "player_id", "event_code", *carry, *[_counter(r) for r in RULES]
     )

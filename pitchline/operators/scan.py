@@ -104,18 +104,20 @@ def affine_history(
     )
 
 
-def affine_fold(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def affine_fold(df: DataFrame, keys: list[str], order: list[str], *extra: str) -> DataFrame:
     """Composite map (a, b) per key of the maps (a, b) taken in ``order``.
 
-    Gathers one key's maps in one array; callers put a calendar chunk in
-    ``keys`` and fold the chunk composites again.
+    Gathers one key's maps in one array: callers know the key's timeline to be
+    short, or put a calendar chunk in ``keys`` and fold the composites again.
+    ``extra`` are further aggregates, named with AS.
     """
     gathered = df.groupBy(*keys).agg(
-        F.expr(f"array_sort(collect_list(struct({', '.join(order)}, a, b))) AS maps")
+        F.expr(f"array_sort(collect_list(struct({', '.join(order)}, a, b))) AS maps"),
+        *[F.expr(e) for e in extra],
     )
     composed = gathered.selectExpr(
-        *keys,
+        "* EXCEPT (maps)",
         "aggregate(maps, struct(1D AS a, 0D AS b),"
         " (acc, m) -> struct(m.a * acc.a AS a, m.a * acc.b + m.b AS b)) AS m",
     )
-    return composed.selectExpr(*keys, "m.a AS a", "m.b AS b")
+    return composed.selectExpr("* EXCEPT (m)", "m.a AS a", "m.b AS b")

@@ -366,3 +366,11 @@ ORACLE: dict[str, str] = {
         """SELECT player_id AS req_id, CASE player_id % 7 WHEN 1 THEN 'predict' WHEN 2 THEN 'profile' WHEN 4 THEN 'match_rate'
              WHEN 5 THEN NULL ELSE 'details' END AS answer FROM users""", "users"),
 }
+
+ORACLE["stream_player_match_counters"] = ORACLE["player_match_counters"]
+ORACLE["stream_matches_played"] = ORACLE["matches_played"]
+ORACLE["stream_profile"] = ORACLE["career_profile"]
+ORACLE["stream_rating_latest"] = ORACLE["rating_latest"]
+ORACLE["stream_chemistry"] = ORACLE["chemistry_final"]
+ORACLE["stream_match_dedup"] = _statement(
+    f"SELECT date, label, match_id, {big('n_goals')} AS n_goals FROM header", "header")

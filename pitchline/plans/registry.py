@@ -16,7 +16,10 @@ from pitchline.functions import formulas
 from pitchline.operators import answers, chemistry, lineup, prediction, ratings, stats, summary
 from pitchline.operators.facts import COUNTERS, event_facts
 from pitchline.plans.gold import Gold
+from pitchline.settings import scratch_path
 from pitchline.sources import dimensions, lines, requests, warehouse
+from pitchline.sources.catalog import Catalog
+from pitchline.streaming import driver, stateful
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -405,3 +408,88 @@ def request_routing(spark, sf_dir):
     )
     parsed = requests.parse_requests(documents)
     return parsed.select("req_id", requests.route(F.col("req_type")).alias("answer"))
+
+
+# --- streams --------------------------------------------------------------
+
+
+def _event_stream(spark, sf_dir):
+    # The glob makes a single file and a folder of files both readable.
+    schema = raw_events(spark, sf_dir).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+
+
+def _line_stream(spark, lines_df, batches=2):
+    """The lines as text files, read back in a number of micro-batches."""
+    path = scratch_path(spark, "lines")
+    lines_df.write.text(path)
+    files = len(spark.read.text(path).inputFiles())
+    return lines.stream_lines(spark, path, max(1, -(-files // batches)))
+
+
+def _all_lines(spark, sf_dir):
+    events = warehouse.event_line(warehouse.events(raw_events(spark, sf_dir)))
+    return events.unionByName(match_lines(spark, sf_dir))
+
+
+def _finish(stream):
+    stream.awaitTermination()
+    if stream.exception():
+        raise stream.exception()
+
+
+def _streamed(spark, sf_dir):
+    catalog = Catalog(spark, scratch_path(spark, "stream"))
+    _finish(driver.run_stream(_line_stream(spark, _all_lines(spark, sf_dir)), catalog, available_now=True))
+    return catalog
+
+
+def _stateful(spark, df, keys, mode="update"):
+    path = scratch_path(spark, "state")
+    _finish(stateful.start_updates(df, path, mode))
+    return stateful.current_rows(spark, path, df.schema, keys)
+
+
+@query
+def stream_player_match_counters(spark, sf_dir):
+    """Counters per match and player from the state store, with a watermark."""
+    counters = stateful.running_counters(warehouse.events(_event_stream(spark, sf_dir)))
+    return _stateful(spark, counters, ["match_id", "player_id"])
+
+
+@query
+def stream_matches_played(spark, sf_dir):
+    """Participations per player from a stream of match lines."""
+    stream = _line_stream(spark, match_lines(spark, sf_dir))
+    played = stateful.running_match_counts(lines.parse_matches(lines.route_records(stream).matches))
+    return _stateful(spark, played, ["player_id"])
+
+
+@query
+def stream_match_dedup(spark, sf_dir):
+    """First summary per (date, label) from a stream that sends every match twice."""
+    once = match_lines(spark, sf_dir)
+    stream = _line_stream(spark, once.unionByName(once))
+    matches = lines.parse_matches(lines.route_records(stream).matches)
+    first = stateful.first_summaries(summary.summarise(matches))
+    return _stateful(spark, first, ["date", "label"], "append").select(
+        "date", "label", "match_id", F.size("goals").alias("n_goals")
+    )
+
+
+@query
+def stream_profile(spark, sf_dir):
+    """Career profiles kept up to date by the streaming pipeline."""
+    return driver.player_profiles(_streamed(spark, sf_dir))
+
+
+@query
+def stream_rating_latest(spark, sf_dir):
+    """Latest ratings kept up to date by the streaming pipeline."""
+    return driver.latest_ratings(_streamed(spark, sf_dir))
+
+
+@query
+def stream_chemistry(spark, sf_dir):
+    """Chemistry kept up to date by the streaming pipeline."""
+    return driver.edges(_streamed(spark, sf_dir))

@@ -18,6 +18,9 @@ from pitchline import schemas
 # with a 15-minute break, two extra halves of 15, then the shoot-out.
 PERIOD_START = {"1H": 0, "2H": 3600, "E1": 6600, "E2": 7800, "P": 9000}
 
+# Day of a match whose date cannot be read; like its NULL kickoff it sorts first.
+UNDATED = "1970-01-01"
+
 
 class Routed(NamedTuple):
     matches: DataFrame
@@ -115,7 +118,7 @@ def parse_matches(lines: DataFrame) -> DataFrame:
         F.col("wyId").alias("match_id"),
         "status",
         kickoff.alias("kickoff"),
-        kickoff.cast("date").alias("match_day"),
+        F.coalesce(kickoff.cast("date"), F.lit(UNDATED).cast("date")).alias("match_day"),
         _first_token(F.col("dateutc")).alias("date"),
         "label",
         "duration",
