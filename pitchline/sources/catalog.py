@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchline.operators.facts import COUNTERS
 
-MATCH_BUCKETS = 64
+MATCH_BUCKETS = 32
 PLAYER_BUCKETS = 32
 
 _MEMBER = "STRUCT<playerId: BIGINT, goals: STRING, ownGoals: STRING, yellowCards: STRING, redCards: STRING>"
@@ -71,20 +72,25 @@ class Catalog:
 
     def create(self) -> "Catalog":
         """Make sure every table can be read; existing tables are left alone."""
-        for name, (schema, partitions) in TABLES.items():
-            empty = self.spark.createDataFrame([], schema)
-            empty.write.mode("append").partitionBy(*partitions).parquet(self.path(name))
+        for name in TABLES:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(folder)
         return self
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name][0]).parquet(self.path(name))
 
     def write(self, name: str, df: DataFrame) -> None:
-        """Replace the partitions that occur in ``df``."""
+        """Replace the partitions that occur in ``df``.
+
+        Rows are rebalanced by partition: small partitions become one file
+        each, large ones are split into files of advisory size.
+        """
         schema, partitions = TABLES[name]
-        columns = self.spark.createDataFrame([], schema).columns
+        columns = T.StructType.fromDDL(schema).names
         (
             df.select(*columns)
+            .hint("rebalance", *partitions)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partitions)
