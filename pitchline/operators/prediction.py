@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchline.functions.formulas import LINEUP_SIZE, START_CHEMISTRY, win_chance
+from pitchline.functions.formulas import LINEUP_SIZE, START_CHEMISTRY, double, win_chance
 from pitchline.operators.chemistry import PAIR
 from pitchline.sources.dimensions import players_by_name
 
@@ -19,64 +19,73 @@ MIN_ROLE = {"DF": 3, "MD": 2, "FW": 1}
 
 def lineups(requests: DataFrame, players: DataFrame) -> DataFrame:
     """One row per request, team and slot, with the player's id and role."""
-    sides = F.array(
-        *[
-            F.struct(F.lit(i).alias("team"), F.col(f"team{i}.name").alias("team_name"), F.col(f"team{i}.players").alias("players"))
-            for i in (1, 2)
-        ]
-    )
+    sides = "array(struct(1 AS team, team1.*), struct(2 AS team, team2.*))"
     slots = (
-        requests.select("req_id", F.inline(sides))
-        .select("req_id", "team", "team_name", F.posexplode("players").alias("pos", "name"))
+        requests.selectExpr("req_id", f"inline({sides})")
+        .selectExpr("req_id", "team", "name AS team_name", "posexplode(players) AS (pos, name)")
     )
-    known = players_by_name(players).select("name", F.col("Id").alias("player_id"), "role")
+    known = players_by_name(players).selectExpr("name", "Id AS player_id", "role")
     return slots.join(known, "name", "left")
 
 
+def _role_counts() -> list[str]:
+    return [f"count_if(role = '{role}') AS {role.lower()}" for role in ("GK", *MIN_ROLE)]
+
+
+VALID = " AND ".join([f"gk = {KEEPERS}", *[f"{role.lower()} >= {least}" for role, least in MIN_ROLE.items()]])
+
+
 def formation_check(members: DataFrame) -> DataFrame:
     """Role counts per line-up and whether they make a valid formation."""
-    roles = ["GK", *MIN_ROLE]
-    counted = members.groupBy("req_id", "team").agg(
-        *[F.count_if(F.col("role") == role).alias(role.lower()) for role in roles]
-    )
-    valid = F.col("gk") == KEEPERS
-    for role, least in MIN_ROLE.items():
-        valid = valid & (F.col(role.lower()) >= least)
-    return counted.withColumn("valid", valid)
+    counted = members.groupBy("req_id", "team").agg(*[F.expr(e) for e in _role_counts()])
+    return counted.selectExpr("*", f"{VALID} AS valid")
 
 
-def team_pairs(members: DataFrame, edges: DataFrame) -> DataFrame:
-    """The pairs within each line-up with their chemistry.
+# Pairs (lower id, higher id) of an array ``m`` of members, later ones with each
+# earlier one. A line-up has eleven slots by its schema, hence at most 55 pairs.
+_PAIRS = f"""flatten(transform(m, (x, i) -> transform(slice(m, i + 2, {LINEUP_SIZE}),
+    y -> struct(least(x.player_id, y.player_id) AS player_lo, greatest(x.player_id, y.player_id) AS player_hi,
+                x.factor + y.factor AS factors))))"""
 
-    A line-up has eleven slots by its schema, hence at most 55 pairs.
-    """
-    gathered = members.where(F.col("player_id").isNotNull()).groupBy("req_id", "team").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "player_id"))).alias("m")
-    )
+_MEMBERS = "array_sort(collect_list(struct(pos, player_id, factor)) FILTER (WHERE player_id IS NOT NULL)) AS m"
 
-    def with_later(one, i):
-        later = F.slice(F.col("m"), i + 2, LINEUP_SIZE)
-        return F.transform(
-            later,
-            lambda two: F.struct(
-                F.least(one["player_id"], two["player_id"]).alias("player_lo"),
-                F.greatest(one["player_id"], two["player_id"]).alias("player_hi"),
-            ),
-        )
 
-    pairs = gathered.select("req_id", "team", F.inline(F.flatten(F.transform("m", with_later))))
-    return pairs.join(edges.select(*PAIR, "chemistry"), PAIR, "left").withColumn(
-        "chemistry", F.coalesce("chemistry", F.lit(START_CHEMISTRY))
+def _with_chemistry(pairs: DataFrame, edges: DataFrame) -> DataFrame:
+    return pairs.join(edges.select(*PAIR, "chemistry"), PAIR, "left").selectExpr(
+        "* EXCEPT (chemistry)", f"coalesce(chemistry, {double(START_CHEMISTRY)}) AS chemistry"
     )
 
 
 def mean_chemistry(members: DataFrame, edges: DataFrame) -> DataFrame:
     """Mean chemistry of each player with the other ten of the line-up."""
-    ends = team_pairs(members, edges).select(
-        "req_id", "team", "chemistry", F.explode(F.array("player_lo", "player_hi")).alias("player_id")
-    )
+    gathered = members.selectExpr("*", "1D AS factor").groupBy("req_id", "team").agg(F.expr(_MEMBERS))
+    pairs = _with_chemistry(gathered.selectExpr("req_id", "team", f"inline({_PAIRS})"), edges)
+    ends = pairs.selectExpr("req_id", "team", "chemistry", "explode(array(player_lo, player_hi)) AS player_id")
     return ends.groupBy("req_id", "team", "player_id").agg(
-        (F.sum("chemistry") / (LINEUP_SIZE - 1)).alias("mean_chemistry")
+        F.expr(f"sum(chemistry) / {LINEUP_SIZE - 1} AS mean_chemistry")
+    )
+
+
+def _sides(members: DataFrame, edges: DataFrame, ratings: DataFrame, unrated_factor: float) -> DataFrame:
+    """One row per request and team: name, roles, unknown players and strength.
+
+    The strength, the sum over players of rating times mean chemistry with the
+    others, is the sum over pairs of chemistry times both ratings; so one pass
+    over the pairs is enough.
+    """
+    rated = members.join(ratings.select("player_id", "rating"), "player_id", "left").selectExpr(
+        "*", f"coalesce(rating, {double(unrated_factor)}) AS factor"
+    )
+    sides = rated.groupBy("req_id", "team").agg(
+        F.expr("max(team_name) AS name"),
+        F.expr("count_if(player_id IS NULL) AS unknown"),
+        *[F.expr(e) for e in _role_counts()],
+        F.expr(_MEMBERS),
+    )
+    header = ["req_id", "team", "name", "unknown", "valid"]
+    pairs = sides.selectExpr("*", f"{VALID} AS valid").selectExpr(*header, f"inline_outer({_PAIRS})")
+    return _with_chemistry(pairs, edges).groupBy(*header).agg(
+        F.expr(f"sum(chemistry * factors) / {LINEUP_SIZE - 1} AS strength")
     )
 
 
@@ -84,10 +93,7 @@ def team_strength(
     members: DataFrame, edges: DataFrame, ratings: DataFrame, unrated_factor: float = UNRATED_FACTOR
 ) -> DataFrame:
     """Sum of mean chemistry times rating; an unrated player has a fixed factor."""
-    means = mean_chemistry(members, edges)
-    rated = means.join(ratings.select("player_id", "rating"), "player_id", "left")
-    factor = F.coalesce("rating", F.lit(unrated_factor))
-    return rated.groupBy("req_id", "team").agg(F.sum(F.col("mean_chemistry") * factor).alias("strength"))
+    return _sides(members, edges, ratings, unrated_factor).select("req_id", "team", "strength")
 
 
 def predict(
@@ -102,33 +108,20 @@ def predict(
     A request naming an unknown player is answered with an error instead of a
     chance; an invalid formation is reported but does not block the answer.
     """
-    members = lineups(requests, players)
-    checked = formation_check(members).select("req_id", "team", "valid")
-    header = members.groupBy("req_id", "team").agg(
-        F.max("team_name").alias("name"),
-        F.count_if(F.col("player_id").isNull()).alias("unknown"),
-    )
-    strength = team_strength(members, edges, ratings, unrated_factor)
-    sides = header.join(checked, ["req_id", "team"]).join(strength, ["req_id", "team"], "left")
-    wide = sides.groupBy("req_id").agg(
-        F.sum("unknown").alias("unknown"),
+    sides = _sides(lineups(requests, players), edges, ratings, unrated_factor)
+    both = sides.groupBy("req_id").agg(
+        F.expr("sum(unknown) > 0 AS failed"),
         *[
-            F.max(F.when(F.col("team") == i, F.col(c))).alias(f"{c}_{i}")
+            F.expr(f"max(struct(name, valid, strength)) FILTER (WHERE team = {i}) AS t{i}")
             for i in (1, 2)
-            for c in ("name", "valid", "strength")
         ],
     )
-    failed = F.col("unknown") > 0
-    answers = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("team"),
-                F.col(f"name_{i}").alias("name"),
-                F.when(~failed, F.expr(win_chance(f"strength_{i}", f"strength_{3 - i}"))).alias("winning_chance"),
-                F.col(f"valid_{i}").alias("valid"),
-                F.when(failed, "unknown player").alias("error"),
-            )
-            for i in (1, 2)
-        ]
-    )
-    return wide.select("req_id", F.inline(answers))
+
+    def answer(i: int, other: int) -> str:
+        return (
+            f"struct({i} AS team, t{i}.name AS name,"
+            f" if(failed, NULL, {win_chance(f't{i}.strength', f't{other}.strength')}) AS winning_chance,"
+            f" t{i}.valid AS valid, if(failed, 'unknown player', NULL) AS error)"
+        )
+
+    return both.selectExpr("req_id", f"inline(array({answer(1, 2)}, {answer(2, 1)}))")

@@ -39,7 +39,7 @@ class Gold:
     def from_lines(cls, lines: DataFrame, **options) -> "Gold":
         """From record lines of both kinds, interleaved in any order."""
         routed = line_source.route_records(lines)
-        facts = event_facts(line_source.parse_events(routed.events))
+        facts = event_facts(line_source.read_events(lines))
         records = line_source.first_match_records(line_source.parse_matches(routed.matches))
         return cls(
             materialize(stats.count_by_player(facts), "player_counts"),

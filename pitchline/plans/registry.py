@@ -16,7 +16,7 @@ from pitchline.functions import formulas
 from pitchline.operators import answers, chemistry, lineup, prediction, ratings, stats, summary
 from pitchline.operators.facts import COUNTERS, event_facts
 from pitchline.plans.gold import Gold
-from pitchline.settings import scratch_path
+from pitchline.settings import materialize, scratch_path
 from pitchline.sources import dimensions, lines, requests, warehouse
 from pitchline.sources.catalog import Catalog
 from pitchline.streaming import driver, stateful
@@ -67,6 +67,13 @@ def match_lines(spark, sf_dir):
     return warehouse.match_line(warehouse.matches(warehouse.counts(raw_events(spark, sf_dir))))
 
 
+def feed(spark, lines_df):
+    """The lines as a text source, as the engine meets them."""
+    path = scratch_path(spark, "feed")
+    lines_df.write.text(path)
+    return lines.read_lines(spark, path)
+
+
 # --- intake ---------------------------------------------------------------
 
 
@@ -97,9 +104,8 @@ def dead_letter_lines(spark, sf_dir):
 @query
 def event_tags_exploded(spark, sf_dir):
     """Events through JSON text and back, one row per tag."""
-    text = warehouse.event_line(warehouse.events(raw_events(spark, sf_dir)))
-    parsed = lines.parse_events(lines.route_records(text).events)
-    return parsed.select("event_id", "event_code", "sub_event", F.explode("tag_ids").alias("tag_id"))
+    text = feed(spark, warehouse.event_line(warehouse.events(raw_events(spark, sf_dir))))
+    return lines.read_events(text).select("event_id", "event_code", "sub_event", F.explode("tag_ids").alias("tag_id"))
 
 
 @query
@@ -111,9 +117,9 @@ def event_counters(spark, sf_dir):
 @query
 def event_match_times(spark, sf_dir):
     """Events joined to their match record: wall-clock span per match."""
-    typed = warehouse.events(raw_events(spark, sf_dir))
-    events = lines.parse_events(warehouse.event_line(typed))
-    timed = lines.with_event_time(events, lines.parse_matches(match_lines(spark, sf_dir)))
+    text = feed(spark, _all_lines(spark, sf_dir))
+    matches = lines.parse_matches(lines.route_records(text).matches)
+    timed = lines.with_event_time(lines.read_events(text), matches)
     span = timed.groupBy("match_id").agg(
         F.count(F.lit(1)).alias("events"),
         F.unix_micros(F.min("event_ts")).alias("first_micros"),
@@ -152,7 +158,8 @@ def career_profile(spark, sf_dir):
 @query
 def match_team_ids(spark, sf_dir):
     """Team ids of every match in record order, through JSON text."""
-    return lines.match_team_ids(lines.parse_matches(match_lines(spark, sf_dir)))
+    routed = lines.route_records(feed(spark, match_lines(spark, sf_dir)))
+    return lines.match_team_ids(lines.parse_matches(routed.matches))
 
 
 def _appearance_columns(apps):
@@ -162,7 +169,7 @@ def _appearance_columns(apps):
 @query
 def appearances_on_field(spark, sf_dir):
     """Playing time from the parsed match lines, real minutes."""
-    routed = lines.route_records(match_lines(spark, sf_dir))
+    routed = lines.route_records(feed(spark, match_lines(spark, sf_dir)))
     return _appearance_columns(lineup.appearances(lines.parse_matches(routed.matches)))
 
 
@@ -361,7 +368,7 @@ def match_rate_answer(spark, sf_dir):
 
 
 def _match_answers(spark, sf_dir):
-    summaries = _summaries(spark, sf_dir)
+    summaries = materialize(_summaries(spark, sf_dir), "match_summaries")
     asked = summaries.select(F.col("match_id").alias("req_id"), "date", "label")
     return answers.match_answers(asked, summaries, players(spark, sf_dir), teams(spark, sf_dir))
 
@@ -423,7 +430,7 @@ def _line_stream(spark, lines_df, batches=2):
     """The lines as text files, read back in a number of micro-batches."""
     path = scratch_path(spark, "lines")
     lines_df.write.text(path)
-    files = len(spark.read.text(path).inputFiles())
+    files = len(lines.read_lines(spark, path).inputFiles())
     return lines.stream_lines(spark, path, max(1, -(-files // batches)))
 
 

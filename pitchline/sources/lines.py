@@ -71,28 +71,46 @@ def route_records(lines: DataFrame) -> Routed:
     )
 
 
-def parse_events(lines: DataFrame, keep_unread: bool = False) -> DataFrame:
-    """Typed event rows; ``keep_unread`` adds the fields no operator uses."""
-    fields = schemas.EVENT_FIELDS + (", " + schemas.EVENT_UNREAD_FIELDS if keep_unread else "")
-    record = lines.select(F.from_json("value", fields).alias("r"))
+def _event_columns(keep_unread: bool) -> list[str]:
     columns = [
-        F.coalesce(F.col("r.id"), F.lit(0)).alias("event_id"),
-        F.col("r.matchId").alias("match_id"),
-        F.col("r.teamId").alias("team_id"),
-        F.col("r.playerId").alias("player_id"),
-        F.col("r.eventId").alias("event_code"),
-        F.expr("try_cast(r.subEventId AS INT)").alias("sub_event"),
-        F.col("r.tags.id").alias("tag_ids"),
-        F.col("r.matchPeriod").alias("period"),
-        F.col("r.eventSec").alias("event_sec"),
+        "coalesce(r.id, 0L) AS event_id",
+        "r.matchId AS match_id",
+        "r.teamId AS team_id",
+        "r.playerId AS player_id",
+        "r.eventId AS event_code",
+        "try_cast(r.subEventId AS INT) AS sub_event",
+        "r.tags.id AS tag_ids",
+        "r.matchPeriod AS period",
+        "r.eventSec AS event_sec",
     ]
     if keep_unread:
-        columns += [
-            F.col("r.eventName").alias("event_name"),
-            F.col("r.subEventName").alias("sub_event_name"),
-            F.col("r.positions").alias("positions"),
-        ]
-    return record.select(*columns)
+        columns += ["r.eventName AS event_name", "r.subEventName AS sub_event_name", "r.positions AS positions"]
+    return columns
+
+
+def _event_fields(keep_unread: bool) -> str:
+    return schemas.EVENT_FIELDS + (", " + schemas.EVENT_UNREAD_FIELDS if keep_unread else "")
+
+
+def parse_events(lines: DataFrame, keep_unread: bool = False) -> DataFrame:
+    """Typed event rows of lines already routed; ``keep_unread`` adds the fields no operator uses."""
+    record = lines.select(F.from_json("value", _event_fields(keep_unread)).alias("r"))
+    return record.selectExpr(*_event_columns(keep_unread))
+
+
+def read_events(lines: DataFrame, keep_unread: bool = False) -> DataFrame:
+    """Route and parse event lines in one pass over mixed lines.
+
+    A line that parses cleanly into an object with an event id needs no second
+    look; the keys are read only where that leaves a doubt. The generator keeps
+    Catalyst from pushing the test below the parse, which would run it twice.
+    """
+    fields = f"{_event_fields(keep_unread)}, {schemas.CORRUPT} STRING"
+    record = lines.select("value", F.from_json("value", fields).alias("r"))
+    clean = f"r.{schemas.CORRUPT} IS NULL AND r.eventId IS NOT NULL AND startswith(ltrim(value), '{{')"
+    keyed = "coalesce(array_contains(json_object_keys(value), 'eventId'), false)"
+    kept = record.selectExpr(f"inline_outer(if({clean} OR {keyed}, array(struct(true AS routed, r)), NULL))")
+    return kept.where("routed").selectExpr(*_event_columns(keep_unread))
 
 
 def _first_token(text: Column) -> Column:

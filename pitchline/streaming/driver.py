@@ -29,7 +29,7 @@ _LATEST = "max_by(rating, struct(kickoff, match_id))"
 
 def _store_input(catalog: Catalog, lines: DataFrame, batch_id: int) -> None:
     routed = line_source.route_records(lines)
-    partial = stats.count_by_player(event_facts(line_source.parse_events(routed.events)))
+    partial = stats.count_by_player(event_facts(line_source.read_events(lines)))
     catalog.write(
         "event_delta",
         partial.selectExpr("*", f"int(pmod(match_id, {MATCH_BUCKETS})) AS match_bucket", f"{batch_id}L AS batch_id"),
