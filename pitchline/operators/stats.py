@@ -16,11 +16,12 @@ def assigned(df: DataFrame) -> DataFrame:
     return df.where(f"player_id <> {NO_PLAYER}")
 
 
-def _count(rows: DataFrame, order: str) -> DataFrame:
+def _count(rows: DataFrame, order: str, *extra: str) -> DataFrame:
     return rows.groupBy("match_id", "player_id").agg(
         F.expr(f"max_by(team_id, {order}) AS team_id"),
         F.expr(f"max({order}) AS last_event_id"),
         *[F.expr(f"sum({c}) AS {c}") for c in COUNTERS],
+        *[F.expr(e) for e in extra],
     )
 
 
@@ -34,9 +35,9 @@ def count_by_player(facts: DataFrame) -> DataFrame:
     return _count(facts, "event_id")
 
 
-def merge_counts(partials: DataFrame) -> DataFrame:
+def merge_counts(partials: DataFrame, *extra: str) -> DataFrame:
     """Merge partial counts of the same (match, player), in any order and grouping."""
-    return _count(partials, "last_event_id")
+    return _count(partials, "last_event_id", *extra)
 
 
 def with_ratios(counts: DataFrame) -> DataFrame:

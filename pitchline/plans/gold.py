@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pitchline.operators import chemistry, lineup, ratings, stats, summary
 from pitchline.operators.facts import event_facts
 from pitchline.operators.scan import longest
-from pitchline.settings import CHUNK_DAYS, TIMELINE_LIMIT, materialize
+from pitchline.settings import CHUNK_DAYS, TIMELINE_LIMIT, materialize, materialize_counted
 from pitchline.sources import lines as line_source
 from pitchline.sources import warehouse
 
@@ -65,13 +65,19 @@ class Gold:
         return lineup.match_counts(self.appearances)
 
     @cached_property
+    def _participations(self) -> tuple[DataFrame, int]:
+        played = ratings.participations(self.player_match_stats, self.appearances)
+        return materialize_counted(played, "participations")
+
+    @property
     def participations(self) -> DataFrame:
-        return materialize(ratings.participations(self.player_match_stats, self.appearances), "participations")
+        return self._participations[0]
 
     @cached_property
     def chunk_days(self) -> int | None:
         """None while every player's timeline is short enough for one window."""
-        hot = longest(self.participations, "player_id") > self.timeline_limit
+        played, rows = self._participations
+        hot = rows > self.timeline_limit and longest(played, "player_id") > self.timeline_limit
         return self.split_days if hot else None
 
     @cached_property

@@ -116,16 +116,12 @@ def event_counters(spark, sf_dir):
 
 @query
 def event_match_times(spark, sf_dir):
-    """Events joined to their match record: wall-clock span per match."""
+    """Match records joined to their events: wall-clock span per match."""
     text = feed(spark, _all_lines(spark, sf_dir))
     matches = lines.parse_matches(lines.route_records(text).matches)
-    timed = lines.with_event_time(lines.read_events(text), matches)
-    span = timed.groupBy("match_id").agg(
-        F.count(F.lit(1)).alias("events"),
-        F.unix_micros(F.min("event_ts")).alias("first_micros"),
-        F.unix_micros(F.max("event_ts")).alias("last_micros"),
+    return lines.match_spans(lines.read_events(text), matches).selectExpr(
+        "match_id", "events", "unix_micros(first_ts) AS first_micros", "unix_micros(last_ts) AS last_micros"
     )
-    return span
 
 
 # --- statistics -----------------------------------------------------------
@@ -422,7 +418,7 @@ def request_routing(spark, sf_dir):
 
 def _event_stream(spark, sf_dir):
     # The glob makes a single file and a folder of files both readable.
-    schema = raw_events(spark, sf_dir).schema
+    schema = warehouse.schema(spark, sf_dir, "events")
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
 
 

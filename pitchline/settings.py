@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # A player's timeline of at most this many participations is scanned by one
 # window; longer ones are split into calendar chunks of CHUNK_DAYS.
@@ -14,7 +15,11 @@ CHUNK_DAYS = 28
 
 
 def local_session(app: str = "pitchline", cores: int | str = "*", **conf) -> SparkSession:
-    """A single-machine session for tests and the benchmark."""
+    """A single-machine session for tests and the benchmark.
+
+    The size thresholds let a few megabytes use all cores; a cluster keeps the
+    defaults, which suit partitions of its size.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -23,6 +28,8 @@ def local_session(app: str = "pitchline", cores: int | str = "*", **conf) -> Spa
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        .config("spark.sql.files.openCostInBytes", "64k")
         .config("spark.driver.memory", "8g")
     )
     for key, value in conf.items():
@@ -61,7 +68,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     input is then scanned once, later stages prune columns on a compact table
     with known size, and a lost executor costs no recomputation of the scan.
     """
+    return materialize_counted(df, name)[0]
+
+
+def materialize_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """As ``materialize``, with the number of rows, counted while writing."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["rows"]

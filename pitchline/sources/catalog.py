@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from pitchline.operators.facts import COUNTERS
 
-MATCH_BUCKETS = 32
 PLAYER_BUCKETS = 32
 
 _MEMBER = "STRUCT<playerId: BIGINT, goals: STRING, ownGoals: STRING, yellowCards: STRING, redCards: STRING>"
@@ -23,15 +22,16 @@ _TEAM = (
     f"lineup: ARRAY<{_MEMBER}>, bench: ARRAY<{_MEMBER}>>"
 )
 
+_COUNTED = "match_id BIGINT, player_id BIGINT, team_id BIGINT, last_event_id BIGINT, " + ", ".join(
+    f"{c} BIGINT" for c in COUNTERS
+)
+
 # name -> (columns, partition columns)
 TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
-    # Counters summed per micro-batch; totals are the sum over batches.
-    "event_delta": (
-        "match_id BIGINT, player_id BIGINT, team_id BIGINT, last_event_id BIGINT, "
-        + ", ".join(f"{c} BIGINT" for c in COUNTERS)
-        + ", match_bucket INT, batch_id BIGINT",
-        ("match_bucket", "batch_id"),
-    ),
+    # Counters of matches with a record, merged up to a micro-batch.
+    "player_count": (f"{_COUNTED}, upto_batch BIGINT, match_day DATE", ("match_day",)),
+    # Counters of a micro-batch whose match has no record yet.
+    "orphan_count": (f"{_COUNTED}, batch_id BIGINT", ("batch_id",)),
     "match_record": (
         "match_id BIGINT, status STRING, kickoff TIMESTAMP, date STRING, label STRING, duration STRING, "
         f"winner BIGINT, venue STRING, gameweek INT, teams ARRAY<{_TEAM}>, match_day DATE, batch_id BIGINT",

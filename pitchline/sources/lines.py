@@ -160,11 +160,28 @@ def match_team_ids(matches: DataFrame) -> DataFrame:
     )
 
 
+_STARTS = ", ".join(f"'{period}', {second}" for period, second in PERIOD_START.items())
+_OFFSET = f"bigint(round((coalesce(map({_STARTS})[period], 0) + coalesce(event_sec, 0D)) * 1e6D))"
+
+
 def with_event_time(events: DataFrame, matches: DataFrame) -> DataFrame:
     """Add ``event_ts`` = kickoff + period start + seconds into the period."""
-    start = F.create_map(*[F.lit(v) for item in PERIOD_START.items() for v in item])
-    offset = F.coalesce(start[F.col("period")], F.lit(0)) + F.coalesce(F.col("event_sec"), F.lit(0.0))
     kickoffs = matches.select("match_id", "kickoff", "match_day")
-    timed = events.join(kickoffs, "match_id")
-    micros = F.unix_micros("kickoff") + F.round(offset * 1e6).cast("bigint")
-    return timed.withColumn("event_ts", F.timestamp_micros(micros))
+    return events.join(kickoffs, "match_id").selectExpr(
+        "*", f"timestamp_micros(unix_micros(kickoff) + {_OFFSET}) AS event_ts"
+    )
+
+
+def match_spans(events: DataFrame, matches: DataFrame) -> DataFrame:
+    """Number of events and their first and last time per match record.
+
+    The events are reduced to one row per match before they meet the records.
+    """
+    offsets = events.selectExpr("match_id", f"{_OFFSET} AS offset").groupBy("match_id").agg(
+        F.expr("count(1) AS events"), F.expr("min(offset) AS first"), F.expr("max(offset) AS last")
+    )
+    kickoff = "unix_micros(kickoff)"
+    return offsets.join(matches.select("match_id", "kickoff"), "match_id").selectExpr(
+        "match_id", "events",
+        f"timestamp_micros({kickoff} + first) AS first_ts", f"timestamp_micros({kickoff} + last) AS last_ts",
+    )

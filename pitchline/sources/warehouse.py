@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchline.operators.facts import event_facts
 from pitchline.operators.stats import count_by_player
@@ -24,8 +25,19 @@ DAY_BASE = 1_000_000_000
 EVENT_CODES = {"click": 8, "view": 1, "purchase": 10, "error": 2, "signup": 3}
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
+def schema(spark: SparkSession, sf_dir: str, name: str) -> T.StructType:
+    """Schema of a table, read from its files once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return _SCHEMAS[path]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(schema(spark, sf_dir, name)).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _team_of(half_bucket: str) -> str:

@@ -1,14 +1,15 @@
 """The streaming pipeline: micro-batches of record lines into stored tables.
 
-State lives in tables, not in memory. A micro-batch appends its pre-aggregated
+State lives in tables, not in memory. A micro-batch adds its pre-aggregated
 events and its match records, then rewrites the match days it touches and all
 later ones, because ratings and chemistry run in match order. In a feed that
 arrives in order these are the partitions of one day. The result equals the
 batch composition over all lines read so far, wherever the batches are cut and
 in whatever order records arrive.
 
-Every step replaces whole partitions and reads nothing it wrote for the same
-micro-batch before, so a batch repeated after a failure gives the same tables.
+Every write replaces whole partitions, and merged counters carry the number of
+the last micro-batch they include, so a micro-batch repeated after a failure
+gives the same tables.
 """
 
 from __future__ import annotations
@@ -20,20 +21,14 @@ from pyspark.sql.streaming import StreamingQuery
 from pitchline.operators import chemistry, lineup, ratings, stats, summary
 from pitchline.operators.facts import event_facts
 from pitchline.sources import lines as line_source
-from pitchline.sources.catalog import MATCH_BUCKETS, PLAYER_BUCKETS, Catalog
+from pitchline.sources.catalog import PLAYER_BUCKETS, Catalog
 
 TRIGGER = "5 seconds"
 
 _LATEST = "max_by(rating, struct(kickoff, match_id))"
 
 
-def _store_input(catalog: Catalog, lines: DataFrame, batch_id: int) -> None:
-    routed = line_source.route_records(lines)
-    partial = stats.count_by_player(event_facts(line_source.read_events(lines)))
-    catalog.write(
-        "event_delta",
-        partial.selectExpr("*", f"int(pmod(match_id, {MATCH_BUCKETS})) AS match_bucket", f"{batch_id}L AS batch_id"),
-    )
+def _store_records(catalog: Catalog, routed: line_source.Routed, batch_id: int) -> None:
     # The first record of a match wins; records of this batch are left out of
     # the comparison so that a repeated batch stores the same rows.
     known = catalog.read("match_record").where(f"batch_id < {batch_id}").select("match_id")
@@ -45,25 +40,33 @@ def _store_input(catalog: Catalog, lines: DataFrame, batch_id: int) -> None:
     catalog.write("dead_letter", routed.dead_letters.selectExpr("value", f"{batch_id}L AS batch_id"))
 
 
-def _first_touched_day(catalog: Catalog, batch_id: int):
-    """First match day with new events or records; None if nothing can be rated."""
-    days = catalog.read("match_record").select("match_id", "match_day", "batch_id")
-    with_events = catalog.read("event_delta").where(f"batch_id = {batch_id}").select("match_id").distinct()
-    touched = days.where(f"batch_id = {batch_id}").select("match_day").unionByName(
-        days.join(with_events, "match_id", "left_semi").select("match_day")
+def _first_touched_day(catalog: Catalog, partial: DataFrame, batch_id: int):
+    """First match day with new events or records; None if nothing can be rated.
+
+    Events of matches without a record are put aside until it arrives.
+    """
+    records = catalog.read("match_record").select("match_id", "match_day", "batch_id")
+    catalog.write(
+        "orphan_count",
+        partial.join(records, "match_id", "left_anti").selectExpr("*", f"{batch_id}L AS batch_id"),
     )
+    ids = partial.select("match_id").distinct().withColumn("counted", F.lit(True))
+    touched = records.join(ids, "match_id", "left").where(f"counted OR batch_id = {batch_id}")
     return touched.selectExpr("min(match_day) AS day").first()["day"]
 
 
-def _counts_of(catalog: Catalog, matches: DataFrame) -> DataFrame:
-    """Counters of the given matches, reading only their buckets."""
-    ids = matches.select("match_id")
-    buckets = [
-        r[0] for r in ids.selectExpr(f"int(pmod(match_id, {MATCH_BUCKETS})) AS b").distinct().collect()
-    ]
-    deltas = catalog.read("event_delta")
-    deltas = deltas.where(deltas.match_bucket.isin(buckets)).join(ids, "match_id", "left_semi")
-    return stats.merge_counts(deltas)
+def _merge_counts(catalog: Catalog, partial: DataFrame, records: DataFrame, day, batch_id: int) -> None:
+    """Bring the counters of the days from ``day`` on up to this micro-batch."""
+    stored = catalog.read("player_count").where(f"match_day >= DATE '{day}'").drop("match_day")
+    arrived = records.where(f"batch_id = {batch_id}").select("match_id")
+    waiting = catalog.read("orphan_count").where(f"batch_id < {batch_id}").drop("batch_id")
+    fresh = partial.join(records.select("match_id"), "match_id", "left_semi").unionByName(
+        waiting.join(arrived, "match_id", "left_semi")
+    )
+    done = stored.where(f"upto_batch >= {batch_id}").select("match_id").distinct()
+    fresh = fresh.join(done, "match_id", "left_anti").selectExpr("*", f"{batch_id}L AS upto_batch")
+    merged = stats.merge_counts(stored.unionByName(fresh), "max(upto_batch) AS upto_batch")
+    catalog.write("player_count", merged.join(records.select("match_id", "match_day"), "match_id"))
 
 
 def _seeds(catalog: Catalog, players: DataFrame, day) -> DataFrame:
@@ -128,27 +131,26 @@ def _store_state(catalog: Catalog, rows: DataFrame, seeds: DataFrame) -> None:
         fresh.unpersist()
 
 
-def _refresh(catalog: Catalog, day, minutes_mode: str) -> None:
-    """Rewrite every match day from ``day`` on."""
-    records = catalog.read("match_record").where(f"match_day >= DATE '{day}'")
-    measured = stats.with_ratios(stats.assigned(_counts_of(catalog, records)))
+def _refresh(catalog: Catalog, records: DataFrame, day, minutes_mode: str) -> None:
+    """Rewrite ratings, chemistry and standings of every match day from ``day`` on."""
+    since = f"match_day >= DATE '{day}'"
+    measured = stats.with_ratios(stats.assigned(catalog.read("player_count").where(since)))
     played = ratings.participations(measured, lineup.appearances(records, minutes_mode)).persist()
+    seeds = _seeds(catalog, played.select("player_id").distinct(), day).persist()
     try:
-        seeds = _seeds(catalog, played.select("player_id").distinct(), day).persist()
-        rated = ratings.match_ratings(played, seeds)
-        history = ratings.player_ratings(rated, seeds).select(
+        history = ratings.player_ratings(ratings.match_ratings(played, seeds), seeds).select(
             "match_id", "player_id", "prior_matches", "match_rating", "rating", "rating_change"
         )
         rows = played.select("match_id", "kickoff", "player_id", "team_id", "minutes", "match_day").join(
             history, ["match_id", "player_id"], "left"
         )
         catalog.write("player_match", rows)
-        written = catalog.read("player_match").where(f"match_day >= DATE '{day}'")
+        written = catalog.read("player_match").where(since)
         updates = chemistry.pair_updates(written.where("rating IS NOT NULL"), keep_unchanged=True)
         catalog.write("pair_day", chemistry.fold_days(updates))
         _store_state(catalog, written, seeds)
-        seeds.unpersist()
     finally:
+        seeds.unpersist()
         played.unpersist()
 
 
@@ -157,13 +159,17 @@ def process_batch(
 ) -> None:
     """Take one micro-batch of lines into the tables."""
     lines = lines.persist()
+    partial = stats.count_by_player(event_facts(line_source.read_events(lines))).persist()
     try:
-        _store_input(catalog, lines, batch_id)
+        _store_records(catalog, line_source.route_records(lines), batch_id)
+        day = _first_touched_day(catalog, partial, batch_id)
+        if day is not None:
+            records = catalog.read("match_record").where(f"match_day >= DATE '{day}'")
+            _merge_counts(catalog, partial, records, day, batch_id)
+            _refresh(catalog, records, day, minutes_mode)
     finally:
+        partial.unpersist()
         lines.unpersist()
-    day = _first_touched_day(catalog, batch_id)
-    if day is not None:
-        _refresh(catalog, day, minutes_mode)
 
 
 def run_stream(
@@ -203,7 +209,11 @@ def match_counts(catalog: Catalog) -> DataFrame:
 
 
 def player_match_stats(catalog: Catalog) -> DataFrame:
-    return stats.with_ratios(stats.merge_counts(stats.assigned(catalog.read("event_delta"))))
+    """Of all events so far, those of matches without a record included."""
+    recorded = catalog.read("match_record").select("match_id")
+    waiting = catalog.read("orphan_count").join(recorded, "match_id", "left_anti").drop("batch_id")
+    counted = catalog.read("player_count").drop("match_day", "upto_batch").unionByName(waiting)
+    return stats.with_ratios(stats.merge_counts(stats.assigned(counted)))
 
 
 def player_profiles(catalog: Catalog) -> DataFrame:
