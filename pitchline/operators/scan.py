@@ -107,17 +107,15 @@ def affine_history(
 def affine_fold(df: DataFrame, keys: list[str], order: list[str], *extra: str) -> DataFrame:
     """Composite map (a, b) per key of the maps (a, b) taken in ``order``.
 
-    Gathers one key's maps in one array: callers know the key's timeline to be
-    short, or put a calendar chunk in ``keys`` and fold the composites again.
-    ``extra`` are further aggregates, named with AS.
+    The composite factor is the product of all factors, the composite offset
+    the sum of the offsets, each times the factors after it. The window that
+    yields these sorts within the shuffle of the aggregate and can spill; no
+    group is gathered into an array. ``extra`` are further aggregates, named
+    with AS.
     """
-    gathered = df.groupBy(*keys).agg(
-        F.expr(f"array_sort(collect_list(struct({', '.join(order)}, a, b))) AS maps"),
-        *[F.expr(e) for e in extra],
+    after = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
+    later = F.product("a").over(after.rowsBetween(Window.unboundedPreceding, -1))
+    weighted = df.withColumn("_later", later)
+    return weighted.groupBy(*keys).agg(
+        F.product("a").alias("a"), F.expr("sum(b * coalesce(_later, 1D)) AS b"), *[F.expr(e) for e in extra]
     )
-    composed = gathered.selectExpr(
-        "* EXCEPT (maps)",
-        "aggregate(maps, struct(1D AS a, 0D AS b),"
-        " (acc, m) -> struct(m.a * acc.a AS a, m.a * acc.b + m.b AS b)) AS m",
-    )
-    return composed.selectExpr("* EXCEPT (m)", "m.a AS a", "m.b AS b")

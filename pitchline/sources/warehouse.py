@@ -99,17 +99,17 @@ def counts(raw: DataFrame) -> DataFrame:
     return count_by_player(event_facts(events(raw)))
 
 
-def _member(p: str) -> str:
-    """Squad entry of player ``p``; ``c`` maps the players of the match to their counters."""
-    slot = f"{p} % {TEAM}"
-    fouls = f"coalesce(c[{p}].fouls, 0)"
+def _member(x: str) -> str:
+    """Squad entry of ``x`` = (player, counters of the match or NULL)."""
+    slot = f"{x}.player % {TEAM}"
+    fouls = f"coalesce({x}.counted.fouls, 0)"
 
     def text(counter: str) -> str:
-        value = f"coalesce(c[{p}].{counter}, 0)"
+        value = f"coalesce({x}.counted.{counter}, 0)"
         return f"if({slot} = 9 AND {value} = 0, 'null', string({value}))"
 
     return (
-        f"named_struct('playerId', {p}, 'goals', {text('goal')}, 'ownGoals', {text('own_goal')},"
+        f"named_struct('playerId', {x}.player, 'goals', {text('goal')}, 'ownGoals', {text('own_goal')},"
         f" 'yellowCards', CASE WHEN {slot} = 10 THEN 'null' WHEN {fouls} >= 2 THEN string(30 + {fouls}) ELSE '0' END,"
         f" 'redCards', if({fouls} >= 4, '80', '0'))"
     )
@@ -119,7 +119,10 @@ def _team(pos: int) -> str:
     first = f"(bucket * {SQUADS} + {pos * TEAM})"
     team_id = _team_of(f"2 * bucket + {pos}")
     minute = f"46 + (day + {team_id}) % 39"
-    members = f"filter(squad, p -> (p div {TEAM}) % 2 = {pos})"
+
+    def members(slots: str) -> str:
+        listed = f"filter(squad, p -> (p div {TEAM}) % 2 = {pos} AND p % {TEAM} {slots})"
+        return f"transform(transform({listed}, p -> struct(p AS player, c[p] AS counted)), x -> {_member('x')})"
 
     def substitution(bench: int, lineup: int, later: int) -> str:
         there = f"array_contains(squad, {first} + {bench}) AND array_contains(squad, {first} + {lineup})"
@@ -132,8 +135,7 @@ def _team(pos: int) -> str:
     return (
         f"named_struct('team_pos', {pos}, 'team_id', {team_id},"
         f" 'substitutions', if(day % 7 = 3, NULL, {substitutions}),"
-        f" 'lineup', transform(filter({members}, p -> p % {TEAM} <= 7), p -> {_member('p')}),"
-        f" 'bench', transform(filter({members}, p -> p % {TEAM} >= 8), p -> {_member('p')}))"
+        f" 'lineup', {members('<= 7')}, 'bench', {members('>= 8')})"
     )
 
 
