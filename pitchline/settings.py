@@ -37,19 +37,22 @@ def local_session(app: str = "pitchline", cores: int | str = "*", **conf) -> Spa
     return builder.getOrCreate()
 
 
+_local_root: str | None = None
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
     Only a local session may fall back to a temporary folder of this machine.
     """
+    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="pitchline-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    _local_root = _local_root or tempfile.mkdtemp(prefix="pitchline-")
+    return _local_root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -11,7 +11,7 @@ from pitchline.settings import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", 8, **{"spark.sql.shuffle.partitions": "4"})
+    session = local_session("tests", 8, **{"spark.sql.shuffle.partitions": "2"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
