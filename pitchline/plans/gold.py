@@ -12,12 +12,12 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchline.operators import chemistry, lineup, ratings, stats, summary
+from pitchline.operators import answers, chemistry, lineup, prediction, ratings, stats, summary
 from pitchline.operators.facts import event_facts
 from pitchline.operators.scan import longest
 from pitchline.settings import CHUNK_DAYS, TIMELINE_LIMIT, materialize, materialize_counted
 from pitchline.sources import lines as line_source
-from pitchline.sources import warehouse
+from pitchline.sources import requests, warehouse
 
 
 class Gold:
@@ -111,3 +111,13 @@ class Gold:
     @cached_property
     def match_summaries(self) -> DataFrame:
         return summary.match_summaries(self.matches)
+
+    def answer(self, asked: DataFrame, players: DataFrame, teams: DataFrame) -> dict[str, DataFrame]:
+        """The answers to a mixed set of requests, one table per kind."""
+        of = lambda kind: requests.routed(asked, kind)
+        return {
+            "predict": prediction.predict(of("predict"), players, self.latest_ratings, self.chemistry),
+            "profile": answers.profile_answers(of("profile"), players, self.player_profiles),
+            "match_rate": answers.rating_answers(of("match_rate"), players, self.latest_ratings),
+            "details": answers.match_answers(of("details"), self.match_summaries, players, teams),
+        }

@@ -1,8 +1,13 @@
 """Answers to requests, with unknown names and empty lists."""
 
+import json
+
 import pytest
+from records import lines, season
 
 from pitchline.operators import answers, prediction
+from pitchline.plans.gold import Gold
+from pitchline.sources import requests
 
 PLAYERS = "Id BIGINT, name STRING, role STRING, height INT"
 
@@ -101,3 +106,27 @@ def test_match_answers(spark):
     assert rows[4].goals == rows[1].goals
     assert (rows[2].winner, rows[2].goals, rows[2].own_goals, rows[2].yellow_cards, rows[2].error) == (None, [], [], [], None)
     assert rows[3].error == "unknown match"
+
+
+def test_mixed_requests_over_a_season(spark):
+    gold = Gold.from_lines(lines(spark, season(days=3)))
+    ids = [t * 10 + i for t in (1, 2, 3, 4) for i in range(1, 7)]
+    players = spark.createDataFrame([(i, f"p{i}", "DF") for i in ids], "Id BIGINT, name STRING, role STRING")
+    teams = spark.createDataFrame([(t, f"t{t}") for t in (1, 2, 3, 4)], "Id BIGINT, name STRING")
+    side = lambda name, part: {"name": name, **{f"player{i + 1}": f"p{p}" for i, p in enumerate(part)}}
+    documents = [
+        {"req_type": 1, "team1": side("t1", ids[:11]), "team2": side("t2", ids[11:22])},
+        {"req_type": 2, "name": "p12"},
+        {"req_type": 4, "name": "p12"},
+        {"req_type": 3, "date": "2018-03-01", "label": "match 100"},
+        {"req_type": 9, "name": "p12"},
+    ]
+    asked = requests.parse_requests(
+        spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(documents)], "req_id INT, value STRING")
+    )
+    got = {kind: df.collect() for kind, df in gold.answer(asked, players, teams).items()}
+    assert sum(r.winning_chance for r in got["predict"]) == pytest.approx(100)
+    assert [(r.req_id, r.Id, r.error) for r in got["profile"]] == [(1, 12, None)]
+    last = gold.latest_ratings.where("player_id = 12").first()
+    assert [(r.req_id, r.performance) for r in got["match_rate"]] == [(2, pytest.approx(10 * last.match_rating))]
+    assert [(r.req_id, r.venue, r.error) for r in got["details"]] == [(3, "Ground", None)]
