@@ -131,13 +131,15 @@ def parse_matches(lines: DataFrame) -> DataFrame:
             formation["bench"].alias("bench"),
         )
 
-    kickoff = F.try_to_timestamp("dateutc")
+    # The date is in UTC whatever the time zone of the session.
+    kickoff = F.expr("coalesce(try_cast(concat(trim(dateutc), 'Z') AS TIMESTAMP), try_cast(dateutc AS TIMESTAMP))")
+    date = _first_token(F.col("dateutc"))
     return record.select(
         F.col("wyId").alias("match_id"),
         "status",
         kickoff.alias("kickoff"),
-        F.coalesce(kickoff.cast("date"), F.lit(UNDATED).cast("date")).alias("match_day"),
-        _first_token(F.col("dateutc")).alias("date"),
+        F.coalesce(date.try_cast("date"), F.lit(UNDATED).cast("date")).alias("match_day"),
+        date.alias("date"),
         "label",
         "duration",
         "winner",

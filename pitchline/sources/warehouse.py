@@ -60,7 +60,7 @@ def events(raw: DataFrame) -> DataFrame:
     """Typed event rows; ``raw`` may be a stream."""
     base = raw.selectExpr(
         "event_id",
-        "CAST(ts AS TIMESTAMP) AS event_ts",
+        "make_timestamp(year(ts), month(ts), day(ts), hour(ts), minute(ts), extract(SECOND FROM ts), 'UTC') AS event_ts",
         "user_id",
         "event_type",
         "CAST(get_json_object(props, '$.k') AS INT) AS k",
@@ -90,7 +90,7 @@ def event_line(df: DataFrame) -> DataFrame:
             'tags', transform(tag_ids, t -> named_struct('id', t)),
             'playerId', player_id, 'matchId', match_id, 'teamId', team_id, 'id', event_id,
             'eventSec', (unix_micros(event_ts) % 2700000000) / 1e6D,
-            'matchPeriod', if(hour(event_ts) < 12, '1H', '2H'))) AS value"""
+            'matchPeriod', if(unix_micros(event_ts) div 3600000000 % 24 < 12, '1H', '2H'))) AS value"""
     )
 
 
