@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from pitchline.llm.common import held_out, table
 from pitchline.llm.exact_dedup import exact_dedup
 from pitchline.llm.language_id import identify, train
+from pitchline.llm.mixing import in_training_order, mix
 from pitchline.llm.token_counts import token_counts
+from pitchline.llm.url_filter import Rule, url_filter
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -28,6 +30,26 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = in_training_order(mix(table(spark, sf_dir, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+RULES = (
+    Rule("com", "/", "allow"),
+    Rule("example.com", "/en/", "block"),
+    Rule("www.example.com", "/en/", "allow"),
+    Rule("net", "/es/", "block"),
+    Rule("net", "/fr/", "block"),
+)
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    good = ((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("int")
+    return url_filter(table(spark, sf_dir, "pages"), labels.select(F.col("doc_id").alias("page_id"), good.alias("good")), RULES)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -35,12 +57,100 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
+    "op7_mixing": op7_mixing,
+    "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
 
+def _concentration_sql(units: str, parent: str) -> str:
+    """Scalar: how strongly the rates of ``units`` are drawn towards their parents'."""
+    return f"""(
+      WITH s AS (SELECT {parent} AS parent, sum(n) AS pn, sum(good) AS pg FROM {units} GROUP BY 1), a AS (
+        SELECT sum(n) AS n, sum(n * (good / n - pg / pn) * (good / n - pg / pn)) AS b, sum(n * (good / n) * (1 - good / n)) AS w,
+               count(*) AS units, count(*) - count(DISTINCT parent) AS free, sum(n * n / pn) AS squares
+        FROM {units} u JOIN s ON u.{parent} = s.parent
+      ), v AS (
+        SELECT free, n, units, b / free AS b, w / (n - units) AS w, (n - squares) / free AS k FROM a
+      ), r AS (
+        SELECT free, n, units, b + (k - 1) * w AS total, greatest(0.0, (b - w) / (b + (k - 1) * w)) AS rho FROM v
+      )
+      SELECT CASE WHEN coalesce(free, 0) <= 0 OR n <= units OR total <= 0 THEN 1.0
+                  WHEN rho <= 1 / 1001.0 THEN 1000.0 ELSE greatest(1.0, 1 / rho - 1) END FROM r)"""
+
+
+_TWO = "('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'com.br', 'co.nz', 'co.in')"
+
+
+def _tail_sql(host: str, labels: int) -> str:
+    return f"array_to_string(list_slice(string_split({host}, '.'), -{labels}, -1), '.')"
+
+
+_PARTS_SQL = f"""
+        parts AS (
+          SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                 coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages
+        ), named AS (
+          SELECT *, CASE WHEN {_tail_sql("host", 2)} IN {_TWO} THEN {_tail_sql("host", 3)} ELSE {_tail_sql("host", 2)} END AS domain,
+                 CASE WHEN {_tail_sql("host", 2)} IN {_TWO} THEN {_tail_sql("host", 2)} ELSE {_tail_sql("host", 1)} END AS suffix
+          FROM parts
+        ), hosts AS (
+          SELECT host, domain, suffix, count(*)::DOUBLE AS n,
+                 sum(CASE WHEN quality = 1 AND coalesce(toxic, 0) = 0 THEN 1 ELSE 0 END)::DOUBLE AS good
+          FROM named JOIN labels ON page_id = doc_id WHERE quality IS NOT NULL GROUP BY ALL
+        ), domains AS (SELECT domain, suffix, sum(n) AS n, sum(good) AS good FROM hosts GROUP BY ALL
+        ), suffixes AS (SELECT suffix, 1 AS everything, sum(n) AS n, sum(good) AS good FROM domains GROUP BY ALL)"""
+
 ORACLE = {
+    "op7_mixing": r"""
+        WITH d AS (
+          SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+        ), s AS (
+          SELECT source, sum(size)::BIGINT AS source_size,
+                 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight FROM d GROUP BY source
+        ), f AS (
+          SELECT *, 3 * source_size / weight AS full_at,
+                 (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER
+                    (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                 / sum(weight) OVER (ORDER BY 3 * source_size / weight, source NULLS LAST
+                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM s
+        ), t AS (
+          SELECT source, source_size,
+                 CASE WHEN full_at <= max(level) OVER () THEN 3.0::DOUBLE * source_size ELSE max(level) OVER () * weight END AS target FROM f
+        ), c AS (
+          SELECT d.*, sum(size) OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, size
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS start FROM d
+        ), j AS (
+          SELECT c.*, source_size, target, coalesce(floor(target / nullif(source_size, 0)), 0) AS times
+          FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source
+        )
+        SELECT doc_id, size, source_size, target,
+               (times * size + least(size, greatest(0, floor(target - times * source_size + 0.5) - start)))::BIGINT AS taken FROM j""",
+    "op8_url_filter": f"""
+        WITH {_PARTS_SQL}, m AS (
+          SELECT {_concentration_sql("hosts", "domain")} AS mh, {_concentration_sql("domains", "suffix")} AS md,
+                 {_concentration_sql("suffixes", "everything")} AS ms,
+                 coalesce((SELECT (sum(good) + 1) / (sum(n) + 2) FROM suffixes), 0.5) AS p
+        ), sm AS (SELECT suffix, (ms * p + good) / (ms + n) AS p FROM suffixes, m
+        ), dm AS (SELECT domain, (md * sm.p + good) / (md + n) AS p FROM domains JOIN sm USING (suffix), m
+        ), hm AS (SELECT host, n, (mh * dm.p + good) / (mh + n) AS p FROM hosts JOIN dm USING (domain), m
+        ), j AS (
+          SELECT page_id, host, path, coalesce(hm.p, dm.p, sm.p, m.p) AS p, coalesce(hm.n, 0) AS n, mh,
+                 CASE WHEN host = 'www.example.com' OR ends_with(host, '.www.example.com') THEN starts_with(path, '/en/') ELSE false END AS r1,
+                 (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') AS r2,
+                 (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') AS r3,
+                 (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') AS r4,
+                 (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') AS r5
+          FROM named LEFT JOIN hm USING (host) LEFT JOIN dm USING (domain) LEFT JOIN sm USING (suffix), m
+        )
+        SELECT page_id, host, path,
+               CASE WHEN r1 THEN 'www.example.com/en/' WHEN r2 THEN 'example.com/en/' WHEN r3 THEN 'net/es/'
+                    WHEN r4 THEN 'net/fr/' WHEN r5 THEN 'com/' END AS rule,
+               CASE WHEN r1 THEN 'allow' WHEN r2 OR r3 OR r4 THEN 'block' WHEN r5 THEN 'allow'
+                    WHEN p - 1.645 * sqrt(p * (1 - p) / (mh + n + 1)) >= 0.5 THEN 'allow' ELSE 'block' END AS verdict
+        FROM j""",
     "op9_exact_dedup": f"""
         WITH d AS (
           SELECT doc_id, length(coalesce(text, '')) AS n, sha256({_NORMAL}) AS text_sha256 FROM documents
