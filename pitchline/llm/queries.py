@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pitchline.llm.common import held_out, table
 from pitchline.llm.exact_dedup import exact_dedup
+from pitchline.llm.jaccard_join import JaccardJoin
 from pitchline.llm.language_id import identify, train
 from pitchline.llm.mixing import in_training_order, mix
 from pitchline.llm.token_counts import token_counts
@@ -30,6 +31,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return JaccardJoin(table(spark, sf_dir, "documents")).result().select("doc_id", "n_shingles", "component_id")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = in_training_order(mix(table(spark, sf_dir, "documents")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -57,6 +62,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op7_mixing": op7_mixing,
     "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
