@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchline.llm.common import held_out, table
+from pitchline.llm.decontamination import find_matches
 from pitchline.llm.exact_dedup import exact_dedup
 from pitchline.llm.jaccard_join import JaccardJoin
 from pitchline.llm.language_id import identify, train
@@ -31,6 +32,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_matches(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.item_id", "m.score", "m.start", "m.end")
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return JaccardJoin(table(spark, sf_dir, "documents")).result().select("doc_id", "n_shingles", "component_id")
 
@@ -62,6 +68,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
+    "op3_decontamination": op3_decontamination,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op7_mixing": op7_mixing,
     "op8_url_filter": op8_url_filter,
