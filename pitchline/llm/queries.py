@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitchline.llm import quality
 from pitchline.llm.common import held_out, table
 from pitchline.llm.decontamination import find_matches
 from pitchline.llm.exact_dedup import exact_dedup
@@ -41,6 +42,13 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return JaccardJoin(table(spark, sf_dir, "documents")).result().select("doc_id", "n_shingles", "component_id")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.features(table(spark, sf_dir, "documents"))
+    labels = table(spark, sf_dir, "labels").where(F.col("quality").isin(0, 1) & ~held_out()).select("doc_id", F.col("quality").alias("y"))
+    scored = quality.scores(found, quality.train(found.join(labels, "doc_id")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = in_training_order(mix(table(spark, sf_dir, "documents")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -70,6 +78,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_decontamination": op3_decontamination,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_mixing": op7_mixing,
     "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
