@@ -9,6 +9,7 @@ from pitchline.llm import quality
 from pitchline.llm.common import held_out, table
 from pitchline.llm.decontamination import find_matches
 from pitchline.llm.exact_dedup import exact_dedup
+from pitchline.llm.html_text import main_text
 from pitchline.llm.jaccard_join import JaccardJoin
 from pitchline.llm.language_id import identify, train
 from pitchline.llm.mixing import in_training_order, mix
@@ -38,6 +39,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.item_id", "m.score", "m.start", "m.end")
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return JaccardJoin(table(spark, sf_dir, "documents")).result().select("doc_id", "n_shingles", "component_id")
 
@@ -77,6 +82,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
     "op3_decontamination": op3_decontamination,
+    "op4_html_extraction": op4_html_extraction,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_mixing": op7_mixing,
