@@ -13,6 +13,7 @@ from pitchline.llm.html_text import main_text
 from pitchline.llm.jaccard_join import JaccardJoin
 from pitchline.llm.language_id import identify, train
 from pitchline.llm.mixing import in_training_order, mix
+from pitchline.llm.pii import find_pii
 from pitchline.llm.token_counts import token_counts
 from pitchline.llm.url_filter import Rule, url_filter
 
@@ -78,6 +79,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
@@ -88,6 +93,7 @@ QUERIES = {
     "op7_mixing": op7_mixing,
     "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_pii": op10_pii,
 }
 
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
