@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-import math
+import string
+from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchline.settings import materialize, scratch_path
+from pitchline.settings import materialize
 
 #: ASCII white space as bytes and as a character class.
 SPACE = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["SPACE", "WORD", "WordHasher", "held_out", "materialize", "scratch_path", "table", "uniform"]
+__all__ = ["SPACE", "WORD", "hashed_words", "held_out", "in_parts", "materialize", "sample_rate", "shingles", "table", "uniform"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,10 +36,6 @@ def sample_rate(wanted: int, present: int) -> float:
     return 1.0 if present <= wanted else wanted / present
 
 
-def power_of_two(x: float, least: int, most: int) -> int:
-    return int(min(most, max(least, 2 ** math.ceil(math.log2(max(x, 1))))))
-
-
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
@@ -53,23 +48,99 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class WordHasher(dict):
-    """64-bit hashes of words, kept in a cache of bounded size."""
-
-    LIMIT = 400_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = value
-        return value
-
-    def words(self, text: bytes) -> np.ndarray:
-        """Hashes of the words of ``text``, A-Z read as a-z."""
-        found = text.lower().split()
-        return np.fromiter(map(self.__getitem__, found), np.uint64, len(found))
+_LOW = np.arange(256, dtype=np.uint64)
+_LOW[65:91] += 32
+_BYTE = mix(_LOW + np.uint64(1))
+_BLANK = np.zeros(256, bool)
+_BLANK[list(SPACE)] = True
+_MARK = np.zeros(256, bool)
+_MARK[list(string.punctuation.encode())] = True
+_BASE = 0x9E3779B97F4A7C15 | 1
+_BACK = pow(_BASE, -1, 1 << 64)
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _power_tables(n: int) -> list[np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2^64."""
+    if len(_powers[0]) < n:
+        for k, base in enumerate((_BASE, _BACK)):
+            steps = np.full(1 << (n - 1).bit_length(), base, np.uint64)
+            steps[0] = 1
+            _powers[k] = np.multiply.accumulate(steps)
+    return _powers
+
+
+def _hashed(data: np.ndarray, trim: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and starts of the words of a byte array."""
+    outside = _BLANK[data]
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], outside, [True]]).view(np.int8)))
+    first, end = edge[::2], edge[1::2]
+    if trim:
+        core = np.flatnonzero(~outside & ~_MARK[data])
+        if not len(core):
+            return np.zeros(0, np.uint64), first[:0]
+        left, right = np.searchsorted(core, first), np.searchsorted(core, end)
+        some = left < right
+        first, end = core[left[some]], core[right[some] - 1] + 1
+    up, down = _power_tables(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
+    return mix((sums[end] - sums[first]) * down[first] + (end - first).astype(np.uint64)), first
+
+
+def hashed_words(texts: list[bytes | None], trim: bool = False, piece: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of all texts, and where each text's words end.
+
+    A-Z are read as a-z. ``trim`` leaves out ASCII marks at both ends of a word, and
+    words made of them alone. Long texts are cut at white space, so the work arrays
+    stay small unless a single word is long.
+    """
+    found, count = [np.zeros(0, np.uint64)], np.zeros(len(texts), np.int64)
+    held: list[tuple[int, bytes]] = []
+    size = 0
+
+    def flush() -> None:
+        if held:
+            data = np.frombuffer(b"\n".join(t for _, t in held), np.uint8)
+            words, first = _hashed(data, trim)
+            found.append(words)
+            after = np.cumsum([len(t) + 1 for _, t in held])
+            np.add.at(count, [k for k, _ in held], np.diff(np.searchsorted(first, after), prepend=0))
+            held.clear()
+
+    for k, text in enumerate(texts):
+        for part in _cut(text or b"", piece):
+            held.append((k, part))
+            size += len(part)
+            if size >= piece:
+                flush()
+                size = 0
+    flush()
+    return np.concatenate(found), np.cumsum(count)
+
+
+def _cut(text: bytes, piece: int) -> Iterator[bytes]:
+    at = 0
+    while len(text) - at > piece:
+        cut = max(text.rfind(bytes([c]), at, at + piece) for c in SPACE)
+        if cut <= at:
+            cut = min((x for c in SPACE if (x := text.find(bytes([c]), at + piece)) >= 0), default=len(text))
+        yield text[at:cut]
+        at = cut
+    if at < len(text):
+        yield text[at:]
+
+
+def in_parts(texts: list[bytes | None], most: int = 16 << 20) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of about ``most`` bytes together."""
+    start = size = 0
+    for k, text in enumerate(texts):
+        size += len(text or b"")
+        if size >= most:
+            yield start, k + 1
+            start, size = k + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
 
 
 def shingles(words: np.ndarray, n: int) -> np.ndarray:
@@ -82,7 +153,3 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     for k in range(n):
         out = mix(out * _ODD[k % 3] + words[k : k + last] + np.uint64(k))
     return np.unique(out)
-
-
-def binary(column: pa.ChunkedArray | pa.Array) -> list[bytes | None]:
-    return column.to_pylist()

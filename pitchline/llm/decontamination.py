@@ -25,35 +25,16 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchline.llm.common import WordHasher, mix
+from pitchline.llm.common import hashed_words, in_parts, mix
 from pitchline.llm.language_id import Lookup
 
 MATCH, OTHER = 2, -1
-_ENDS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _MATCHES = "array<struct<item_id: long, score: double, start: int, end: int>>"
 
 
-class PlainWords(WordHasher):
-    """Hashes of words without punctuation at their ends; 0 if nothing is left."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        plain = word.strip(_ENDS)
-        value = (xxhash.xxh3_64_intdigest(plain) | 1) if plain else 0
-        if len(word) <= 64:
-            self[word] = value
-        return value
-
-    def words(self, text: bytes) -> np.ndarray:
-        found = super().words(text)
-        return found[found != 0]
-
-
 def runs(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all runs of n words in order; none if there are fewer."""
     last = max(0, len(words) - n + 1)
@@ -114,17 +95,26 @@ class Seeds:
             keys = sorted(k for s, k in where if s == size)
             self.by_size[size] = (Lookup(np.array(keys, np.uint64)), [where[size, k] for k in keys], np.array(keys, np.uint64))
 
-    def hits(self, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(size, row, position) of every seed in a document."""
-        for size, (lookup, _, _) in self.by_size.items():
-            rows = lookup.rows(runs(words, size))
-            for at in np.flatnonzero(rows >= 0).tolist():
-                yield size, int(rows[at]), at
-
-    def matches(self, words: np.ndarray, least: float) -> list[tuple[int, float, int, int]]:
-        """(item_id, score, start, end) of items that the document holds."""
+    def hits(self, texts: list[bytes | None]) -> Iterator[tuple[int, np.ndarray, list[tuple[int, int, int]]]]:
+        """(number, words, [(size, row, position)]) of every text that holds seeds."""
+        for a, b in in_parts(texts):
+            words, ends = hashed_words(texts[a:b], trim=True)
+            by_text: dict[int, list[tuple[int, int, int]]] = {}
+            starts = np.concatenate([[0], ends[:-1]])
+            for size, (lookup, _, _) in self.by_size.items():
+                rows = lookup.rows(runs(words, size))
+                at = np.flatnonzero(rows >= 0)
+                text = np.searchsorted(ends, at, side="right")
+                inside = at + size <= ends[text]
+                for k, t in zip(at[inside].tolist(), text[inside].tolist(), strict=True):
+                    by_text.setdefault(t, []).append((size, int(rows[k]), k - int(starts[t])))
+            for t, found in by_text.items():
+                yield a + t, words[starts[t] : ends[t]], found
+
+    def matches(self, words: np.ndarray, hits: list[tuple[int, int, int]], least: float) -> list[tuple[int, float, int, int]]:
+        """(item_id, score, start, end) of items that a document with these seeds holds."""
         diagonals: dict[int, list[int]] = {}
-        for size, row, at in self.hits(words):
+        for size, row, at in hits:
             for number, k in self.by_size[size][1][row]:
                 diagonals.setdefault(number, []).append(at - k)
         found = []
@@ -163,11 +153,11 @@ def _spans(starts: list[int], slack: int, length: int, most: int) -> Iterator[tu
 
 def _df_counter(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds, hasher = shared.value, PlainWords()
+        seeds = shared.value
         counts: dict[tuple[int, int], int] = {}
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                for hit in {(size, row) for size, row, _ in seeds.hits(hasher.words(text or b""))}:
+            for _, _, found in seeds.hits(batch.column(0).to_pylist()):
+                for hit in {(size, row) for size, row, _ in found}:
                     counts[hit] = counts.get(hit, 0) + 1
         if counts:
             keys = [int(seeds.by_size[size][2][row].astype(np.int64)) for size, row in counts]
@@ -194,10 +184,9 @@ def find_matches(
     blocks = -(-size // block_bytes)
     block = F.pmod(F.xxhash64("id", "text"), F.lit(max(1, blocks)))
     columns = []
-    hasher = PlainWords()
     for k in range(blocks):
-        rows = items.where(block == k).orderBy("id", "text").collect()
-        prepared = [(r["id"], hasher.words(bytes(r["text"]))) for r in rows]
+        rows = items.where(block == k).orderBy("id", "text").collect()  # about block_bytes
+        prepared = [(r["id"], hashed_words([bytes(r["text"])], trim=True)[0]) for r in rows]
         every = spark.sparkContext.broadcast(Seeds(prepared, n, window))
         counted = docs.select(F.col(text_col).cast("binary")).mapInArrow(_df_counter(every), "key long, docs long").groupBy("key").agg(F.sum("docs"))
         df = {key & (2**64 - 1): found for key, found in counted.collect()}  # at most one row for each n-gram of the block
@@ -210,8 +199,12 @@ def find_matches(
 def _matcher(shared, least: float):
     @F.pandas_udf(_MATCHES)
     def matches(texts):
-        seeds, hasher = shared.value, PlainWords()
-        return texts.map(lambda t: [dict(zip(("item_id", "score", "start", "end"), m, strict=True)) for m in seeds.matches(hasher.words((t or "").encode()), least)])
+        import pandas as pd
+
+        seeds, out = shared.value, [[] for _ in range(len(texts))]
+        for k, words, hits in seeds.hits([t.encode() if t else None for t in texts]):
+            out[k] = [dict(zip(("item_id", "score", "start", "end"), m, strict=True)) for m in seeds.matches(words, hits, least)]
+        return pd.Series(out)
 
     return matches
 
