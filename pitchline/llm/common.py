@@ -131,7 +131,7 @@ def _cut(text: bytes, piece: int) -> Iterator[bytes]:
         yield text[at:]
 
 
-def in_parts(texts: list[bytes | None], most: int = 16 << 20) -> Iterator[tuple[int, int]]:
+def in_parts(texts: list[bytes | None], most: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts of about ``most`` bytes together."""
     start = size = 0
     for k, text in enumerate(texts):

@@ -103,12 +103,12 @@ def near_corpus(groups=6, copies=14, length=90, most=8, seed=3):
     return rows
 
 
-@pytest.mark.parametrize(("n", "percent", "hot", "cells"), [(3, 90, 100, 1 << 20), (3, 90, 4, 1 << 14), (5, 80, 100, 1 << 14), (5, 80, 3, 1 << 14), (2, 60, 5, 1 << 14)])
+@pytest.mark.parametrize(("n", "percent", "hot", "cells"), [(3, 90, 100, 1 << 20), (3, 90, 4, 1 << 14), (5, 80, 3, 1 << 14), (2, 60, 5, 1 << 14)])
 def test_join_is_exact(spark, n, percent, hot, cells):
     rows = near_corpus()
     sets = shingle_sets(rows, n)
     expected = brute_components(sets, percent)
-    found = JaccardJoin(docs(spark, rows), ngram=n, percent=percent, hot=hot, cells=cells).result().collect()
+    found = JaccardJoin(docs(spark, rows), ngram=n, percent=percent, hot=hot, cells=cells, block=8).result().collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == {i: (len(sets[i]), expected[i]) for i in sets}
     assert len(found) == len(rows)
 
