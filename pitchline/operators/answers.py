@@ -1,10 +1,12 @@
-"""Answers to profile, match-details and last-match-rating requests."""
+"""Answers to requests from a set of results, computed or stored."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitchline.operators import prediction
+from pitchline.sources import requests as request_source
 from pitchline.sources.dimensions import players_by_name
 
 _LISTS = ("goals", "own_goals", "yellow_cards", "red_cards")
@@ -94,3 +96,23 @@ def match_answers(
     details = named_details(summaries.join(wanted, keys, "left_semi"), players, teams)
     answered = requests.select("req_id", *keys).join(details.withColumn("found", F.lit(True)), keys, "left")
     return answered.withColumn("error", F.when(F.col("found").isNull(), "unknown match")).drop("found")
+
+
+def answer_all(
+    asked: DataFrame,
+    players: DataFrame,
+    teams: DataFrame,
+    *,
+    ratings: DataFrame,
+    chemistry: DataFrame,
+    profiles: DataFrame,
+    summaries: DataFrame,
+) -> dict[str, DataFrame]:
+    """The answers to a mixed set of requests, one table per kind."""
+    of = lambda kind: request_source.routed(asked, kind)
+    return {
+        "predict": prediction.predict(of("predict"), players, ratings, chemistry),
+        "profile": profile_answers(of("profile"), players, profiles),
+        "match_rate": rating_answers(of("match_rate"), players, ratings),
+        "details": match_answers(of("details"), summaries, players, teams),
+    }

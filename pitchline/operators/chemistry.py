@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pitchline.functions.formulas import START_CHEMISTRY, changed, double
 from pitchline.operators.scan import affine_fold, chunk_of
 from pitchline.operators.stats import assigned
+from pitchline.settings import CHUNK_DAYS, TIMELINE
 
 PAIR = ["player_lo", "player_hi"]
 
@@ -72,38 +73,21 @@ def fold_days(updates: DataFrame) -> DataFrame:
     )
 
 
-def apply_maps(maps: DataFrame, base: DataFrame | None = None) -> DataFrame:
-    """Chemistry from one composite map per pair, on top of earlier edges."""
-    if base is None:
-        return maps.selectExpr(*PAIR, f"a * {_START} + b AS chemistry")
-    value = f"coalesce(a, 1D) * coalesce(chemistry, {_START}) + coalesce(b, 0D)"
-    return maps.join(base, PAIR, "full").selectExpr(*PAIR, f"{value} AS chemistry")
+def apply_maps(maps: DataFrame) -> DataFrame:
+    """Chemistry from one composite map per pair."""
+    return maps.selectExpr(*PAIR, f"a * {_START} + b AS chemistry")
 
 
-def fold_maps(maps: DataFrame, base: DataFrame | None = None, chunk_days: int | None = None) -> DataFrame:
+def fold_maps(maps: DataFrame, chunk_days: int = CHUNK_DAYS) -> DataFrame:
     """Edges from maps (match_day, a, b), folded per pair in match order.
 
-    With ``chunk_days`` a pair's maps are folded per calendar chunk first.
+    A pair's maps are folded per calendar chunk first.
     """
-    order = [c for c in ("kickoff", "match_id") if c in maps.columns] or ["match_day"]
-    if chunk_days is not None:
-        chunked = maps.selectExpr("*", f"{chunk_of('match_day', chunk_days)} AS chunk")
-        maps, order = affine_fold(chunked, [*PAIR, "chunk"], order), ["chunk"]
-    return apply_maps(affine_fold(maps, PAIR, order), base)
+    order = [c for c in TIMELINE if c in maps.columns]
+    chunked = maps.selectExpr("*", f"{chunk_of('match_day', chunk_days)} AS chunk")
+    return apply_maps(affine_fold(affine_fold(chunked, [*PAIR, "chunk"], order), PAIR, ["chunk"]))
 
 
-def chemistry(
-    updates: DataFrame, base: DataFrame | None = None, chunk_days: int | None = None
-) -> DataFrame:
+def chemistry(updates: DataFrame, chunk_days: int = CHUNK_DAYS) -> DataFrame:
     """Edges after all updates."""
-    return fold_maps(pair_maps(updates), base, chunk_days)
-
-
-def lookup(pairs: DataFrame, edges: DataFrame) -> DataFrame:
-    """Chemistry of given pairs (player_a, player_b), whatever their order."""
-    keyed = pairs.selectExpr(
-        "*", "least(player_a, player_b) AS player_lo", "greatest(player_a, player_b) AS player_hi"
-    )
-    return keyed.join(edges.select(*PAIR, "chemistry"), PAIR, "left").selectExpr(
-        f"* EXCEPT ({', '.join(PAIR)}, chemistry)", f"coalesce(chemistry, {_START}) AS chemistry"
-    )
+    return fold_maps(pair_maps(updates), chunk_days)

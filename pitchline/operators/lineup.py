@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from pitchline.functions.formulas import FULL_MATCH_MINUTES as FULL
 from pitchline.operators.scan import chunk_of, prefix_count
+from pitchline.operators.stats import assigned
+from pitchline.settings import CHUNK_DAYS, TIMELINE
 
 ON_FIELD = "on_field"
 FULL_90 = "full_90"
@@ -62,25 +64,20 @@ def appearances(matches: DataFrame, minutes_mode: str = ON_FIELD) -> DataFrame:
 
 
 def match_counts(apps: DataFrame) -> DataFrame:
-    """Matches played per player; being listed without coming on does not count."""
-    return apps.where("participated").groupBy("player_id").agg(F.expr("count(1) AS matches_played"))
+    """Matches played per player; no row for the sentinel; being listed without coming on does not count."""
+    return assigned(apps).where("participated").groupBy("player_id").agg(F.expr("count(1) AS matches_played"))
 
 
 def prior_matches(
-    played: DataFrame, seeds: DataFrame | None = None, chunk_days: int | None = None
+    played: DataFrame, seeds: DataFrame | None = None, chunk_days: int = CHUNK_DAYS
 ) -> DataFrame:
     """Add ``prior_matches``: how many matches the player took part in before.
 
     ``played`` holds participations only, one row per match and player;
     ``seeds`` (player_id, seed_matches) carries counts from before these rows.
-    With ``chunk_days`` long timelines are split by calendar chunk.
     """
-    keys, order = ["player_id"], ["kickoff", "match_id"]
-    if chunk_days is None:
-        counted = prefix_count(played, keys, order, "prior_matches")
-    else:
-        rows = played.selectExpr("*", f"{chunk_of('match_day', chunk_days)} AS chunk")
-        counted = prefix_count(rows, keys, order, "prior_matches", "chunk").drop("chunk")
+    rows = played.selectExpr("*", f"{chunk_of('match_day', chunk_days)} AS chunk")
+    counted = prefix_count(rows, ["player_id"], list(TIMELINE), "prior_matches", "chunk").drop("chunk")
     if seeds is None:
         return counted
     earlier = seeds.select("player_id", "seed_matches")

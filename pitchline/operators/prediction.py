@@ -105,23 +105,28 @@ def predict(
 ) -> DataFrame:
     """Winning chance of both teams of every request.
 
-    A request naming an unknown player is answered with an error instead of a
-    chance; an invalid formation is reported but does not block the answer.
+    A request without two teams, or naming an unknown player, is answered with an
+    error instead of a chance; an invalid formation is reported but does not block
+    the answer.
     """
     sides = _sides(lineups(requests, players), edges, ratings, unrated_factor)
-    both = sides.groupBy("req_id").agg(
-        F.expr("sum(unknown) > 0 AS failed"),
+    known = sides.groupBy("req_id").agg(
+        F.expr("sum(unknown) > 0 AS unknown"),
         *[
             F.expr(f"max(struct(name, valid, strength)) FILTER (WHERE team = {i}) AS t{i}")
             for i in (1, 2)
         ],
     )
 
+    asked = requests.selectExpr("req_id", "team1 IS NULL OR team2 IS NULL AS missing")
+    error = "CASE WHEN missing THEN 'missing team' WHEN unknown THEN 'unknown player' END"
+    both = asked.join(known, "req_id", "left").selectExpr("*", f"{error} AS error")
+
     def answer(i: int, other: int) -> str:
         return (
             f"struct({i} AS team, t{i}.name AS name,"
-            f" if(failed, NULL, {win_chance(f't{i}.strength', f't{other}.strength')}) AS winning_chance,"
-            f" t{i}.valid AS valid, if(failed, 'unknown player', NULL) AS error)"
+            f" if(error IS NULL, {win_chance(f't{i}.strength', f't{other}.strength')}, NULL) AS winning_chance,"
+            f" t{i}.valid AS valid, error)"
         )
 
     return both.selectExpr("req_id", f"inline(array({answer(1, 2)}, {answer(2, 1)}))")

@@ -9,6 +9,7 @@ from pitchline.functions import formulas
 from pitchline.operators.lineup import prior_matches
 from pitchline.operators.scan import affine_history, chunk_of
 from pitchline.operators.stats import assigned
+from pitchline.settings import CHUNK_DAYS, TIMELINE
 
 _START = formulas.double(formulas.START_RATING)
 
@@ -27,7 +28,7 @@ def participations(stats: DataFrame, apps: DataFrame) -> DataFrame:
 
 
 def match_ratings(
-    played: DataFrame, seeds: DataFrame | None = None, chunk_days: int | None = None
+    played: DataFrame, seeds: DataFrame | None = None, chunk_days: int = CHUNK_DAYS
 ) -> DataFrame:
     """Rating of every participation that has events.
 
@@ -42,13 +43,13 @@ def match_ratings(
 
 
 def player_ratings(
-    rated: DataFrame, seeds: DataFrame | None = None, chunk_days: int | None = None
+    rated: DataFrame, seeds: DataFrame | None = None, chunk_days: int = CHUNK_DAYS
 ) -> DataFrame:
     """Rating history: (match_rating + old * n) / (1 + n) in match order.
 
     ``seeds`` (player_id, seed_rating) carries ratings from before these rows.
-    A player without a team (id 0) is rated but shows no change. Without
-    ``chunk_days`` the scan uses the partitioning by player of ``rated``.
+    A player without a team (id 0) is rated but shows no change. ``rated`` is read
+    several times, so it should be stored.
     """
     start = _START
     if seeds is not None:
@@ -58,11 +59,8 @@ def player_ratings(
     steps = rated.selectExpr(
         "*", f"{n} / (1 + {n}) AS a", f"match_rating / (1 + {n}) AS b", f"{start} AS _start"
     ).drop("seed_rating")
-    chunk = None
-    if chunk_days is not None:
-        chunk = "chunk"
-        steps = steps.selectExpr("*", f"{chunk_of('match_day', chunk_days)} AS chunk")
-    history = affine_history(steps, ["player_id"], ["kickoff", "match_id"], "_start", "_old", "rating", chunk)
+    steps = steps.selectExpr("*", f"{chunk_of('match_day', chunk_days)} AS chunk")
+    history = affine_history(steps, ["player_id"], list(TIMELINE), "_start", "_old", "rating", "chunk")
     return history.drop("a", "b", "_start", "chunk").selectExpr(
         "* EXCEPT (_old)", "if(team_id = 0, 0D, rating - _old) AS rating_change"
     )
@@ -71,18 +69,15 @@ def player_ratings(
 def latest_ratings(history: DataFrame) -> DataFrame:
     """Last row of each player's history, found by a partial aggregate."""
     value = "struct(match_id, team_id, match_rating, rating, rating_change)"
-    latest = history.groupBy("player_id").agg(F.expr(f"max_by({value}, struct(kickoff, match_id)) AS v"))
+    latest = history.groupBy("player_id").agg(F.expr(f"max_by({value}, struct({', '.join(TIMELINE)})) AS v"))
     return latest.select("player_id", "v.*")
 
 
-def running_mean_ratings(rated: DataFrame) -> DataFrame:
+def running_mean_ratings(rated: DataFrame, chunk_days: int = CHUNK_DAYS) -> DataFrame:
     """The special case where every participation is rated.
 
     With n = number of earlier rated matches the recurrence is the running mean
-    of the match ratings, one window over ``match_id`` order.
+    of the match ratings.
     """
-    window = "PARTITION BY player_id ORDER BY match_id"
-    mean = rated.selectExpr("*", f"avg(match_rating) OVER ({window} ROWS UNBOUNDED PRECEDING) AS rating")
-    return mean.selectExpr(
-        "*", f"rating - coalesce(lag(rating) OVER ({window}), {_START}) AS rating_change"
-    )
+    counted = prior_matches(rated, chunk_days=chunk_days).selectExpr("*", "1L AS team_id")
+    return player_ratings(counted, chunk_days=chunk_days).drop("team_id", "prior_matches")

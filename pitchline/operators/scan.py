@@ -1,16 +1,12 @@
 """Ordered recurrences over one key's timeline.
 
 A rating history and a chemistry edge are both affine recurrences
-``x' = a * x + b`` in match order. Affine maps compose associatively, which
-gives two exact ways to run them:
-
-* one window per key: a single shuffle, for timelines of checked length;
-* cut into calendar chunks: each (key, chunk) is scanned on its own, only one
-  composite per chunk travels to the key's task, and the entry value of every
-  chunk is joined back. A key holding a large part of all rows is spread over
-  as many tasks as it has chunks.
-
-``longest`` measures the timelines so that callers can pick the way.
+``x' = a * x + b`` in match order. Affine maps compose associatively, so a
+timeline is cut into calendar chunks: each (key, chunk) is scanned on its own,
+only one composite per chunk travels to the key's task, and the entry value of
+every chunk is joined back. A key holding a large part of all rows is spread
+over as many tasks as it has chunks. Chunks must follow the order of the rows,
+that is the order starts with the day the chunk is made of.
 """
 
 from __future__ import annotations
@@ -31,17 +27,10 @@ _UP_TO_HERE = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 _BEFORE_HERE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
-def longest(df: DataFrame, key: str) -> int:
-    """Rows of the longest timeline; one number reaches the driver."""
-    return df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-
-
 def prefix_count(
-    df: DataFrame, keys: list[str], order: list[str], out: str, chunk: str | None = None
+    df: DataFrame, keys: list[str], order: list[str], out: str, chunk: str
 ) -> DataFrame:
     """Number of earlier rows of the same key."""
-    if chunk is None:
-        return df.selectExpr("*", f"bigint(row_number() {_over(keys, order)} - 1) AS {out}")
     part = [*keys, chunk]
     totals = df.groupBy(*part).agg(F.expr("count(1) AS _rows")).selectExpr(
         *part, f"coalesce(sum(_rows) {_over(keys, [chunk], _BEFORE_HERE)}, 0) AS _offset"
@@ -75,17 +64,12 @@ def affine_history(
     init: str,
     before: str,
     after: str,
-    chunk: str | None = None,
+    chunk: str,
 ) -> DataFrame:
     """Value before and after every row of ``x' = a * x + b``, starting at ``init``.
 
     ``a`` and ``b`` are columns of ``df``; ``init`` is constant per key.
     """
-    if chunk is None:
-        scanned = _running_maps(df, keys, order, "a", "b").selectExpr(
-            "* EXCEPT (_a, _b)", f"_a * {init} + _b AS {after}"
-        )
-        return scanned.selectExpr("*", f"coalesce(lag({after}) {_over(keys, order)}, {init}) AS {before}")
     part = [*keys, chunk]
     rows = _running_maps(df, part, order, "a", "b").selectExpr(
         "*", f"lag(_a) {_over(part, order)} AS _pa", f"lag(_b) {_over(part, order)} AS _pb"

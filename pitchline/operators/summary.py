@@ -52,13 +52,18 @@ def summarise(matches: DataFrame) -> DataFrame:
 
 
 def match_summaries(matches: DataFrame) -> DataFrame:
-    """One summary per (date, label); the smallest match id wins."""
-    rows = summarise(matches)
-    return (
-        rows.groupBy("date", "label")
-        .agg(F.min_by(F.struct(*[c for c in rows.columns if c not in ("date", "label")]), "match_id").alias("s"))
-        .select("date", "label", "s.*")
-    )
+    """One summary per (date, label)."""
+    return preferred(summarise(matches))
+
+
+def preferred(rows: DataFrame) -> DataFrame:
+    """Of the summaries of a (date, label) the one of the smallest match id, then of the smallest content hash.
+
+    ``rows`` may be a stream; the rule does not depend on arrival.
+    """
+    values = F.struct(*[c for c in rows.columns if c not in ("date", "label")])
+    order = F.struct(F.col("match_id").isNull(), "match_id", F.xxhash64(F.to_json(values)))
+    return rows.groupBy("date", "label").agg(F.min_by(values, order).alias("s")).select("date", "label", "s.*")
 
 
 def scorers(summaries: DataFrame, field: str) -> DataFrame:

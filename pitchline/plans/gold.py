@@ -12,12 +12,12 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchline.operators import answers, chemistry, lineup, prediction, ratings, stats, summary
+from pitchline.operators import answers, chemistry, lineup, ratings, stats, summary
 from pitchline.operators.facts import event_facts
-from pitchline.operators.scan import longest
-from pitchline.settings import CHUNK_DAYS, TIMELINE_LIMIT, materialize, materialize_counted
+from pitchline.settings import CHUNK_DAYS, materialize
 from pitchline.sources import lines as line_source
-from pitchline.sources import requests, warehouse
+from pitchline.sources import warehouse
+from pitchline.sources.catalog import Catalog
 
 
 class Gold:
@@ -26,24 +26,28 @@ class Gold:
         counts: DataFrame,
         matches: DataFrame,
         minutes_mode: str = lineup.ON_FIELD,
-        timeline_limit: int = TIMELINE_LIMIT,
         chunk_days: int = CHUNK_DAYS,
+        dead_letters: DataFrame | None = None,
     ):
         self.counts = counts
         self.matches = matches
         self.minutes_mode = minutes_mode
-        self.timeline_limit = timeline_limit
-        self.split_days = chunk_days
+        self.chunk_days = chunk_days
+        self.dead_letters = dead_letters
 
     @classmethod
     def from_lines(cls, lines: DataFrame, **options) -> "Gold":
-        """From record lines of both kinds, interleaved in any order."""
-        routed = line_source.route_records(lines)
-        facts = event_facts(line_source.read_events(lines))
-        records = line_source.first_match_records(line_source.parse_matches(routed.matches))
+        """From record lines of both kinds, interleaved in any order; lines that are neither become ``dead_letters``.
+
+        The text is read once, into one part per kind; what follows reads its part.
+        """
+        kinds = line_source.split_by_kind(lines)
+        facts = event_facts(line_source.parse_events(kinds.events))
+        records = line_source.first_match_records(line_source.parse_matches(kinds.matches))
         return cls(
             materialize(stats.count_by_player(facts), "player_counts"),
             materialize(records, "match_records"),
+            dead_letters=kinds.dead_letters,
             **options,
         )
 
@@ -65,32 +69,18 @@ class Gold:
         return lineup.match_counts(self.appearances)
 
     @cached_property
-    def _participations(self) -> tuple[DataFrame, int]:
-        played = ratings.participations(self.player_match_stats, self.appearances)
-        return materialize_counted(played, "participations")
-
-    @property
     def participations(self) -> DataFrame:
-        return self._participations[0]
-
-    @cached_property
-    def chunk_days(self) -> int | None:
-        """None while every player's timeline is short enough for one window."""
-        played, rows = self._participations
-        hot = rows > self.timeline_limit and longest(played, "player_id") > self.timeline_limit
-        return self.split_days if hot else None
+        return materialize(ratings.participations(self.player_match_stats, self.appearances), "participations")
 
     @cached_property
     def match_ratings(self) -> DataFrame:
-        return ratings.match_ratings(self.participations, chunk_days=self.chunk_days)
+        """Stored, because the split scan reads its input several times."""
+        return materialize(ratings.match_ratings(self.participations, chunk_days=self.chunk_days), "match_ratings")
 
     @cached_property
     def rating_history(self) -> DataFrame:
-        rated = self.match_ratings
-        if self.chunk_days is not None:
-            # The split scan reads its input several times.
-            rated = materialize(rated, "match_ratings")
-        return ratings.player_ratings(rated, chunk_days=self.chunk_days)
+        """Stored, because latest ratings and both sides of the pairs read it."""
+        return materialize(ratings.player_ratings(self.match_ratings, chunk_days=self.chunk_days), "rating_history")
 
     @cached_property
     def latest_ratings(self) -> DataFrame:
@@ -114,10 +104,20 @@ class Gold:
 
     def answer(self, asked: DataFrame, players: DataFrame, teams: DataFrame) -> dict[str, DataFrame]:
         """The answers to a mixed set of requests, one table per kind."""
-        of = lambda kind: requests.routed(asked, kind)
-        return {
-            "predict": prediction.predict(of("predict"), players, self.latest_ratings, self.chemistry),
-            "profile": answers.profile_answers(of("profile"), players, self.player_profiles),
-            "match_rate": answers.rating_answers(of("match_rate"), players, self.latest_ratings),
-            "details": answers.match_answers(of("details"), self.match_summaries, players, teams),
+        return answers.answer_all(
+            asked, players, teams,
+            ratings=self.latest_ratings, chemistry=self.chemistry,
+            profiles=self.player_profiles, summaries=self.match_summaries,
+        )
+
+    def publish(self, catalog: Catalog, version: int, fmt: str = "parquet") -> None:
+        """Store every result as a snapshot, under the names the streaming pipeline uses."""
+        results = {
+            "player_profile": self.player_profiles,
+            "player_rating": self.latest_ratings,
+            "match_rating": self.rating_history,
+            "match_summary": self.match_summaries,
+            "match_count": self.match_counts,
+            "chemistry": self.chemistry,
         }
+        catalog.publish(results, version, fmt)

@@ -247,7 +247,9 @@ def _statement(select: str, *reads: str) -> str:
 
 
 _N = "event_id"
-_DEAD = f"({_N} % 97 = 0 OR {_N} % 89 = 0 OR {_N} % 83 = 0)"
+_CUT = f"({_N} % 97 = 0 OR {_N} % 89 = 0 OR {_N} % 83 = 0)"
+_KEYED = f"({_N} % 79 = 0 OR {_N} % 73 = 0 OR {_N} % 71 = 0)"
+_DEAD = f"({_CUT} OR (NOT {_KEYED} AND ({_N} % 67 = 0 OR {_N} % 61 = 0 OR {_N} % 59 = 0)))"
 _NULL_ID = f"(NOT {_DEAD} AND {_N} % 79 = 0)"
 _BOTH = f"(NOT {_DEAD} AND {_N} % 79 <> 0 AND {_N} % 73 = 0)"
 _NEITHER = f"(NOT {_DEAD} AND {_N} % 79 <> 0 AND {_N} % 73 <> 0 AND {_N} % 71 = 0)"
@@ -265,6 +267,7 @@ _APPEARANCE = (
 )
 _SECOND = "CASE WHEN hour(ts) < 12 THEN 0 ELSE 3600000000 END + epoch_us(ts) % 2700000000"
 _KICKOFF = "epoch_us(CAST(DATE '2024-01-01' + CAST(day AS INT) AS TIMESTAMP) + INTERVAL 15 HOUR)"
+_TIMED = f"CASE WHEN day % 6 <> 4 THEN {_KICKOFF} END"
 _LISTS = ("n_goals", "n_own_goals", "n_yellow_cards", "n_red_cards")
 _COUNTED_LISTS = ", ".join(big(f"h.{c}") + f" AS {c}" for c in _LISTS)
 
@@ -272,7 +275,9 @@ ORACLE: dict[str, str] = {
     "route_match_lines": f"SELECT event_id AS line_no FROM events WHERE {_NULL_ID} OR {_BOTH} OR {_MATCH}",
     "route_event_lines": f"SELECT event_id AS line_no FROM events WHERE NOT ({_DEAD} OR {_NULL_ID} OR {_NEITHER} OR {_MATCH})",
     "dead_letter_lines": f"""SELECT CASE WHEN {_N} % 97 = 0 THEN 'junk{{' || {_N} WHEN {_N} % 89 = 0 THEN '[' || {_N} || ']'
-        ELSE '{{"eventId":8,"id":' || {_N} END AS value FROM events WHERE {_DEAD}""",
+        WHEN {_N} % 83 = 0 THEN '{{"eventId":8,"id":' || {_N} WHEN {_N} % 67 = 0 THEN '{{"eventId":8,"id":' || {_N} || '}} trailing'
+        WHEN {_N} % 61 = 0 THEN '{{"eventId":8,"id":' || {_N} || '}}{{"eventId":9}}'
+        ELSE '{{"wyId":' || {_N} || '}},{{"wyId":1}}' END AS value FROM events WHERE {_DEAD}""",
     "event_tags_exploded": _statement(
         " UNION ALL ".join(
             f"SELECT event_id, {big('code')} AS event_code, {big('CASE WHEN k % 5 = 0 THEN 35 ELSE 30 END')} AS sub_event, {big(str(tag))} AS tag_id FROM ev WHERE {where}"
@@ -280,8 +285,8 @@ ORACLE: dict[str, str] = {
         ), "ev"),
     "event_counters": _statement(f"SELECT event_id, match_id, player_id, {_COUNTS} FROM facts", "facts"),
     "event_match_times": _statement(
-        f"SELECT match_id, count(*) AS events, {big(f'min({_KICKOFF} + {_SECOND})')} AS first_micros, "
-        f"{big(f'max({_KICKOFF} + {_SECOND})')} AS last_micros FROM ev GROUP BY match_id", "ev"),
+        f"SELECT match_id, count(*) AS events, {big(f'min({_TIMED} + {_SECOND})')} AS first_micros, "
+        f"{big(f'max({_TIMED} + {_SECOND})')} AS last_micros FROM ev GROUP BY match_id", "ev"),
     "player_match_counters": _statement(
         f"SELECT match_id, player_id, {big('team_id')} AS team_id, {', '.join(COUNTERS)} FROM counted WHERE player_id <> 0", "counted"),
     "player_match_ratios": _statement(
@@ -297,7 +302,7 @@ ORACLE: dict[str, str] = {
         ), "games"),
     "appearances_on_field": _statement(_APPEARANCE + "onfield", "onfield"),
     "appearances_full_90": _statement(_APPEARANCE + "full90", "full90"),
-    "matches_played": _statement("SELECT player_id, count(*) AS matches_played FROM played GROUP BY player_id", "played"),
+    "matches_played": _statement("SELECT player_id, count(*) AS matches_played FROM played WHERE player_id <> 0 GROUP BY player_id", "played"),
     "prior_match_ordinal": _statement("SELECT match_id, player_id, prior AS prior_matches FROM played", "played"),
     "match_rating": _statement(
         f"SELECT match_id, player_id, {big('team_id')} AS team_id, {big('on_minutes')} AS minutes, prior AS prior_matches, {r6('mr')} AS match_rating FROM rated", "rated"),

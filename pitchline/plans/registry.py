@@ -186,9 +186,8 @@ def matches_played(spark, sf_dir):
 def prior_match_ordinal(spark, sf_dir):
     """Earlier participations at every participation."""
     apps = Gold.from_warehouse(spark, sf_dir).appearances
-    counted = lineup.prior_matches(
-        apps.where("participated").select("match_id", "match_day", "kickoff", "player_id")
-    )
+    played = apps.where("participated").select("match_id", "match_day", "kickoff", "player_id")
+    counted = lineup.prior_matches(materialize(played, "played"))
     return counted.select("match_id", "player_id", "prior_matches")
 
 
@@ -206,9 +205,11 @@ def rating_running_mean(spark, sf_dir):
     """Events only: 90 minutes for everybody, rating = running mean."""
     measured = stats.player_match_stats(facts(spark, sf_dir))
     rated = measured.selectExpr(
-        "player_id", "match_id", f"{formulas.match_rating(str(formulas.FULL_MATCH_MINUTES))} AS match_rating"
+        "player_id", "match_id", "CAST(NULL AS TIMESTAMP) AS kickoff", f"{warehouse.day_of('match_id')} AS match_day",
+        f"{formulas.match_rating(str(formulas.FULL_MATCH_MINUTES))} AS match_rating",
     )
-    return ratings.running_mean_ratings(rated)
+    history = ratings.running_mean_ratings(materialize(rated, "rated"))
+    return history.select("player_id", "match_id", "match_rating", "rating", "rating_change")
 
 
 @query
@@ -222,7 +223,7 @@ def rating_history(spark, sf_dir):
 @query
 def rating_fold_general(spark, sf_dir):
     """Everybody credited 90 minutes, every timeline split into weekly chunks."""
-    gold = Gold.from_warehouse(spark, sf_dir, minutes_mode=lineup.FULL_90, timeline_limit=0, chunk_days=7)
+    gold = Gold.from_warehouse(spark, sf_dir, minutes_mode=lineup.FULL_90, chunk_days=7)
     return gold.rating_history.select("player_id", "match_id", "prior_matches", "rating", "rating_change")
 
 
@@ -417,9 +418,11 @@ def request_routing(spark, sf_dir):
 
 
 def _event_stream(spark, sf_dir):
-    # The glob makes a single file and a folder of files both readable.
-    schema = warehouse.schema(spark, sf_dir, "events")
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+    # Dealt by a hash, every file holds events of all days, and every micro-batch is late for the next.
+    path = scratch_path(spark, "events")
+    raw = raw_events(spark, sf_dir)
+    raw.repartition(4, F.xxhash64("event_id")).write.parquet(path)
+    return spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 2).parquet(path)
 
 
 def _line_stream(spark, lines_df, batches=2):
@@ -447,25 +450,27 @@ def _streamed(spark, sf_dir):
     return catalog
 
 
-def _stateful(spark, df, keys, mode="update"):
+def _stateful(spark, df, keys):
     path = scratch_path(spark, "state")
-    _finish(stateful.start_updates(df, path, mode))
+    _finish(stateful.start_updates(df, path))
+    stateful.compact(spark, path, df.schema, keys)
     return stateful.current_rows(spark, path, df.schema, keys)
 
 
 @query
 def stream_player_match_counters(spark, sf_dir):
-    """Counters per match and player from the state store, with a watermark."""
+    """Counters per match and player from the state store, over files in no order of time."""
     counters = stateful.running_counters(warehouse.events(_event_stream(spark, sf_dir)))
     return _stateful(spark, counters, ["match_id", "player_id"])
 
 
 @query
 def stream_matches_played(spark, sf_dir):
-    """Participations per player from a stream of match lines."""
-    stream = _line_stream(spark, match_lines(spark, sf_dir))
-    played = stateful.running_match_counts(lines.parse_matches(lines.route_records(stream).matches))
-    return _stateful(spark, played, ["player_id"])
+    """Participations per player from a stream that sends every match line twice."""
+    once = match_lines(spark, sf_dir)
+    stream = _line_stream(spark, once.unionByName(once))
+    records = lines.preferred_records(lines.parse_matches(lines.route_records(stream).matches))
+    return stateful.match_counts(_stateful(spark, records, ["match_id"]))
 
 
 @query
@@ -475,7 +480,7 @@ def stream_match_dedup(spark, sf_dir):
     stream = _line_stream(spark, once.unionByName(once))
     matches = lines.parse_matches(lines.route_records(stream).matches)
     first = stateful.first_summaries(summary.summarise(matches))
-    return _stateful(spark, first, ["date", "label"], "append").select(
+    return _stateful(spark, first, ["date", "label"]).select(
         "date", "label", "match_id", F.size("goals").alias("n_goals")
     )
 

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# A player's timeline of at most this many participations is scanned by one
-# window; longer ones are split into calendar chunks of CHUNK_DAYS.
-TIMELINE_LIMIT = 100_000
+# Timelines are scanned in calendar chunks of this many days, whatever their length.
 CHUNK_DAYS = 28
 
+# The one order of a timeline. A day is always known (see UNDATED in sources.lines),
+# a kickoff may be NULL, and the match id decides the rest.
+TIMELINE = ("match_day", "kickoff", "match_id")
+
+# Named folder for stored intermediates of a local session whose settings name none.
+LOCAL_SCRATCH = "/tmp/checkpoints"
+
 
 def local_session(app: str = "pitchline", cores: int | str = "*", **conf) -> SparkSession:
     """A single-machine session for tests and the benchmark.
@@ -31,28 +35,21 @@ def local_session(app: str = "pitchline", cores: int | str = "*", **conf) -> Spa
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.files.openCostInBytes", "64k")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", LOCAL_SCRATCH)
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-_local_root: str | None = None
-
-
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it.
-
-    Only a local session may fall back to a temporary folder of this machine.
-    """
-    global _local_root
+    """The folder every executor can reach, as the session names it in ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not root and spark.sparkContext.master.startswith("local"):
+        root = LOCAL_SCRATCH
+    if not root:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    _local_root = _local_root or tempfile.mkdtemp(prefix="pitchline-")
-    return _local_root
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -7,10 +7,13 @@ leaves the same table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitchline.operators import answers
 from pitchline.operators.facts import COUNTERS
 
 PLAYER_BUCKETS = 32
@@ -28,8 +31,8 @@ _COUNTED = "match_id BIGINT, player_id BIGINT, team_id BIGINT, last_event_id BIG
 
 # name -> (columns, partition columns)
 TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
-    # Counters of matches with a record, merged up to a micro-batch.
-    "player_count": (f"{_COUNTED}, upto_batch BIGINT, match_day DATE", ("match_day",)),
+    # Counters that a micro-batch adds to matches with a record; readers merge them.
+    "player_count": (f"{_COUNTED}, match_day DATE, batch_id BIGINT", ("match_day", "batch_id")),
     # Counters of a micro-batch whose match has no record yet.
     "orphan_count": (f"{_COUNTED}, batch_id BIGINT", ("batch_id",)),
     "match_record": (
@@ -58,6 +61,9 @@ TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
 }
 
 
+_POINTER = "version BIGINT, stamp STRING, format STRING, names ARRAY<STRING>"
+
+
 class Catalog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -97,20 +103,54 @@ class Catalog:
             .parquet(self.path(name))
         )
 
-    def write_snapshot(self, name: str, df: DataFrame, version: int, fmt: str = "parquet") -> None:
-        """Publish a full result as a new version; readers never see half of one."""
-        df.write.mode("overwrite").format(fmt).save(f"{self.path('snapshot')}/{name}/version={version}")
+    def drop_partition(self, name: str, partition: str) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/{partition}")
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def publish(self, results: dict[str, DataFrame], version: int, fmt: str = "parquet", keep: int = 2) -> None:
+        """Store results as one new version; readers see all of it or none.
 
-    def read_snapshot(self, name: str, schema: str | None = None, fmt: str = "parquet") -> DataFrame:
-        """The newest version of a published result."""
-        reader = self.spark.read.format(fmt)
+        Each publication goes to folders of its own, and a one-row pointer, written
+        last, names them. A publication that fails leaves no pointer and is not seen.
+        Data of all but the newest ``keep`` publications go.
+        """
+        stamp = uuid.uuid4().hex
+        for name, df in results.items():
+            df.write.format(fmt).save(f"{self.path('snapshot')}/data/{stamp}/{name}")
+        pointer = self.spark.createDataFrame([(version, stamp, fmt, sorted(results))], _POINTER)
+        pointer.coalesce(1).write.mode("append").json(f"{self.path('snapshot')}/published")
+        for old in self._published()[keep:]:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path('snapshot')}/data/{old['stamp']}")
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def _published(self) -> list[Row]:
+        """Pointers, newest first; one small row for each publication."""
+        rows = self.spark.read.schema(_POINTER).json(f"{self.path('snapshot')}/published")
+        return rows.select("*", "_metadata.file_modification_time").orderBy(F.desc("version"), F.desc("file_modification_time")).collect()
+
+    def read_snapshot(self, name: str, schema: str | None = None) -> DataFrame:
+        """A result of the newest version that holds it."""
+        newest = next(row for row in self._published() if name in row["names"])
+        reader = self.spark.read.format(newest["format"])
         if schema:
-            reader = reader.schema(f"{schema}, version BIGINT")
-        versions = reader.load(f"{self.path('snapshot')}/{name}")
-        newest = versions.agg(F.max("version").alias("version"))
-        return versions.join(F.broadcast(newest), "version").drop("version")
+            reader = reader.schema(schema)
+        return reader.load(f"{self.path('snapshot')}/data/{newest['stamp']}/{name}")
+
+    def answer(self, asked: DataFrame, players: DataFrame, teams: DataFrame) -> dict[str, DataFrame]:
+        """The answers to a mixed set of requests from the published results."""
+        return answers.answer_all(
+            asked, players, teams,
+            ratings=self.read_snapshot("player_rating"), chemistry=self.read_snapshot("chemistry"),
+            profiles=self.read_snapshot("player_profile"), summaries=self.read_snapshot("match_summary"),
+        )
 
 
 def write_response(df: DataFrame, path: str) -> None:
     """Answers as JSON lines."""
     df.write.mode("overwrite").json(path)
+
+
+def write_responses(answered: dict[str, DataFrame], path: str) -> None:
+    """One folder of JSON lines for each kind of answer."""
+    for kind, df in answered.items():
+        write_response(df, f"{path}/{kind}")

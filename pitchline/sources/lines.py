@@ -2,7 +2,7 @@
 
 A line is a match record when its top-level object has the key ``wyId`` (a null
 value counts), an event record when it has ``eventId``; it may be both. A line
-that is no JSON object goes to the dead letters.
+that is not one JSON object, text after an object included, goes to the dead letters.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchline import schemas
+from pitchline.settings import scratch_path
 
 # Seconds from kickoff at which each period starts: two halves of 45 minutes
 # with a 15-minute break, two extra halves of 15, then the shoot-out.
@@ -39,8 +40,15 @@ def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | No
     return reader.load(path)
 
 
+# The JSON functions stop at the end of a first value and accept what follows;
+# as the elements of an array the text must be one value.
+_ONE_VALUE = "coalesce(json_array_length(concat('[', value, ']')) = 1, false)"
+
+
 def _keys(text: Column) -> Column:
-    return F.json_object_keys(text)
+    """Keys of a line that is one JSON object, else NULL."""
+    one = F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
+    return F.when(one, F.json_object_keys(text))
 
 
 def _has_key(text: Column, key: str) -> Column:
@@ -71,6 +79,21 @@ def route_records(lines: DataFrame) -> Routed:
     )
 
 
+def split_by_kind(lines: DataFrame) -> Routed:
+    """The lines by kind, written once as one partition per kind.
+
+    A record that is both a match and an event is in both parts. Every reader then
+    scans its own part instead of all text.
+    """
+    text = F.col("value")
+    kinds = F.array(F.when(is_match_line(text), "match"), F.when(is_event_line(text), "event"), F.when(is_dead_line(text), "dead"))
+    path = scratch_path(lines.sparkSession, "lines")
+    parts = lines.select(F.explode(F.array_compact(kinds)).alias("kind"), "value")
+    parts.write.partitionBy("kind").parquet(path)
+    stored = lines.sparkSession.read.schema("value STRING, kind STRING").parquet(path)
+    return Routed(*(stored.where(F.col("kind") == kind).select("value") for kind in ("match", "event", "dead")))
+
+
 def _event_columns(keep_unread: bool) -> list[str]:
     columns = [
         "coalesce(r.id, 0L) AS event_id",
@@ -109,7 +132,8 @@ def read_events(lines: DataFrame, keep_unread: bool = False) -> DataFrame:
     record = lines.select("value", F.from_json("value", fields).alias("r"))
     clean = f"r.{schemas.CORRUPT} IS NULL AND r.eventId IS NOT NULL AND startswith(ltrim(value), '{{')"
     keyed = "coalesce(array_contains(json_object_keys(value), 'eventId'), false)"
-    kept = record.selectExpr(f"inline_outer(if({clean} OR {keyed}, array(struct(true AS routed, r)), NULL))")
+    routed = f"({clean} OR {keyed}) AND {_ONE_VALUE}"
+    kept = record.selectExpr(f"inline_outer(if({routed}, array(struct(true AS routed, r)), NULL))")
     return kept.where("routed").selectExpr(*_event_columns(keep_unread))
 
 
@@ -149,11 +173,26 @@ def parse_matches(lines: DataFrame) -> DataFrame:
     )
 
 
-def first_match_records(matches: DataFrame, arrival: str | None = None) -> DataFrame:
-    """One record per match id: the first to arrive, else the smallest text form."""
-    order = F.col(arrival) if arrival else F.xxhash64(F.to_json(F.struct(*matches.columns)))
-    kept = matches.groupBy("match_id").agg(F.min_by(F.struct(*matches.columns), order).alias("m"))
-    return kept.select("m.*")
+def content_hash(records: DataFrame) -> Column:
+    """A hash of all columns that does not depend on their order, as stored tables have another."""
+    return F.xxhash64(F.to_json(F.struct(*sorted(records.columns))))
+
+
+def preferred_records(matches: DataFrame) -> DataFrame:
+    """One record per match id, whatever the order of arrival; ``matches`` may be a stream.
+
+    Of records that differ the one with the smallest hash of its content is kept.
+    Records without an id are left out.
+    """
+    columns = matches.columns
+    order = content_hash(matches)
+    known = matches.where("match_id IS NOT NULL")
+    return known.groupBy("match_id").agg(F.min_by(F.struct(*columns), order).alias("m")).select("m.*")
+
+
+def first_match_records(matches: DataFrame) -> DataFrame:
+    """The preferred record of each match id, and all records without an id, which are no versions of each other."""
+    return preferred_records(matches).unionByName(matches.where("match_id IS NULL"))
 
 
 def match_team_ids(matches: DataFrame) -> DataFrame:
@@ -163,14 +202,16 @@ def match_team_ids(matches: DataFrame) -> DataFrame:
 
 
 _STARTS = ", ".join(f"'{period}', {second}" for period, second in PERIOD_START.items())
-_OFFSET = f"bigint(round((coalesce(map({_STARTS})[period], 0) + coalesce(event_sec, 0D)) * 1e6D))"
+# NULL for seconds beyond all time; such an event has no time and bounds no span.
+_OFFSET = f"try_cast(round((coalesce(map({_STARTS})[period], 0) + coalesce(event_sec, 0D)) * 1e6D) AS BIGINT)"
+_INSTANT = "if(abs({offset}) < 4000000000000000, timestamp_micros(unix_micros(kickoff) + {offset}), NULL)"
 
 
 def with_event_time(events: DataFrame, matches: DataFrame) -> DataFrame:
     """Add ``event_ts`` = kickoff + period start + seconds into the period."""
     kickoffs = matches.select("match_id", "kickoff", "match_day")
     return events.join(kickoffs, "match_id").selectExpr(
-        "*", f"timestamp_micros(unix_micros(kickoff) + {_OFFSET}) AS event_ts"
+        "*", f"{_INSTANT.format(offset=_OFFSET)} AS event_ts"
     )
 
 
@@ -182,8 +223,7 @@ def match_spans(events: DataFrame, matches: DataFrame) -> DataFrame:
     offsets = events.selectExpr("match_id", f"{_OFFSET} AS offset").groupBy("match_id").agg(
         F.expr("count(1) AS events"), F.expr("min(offset) AS first"), F.expr("max(offset) AS last")
     )
-    kickoff = "unix_micros(kickoff)"
     return offsets.join(matches.select("match_id", "kickoff"), "match_id").selectExpr(
         "match_id", "events",
-        f"timestamp_micros({kickoff} + first) AS first_ts", f"timestamp_micros({kickoff} + last) AS last_ts",
+        f"{_INSTANT.format(offset='first')} AS first_ts", f"{_INSTANT.format(offset='last')} AS last_ts",
     )

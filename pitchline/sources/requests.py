@@ -25,9 +25,9 @@ def normalise(raw: DataFrame, req_id: Column) -> DataFrame:
 
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:
-    """Multi-line JSON documents, one request per file; the file name is the id."""
+    """Multi-line JSON documents, one request per file; the full path of the file is the id."""
     raw = spark.read.schema(schemas.REQUESTS).option("multiLine", True).json(path)
-    return normalise(raw, F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+    return normalise(raw, F.col("_metadata.file_path"))
 
 
 def parse_requests(documents: DataFrame) -> DataFrame:

@@ -22,6 +22,9 @@ TEAMS = 20
 # Match id = day * DAY_BASE + bucket; leaves room for 22 billion users.
 DAY_BASE = 1_000_000_000
 
+# Matches of these days have a date but no readable time.
+UNTIMED = f"match_id div {DAY_BASE} % 6 = 4"
+
 EVENT_CODES = {"click": 8, "view": 1, "purchase": 10, "error": 2, "signup": 3}
 
 
@@ -94,6 +97,11 @@ def event_line(df: DataFrame) -> DataFrame:
     )
 
 
+def day_of(match_id: str) -> str:
+    """Day of a match of these tables, as an SQL expression."""
+    return f"date_add(DATE '{FIRST_DAY}', int({match_id} div {DAY_BASE}))"
+
+
 def counts(raw: DataFrame) -> DataFrame:
     """Counters per (match, player), sentinel included; the squads need it."""
     return count_by_player(event_facts(events(raw)))
@@ -161,13 +169,13 @@ def matches(counted: DataFrame) -> DataFrame:
     )
     games = played.selectExpr(
         "*", f"match_id % {DAY_BASE} AS bucket", f"match_id div {DAY_BASE} AS day",
-        f"date_add(DATE '{FIRST_DAY}', int(match_id div {DAY_BASE})) AS match_day",
+        f"{day_of('match_id')} AS match_day",
     )
     home, away = _team_of("2 * bucket"), _team_of("2 * bucket + 1")
     return games.join(squads, "bucket").selectExpr(
         "match_id",
         "if(day % 5 <> 0, 'Played', 'Suspended') AS status",
-        "timestamp_seconds(bigint(unix_date(match_day)) * 86400 + 15 * 3600) AS kickoff",
+        f"if({UNTIMED}, NULL, timestamp_seconds(bigint(unix_date(match_day)) * 86400 + 15 * 3600)) AS kickoff",
         "match_day",
         "string(match_day) AS date",
         "concat('B', bucket, ' day ', day) AS label",
@@ -186,7 +194,7 @@ def match_line(typed: DataFrame) -> DataFrame:
         formation = f"named_struct('substitutions', {substitutions}, 'lineup', t.lineup, 'bench', t.bench)"
         entry = f"struct(string(t.team_id), named_struct('formation', {formation}))"
         return (
-            "to_json(named_struct('wyId', match_id, 'status', status, 'dateutc', concat(date, ' 15:00:00'),"
+            f"to_json(named_struct('wyId', match_id, 'status', status, 'dateutc', concat(date, if({UNTIMED}, ' 25:61:00', ' 15:00:00')),"
             " 'label', label, 'duration', duration, 'winner', winner, 'venue', venue, 'gameweek', gameweek,"
             f" 'teamsData', map_from_entries(transform(teams, t -> {entry}))))"
         )
@@ -197,7 +205,7 @@ def match_line(typed: DataFrame) -> DataFrame:
 
 def mixed_lines(raw: DataFrame) -> DataFrame:
     """One line per event: event and match records, records that are both or
-    neither, null keys and lines that are no object."""
+    neither, null keys, and lines that are no object or more than one."""
     return raw.selectExpr(
         """CASE WHEN event_id % 97 = 0 THEN concat('junk{', event_id)
                 WHEN event_id % 89 = 0 THEN concat('[', event_id, ']')
@@ -205,6 +213,9 @@ def mixed_lines(raw: DataFrame) -> DataFrame:
                 WHEN event_id % 79 = 0 THEN concat('{"wyId":null,"label":"', event_id, '"}')
                 WHEN event_id % 73 = 0 THEN concat('{"wyId":', event_id, ',"eventId":null,"id":', event_id, '}')
                 WHEN event_id % 71 = 0 THEN concat('{"other":{"eventId":1,"wyId":2},"id":', event_id, '}')
+                WHEN event_id % 67 = 0 THEN concat('{"eventId":8,"id":', event_id, '} trailing')
+                WHEN event_id % 61 = 0 THEN concat('{"eventId":8,"id":', event_id, '}{"eventId":9}')
+                WHEN event_id % 59 = 0 THEN concat('{"wyId":', event_id, '},{"wyId":1}')
                 WHEN event_id % 11 = 0 THEN concat('{"wyId":', event_id, '}')
                 ELSE concat('{"eventId":8,"id":', event_id, '}') END AS value"""
     )

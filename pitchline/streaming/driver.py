@@ -7,9 +7,9 @@ arrives in order these are the partitions of one day. The result equals the
 batch composition over all lines read so far, wherever the batches are cut and
 in whatever order records arrive.
 
-Every write replaces whole partitions, and merged counters carry the number of
-the last micro-batch they include, so a micro-batch repeated after a failure
-gives the same tables.
+Counters and records are only ever added, in partitions of their micro-batch; the
+tables derived from them are replaced by whole days. A micro-batch repeated after
+a failure gives the same tables, wherever it stopped.
 """
 
 from __future__ import annotations
@@ -20,53 +20,78 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pitchline.operators import chemistry, lineup, ratings, stats, summary
 from pitchline.operators.facts import event_facts
+from pitchline.settings import TIMELINE, materialize
 from pitchline.sources import lines as line_source
 from pitchline.sources.catalog import PLAYER_BUCKETS, Catalog
 
 TRIGGER = "5 seconds"
 
-_LATEST = "max_by(rating, struct(kickoff, match_id))"
+_LATEST = f"max_by(rating, struct({', '.join(TIMELINE)}))"
+
+
+def current_records(catalog: Catalog, since=None) -> DataFrame:
+    """The preferred record of every match stored so far, by the rule of the batch run."""
+    records = line_source.first_match_records(catalog.read("match_record").drop("batch_id"))
+    return records if since is None else records.where(f"match_day >= DATE '{since}'")
 
 
 def _store_records(catalog: Catalog, routed: line_source.Routed, batch_id: int) -> None:
-    # The first record of a match wins; records of this batch are left out of
-    # the comparison so that a repeated batch stores the same rows.
-    known = catalog.read("match_record").where(f"batch_id < {batch_id}").select("match_id")
-    records = line_source.first_match_records(line_source.parse_matches(routed.matches))
-    catalog.write(
-        "match_record",
-        records.join(known, "match_id", "left_anti").selectExpr("*", f"{batch_id}L AS batch_id"),
-    )
+    # Every version of a record is kept; readers pick the preferred one. Versions
+    # that earlier batches stored are left out, those of this batch are not, so
+    # that a repeated batch stores the same rows.
+    records = line_source.parse_matches(routed.matches)
+    records = records.withColumn("content", line_source.content_hash(records)).dropDuplicates(["match_id", "content"])
+    stored = catalog.read("match_record").where(f"batch_id < {batch_id}").drop("batch_id")
+    known = stored.select(F.col("match_id").alias("_id"), line_source.content_hash(stored).alias("_content"))
+    same = F.col("match_id").eqNullSafe(F.col("_id")) & (F.col("content") == F.col("_content"))
+    fresh = records.join(known, same, "left_anti")
+    catalog.write("match_record", fresh.selectExpr("* EXCEPT (content)", f"{batch_id}L AS batch_id"))
     catalog.write("dead_letter", routed.dead_letters.selectExpr("value", f"{batch_id}L AS batch_id"))
 
 
 def _first_touched_day(catalog: Catalog, partial: DataFrame, batch_id: int):
     """First match day with new events or records; None if nothing can be rated.
 
+    All stored versions of a touched match count, since a new version may move it.
     Events of matches without a record are put aside until it arrives.
     """
-    records = catalog.read("match_record").select("match_id", "match_day", "batch_id")
+    versions = catalog.read("match_record").select("match_id", "match_day", "batch_id")
     catalog.write(
         "orphan_count",
-        partial.join(records, "match_id", "left_anti").selectExpr("*", f"{batch_id}L AS batch_id"),
+        partial.join(versions, "match_id", "left_anti").selectExpr("*", f"{batch_id}L AS batch_id"),
     )
-    ids = partial.select("match_id").distinct().withColumn("counted", F.lit(True))
-    touched = records.join(ids, "match_id", "left").where(f"counted OR batch_id = {batch_id}")
-    return touched.selectExpr("min(match_day) AS day").first()["day"]
+    touched = partial.select("match_id").unionByName(versions.where(f"batch_id = {batch_id}").select("match_id")).distinct()
+    return versions.join(touched, "match_id", "left_semi").agg(F.min("match_day").alias("day")).first()["day"]
+
 
+def _store_counts(catalog: Catalog, partial: DataFrame, batch_id: int) -> None:
+    """Append this micro-batch's counters, and those that waited for its records.
 
-def _merge_counts(catalog: Catalog, partial: DataFrame, records: DataFrame, day, batch_id: int) -> None:
-    """Bring the counters of the days from ``day`` on up to this micro-batch."""
-    stored = catalog.read("player_count").where(f"match_day >= DATE '{day}'").drop("match_day")
-    arrived = records.where(f"batch_id = {batch_id}").select("match_id")
+    Nothing stored is read back and replaced: a micro-batch writes partitions of
+    its own, and a repeated one writes the same.
+    """
+    versions = catalog.read("match_record").groupBy("match_id").agg(F.min("match_day").alias("match_day"), F.min("batch_id").alias("first_batch"))
     waiting = catalog.read("orphan_count").where(f"batch_id < {batch_id}").drop("batch_id")
-    fresh = partial.join(records.select("match_id"), "match_id", "left_semi").unionByName(
-        waiting.join(arrived, "match_id", "left_semi")
-    )
-    done = stored.where(f"upto_batch >= {batch_id}").select("match_id").distinct()
-    fresh = fresh.join(done, "match_id", "left_anti").selectExpr("*", f"{batch_id}L AS upto_batch")
-    merged = stats.merge_counts(stored.unionByName(fresh), "max(upto_batch) AS upto_batch")
-    catalog.write("player_count", merged.join(records.select("match_id", "match_day"), "match_id"))
+    arrived = versions.where(f"first_batch = {batch_id}").select("match_id")
+    fresh = partial.unionByName(waiting.join(arrived, "match_id", "left_semi"))
+    catalog.write("player_count", fresh.join(versions.drop("first_batch"), "match_id").selectExpr("*", f"{batch_id}L AS batch_id"))
+
+
+def _drop_orphans(catalog: Catalog, batch_id: int) -> None:
+    """Remove put-aside partitions all of whose matches got a record in finished batches."""
+    orphans = catalog.read("orphan_count").where(f"batch_id < {batch_id}")
+    recorded = catalog.read("match_record").where(f"batch_id < {batch_id}").select("match_id").distinct()
+    waiting = orphans.join(recorded, "match_id", "left_anti").select("batch_id").distinct()
+    for row in orphans.select("batch_id").distinct().join(waiting, "batch_id", "left_anti").collect():
+        catalog.drop_partition("orphan_count", f"batch_id={row['batch_id']}")
+
+
+def _counts(catalog: Catalog, since=None) -> DataFrame:
+    """Counters per (match, player) of matches with a record, merged over the micro-batches."""
+    stored = catalog.read("player_count")
+    if since is not None:
+        stored = stored.where(f"match_day >= DATE '{since}'")
+    return stats.merge_counts(stats.assigned(stored.drop("match_day", "batch_id")))
 
 
 def _seeds(catalog: Catalog, players: DataFrame, day) -> DataFrame:
@@ -102,7 +127,8 @@ def _store_state(catalog: Catalog, rows: DataFrame, seeds: DataFrame) -> None:
     ``rows`` are all participations of these players from the first touched day
     on, ``seeds`` their standing before it.
     """
-    dated = rows.selectExpr("*", "max(match_day) OVER (PARTITION BY player_id) AS last_day")
+    last = rows.groupBy("player_id").agg(F.max("match_day").alias("last_day"))
+    dated = rows.join(last, "player_id")
     fresh = (
         dated.groupBy("player_id", "last_day")
         .agg(
@@ -120,56 +146,55 @@ def _store_state(catalog: Catalog, rows: DataFrame, seeds: DataFrame) -> None:
             "coalesce(after, seed_rating) AS rating_after",
             f"int(pmod(player_id, {PLAYER_BUCKETS})) AS player_bucket",
         )
-        .persist()
     )
-    try:
-        buckets = [r[0] for r in fresh.select("player_bucket").distinct().collect()]
-        stored = catalog.read("player_state")
-        kept = stored.where(stored.player_bucket.isin(buckets)).join(fresh.select("player_id"), "player_id", "left_anti")
-        catalog.write("player_state", kept.unionByName(fresh))
-    finally:
-        fresh.unpersist()
+    fresh = materialize(fresh, "standings")
+    buckets = [r[0] for r in fresh.select("player_bucket").distinct().collect()]
+    stored = catalog.read("player_state")
+    kept = stored.where(stored.player_bucket.isin(buckets)).join(fresh.select("player_id"), "player_id", "left_anti")
+    catalog.write("player_state", materialize(kept.unionByName(fresh), "standings"))
 
 
 def _refresh(catalog: Catalog, records: DataFrame, day, minutes_mode: str) -> None:
     """Rewrite ratings, chemistry and standings of every match day from ``day`` on."""
     since = f"match_day >= DATE '{day}'"
-    measured = stats.with_ratios(stats.assigned(catalog.read("player_count").where(since)))
-    played = ratings.participations(measured, lineup.appearances(records, minutes_mode)).persist()
-    seeds = _seeds(catalog, played.select("player_id").distinct(), day).persist()
-    try:
-        history = ratings.player_ratings(ratings.match_ratings(played, seeds), seeds).select(
-            "match_id", "player_id", "prior_matches", "match_rating", "rating", "rating_change"
-        )
-        rows = played.select("match_id", "kickoff", "player_id", "team_id", "minutes", "match_day").join(
-            history, ["match_id", "player_id"], "left"
-        )
-        catalog.write("player_match", rows)
-        written = catalog.read("player_match").where(since)
-        updates = chemistry.pair_updates(written.where("rating IS NOT NULL"), keep_unchanged=True)
-        catalog.write("pair_day", chemistry.fold_days(updates))
-        _store_state(catalog, written, seeds)
-    finally:
-        seeds.unpersist()
-        played.unpersist()
+    measured = stats.with_ratios(_counts(catalog, day))
+    played = materialize(ratings.participations(measured, lineup.appearances(records, minutes_mode)), "participations")
+    seeds = materialize(_seeds(catalog, played.select("player_id").distinct(), day), "seeds")
+    rated = materialize(ratings.match_ratings(played, seeds), "match_ratings")
+    history = ratings.player_ratings(rated, seeds).select(
+        "match_id", "player_id", "prior_matches", "match_rating", "rating", "rating_change"
+    )
+    rows = played.select("match_id", "kickoff", "player_id", "team_id", "minutes", "match_day").join(
+        history, ["match_id", "player_id"], "left"
+    )
+    catalog.write("player_match", rows)
+    _drop_empty_days(catalog, records, since)
+    written = catalog.read("player_match").where(since)
+    updates = chemistry.pair_updates(written.where("rating IS NOT NULL"), keep_unchanged=True)
+    catalog.write("pair_day", chemistry.fold_days(updates))
+    _store_state(catalog, written, seeds)
+
+
+def _drop_empty_days(catalog: Catalog, records: DataFrame, since: str) -> None:
+    """Remove the days that a new version of a record has left without a match."""
+    days = catalog.read("player_match").where(since).select("match_day").distinct()
+    for row in days.join(records.select("match_day"), "match_day", "left_anti").collect():
+        for name in ("player_match", "pair_day"):
+            catalog.drop_partition(name, f"match_day={row['match_day']}")
 
 
 def process_batch(
     catalog: Catalog, lines: DataFrame, batch_id: int, minutes_mode: str = lineup.ON_FIELD
 ) -> None:
     """Take one micro-batch of lines into the tables."""
-    lines = lines.persist()
-    partial = stats.count_by_player(event_facts(line_source.read_events(lines))).persist()
-    try:
-        _store_records(catalog, line_source.route_records(lines), batch_id)
-        day = _first_touched_day(catalog, partial, batch_id)
-        if day is not None:
-            records = catalog.read("match_record").where(f"match_day >= DATE '{day}'")
-            _merge_counts(catalog, partial, records, day, batch_id)
-            _refresh(catalog, records, day, minutes_mode)
-    finally:
-        partial.unpersist()
-        lines.unpersist()
+    kinds = line_source.split_by_kind(lines)
+    partial = materialize(stats.count_by_player(event_facts(line_source.parse_events(kinds.events))), "partial_counts")
+    _store_records(catalog, kinds, batch_id)
+    day = _first_touched_day(catalog, partial, batch_id)
+    if day is not None:
+        _store_counts(catalog, partial, batch_id)
+        _refresh(catalog, current_records(catalog, day), day, minutes_mode)
+    _drop_orphans(catalog, batch_id)
 
 
 def run_stream(
@@ -212,8 +237,7 @@ def player_match_stats(catalog: Catalog) -> DataFrame:
     """Of all events so far, those of matches without a record included."""
     recorded = catalog.read("match_record").select("match_id")
     waiting = catalog.read("orphan_count").join(recorded, "match_id", "left_anti").drop("batch_id")
-    counted = catalog.read("player_count").drop("match_day", "upto_batch").unionByName(waiting)
-    return stats.with_ratios(stats.merge_counts(stats.assigned(counted)))
+    return stats.with_ratios(stats.merge_counts(_counts(catalog).unionByName(stats.assigned(waiting))))
 
 
 def player_profiles(catalog: Catalog) -> DataFrame:
@@ -227,7 +251,7 @@ def edges(catalog: Catalog) -> DataFrame:
 
 
 def match_summaries(catalog: Catalog) -> DataFrame:
-    return summary.match_summaries(catalog.read("match_record").drop("batch_id"))
+    return summary.match_summaries(current_records(catalog))
 
 
 RESULTS = {
@@ -242,8 +266,7 @@ RESULTS = {
 
 def publish(catalog: Catalog, version: int, fmt: str = "parquet") -> None:
     """Write every result as a new snapshot version."""
-    for name, result in RESULTS.items():
-        catalog.write_snapshot(name, result(catalog), version, fmt)
+    catalog.publish({name: result(catalog) for name, result in RESULTS.items()}, version, fmt)
 
 
 def open_catalog(spark: SparkSession, root: str) -> Catalog:

@@ -83,7 +83,7 @@ def _rated(spark, steps):
     )
 
 
-@pytest.mark.parametrize("chunk_days", [None, 1, 28])
+@pytest.mark.parametrize("chunk_days", [1, 28])
 def test_rating_recurrence(spark, chunk_days):
     rows = ratings.player_ratings(_rated(spark, [(0.859494, 0, 3), (0.728250, 1, 3)]), chunk_days=chunk_days)
     first, second = rows.orderBy("match_id").collect()
@@ -91,7 +91,7 @@ def test_rating_recurrence(spark, chunk_days):
     assert (second.rating, second.rating_change) == pytest.approx((0.793872, -0.065622))
 
 
-@pytest.mark.parametrize("chunk_days", [None, 1, 30])
+@pytest.mark.parametrize("chunk_days", [1, 30])
 def test_general_fold_with_gaps_and_reset(spark, chunk_days):
     rows = ratings.player_ratings(_rated(spark, [(0.6, 0, 3), (0.7, 1, 3), (0.2, 5, 3), (0.9, 0, 3), (0.5, 3, 3)]), chunk_days=chunk_days)
     values = [r.rating for r in rows.orderBy("match_id").collect()]
@@ -137,13 +137,6 @@ def test_unchanged_players_have_no_update(spark):
     assert len(kept) == 6 and sum(r.n for r in kept) == 1
 
 
-def test_edge_lookup_in_either_order(spark):
-    edges = spark.createDataFrame([(4, 9, 0.7)], "player_lo BIGINT, player_hi BIGINT, chemistry DOUBLE")
-    pairs = spark.createDataFrame([(9, 4), (4, 9), (4, 5)], "player_a BIGINT, player_b BIGINT")
-    found = {(r.player_a, r.player_b): r.chemistry for r in chemistry.lookup(pairs, edges).collect()}
-    assert found == {(9, 4): 0.7, (4, 9): 0.7, (4, 5): 0.5}
-
-
 def _appearances(spark, status, mode=lineup.ON_FIELD):
     subs = [
         {"playerIn": 8, "playerOut": 2, "minute": 60},

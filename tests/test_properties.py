@@ -6,7 +6,7 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from records import lines, season
+from records import event, formation, lines, match, member, season
 
 from pitchline.operators import stats
 from pitchline.operators.facts import event_facts
@@ -56,36 +56,43 @@ def _by_hand(steps):
 def test_scans_equal_the_recurrence(spark, steps):
     df = _timeline(spark, steps)
     expected, final = _by_hand(steps)
-    for chunk in (None, "chunk"):
-        got = affine_history(df, ["k"], ["day", "i"], "x0", "old", "new", chunk)
-        counted = prefix_count(got, ["k"], ["day", "i"], "n", chunk)
-        rows = {r.i: (r.old, r.new, r.n) for r in counted.collect()}
-        assert rows.keys() == expected.keys()
-        for i, (old, new, n) in rows.items():
-            assert (old, new) == pytest.approx(expected[i][:2], abs=1e-9)
-            assert n == expected[i][2]
+    got = affine_history(df, ["k"], ["day", "i"], "x0", "old", "new", "chunk")
+    counted = prefix_count(got, ["k"], ["day", "i"], "n", "chunk")
+    rows = {r.i: (r.old, r.new, r.n) for r in counted.collect()}
+    assert rows.keys() == expected.keys()
+    for i, (old, new, n) in rows.items():
+        assert (old, new) == pytest.approx(expected[i][:2], abs=1e-9)
+        assert n == expected[i][2]
     folded = affine_fold(affine_fold(df, ["k", "chunk"], ["day", "i"]), ["k"], ["chunk"])
     assert {r.k: r.a * 0.5 + r.b for r in folded.collect()} == pytest.approx(final, abs=1e-9)
 
 
-def test_split_timelines_give_the_same_results(spark):
-    source = lines(spark, season(days=8))
-    whole, split = Gold.from_lines(source), Gold.from_lines(source, timeline_limit=0, chunk_days=3)
-    assert whole.chunk_days is None and split.chunk_days == 3
-    for name in ("rating_history", "chemistry"):
-        one, two = getattr(whole, name), getattr(split, name)
-        keys = ["match_id", "player_id"] if name == "rating_history" else ["player_lo", "player_hi"]
-        value = "rating" if name == "rating_history" else "chemistry"
-        a = {tuple(r[k] for k in keys): r[value] for r in one.collect()}
-        b = {tuple(r[k] for k in keys): r[value] for r in two.collect()}
+def test_chunk_size_does_not_change_results(spark):
+    """Records without a readable time sort first within their day, in chunks of any size."""
+    records = season(days=6)
+    for r in records:
+        if r.get("wyId", 0) // 100 in (2, 5):
+            r["dateutc"] = r["dateutc"][:10] + " 25:61:00"
+    source = lines(spark, records)
+    one, two = (Gold.from_lines(source, chunk_days=days) for days in (2, 400))
+    for name, keys, value in (("rating_history", ("match_id", "player_id"), "rating"), ("chemistry", ("player_lo", "player_hi"), "chemistry")):
+        a, b = ({tuple(r[k] for k in keys): r[value] for r in getattr(gold, name).collect()} for gold in (one, two))
         assert a == pytest.approx(b, abs=1e-12)
         assert len(a) > 20
 
 
+def test_unreadable_time_keeps_its_day(spark):
+    teams = {"1": formation([member(1)]), "2": formation([member(2)])}
+    dates = ["2018-02-01 15:00:00", "2018-04-02 25:61:00", "2018-05-01 15:00:00"]
+    source = lines(spark, [match(k + 1, teams, d) for k, d in enumerate(dates)] + [event(8, [1801], 1, k + 1, 1, number=k) for k in range(3)])
+    history = Gold.from_lines(source, chunk_days=7).rating_history
+    assert {r.match_id: r.prior_matches for r in history.where("player_id = 1").collect()} == {1: 0, 2: 1, 3: 2}
+
+
 def test_running_mean_is_the_recurrence_when_every_match_is_rated(spark):
     gold = Gold.from_lines(lines(spark, season(days=6)))
     sums = {}
-    rated = gold.match_ratings.orderBy("kickoff", "match_id").collect()
+    rated = gold.match_ratings.orderBy("match_day", "kickoff", "match_id").collect()
     every = {r.player_id for r in rated}
     gaps = {r.player_id for r in gold.participations.where("pass_accuracy IS NULL").collect()}
     history = {(r.player_id, r.match_id): r.rating for r in gold.rating_history.collect()}

