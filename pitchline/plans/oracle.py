@@ -217,6 +217,9 @@ _cte("profiles", ("stats",), f"""
            {ratio('sum(pass_num)', 'sum(pass_tot)')} AS pass_accuracy
     FROM stats GROUP BY player_id""")
 
+_cte("filed", (), """
+    SELECT min(c_name) AS name FROM customer GROUP BY c_mktsegment UNION ALL SELECT n_name FROM nation""")
+
 _cte("named", (), """
     SELECT c_custkey AS req_id, c_name AS name FROM customer
     UNION ALL SELECT -1 - min(c_custkey), c_mktsegment FROM customer GROUP BY c_mktsegment""")
@@ -349,6 +352,17 @@ ORACLE: dict[str, str] = {
             {r6('p.shots_target_avg')} AS percent_shots_on_target,
             CASE WHEN r.Id IS NULL THEN 'unknown player' WHEN p.player_id IS NULL THEN 'no profile' END AS error
             FROM named n LEFT JOIN roles r ON r.name = n.name LEFT JOIN profiles p ON p.player_id = r.Id""", "named", "roles", "profiles"),
+    "stored_profile_answer": _statement(
+        f"""SELECT r.Id, n.name, r.role, p.fouls, p.goals, p.own_goals, {r6('p.pass_accuracy')} AS percent_pass_accuracy,
+            {r6('p.shots_target_avg')} AS percent_shots_on_target,
+            CASE WHEN r.Id IS NULL THEN 'unknown player' WHEN p.player_id IS NULL THEN 'no profile' END AS error
+            FROM filed n LEFT JOIN roles r ON r.name = n.name LEFT JOIN profiles p ON p.player_id = r.Id""", "filed", "roles", "profiles"),
+    "stored_match_rate_answer": _statement(
+        f"""SELECT n.name, {r6('10 * l.mr')} AS performance,
+            CASE WHEN r.Id IS NULL THEN 'unknown player' WHEN l.player_id IS NULL THEN 'no match rating' END AS error
+            FROM filed n LEFT JOIN roles r ON r.name = n.name
+            LEFT JOIN (SELECT * FROM rated QUALIFY row_number() OVER (PARTITION BY player_id ORDER BY nth DESC) = 1) l
+              ON l.player_id = r.Id""", "filed", "roles", "rated"),
     "match_rate_answer": _statement(
         f"""SELECT n.req_id, n.name, {r6('10 * l.mr')} AS performance,
             CASE WHEN r.Id IS NULL THEN 'unknown player' WHEN l.player_id IS NULL THEN 'no match rating' END AS error

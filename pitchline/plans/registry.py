@@ -18,7 +18,7 @@ from pitchline.operators.facts import COUNTERS, event_facts
 from pitchline.plans.gold import Gold
 from pitchline.settings import materialize, scratch_path
 from pitchline.sources import dimensions, lines, requests, warehouse
-from pitchline.sources.catalog import Catalog
+from pitchline.sources.catalog import Catalog, write_responses
 from pitchline.streaming import driver, stateful
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -364,6 +364,45 @@ def match_rate_answer(spark, sf_dir):
     return answers.rating_answers(_name_requests(spark, sf_dir), players(spark, sf_dir), latest)
 
 
+def _published(spark, sf_dir, root):
+    """Dimensions as CSV, requests as JSON documents and the results as a snapshot, as a second program finds them."""
+    players(spark, sf_dir).write.option("header", True).csv(f"{root}/players")
+    teams(spark, sf_dir).write.option("header", True).csv(f"{root}/teams")
+    customer = warehouse.table(spark, sf_dir, "customer")
+    names = customer.groupBy("c_mktsegment").agg(F.min("c_name").alias("name")).select("name").unionByName(teams(spark, sf_dir).select("name"))
+    asked = names.select(F.explode(F.array(F.lit(2), F.lit(4))).alias("req_type"), "name")
+    # a folder, hence a file, for each request
+    asked.select(F.md5(F.concat_ws("/", "req_type", "name")).alias("request"), F.to_json(F.struct("req_type", "name")).alias("value")).write.partitionBy(
+        "request"
+    ).text(f"{root}/requests")
+    catalog = Catalog(spark, f"{root}/store")
+    Gold.from_warehouse(spark, sf_dir).publish(catalog, 1)
+    return catalog
+
+
+def _stored_answers(spark, sf_dir, kind):
+    root = scratch_path(spark, "published")
+    catalog = _published(spark, sf_dir, root)
+    answered = catalog.answer(
+        requests.read_requests(spark, f"{root}/requests/*"),
+        dimensions.read_players(spark, f"{root}/players"), dimensions.read_teams(spark, f"{root}/teams"),
+    )
+    write_responses({kind: answered[kind]}, f"{root}/answers")
+    return spark.read.schema(answered[kind].schema).json(f"{root}/answers/{kind}").drop("req_id")
+
+
+@query
+def stored_profile_answer(spark, sf_dir):
+    """Profiles answered from published results, for request files, and read back from the responses."""
+    return _stored_answers(spark, sf_dir, "profile")
+
+
+@query
+def stored_match_rate_answer(spark, sf_dir):
+    """Last match performance answered from published results in the same way."""
+    return _stored_answers(spark, sf_dir, "match_rate")
+
+
 def _match_answers(spark, sf_dir):
     summaries = materialize(_summaries(spark, sf_dir), "match_summaries")
     asked = summaries.select(F.col("match_id").alias("req_id"), "date", "label")
