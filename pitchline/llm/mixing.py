@@ -108,14 +108,14 @@ def mix(
         .join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("bucket") == F.col("_bucket")))
         .withColumn("at", F.col("offset") + F.col("_inside"))
     )
-    times = F.coalesce(F.floor(F.col("target") / F.col("source_size")), F.lit(0)).cast("long")
+    times = F.coalesce(F.floor(F.try_divide(F.col("target"), F.col("source_size").cast("double"))), F.lit(0)).cast("long")
     cut = F.floor(F.col("target") - F.col("_times") * F.col("source_size") + 0.5).cast("long")
     part = F.least(F.col("size"), F.greatest(F.lit(0).cast("long"), cut - F.col("at")))
     copies = F.when(F.col("size") > 0, F.col("_times") + (F.col("_part") > 0).cast("long")).otherwise(0)
 
     def position(j: Column) -> Column:
         length = F.when(j < F.col("_times"), F.col("size")).otherwise(F.col("_part"))
-        share = (j * F.col("source_size") + F.col("at") + length / 2) / F.col("target")
+        share = F.try_divide(j * F.col("source_size") + F.col("at") + length / 2, F.col("target"))
         return when_demanded(F.least(F.lit(1.0), share), F.col("slope"))
 
     return (
@@ -137,6 +137,6 @@ def mix(
     )
 
 
-def in_training_order(mixed: DataFrame) -> DataFrame:
+def in_training_order(mixed: DataFrame, position: str = "position") -> DataFrame:
     """Rows range-sorted by the position of their first copy."""
-    return mixed.orderBy(F.col("position").asc_nulls_last(), "doc_id")
+    return mixed.orderBy(F.col(position).asc_nulls_last(), "doc_id")

@@ -136,7 +136,9 @@ def test_pipeline_keeps_what_is_clean(spark, tmp_path):
     spark.createDataFrame([(*r, 1, 2, 0.5, 3) for r in rows], schema).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(0, " ".join(item))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     out = corpus_pipeline.run(spark, str(tmp_path))
-    ids = sorted(r.doc_id for r in out.collect())
+    rows_out = out.collect()
+    assert {(r.n_chars, r.size, r.position, r.keep) for r in rows_out} == {(1, 2, 0.5, 3)}  # columns of the table stay as they are
+    ids = sorted(r.doc_id for r in rows_out)
     # of equal texts the one with more characters stays, then the smaller id
     assert ids == sorted([k for k in range(40) if k != 3] + [100, 103])
     docs_in = spark.read.parquet(f"{tmp_path}/documents.parquet")
