@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchline.llm.common import sample_rate, uniform
+from pitchline.llm.common import sample_rate, small_batches, uniform
 
 #: The pre-token pattern of byte-level BPE as the library applies it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -71,15 +71,14 @@ def special_strings(path: str) -> list[str]:
         return sorted((t["content"] for t in json.load(f)["added_tokens"]), key=len, reverse=True)
 
 
-_COUNTERS: dict[tuple, TokenCounter] = {}
+_COUNTERS: dict[str, TokenCounter] = {}
 
 
 def _counter(path: str, table) -> TokenCounter:
-    key = (path, getattr(table, "id", None))
-    if key not in _COUNTERS:
-        _COUNTERS.clear()
-        _COUNTERS[key] = TokenCounter(path, table.value)
-    return _COUNTERS[key]
+    """This worker's counter for a tokenizer; one made with an earlier table counts the same."""
+    if path not in _COUNTERS:
+        _COUNTERS[path] = TokenCounter(path, table.value)
+    return _COUNTERS[path]
 
 
 def frequent_table(docs: DataFrame, path: str, id_col: str, text_col: str, sample_docs: int, sample_bytes: int, table_size: int) -> dict[str, int]:
@@ -113,7 +112,7 @@ def token_counts(
         return texts.map(lambda t: counter.count(t) if t else 0)
 
     text = F.col(text_col)
-    return docs.select(
+    return small_batches(docs).select(
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
         n_tokens(text).alias("n_tokens"),
