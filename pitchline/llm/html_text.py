@@ -35,6 +35,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchline.llm.url_filter import host_of
+from pitchline.settings import materialize_counted
+
+#: Hosts of over a chunk of pages that are broadcast at most; each is a name and a number.
+MOST_BROADCAST = 500_000
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)>|[^<]+|<", re.S
@@ -63,7 +67,7 @@ _CONTENT = frozenset(("article", "main"))
 
 
 class Page:
-    """Tokens of one page: (name, text or None, kept) with names interned."""
+    """Tokens of one page: (name, text or None for a tag, outside dropped elements, inside an article)."""
 
     __slots__ = ("has_content", "tokens")
 
@@ -247,6 +251,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         .where(F.col("n") > chunk_pages)
         .select(F.col("host").alias("_host"), F.ceil(F.col("n") / chunk_pages).cast("long").alias("chunks"))
     )
+    large, hosts = materialize_counted(large, "html-hosts")
+    if hosts <= MOST_BROADCAST:  # else Spark joins as it sees fit, which shuffles the pages once more
+        large = F.broadcast(large)
     chunk = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("chunks", F.lit(1)))
     dealt = given.join(large, F.col("host") == F.col("_host"), "left").select("page_id", "url", "html", "host", chunk.alias("chunk"))
-    return dealt.groupBy("host", "chunk").applyInArrow(_extract(least_pages), "page_id long, url string, text string, n_chars long")
+    # dealt by host alone, as a join leaves them, all chunks of a host would meet in one task
+    return dealt.repartition("host", "chunk").groupBy("host", "chunk").applyInArrow(_extract(least_pages), "page_id long, url string, text string, n_chars long")
