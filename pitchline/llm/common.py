@@ -15,13 +15,27 @@ from pitchline.settings import materialize
 SPACE = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["SPACE", "WORD", "hashed_words", "held_out", "in_parts", "materialize", "sample_rate", "shingles", "table", "uniform"]
+__all__ = ["SPACE", "WORD", "hashed_words", "held_out", "in_parts", "materialize", "sample_rate", "shingles", "small_batches", "table", "uniform"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of text that a Python worker is handed at once; with few rows a batch stays
+#: small where texts are long.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that hands at most BATCH_ROWS rows to Python at once."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH)) <= BATCH_ROWS:
+        conf.set(_BATCH, str(BATCH_ROWS))
+    return df
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Whether a document is kept out of all learning."""
     return F.crc32(F.col(doc_id).cast("string")) % 4 == 2
@@ -88,7 +102,7 @@ def _hashed(data: np.ndarray, trim: bool) -> tuple[np.ndarray, np.ndarray]:
     return mix((sums[end] - sums[first]) * down[first] + (end - first).astype(np.uint64)), first
 
 
-def hashed_words(texts: list[bytes | None], trim: bool = False, piece: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+def hashed_words(texts: list[bytes | None], trim: bool = False, piece: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of all texts, and where each text's words end.
 
     A-Z are read as a-z. ``trim`` leaves out ASCII marks at both ends of a word, and

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchline.llm.common import hashed_words, in_parts, mix
+from pitchline.llm.common import hashed_words, in_parts, mix, small_batches
 from pitchline.llm.language_id import Lookup
 
 MATCH, OTHER = 2, -1
@@ -176,9 +176,10 @@ def find_matches(
     window: int = 2,
     least: float = 0.5,
     block_bytes: int = 8 << 20,
+    name: str = "matches",
 ) -> DataFrame:
-    """``docs`` with a column ``matches``: the items each document holds."""
-    spark = docs.sparkSession
+    """``docs`` with a column ``name``: the items each document holds."""
+    spark = small_batches(docs).sparkSession
     items = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).cast("binary").alias("text")).where("text IS NOT NULL")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // block_bytes)
@@ -193,7 +194,7 @@ def find_matches(
         rare = spark.sparkContext.broadcast(Seeds(prepared, n, window, df))
         columns.append(_matcher(rare, least)(F.col(text_col)))
     matches = F.concat(*columns) if columns else F.array().cast(_MATCHES)
-    return docs.withColumn("matches", matches)
+    return docs.withColumn(name, matches)
 
 
 def _matcher(shared, least: float):
@@ -211,4 +212,5 @@ def _matcher(shared, least: float):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that hold no item, with their columns."""
-    return find_matches(docs, benchmark, text_col, **options).where(F.size("matches") == 0).select(*docs.columns)
+    found = find_matches(docs, benchmark, text_col, name="_matches", **options)
+    return found.where(F.size("_matches") == 0).select(*docs.columns)

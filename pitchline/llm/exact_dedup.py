@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchline.llm.common import SPACE, materialize
+from pitchline.llm.common import SPACE, materialize, small_batches
 
 FAN_OUT = 16
 _MEMBER = "batch long, slot int, row int, doc_id long, length int, copies long, hash long, content binary"
@@ -202,7 +202,7 @@ def exact_dedup(
 ) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     text = F.col(text_col)
-    given = docs.select(
+    given = small_batches(docs).select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.length(text), F.lit(0)).alias("length"),
         text.cast("binary").alias("content"),

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchline.llm.common import uniform
+from pitchline.llm.common import in_parts, small_batches, uniform
 
 UND = "und"
 _REDUCE = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -184,7 +184,7 @@ def train(
     """Context statistics from the rows where ``learn`` holds."""
     if not 1 <= order <= 6:
         raise ValueError("order must be 1 to 6")
-    rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    rows = small_batches(docs).where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     present = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
     languages = sorted(present)
     rate = F.lit(0.0)
@@ -209,8 +209,8 @@ def train(
 _OUT = "lang_pred string, score double, bits_per_byte double"
 
 
-def identify(docs: DataFrame, model: PpmModel, text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs``, with lang_pred, score and bits_per_byte.
+def identify(docs: DataFrame, model: PpmModel, text_col: str = "text", name: str = "language") -> DataFrame:
+    """``docs`` with a column ``name``, a struct of lang_pred, score and bits_per_byte.
 
     score: the posterior probability of lang_pred under the code lengths and the
     languages' shares in training. bits_per_byte: its code length for a byte.
@@ -226,34 +226,21 @@ def identify(docs: DataFrame, model: PpmModel, text_col: str = "text") -> DataFr
         known = np.array([bool(m.languages) and any(map(str.isalpha, t)) for t in texts], bool)
         best, prob, rate = np.full(len(texts), UND, object), np.zeros(len(texts)), np.zeros(len(texts))
         at = np.flatnonzero(known)
-        for part in _parts([texts[i].encode() for i in at], 4 << 20):
-            bits, coded = m.code_lengths([x for _, x in part])
-            rows = at[[i for i, _ in part]]
+        known = [texts[i].encode() for i in at]
+        for a, b in in_parts(known, 1 << 20):
+            bits, coded = m.code_lengths(known[a:b])
+            rows = at[a:b]
             whole = bits + m.prior_bits
             choice = whole.argmin(axis=1)
             low = whole.min(axis=1)
             best[rows] = np.array(m.languages, object)[choice]
             prob[rows] = 1 / np.exp2(np.maximum(low[:, None] - whole, -1000)).sum(axis=1)
-            rate[rows] = bits[np.arange(len(part)), choice] / np.maximum(coded, 1)
+            rate[rows] = bits[np.arange(b - a), choice] / np.maximum(coded, 1)
         return pd.DataFrame({"lang_pred": best, "score": prob, "bits_per_byte": rate})
 
-    names = [c for c in docs.columns if c not in ("lang_pred", "score", "bits_per_byte")]
-    return docs.select(*names, score(F.col(text_col)).alias("_found")).select(*names, "_found.*")
+    return small_batches(docs).withColumn(name, score(F.col(text_col)))
 
 
-def _parts(texts: list[bytes], most: int) -> Iterator[list[tuple[int, bytes]]]:
-    """Runs of numbered texts of about ``most`` bytes together."""
-    part, size = [], 0
-    for item in enumerate(texts):
-        part.append(item)
-        size += len(item[1])
-        if size >= most:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
-def accepted(found: DataFrame, most_bits: float = 8.0) -> Column:
-    """Rows whose text some language codes in fewer bits than plain bytes take."""
-    return (F.col("lang_pred") != UND) & (F.col("bits_per_byte") < most_bits)
+def accepted(language: Column, most_bits: float = 8.0) -> Column:
+    """Whether some language codes the text in fewer bits than plain bytes take."""
+    return (language["lang_pred"] != UND) & (language["bits_per_byte"] < most_bits)

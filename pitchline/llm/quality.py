@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchline.llm.common import materialize, uniform
+from pitchline.llm.common import materialize, small_batches, uniform
 
 #: ASCII classes: lower, upper, digit, white space, sentence marks, other marks.
 _CLASS = np.full(256, 6)
@@ -158,7 +158,7 @@ def _add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and the statistics x of every row, written once."""
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary"))
+    given = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary"))
     return materialize(given.mapInArrow(_features, "doc_id long, x array<float>"), "quality-features")
 
 

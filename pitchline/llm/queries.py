@@ -28,7 +28,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(docs, ~held_out())
     found = identify(docs.select("doc_id", "text"), model)
-    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", held_out().alias("held_out"), "language.lang_pred", "language.score")
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,17 +34,17 @@ def test_languages_are_told_apart(spark):
     model = train(table, ~held_out())
     assert model.languages == sorted(SYLLABLES)
     odd = [(1000, None), (1001, ""), (1002, "12 !? 34"), (1003, "Ka ko MAMO"), (1004, "\u4e2d\u6587"), (1005, sentence("bb", 7, 40_000)), (1005, sentence("bb", 7, 40_000))]
-    found = identify(docs(spark, rows + odd), model).drop("lang").collect()
+    found = identify(docs(spark, rows + odd), model).select("doc_id", "language.*").collect()
     by_id = {r.doc_id: r for r in found}
     out = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 == 2]
     assert len(out) > 20 and all(by_id[r[0]].lang_pred == r[2] for r in out)
     assert [by_id[k].lang_pred for k in (1000, 1001, 1002)] == ["und"] * 3 and by_id[1000].score == 0
     assert by_id[1003].lang_pred == "aa" and by_id[1004].lang_pred in SYLLABLES and by_id[1005].lang_pred == "bb"
     assert all(0 <= r.score <= 1 for r in found) and len(found) == len(rows) + len(odd)
-    kept = identify(table, model).where(accepted(table))
-    assert kept.count() == len(rows)
+    kept = identify(table, model)
+    assert kept.where(accepted(kept.language)).count() == len(rows) and kept.drop("language").columns == table.columns
     assert identify(docs(spark, []), model).collect() == []
-    assert {r.lang_pred for r in identify(table, train(docs(spark, []), ~held_out())).collect()} == {"und"}
+    assert {r.language.lang_pred for r in identify(table, train(docs(spark, []), ~held_out())).collect()} == {"und"}
 
 
 def test_code_lengths_follow_the_definition():
