@@ -118,7 +118,9 @@ def reputation(outcomes: DataFrame, least: float = 0.5, z: float = 1.645, most:
         .withColumn("suffix", suffix_of(host))
     )
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).withColumn("all", F.lit(1))
+    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    # all suffixes have one parent; as a literal it would make the join a cross join
+    suffixes = suffixes.withColumn("all", F.substring("suffix", 1, 0))
     total = suffixes.agg(F.sum("good"), F.sum("n")).first()
     rate = (total[0] + 1) / (total[1] + 2) if total[1] else 0.5
     by_host = _concentration(hosts.select("host", "domain", "n", "good"), "domain", most)
