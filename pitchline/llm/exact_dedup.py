@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pitchline.llm.common import SPACE, materialize, small_batches
 
 FAN_OUT = 16
-_MEMBER = "batch long, slot int, row int, doc_id long, length int, copies long, hash long, content binary"
+_MEMBER = "batch long, slot int, row int, doc_id long, length int, copies long, hash long, content binary, key long"
 _GROUP = "batch long, slot int, keep_id long, keep_batch long, keep_row int, group_size long, text_sha256 string"
 
 
@@ -103,6 +103,7 @@ def _members(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([copies[s] if s >= 0 else 0 for s in told], pa.int64()),
                 pa.array([found.hashes[s] - (1 << 63) if s >= 0 else None for s in told], pa.int64()),
                 pa.array([found.contents[s] if s >= 0 else None for s in told], pa.binary()),
+                batch.column(3),
             ],
             names=[c.split()[0] for c in _MEMBER.split(", ")],
         )
@@ -199,19 +200,21 @@ def exact_dedup(
     id_col: str = "doc_id",
     text_col: str = "text",
     memory_bytes: int = 128 << 20,
+    key_col: str | None = None,
 ) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, and its ``key`` if a column holds one."""
     text = F.col(text_col)
     given = small_batches(docs).select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.length(text), F.lit(0)).alias("length"),
         text.cast("binary").alias("content"),
+        (F.col(key_col) if key_col else F.lit(None)).cast("long").alias("key"),
     )
     members = materialize(given.mapInArrow(_members, _MEMBER), "dedup-members")
-    firsts = members.where(F.col("content").isNotNull()).repartition("hash")
+    firsts = members.where(F.col("content").isNotNull()).drop("key").repartition("hash")
     groups = firsts.mapInArrow(_grouper(memory_bytes), _GROUP)
     return (
-        members.select("batch", "slot", "row", "doc_id")
+        members.select("batch", "slot", "row", "doc_id", "key")
         .join(groups, ["batch", "slot"])
         .select(
             "doc_id",
@@ -219,5 +222,6 @@ def exact_dedup(
             "group_size",
             ((F.col("batch") == F.col("keep_batch")) & (F.col("row") == F.col("keep_row"))).alias("kept"),
             "text_sha256",
+            *(["key"] if key_col else []),
         )
     )

@@ -79,10 +79,12 @@ def mix(
     weights: tuple[int, ...] = (1, 2, 3),
     slopes: tuple[float, ...] = (-0.5, 0.0, 0.5),
     most: int = 3,
+    key_col: str | None = None,
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, positions and position of every row."""
+    """doc_id, source, size, source_size, target, taken, positions and position of every row, and its ``key`` if a column holds one."""
+    key = [F.col(key_col).alias("key")] if key_col else []
     sizes = materialize(
-        docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")),
+        docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), *key),
         "mix-sizes",
     )
     totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -102,7 +104,7 @@ def mix(
         .select(F.col("source").alias("_source"), F.col("bucket").alias("_bucket"), "offset")
     )
     plan = offsets.join(targets, F.col("_source").eqNullSafe(F.col("source"))).drop("source")
-    order = Window.partitionBy("source", "bucket").orderBy("draw", F.col("doc_id").asc_nulls_first(), "size")
+    order = Window.partitionBy("source", "bucket").orderBy("draw", F.col("doc_id").asc_nulls_first(), "size", *(["key"] if key else []))
     at = (
         drawn.withColumn("_inside", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
         .join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("bucket") == F.col("_bucket")))
@@ -132,6 +134,7 @@ def mix(
             F.when(F.col("_copies") > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1), position))
             .otherwise(F.array().cast("array<double>"))
             .alias("positions"),
+            *(["key"] if key else []),
         )
         .withColumn("position", F.try_element_at("positions", F.lit(1)))
     )

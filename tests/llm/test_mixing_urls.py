@@ -146,3 +146,16 @@ def test_pipeline_keeps_what_is_clean(spark, tmp_path):
         assert stage(spark, docs_in, str(tmp_path)).columns == docs_in.columns
         assert stage(spark, docs_in.limit(0), str(tmp_path)).collect() == []
     assert corpus_pipeline.STAGES[-1][1](spark, docs_in.limit(0), str(tmp_path)).collect() == []
+
+
+def test_pipeline_drops_rows_not_ids(spark, tmp_path):
+    long, other = words(120, 31, 10**6), words(300, 32, 10**6)
+    texts = [(7, words(60, 30, 10**6)), (None, words(60, 30, 10**6)), (None, words(60, 33, 10**6))]  # the copy has a null id, as a clean text has
+    texts += [(8, long), (None, edited(long, 1, 5)), (None, edited(long, 1, 6))]  # near copies with null ids
+    texts += [(9, other), (9, words(50, 34, 10**6)), (10, edited(other, 1, 7)), (5, edited(other, 1, 8)), (9, words(50, 34, 10**6))]  # id 9 has a near copy and a clean text
+    rows = [(i, " ".join(t), "en", f"s{k % 2}") for k, (i, t) in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, "no such item in any text")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    want = [rows[k][:2] for k in (0, 2, 3, 7, 9)]
+    assert sorted((r.doc_id or -1, r.text) for r in out) == sorted((i or -1, t) for i, t in want)
