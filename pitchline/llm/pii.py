@@ -9,7 +9,7 @@ can start and give back nothing, so they take linear time on any text.
 Words with a digit are instances. An instance's pattern is the word before it
 with its own shape (runs of letters and digits reduced to one mark). Patterns and
 distinct instances form a graph that Spark scores in rounds: a pattern's score is
-the mean score of its instances, if at least ``least_support`` of them carry one;
+the mean score of all its instances, if at least ``least_support`` of them carry one;
 an instance that is no seed gets the best score of its patterns at or above
 ``least_score``. High-confidence patterns thereby find identifiers that no seed
 expression matches; these get the kind of most of their pattern's seeds.
@@ -142,28 +142,20 @@ def _instances(words: DataFrame, seeds: DataFrame) -> DataFrame:
 
 def bootstrap(instances: DataFrame, rounds: int = 3, least_support: int = 5, least_score: float = 0.9) -> DataFrame:
     """pattern, score and kind of the patterns that end with high confidence."""
-    edges = instances.groupBy("pattern", "value").agg(F.max("seed").alias("seed"))
-    seeded = edges.where("seed IS NOT NULL").select("pattern").distinct()
-    touched = edges.join(seeded, "pattern", "left_semi").select("value").distinct()
-    # only patterns within reach of a seed can gain a score
-    edges = materialize(edges.join(touched, "value", "left_semi"), "pii-graph")
-    scores = edges.groupBy("value").agg(F.max(F.col("seed").isNotNull().cast("double")).alias("score"), F.max("seed").alias("kind"))
-    patterns = None
+    edges = materialize(instances.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "pii-graph")
+    sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+    seeds = materialize(edges.where("seed IS NOT NULL").groupBy("value").agg(F.lit(1.0).alias("score"), F.max("seed").alias("kind")), "pii-seeds")
+    scores, patterns = seeds, None
     for _ in range(rounds):
+        # values without a score add nothing to a sum, but all count in ``n``
         known = edges.select("pattern", "value").join(scores, "value")
-        kinds = known.where("score > 0").groupBy("pattern", "kind").agg(F.sum("score").alias("weight"))
+        kinds = known.groupBy("pattern", "kind").agg(F.sum("score").alias("weight"))
         kinds = kinds.groupBy("pattern").agg(F.max_by("kind", F.struct("weight", "kind")).alias("kind"), F.sum("weight").alias("support"))
-        means = known.groupBy("pattern").agg(F.avg("score").alias("score"))
-        patterns = materialize(
-            means.join(kinds, "pattern").where((F.col("support") >= least_support) & (F.col("score") >= least_score)).select("pattern", "score", "kind"),
-            "pii-patterns",
-        )
+        means = kinds.where(F.col("support") >= least_support).join(sizes, "pattern").withColumn("score", F.col("support") / F.col("n"))
+        patterns = materialize(means.where(F.col("score") >= least_score).select("pattern", "score", "kind"), "pii-patterns")
         reached = edges.where("seed IS NULL").join(patterns, "pattern").groupBy("value").agg(F.max(F.struct("score", "kind")).alias("best"))
-        seeds = edges.where("seed IS NOT NULL").groupBy("value").agg(F.lit(1.0).alias("score"), F.max("seed").alias("kind"))
-        others = edges.select("value").distinct().join(seeds.select("value"), "value", "left_anti").join(reached, "value", "left")
-        scores = materialize(
-            seeds.unionByName(others.select("value", F.coalesce("best.score", F.lit(0.0)).alias("score"), F.col("best.kind").alias("kind"))), "pii-scores"
-        )
+        others = reached.join(seeds, "value", "left_anti").select("value", "best.score", "best.kind")
+        scores = materialize(seeds.unionByName(others), "pii-scores")
     return patterns
 
 

@@ -226,3 +226,23 @@ def test_contexts_discover_unseen_identifiers(spark):
     found = {row.doc_id: row for row in find_pii(docs(spark, rows)).collect()}
     assert found[100].spans == "phone:11:17" and found[100].n_phone == 0
     assert found[101].spans == found[102].spans == ""
+
+
+def luhn_fails(n):
+    double = [int(d) * (1 + k % 2) for k, d in enumerate(reversed(str(n)))]
+    return sum(d - 9 * (d > 9) for d in double) % 10 != 0
+
+
+def cards(valid, start=4_000_000_000_000_000):
+    return (n for n in range(start, start + 10**9, 7) if luhn_fails(n) != valid)
+
+
+def test_patterns_count_all_their_instances(spark):
+    good, bad = cards(True), cards(False)
+    rows = [(k, f"pay card {next(good)} for w{k}") for k in range(70)]
+    shared = [next(bad) for _ in range(6)]
+    rows += [(100 + k, f"pay card {n} for v{k}") for k, n in enumerate(shared)] + [(200 + k, f"in order {n} of u{k}") for k, n in enumerate(shared)]
+    rows += [(300 + k, f"in order {next(bad)} of t{k}") for k in range(100)]
+    found = {row.doc_id: row.spans for row in find_pii(docs(spark, rows)).collect()}
+    assert {found[k] for k in range(100, 106)} == {"card:9:25"}
+    assert {found[k] for k in range(200, 206)} | {found[k] for k in range(300, 400)} == {""}
