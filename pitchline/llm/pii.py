@@ -6,8 +6,10 @@ the matches, whose lengths add up to positions by a window over a document's hit
 The expressions match exactly what the plain ones do, but start only where a match
 can start and give back nothing, so they take linear time on any text.
 
-Words with a digit are instances. An instance's pattern is the word before it
-with its own shape (runs of letters and digits reduced to one mark). Patterns and
+The words that one seed touches are one instance, and any other word with a digit
+is one. An instance's pattern is the word before it, with or without a digit, or a
+mark for the start of the text, with its own shape (runs of letters and digits
+reduced to one mark). Patterns and
 distinct instances form a graph that Spark scores in rounds: a pattern's score is
 the mean score of all its instances, if at least ``least_support`` of them carry one;
 an instance that is no seed gets the best score of its patterns at or above
@@ -36,6 +38,7 @@ from pitchline.llm.common import materialize
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = r"[A-Za-z0-9._%+-]"
 _BREAK = r"\x20\x09-\x0D"
+_BLANKS = " \t\n\x0b\x0c\r"
 #: What a seed expression matches, and characters without which it can't match.
 PATTERNS = {
     "email": (rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+", "@"),
@@ -45,14 +48,17 @@ PATTERNS = {
     "word": (rf"(?<![^{_BREAK}])[^0-9{_BREAK}]*+[0-9][^{_BREAK}]*+", None),
 }
 _CONTEXT = 64
+#: Marks that stand for the word before a text and the word after it.
+_START, _END = "^", "$"
 _EDGE = r"[,.;:!?\"'()\[\]{}<>]*"
 
 
 def _hits(text: Column, kind: str) -> Column:
-    """Array of (kind, at, gap, length, value, before): each match and what lies before it."""
+    """Array of (kind, at, gap, length, value, before, after): each match and what lies around it."""
     pattern, needed = PATTERNS[kind]
-    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.struct(F.length(g).alias("gap"), F.right(g, F.lit(_CONTEXT)).alias("before")))
-    pairs = F.arrays_zip(gaps.alias("g"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"))
+    pieces = F.split(text, pattern, -1)
+    gaps = F.transform(pieces, lambda g: F.struct(F.length(g).alias("gap"), F.right(F.rtrim(g, F.lit(_BLANKS)), F.lit(_CONTEXT)).alias("before")))
+    pairs = F.arrays_zip(gaps.alias("g"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"), F.slice(pieces, 2, F.size(pieces)).alias("next"))
     hits = F.transform(
         pairs,
         lambda p, i: F.struct(
@@ -62,6 +68,7 @@ def _hits(text: Column, kind: str) -> Column:
             F.length(p["m"]).alias("length"),
             p["m"].alias("value"),
             (p["g"]["before"] if kind == "word" else F.lit(None).cast("string")).alias("before"),
+            (F.left(F.ltrim(p["next"], F.lit(_BLANKS)), F.lit(_CONTEXT)) if kind == "word" else F.lit(None).cast("string")).alias("after"),
         ),
     )
     possible = text.rlike("[0-9]") if kind != "email" else F.lit(True)
@@ -90,17 +97,23 @@ def _passes(kind: Column, value: Column) -> Column:
 
 
 def find_hits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """All rows (row, doc_id), and hits (row, kind, start, end, value, before) of all kinds."""
+    """All rows (row, doc_id), and hits (row, kind, start, end, value, left, right) of all kinds.
+
+    left and right are what lies next to a hit, or the hit of its kind next to it;
+    they are null at the ends of the text.
+    """
     text = F.col(text_col)
-    arrays = [F.coalesce(_hits(text, kind), F.array().cast("array<struct<kind: string, at: int, gap: int, length: int, value: string, before: string>>")) for kind in PATTERNS]
+    arrays = [F.coalesce(_hits(text, kind), F.array().cast("array<struct<kind: string, at: int, gap: int, length: int, value: string, before: string, after: string>>")) for kind in PATTERNS]
     found = materialize(
         docs.select(F.col(id_col).alias("doc_id"), F.col(text_col)).select(F.monotonically_increasing_id().alias("row"), "doc_id", F.concat(*arrays).alias("hits")),
         "pii-hits",
     )
-    before = Window.partitionBy("row", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    end = F.sum(F.col("gap") + F.col("length")).over(before)
-    hits = found.where(F.size("hits") > 0).select("row", F.explode("hits").alias("h")).select("row", "h.*").withColumn("end", end)
-    hits = hits.select("row", "kind", (F.col("end") - F.col("length")).alias("start"), "end", "value", "before")
+    order = Window.partitionBy("row", "kind").orderBy("at")
+    end = F.sum(F.col("gap") + F.col("length")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    left = F.when(F.col("before") != "", F.col("before")).otherwise(F.lag("value").over(order))
+    right = F.when(F.col("after") != "", F.col("after")).otherwise(F.lead("value").over(order))
+    hits = found.where(F.size("hits") > 0).select("row", F.explode("hits").alias("h")).select("row", "h.*").withColumns({"end": end, "left": left, "right": right})
+    hits = hits.select("row", "kind", (F.col("end") - F.col("length")).alias("start"), "end", "value", "left", "right")
     return found.select("row", "doc_id"), hits
 
 
@@ -108,36 +121,51 @@ def shape(word: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(word, r"\p{L}+", "a"), "[0-9]+", "9")
 
 
+def _bare(word: Column) -> Column:
+    """A word of a context in lower case without marks at its ends, digits as in a shape."""
+    bare = F.regexp_replace(F.regexp_replace(word, f"^{_EDGE}", ""), f"{_EDGE}$", "")
+    bare = F.lower(F.when(bare == "", word).otherwise(bare))
+    return F.when(bare.rlike("[0-9]"), shape(bare)).otherwise(bare)
+
+
 def _instances(words: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Words with a digit without marks at their ends: their pattern, and the kind of a seed they touch."""
+    """Instances (row, start, end, value, pattern, seed): the words that one seed touches, or a word that none does."""
     lead = F.length(F.regexp_extract("value", f"^{_EDGE}", 0))
     inner = F.regexp_replace(F.regexp_replace("value", f"^{_EDGE}", ""), f"{_EDGE}$", "")
-    left = F.lower(F.regexp_extract("before", rf"([^{_BREAK}]+)[{_BREAK}]*$", 1))
     own = (
         words.withColumn("start", F.col("start") + lead)
         .withColumn("value", inner)
         .where(F.col("value") != "")
-        .withColumn("end", F.col("start") + F.length("value"))
         .select(
             "row",
             "start",
-            "end",
+            (F.col("start") + F.length("value")).alias("end"),
             F.lower("value").alias("value"),
-            F.concat_ws(" ", F.when(left.rlike("[0-9]"), shape(left)).otherwise(left), shape(F.lower("value"))).alias("pattern"),
+            F.coalesce(_bare(F.regexp_extract("left", rf"([^{_BREAK}]+)[{_BREAK}]*$", 1)), F.lit(_START)).alias("left"),
+            F.coalesce(_bare(F.regexp_extract("right", rf"^([^{_BREAK}]+)", 1)), F.lit(_END)).alias("right"),
         )
     )
     # a seed touches a word if one that starts before the word's end ends after its start
+    none = [F.lit(None).cast("string").alias(c) for c in ("value", "left", "right")]
     events = own.select("*", F.lit(None).cast("string").alias("kind"), F.col("end").alias("key"), F.lit(0).alias("turn")).unionByName(
-        seeds.select("row", "start", "end", "kind", F.lit(None).cast("string").alias("value"), F.lit(None).cast("string").alias("pattern"), F.col("start").alias("key"), F.lit(1).alias("turn"))
+        seeds.select("row", "start", "end", "kind", *none, F.col("start").alias("key"), F.lit(1).alias("turn"))
     )
     earlier = Window.partitionBy("row").orderBy("key", "turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = F.max(F.when(F.col("turn") == 1, F.struct("end", "kind"))).over(earlier)
-    return (
-        events.withColumn("_last", last)
-        .where("turn = 0")
-        .withColumn("seed", F.when(F.col("_last.end") > F.col("start"), F.col("_last.kind")))
-        .select("row", "start", "end", "value", "pattern", "seed")
+    last = F.max(F.when(F.col("turn") == 1, F.struct("end", "kind", "start"))).over(earlier)
+    told = events.withColumn("_last", last).where("turn = 0").withColumn("_last", F.when(F.col("_last.end") > F.col("start"), F.col("_last")))
+    # the words of one seed are one instance, which begins with the first of them
+    unit = F.when(F.col("_last").isNotNull(), F.struct(F.lit(1).alias("seeded"), F.col("_last.start").alias("at"))).otherwise(
+        F.struct(F.lit(0).alias("seeded"), F.col("start").alias("at"))
+    )
+    merged = told.groupBy("row", unit.alias("unit")).agg(
+        F.min("start").alias("start"),
+        F.max("end").alias("end"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", "value"))), lambda w: w["value"]), " ").alias("value"),
+        F.min_by("left", "start").alias("left"),
+        F.max_by("right", "start").alias("right"),
+        F.max("_last.kind").alias("seed"),
     )
+    return merged.select("row", "start", "end", "value", F.concat_ws(" ", "left", shape(F.col("value"))).alias("pattern"), "seed")
 
 
 def bootstrap(instances: DataFrame, rounds: int = 3, least_support: int = 5, least_score: float = 0.9) -> DataFrame:

@@ -246,3 +246,13 @@ def test_patterns_count_all_their_instances(spark):
     found = {row.doc_id: row.spans for row in find_pii(docs(spark, rows)).collect()}
     assert {found[k] for k in range(100, 106)} == {"card:9:25"}
     assert {found[k] for k in range(200, 206)} | {found[k] for k in range(300, 400)} == {""}
+
+
+def test_words_of_a_seed_teach_no_context_of_their_own(spark):
+    r, good, bad = random.Random(5), cards(True), cards(False)
+    rows = [(k, f"ring +1 (826) 555-{r.randrange(1000, 10000)} today") for k in range(40)]
+    rows += [(50 + k, f"pay {n[:4]} {n[4:8]} {n[8:12]} {n[12:]} now") for k, n in enumerate(str(next(good)) for _ in range(40))]
+    rows += [(100, "room 12 555-4081 here"), (101, f"{next(bad)} is a count"), (102, f"room 7 {next(bad)} here")]
+    found = {row.doc_id: row for row in find_pii(docs(spark, rows)).collect()}
+    assert {found[k].n_phone for k in range(40)} == {found[50 + k].n_card for k in range(40)} == {1}
+    assert {found[k].spans for k in (100, 101, 102)} == {""}
