@@ -6,15 +6,19 @@ the matches, whose lengths add up to positions by a window over a document's hit
 The expressions match exactly what the plain ones do, but start only where a match
 can start and give back nothing, so they take linear time on any text.
 
-The words that one seed touches are one instance, and any other word with a digit
-is one. An instance's pattern is the word before it, with or without a digit, or a
-mark for the start of the text, with its own shape (runs of letters and digits
-reduced to one mark). Patterns and
-distinct instances form a graph that Spark scores in rounds: a pattern's score is
-the mean score of all its instances, if at least ``least_support`` of them carry one;
-an instance that is no seed gets the best score of its patterns at or above
+The words that one seed touches are one instance; so is a run of up to
+``MOST_PARTS`` words of digits, and any other word with a digit or an @. Instances
+have several patterns, scored apart: the word before (or a mark for the start of
+the text) with the instance's shape (runs of letters and digits reduced to one
+mark), and, whatever the shape, the word before, the word after, and both. These
+need a context word with a letter and an instance with an @ or with ``LEAST_MARKS``
+letters and digits. Patterns and distinct instances form a graph that Spark scores
+in rounds: a pattern's score is the share of one kind in all its instances, each
+counted with its own score, if at least ``least_support`` of that kind carry one; an
+instance that is no seed gets the best score of its patterns at or above
 ``least_score``. High-confidence patterns thereby find identifiers that no seed
-expression matches; these get the kind of most of their pattern's seeds.
+expression matches, of shapes that no seed has; these get the pattern's kind.
+Words without a digit or an @ are no instances.
 
 Only DataFrame functions are used. The graph is aggregated to distinct pairs
 before any round, so a word or a pattern that a third of all rows share is one
@@ -45,11 +49,13 @@ PATTERNS = {
     "ip": (r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", "."),
     "card": (r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}(?![\x20-]?[0-9])", None),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "+"),
-    "word": (rf"(?<![^{_BREAK}])[^0-9{_BREAK}]*+[0-9][^{_BREAK}]*+", None),
+    "word": (rf"(?<![^{_BREAK}])[^0-9@{_BREAK}]*+[0-9@][^{_BREAK}]*+", None),
 }
 _CONTEXT = 64
 #: Marks that stand for the word before a text and the word after it.
 _START, _END = "^", "$"
+#: Parts of one identifier at most, and letters and digits that one has at least.
+MOST_PARTS, LEAST_MARKS = 6, 5
 _EDGE = r"[,.;:!?\"'()\[\]{}<>]*"
 
 
@@ -71,7 +77,7 @@ def _hits(text: Column, kind: str) -> Column:
             (F.left(F.ltrim(p["next"], F.lit(_BLANKS)), F.lit(_CONTEXT)) if kind == "word" else F.lit(None).cast("string")).alias("after"),
         ),
     )
-    possible = text.rlike("[0-9]") if kind != "email" else F.lit(True)
+    possible = {"email": F.lit(True), "word": text.rlike("[0-9@]")}.get(kind, text.rlike("[0-9]"))
     if needed:
         possible = F.contains(text, F.lit(needed)) & possible
     return F.when(possible, F.filter(hits, lambda h: h["value"].isNotNull()))
@@ -97,10 +103,10 @@ def _passes(kind: Column, value: Column) -> Column:
 
 
 def find_hits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """All rows (row, doc_id), and hits (row, kind, start, end, value, left, right) of all kinds.
+    """All rows (row, doc_id), and hits (row, kind, start, end, value, left, right, adjacent) of all kinds.
 
     left and right are what lies next to a hit, or the hit of its kind next to it;
-    they are null at the ends of the text.
+    they are null at the ends of the text. adjacent: blanks alone part a hit from the one before.
     """
     text = F.col(text_col)
     arrays = [F.coalesce(_hits(text, kind), F.array().cast("array<struct<kind: string, at: int, gap: int, length: int, value: string, before: string, after: string>>")) for kind in PATTERNS]
@@ -112,8 +118,8 @@ def find_hits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     end = F.sum(F.col("gap") + F.col("length")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     left = F.when(F.col("before") != "", F.col("before")).otherwise(F.lag("value").over(order))
     right = F.when(F.col("after") != "", F.col("after")).otherwise(F.lead("value").over(order))
-    hits = found.where(F.size("hits") > 0).select("row", F.explode("hits").alias("h")).select("row", "h.*").withColumns({"end": end, "left": left, "right": right})
-    hits = hits.select("row", "kind", (F.col("end") - F.col("length")).alias("start"), "end", "value", "left", "right")
+    hits = found.where(F.size("hits") > 0).select("row", F.explode("hits").alias("h")).select("row", "h.*").withColumns({"end": end, "left": left, "right": right, "adjacent": (F.col("before") == "") & (F.col("at") > 0)})
+    hits = hits.select("row", "kind", (F.col("end") - F.col("length")).alias("start"), "end", "value", "left", "right", "adjacent")
     return found.select("row", "doc_id"), hits
 
 
@@ -129,15 +135,20 @@ def _bare(word: Column) -> Column:
 
 
 def _instances(words: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Instances (row, start, end, value, pattern, seed): the words that one seed touches, or a word that none does."""
-    lead = F.length(F.regexp_extract("value", f"^{_EDGE}", 0))
-    inner = F.regexp_replace(F.regexp_replace("value", f"^{_EDGE}", ""), f"{_EDGE}$", "")
+    """Instances (row, start, end, value, patterns, seed): the words that one seed touches, or a run that none does."""
+    mark = rf"^(?!\([0-9]+\)[-0-9]){_EDGE}"  # what opens an area code stays
+    lead = F.length(F.regexp_extract("value", mark, 0))
+    inner = F.regexp_replace(F.regexp_replace("value", mark, ""), f"{_EDGE}$", "")
+    area = F.col("value").rlike(r"^\([0-9]+\)$")
     own = (
-        words.withColumn("start", F.col("start") + lead)
+        words.withColumn("opens", F.when(area, F.col("start")))
+        .withColumn("start", F.col("start") + lead)
         .withColumn("value", inner)
-        .where(F.col("value") != "")
+        .where(F.col("value").rlike(r"[\p{L}0-9]"))
         .select(
             "row",
+            "opens",
+            "adjacent",
             "start",
             (F.col("start") + F.length("value")).alias("end"),
             F.lower("value").alias("value"),
@@ -146,31 +157,47 @@ def _instances(words: DataFrame, seeds: DataFrame) -> DataFrame:
         )
     )
     # a seed touches a word if one that starts before the word's end ends after its start
-    none = [F.lit(None).cast("string").alias(c) for c in ("value", "left", "right")]
+    none = [F.lit(None).cast(own.schema[c].dataType).alias(c) for c in ("value", "left", "right", "opens", "adjacent")]
     events = own.select("*", F.lit(None).cast("string").alias("kind"), F.col("end").alias("key"), F.lit(0).alias("turn")).unionByName(
         seeds.select("row", "start", "end", "kind", *none, F.col("start").alias("key"), F.lit(1).alias("turn"))
     )
     earlier = Window.partitionBy("row").orderBy("key", "turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last = F.max(F.when(F.col("turn") == 1, F.struct("end", "kind", "start"))).over(earlier)
     told = events.withColumn("_last", last).where("turn = 0").withColumn("_last", F.when(F.col("_last.end") > F.col("start"), F.col("_last")))
-    # the words of one seed are one instance, which begins with the first of them
-    unit = F.when(F.col("_last").isNotNull(), F.struct(F.lit(1).alias("seeded"), F.col("_last.start").alias("at"))).otherwise(
-        F.struct(F.lit(0).alias("seeded"), F.col("start").alias("at"))
-    )
-    merged = told.groupBy("row", unit.alias("unit")).agg(
+    # words of digits that no seed touches and that stand side by side are one run, unless there are too many for an identifier
+    in_text = Window.partitionBy("row").orderBy("start", "end")
+    told = told.withColumn("digits", F.col("_last").isNull() & ~F.col("value").rlike(r"[\p{L}@]"))
+    told = told.withColumn("goes_on", F.coalesce(F.col("digits") & F.col("adjacent") & F.lag("digits").over(in_text), F.lit(False)))
+    told = told.withColumn("run", F.count_if(~F.col("goes_on")).over(in_text.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    told = told.withColumn("several", F.count(F.lit(1)).over(Window.partitionBy("row", "run")).between(2, MOST_PARTS))
+    at = F.when(F.col("_last").isNotNull(), F.col("_last.start")).when(F.col("several"), F.col("run")).otherwise(F.col("start"))
+    kind = F.when(F.col("_last").isNotNull(), 2).when(F.col("several"), 1).otherwise(0)
+    merged = told.groupBy("row", F.struct(kind.alias("is"), at.alias("at")).alias("unit")).agg(
         F.min("start").alias("start"),
         F.max("end").alias("end"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", "value"))), lambda w: w["value"]), " ").alias("value"),
         F.min_by("left", "start").alias("left"),
         F.max_by("right", "start").alias("right"),
+        F.min_by("opens", "start").alias("opens"),
         F.max("_last.kind").alias("seed"),
     )
-    return merged.select("row", "start", "end", "value", F.concat_ws(" ", "left", shape(F.col("value"))).alias("pattern"), "seed")
+    start = F.when(F.col("unit.is") == 1, F.least("opens", "start")).otherwise(F.col("start"))
+    return merged.select("row", start.alias("start"), "end", "value", _patterns().alias("patterns"), "seed")
+
+
+def _patterns() -> Column:
+    """The patterns of an instance: its left word with its shape, and for an identifier's length the words around it alone."""
+    by_shape = F.concat_ws(" ", F.lit("shape"), "left", shape(F.col("value")))
+    long = F.contains("value", F.lit("@")) | (F.length(F.regexp_replace("value", r"[^\p{L}0-9]", "")) >= LEAST_MARKS)
+    cue = [F.when(long & F.col(c).rlike(r"\p{L}"), F.concat_ws(" ", F.lit(c), c)) for c in ("left", "right")]
+    both = F.when(cue[0].isNotNull() & cue[1].isNotNull(), F.concat_ws(" ", F.lit("both"), "left", "right"))
+    return F.array_compact(F.array(by_shape, *cue, both))
 
 
 def bootstrap(instances: DataFrame, rounds: int = 3, least_support: int = 5, least_score: float = 0.9) -> DataFrame:
     """pattern, score and kind of the patterns that end with high confidence."""
-    edges = materialize(instances.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "pii-graph")
+    pairs = instances.select(F.explode("patterns").alias("pattern"), "value", "seed")
+    edges = materialize(pairs.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "pii-graph")
     sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
     seeds = materialize(edges.where("seed IS NOT NULL").groupBy("value").agg(F.lit(1.0).alias("score"), F.max("seed").alias("kind")), "pii-seeds")
     scores, patterns = seeds, None
@@ -178,7 +205,7 @@ def bootstrap(instances: DataFrame, rounds: int = 3, least_support: int = 5, lea
         # values without a score add nothing to a sum, but all count in ``n``
         known = edges.select("pattern", "value").join(scores, "value")
         kinds = known.groupBy("pattern", "kind").agg(F.sum("score").alias("weight"))
-        kinds = kinds.groupBy("pattern").agg(F.max_by("kind", F.struct("weight", "kind")).alias("kind"), F.sum("weight").alias("support"))
+        kinds = kinds.groupBy("pattern").agg(F.max_by("kind", F.struct("weight", "kind")).alias("kind"), F.max("weight").alias("support"))
         means = kinds.where(F.col("support") >= least_support).join(sizes, "pattern").withColumn("score", F.col("support") / F.col("n"))
         patterns = materialize(means.where(F.col("score") >= least_score).select("pattern", "score", "kind"), "pii-patterns")
         reached = edges.where("seed IS NULL").join(patterns, "pattern").groupBy("value").agg(F.max(F.struct("score", "kind")).alias("best"))
@@ -204,7 +231,9 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     seeds = hits.where("kind <> 'word'").select("row", "kind", "start", "end")
     instances = materialize(_instances(hits.where("kind = 'word'"), seeds), "pii-instances")
     patterns = bootstrap(instances, **options)
-    found = instances.where("seed IS NULL").join(patterns, "pattern").select("row", "kind", "start", "end", F.lit(False).alias("base"))
+    unseen = instances.where("seed IS NULL").select("row", "start", "end", F.explode("patterns").alias("pattern")).join(patterns, "pattern")
+    found = unseen.groupBy("row", "start", "end").agg(F.max(F.struct("score", "kind")).alias("best"))
+    found = found.select("row", "best.kind", "start", "end", F.lit(False).alias("base"))
     order = reduce(lambda a, k: F.when(F.col("kind") == KINDS[k], k).otherwise(a), range(len(KINDS)), F.lit(None).cast("int"))
     spans = (
         seeds.withColumn("base", F.lit(True))

@@ -256,3 +256,14 @@ def test_words_of_a_seed_teach_no_context_of_their_own(spark):
     found = {row.doc_id: row for row in find_pii(docs(spark, rows)).collect()}
     assert {found[k].n_phone for k in range(40)} == {found[50 + k].n_card for k in range(40)} == {1}
     assert {found[k].spans for k in (100, 101, 102)} == {""}
+
+
+def test_contexts_discover_shapes_that_no_seed_has(spark):
+    r = random.Random(6)
+    rows = [(k, f"text w{k % 7}x call +{r.randrange(10**9, 10**10)} and more") for k in range(40)]
+    rows += [(50 + k, f"text mail name{'abcdefghij'[k % 10]}{'klmno'[k % 5]}x{'y' * k}@example.org or") for k in range(40)]
+    rows += [(100, "again call 020-7946-0958 now"), (101, "Call: (555) 123-4567 now"), (102, "and call 555 123 4567 now"), (103, "they mail jane@localhost now"), (104, "to mail @jane_doe now")]
+    rows += [(200, "year 020-7946-0958 now"), (201, "see (555) 123-4567 now"), (202, "at jane@localhost now"), (203, "call 5 now")]
+    found = {row.doc_id: row.spans for row in find_pii(docs(spark, rows)).collect()}
+    assert [found[k] for k in range(100, 105)] == ["phone:11:24", "phone:6:20", "phone:9:21", "email:10:24", "email:8:17"]
+    assert {found[k] for k in range(200, 204)} == {""}
