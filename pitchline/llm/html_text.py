@@ -13,7 +13,8 @@ stands between their tokens are the slots.
 Runs of text all of whose words are in the template are fixed text of the site and
 go; a run with any other word is a slot and stays whole. Slots are kept by their
 place in the template: gaps inside navigation, headers, footers, asides, forms,
-adverts, notices, comments and scripts go, and if the page has an article (or
+adverts, notices, comments and scripts go, unless a form or an element of such a
+name holds the page's only article (or main) and most of its text, or all its text, and if the page has an article (or
 main) element, its gaps alone are kept. A word inside such an element is data by
 its place, never template, so a chunk with few pages can't lose text that they
 happen to share; with fewer than ``least_pages`` pages no words are fixed at all.
@@ -55,7 +56,7 @@ _CLOSES_P = frozenset(
 _CLOSED_BY_SELF = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr",), "th": ("tr",), "option": ("select",)}
 #: Elements, and words of class, id and role names, that hold no article text.
 _DROPPED = frozenset(
-    "head nav header footer aside form script style noscript template button select textarea iframe svg canvas object dialog menu title xmp noembed noframes".split()
+    "head nav header footer aside script style noscript template button select textarea iframe svg canvas object dialog menu title xmp noembed noframes".split()
 )
 _NAMES = frozenset(
     """ad ads advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr notice notices alert popup modal
@@ -64,18 +65,39 @@ _NAMES = frozenset(
     toolbar complementary contentinfo""".split()
 )
 _CONTENT = frozenset(("article", "main"))
+#: Class names that tell a state of the page or what it has, not what the block is.
+_STATE = re.compile(r"(?:^|\s)(?:(?:has|with|no|is|show|hide)[-_]\S+|\S+[-_](?:open|closed|enabled|disabled|on|off|left|right))(?=\s|$)", re.I)
 
 
 class Page:
     """Tokens of one page: (name, text or None for a tag, outside dropped elements, inside an article)."""
 
-    __slots__ = ("has_content", "tokens")
+    __slots__ = ("has_content", "held", "inner", "tokens")
 
     def __init__(self, source: str):
+        self._read(source, frozenset())
+        if not self.has_content and (wrappers := self._wrappers()):
+            self._read(source, wrappers)
+
+    def _wrappers(self) -> frozenset[int]:
+        """Elements dropped by name alone, or forms, that hold the page's article, or all its text."""
+        outside = sum(len(text.strip()) for _, text, kept, _ in self.tokens if text and kept)
+        if self.inner and (best := max(self.inner, key=lambda c: (c[0], c[1])))[1] > outside:  # main before article, then the one of most text
+            return best[2]
+        if self.held and not outside:
+            return max(self.held.values(), key=lambda c: c[0])[1]
+        return frozenset()
+
+    def _read(self, source: str, released: frozenset[int]) -> None:
+        """``released`` numbers elements that are not dropped by their name."""
         self.tokens: list[tuple[str, str | None, bool, bool]] = []
         self.has_content = False
-        stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # tag, path, dropped, content
-        at = 0
+        #: articles in elements dropped by name: [is main, length of text, numbers of these elements], and such elements
+        self.inner: list[list] = []
+        self.held: dict[int, list] = {}
+        # tag, path, dropped, content, dropped for good, numbers of elements dropped by name, article in them
+        stack: list[tuple] = [("", "", False, False, False, frozenset(), None)]
+        at = number = 0
         while found := _TOKEN.match(source, at):
             at = found.end()
             tag = found[2]
@@ -92,19 +114,29 @@ class Page:
                 self._shut("p", stack, _CONTENT | {"td", "th", "table", "button"})
             if tag in _CLOSED_BY_SELF:
                 self._shut(tag, stack, _CLOSED_BY_SELF[tag])
-            _, path, dropped, content = stack[-1]
+            _, path, dropped, content, gone, by_name, inner = stack[-1]
+            number += 1
             names = " ".join(sorted(m[2].strip("\"'") for m in _ATTRIBUTE.finditer(found[3]))) if found[3] else ""
             content_here = content or (tag in _CONTENT and not dropped)
-            dropped = dropped or tag in _DROPPED
-            if names and not dropped and tag not in ("html", "body", "main") and not (tag == "article" and not content):
-                dropped = not _NAMES.isdisjoint(re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", names).lower()))
+            gone = gone or tag in _DROPPED
+            named = tag == "form"
+            if names and not named and tag not in ("html", "body", "main") and not (tag == "article" and not content):
+                named = not _NAMES.isdisjoint(re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", _STATE.sub(" ", names)).lower()))
+            named = named and number not in released
+            if tag in _CONTENT and dropped and not (gone or content or inner):
+                inner = [tag == "main", 0, by_name]
+                self.inner.append(inner)
+            if named and not gone and not content:
+                by_name = by_name | {number}
+                self.held[number] = [0, by_name]
+            dropped = dropped or gone or named
             path = f"{path}/{tag}.{names}" if names else f"{path}/{tag}"
             self.tokens.append((f"<{path}", None, False, content_here))
             if tag not in _INLINE:
                 self.tokens.append(("", " ", not dropped, content_here))
             if tag in _VOID or found[3].endswith("/") and tag in ("svg", "path"):
                 continue
-            entry = (tag, path, dropped, content_here and not dropped)
+            entry = (tag, path, dropped, content_here and not dropped, gone, by_name, inner)
             self.has_content |= entry[3]
             if tag in _RAW:
                 end = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
@@ -113,13 +145,18 @@ class Page:
                 continue
             stack.append(entry)
 
-    def _text(self, text: str, top: tuple[str, str, bool, bool]) -> None:
+    def _text(self, text: str, top: tuple) -> None:
+        if top[5] and not top[4]:
+            for number in top[5]:
+                self.held[number][0] += len(text.strip())
+            if top[6]:
+                top[6][1] += len(text.strip())
         self.tokens.append((top[1], entities.unescape(text), not top[2], top[3]))
 
     def _close(self, tag: str, stack: list) -> None:
         for k in range(len(stack) - 1, 0, -1):
             if stack[k][0] == tag:
-                for _, path, dropped, content in reversed(stack[k:]):
+                for _, path, dropped, content, *_ in reversed(stack[k:]):
                     self.tokens.append((f">{path}", None, False, content))
                     if tag not in _INLINE:
                         self.tokens.append(("", " ", not dropped, content))

@@ -267,3 +267,14 @@ def test_contexts_discover_shapes_that_no_seed_has(spark):
     found = {row.doc_id: row.spans for row in find_pii(docs(spark, rows)).collect()}
     assert [found[k] for k in range(100, 105)] == ["phone:11:24", "phone:6:20", "phone:9:21", "email:10:24", "email:8:17"]
     assert {found[k] for k in range(200, 204)} == {""}
+
+
+def test_wrappers_with_telling_names_keep_the_article():
+    inner = '<article><p>The story</p><div class="ad">buy</div></article><div class="related"><article>a longer other story</article></div>'
+    for start in ('<div class="layout has-sidebar">', '<div id="page" class="comments-open">', '<form id="aspnetForm">', '<div class="social">', '<form><div class="search">'):
+        assert Page(f"<html><body><nav>n</nav>{start}{inner.split('<div class=\"related')[0]}</body></html>").text(frozenset()) == "The story"
+    for start in ('<div class="layout has-sidebar">', '<div id="page" class="comments-open">'):
+        assert Page(f"<html><body>{start}{inner}</body></html>").text(frozenset()) == "The story"
+    assert Page("<body><form id='f'><nav>n</nav><p>All of it</p></form>").text(frozenset()) == "All of it"
+    assert Page("<body><p>A text of its own</p><div class='comments'><article>reader</article></div>").text(frozenset()) == "A text of its own"
+    assert Page("<body><article>Text</article><div class='comments'><article>reader</article></div>").text(frozenset()) == "Text"
