@@ -15,9 +15,12 @@ go; a run with any other word is a slot and stays whole. Slots are kept by their
 place in the template: gaps inside navigation, headers, footers, asides, forms,
 adverts, notices, comments and scripts go, unless a form or an element of such a
 name holds the page's only article (or main) and most of its text, or all its text, and if the page has an article (or
-main) element, its gaps alone are kept. A word inside such an element is data by
-its place, never template, so a chunk with few pages can't lose text that they
-happen to share; with fewer than ``least_pages`` pages no words are fixed at all.
+main) element, its gaps alone are kept. Inside such an element a run is a token
+as a whole: it can be in the template if it stands at one place on most pages of
+the chunk, of which there must be twice ``least_pages`` (a single word in common is
+data, so pages can't lose text that they happen to share), and if a page would lose
+over half of its article that way, the article is a copy and stays. Chunks of fewer
+pages have tag and class names alone to tell text inside an article. With fewer than ``least_pages`` pages no words are fixed at all.
 
 Defined cases: null or empty html gives an empty text; a null url, or one without
 a host, is of the host ''; tags that are not closed end with the element around
@@ -29,7 +32,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -174,34 +177,64 @@ class Page:
             if stack[k][0] in scope:
                 return
 
-    def words(self):
-        """Tags and the words outside article elements, in order, as token names."""
-        for name, text, _, content in self.tokens:
+    def content_runs(self):
+        """Places and texts of the runs that article elements keep."""
+        for name, text, kept, content in self.tokens:
+            if text is not None and kept and content and name and text.strip():
+                yield name, " ".join(text.split())
+
+    def words(self, shared: frozenset = frozenset()):
+        """Tags and words in order, as token names; inside article elements only words of ``shared`` runs."""
+        for name, text, kept, content in self.tokens:
             if text is None:
                 yield name
             elif name and not content:
                 for word in text.split():
                     yield f"{name} {word}"
+            elif name and kept and shared and (name, " ".join(text.split())) in shared:
+                yield from _run_words(name, " ".join(text.split()))
 
-    def text(self, fixed: frozenset[str]) -> str:
+    def text(self, fixed: frozenset[str], shared: frozenset = frozenset()) -> str:
         """The kept slots, without runs of text made of words that ``fixed`` names alone."""
-        parts = []
+        parts, lost, held = [], 0, 0
         for name, text, kept, content in self.tokens:
             if text is None or not kept or (self.has_content and not content):
                 continue
-            if fixed and not content and name and text.strip() and all(f"{name} {word}" in fixed for word in text.split()):
-                text = " "
+            if fixed and name and text.strip():
+                run = " ".join(text.split())
+                held += len(run)
+                names = (f"{name} {word}" for word in text.split()) if not content else _run_words(name, run) if (name, run) in shared else ("",)
+                if all(word in fixed for word in names):
+                    text = " "
+                    lost += len(run)
             parts.append(text)
+        if shared and self.has_content and 2 * lost > held:  # a copied article, not a site's fixed text
+            return self.text(frozenset())
         return " ".join("".join(parts).split())
 
 
-def template(pages: list[Page], least_pages: int = 4, least_share: float = 0.6, least_size: int = 3) -> frozenset[str]:
+def _run_words(name: str, run: str) -> list[str]:
+    """Token names of a run inside an article element, whose words count with the whole run alone."""
+    return [f"{name} {k} {run}" for k in range(run.count(" ") + 1)]
+
+
+def shared_runs(pages: list[Page], least_pages: int = 4, least_share: float = 0.6) -> frozenset[tuple[str, str]]:
+    """Runs inside article elements that stand at one place on most of ``pages``, of which twice ``least_pages`` are asked."""
+    if len(pages) < 2 * least_pages:
+        return frozenset()
+    on = Counter(run for page in pages for run in set(page.content_runs()))
+    return frozenset(run for run, n in on.items() if n >= max(2 * least_pages, least_share * len(pages)))
+
+
+def template(
+    pages: list[Page], least_pages: int = 4, least_share: float = 0.6, least_size: int = 3, shared: frozenset = frozenset()
+) -> frozenset[str]:
     """Names of all tokens of the template that ``pages`` share."""
     if len(pages) < least_pages:
         return frozenset()
     places: dict[str, dict[int, list[int]]] = defaultdict(dict)
     for number, page in enumerate(pages):
-        for at, name in enumerate(page.words()):
+        for at, name in enumerate(page.words(shared)):
             places[name].setdefault(number, []).append(at)
     classes: dict[tuple, list[str]] = defaultdict(list)
     for name, by_page in places.items():
@@ -262,9 +295,11 @@ def _gap(marks: list[int], at: int) -> int:
 
 def _extract(least_pages: int):
     def run(pages: pa.Table) -> pa.Table:
-        read = [Page(h or "") for h in pages.column("html").to_pylist()]
-        fixed = template(read, least_pages)
-        texts = [page.text(fixed) for page in read]
+        sources = [h or "" for h in pages.column("html").to_pylist()]
+        read = [Page(h) for h in sources]
+        shared = shared_runs(list(dict(zip(sources, read, strict=True)).values()), least_pages)  # a page given twice is one
+        fixed = template(read, least_pages, shared=shared)
+        texts = [page.text(fixed, shared) for page in read]
         return pa.table(
             {
                 "page_id": pages.column("page_id"),

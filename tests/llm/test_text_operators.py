@@ -278,3 +278,16 @@ def test_wrappers_with_telling_names_keep_the_article():
     assert Page("<body><form id='f'><nav>n</nav><p>All of it</p></form>").text(frozenset()) == "All of it"
     assert Page("<body><p>A text of its own</p><div class='comments'><article>reader</article></div>").text(frozenset()) == "A text of its own"
     assert Page("<body><article>Text</article><div class='comments'><article>reader</article></div>").text(frozenset()) == "Text"
+
+
+def test_template_inside_articles(spark):
+    def source(k):
+        notice = "<p>Send us your own story today</p>" if k % 4 else ""
+        return f"<body><nav>n</nav><article><h1>Head {k * 7}</h1><p>Share this with all friends</p><p>The story of day {k} is told at some length, so that there is more of it than of notices.</p>{notice}</article></body>"
+
+    rows = [(k, "http://a.example.com/", source(k)) for k in range(24)] + [(100 + k, "http://b.example.com/", source(k)) for k in range(5)]
+    rows += [(200 + k, "http://c.example.com/", f"<article><p>One text on many pages of a host</p><p>{k}</p></article>") for k in range(12)]
+    found = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(found[k] == f"Head {k * 7} The story of day {k} is told at some length, so that there is more of it than of notices." for k in range(24))
+    assert all("Share this with all friends The story" in found[100 + k] for k in range(5))
+    assert all(found[200 + k] == f"One text on many pages of a host {k}" for k in range(12))
