@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchline.llm import quality
+from pitchline.llm import merkle, quality
 from pitchline.llm.common import held_out, table
 from pitchline.llm.decontamination import find_matches
 from pitchline.llm.exact_dedup import exact_dedup
@@ -83,6 +83,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_documents(merkle.build(merkle.document_leaves(table(spark, sf_dir, "documents"))))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
@@ -94,6 +98,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pii": op10_pii,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
@@ -137,7 +142,72 @@ _PARTS_SQL = f"""
         ), domains AS (SELECT domain, suffix, sum(n) AS n, sum(good) AS good FROM hosts GROUP BY ALL
         ), suffixes AS (SELECT suffix, 1 AS everything, sum(n) AS n, sum(good) AS good FROM domains GROUP BY ALL)"""
 
+def _field_sql(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR) || ':' || {value}::VARCHAR END"
+
+
+def _leaf_sql(text: str) -> str:
+    return f"sha256({' || '.join(_field_sql(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+# CRC-32 bit by bit: the reflected polynomial is a fixed value.
+_BYTE_STEP = "list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"
+_CRC_SQL = f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                 lambda crc, byte: {_BYTE_STEP}), 4294967295)"""
+
+
+def _levels_sql(name: str, levels: int, tree: str) -> str:
+    """Levels of 8-ary trees: nodes with their siblings and the node above, up to the top, which stays as it is."""
+    parts = []
+    for k in range(levels):
+        over = f"PARTITION BY {tree}, pos // 8 ORDER BY pos ROWS BETWEEN"
+        parts.append(f"""{name}s{k} AS (
+          SELECT *, CASE WHEN n = 1 THEN NULL ELSE coalesce(string_agg(h, '') OVER ({over} UNBOUNDED PRECEDING AND 1 PRECEDING), '') END AS lft,
+                 CASE WHEN n = 1 THEN NULL ELSE coalesce(string_agg(h, '') OVER ({over} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') END AS rgt
+          FROM {name}{k}
+        ), {name}{k + 1} AS (
+          SELECT {tree}, pos // 8 AS pos, (max(n) + 7) // 8 AS n,
+                 CASE WHEN max(n) = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h
+          FROM {name}{k} GROUP BY {tree}, pos // 8
+        )""")
+    return ", ".join(parts)
+
+
+_LEAF_LEVELS, _TREE_LEVELS = 10, 3
+
+
+def _manifest_sql() -> str:
+    way = [f"l{k}" for k in range(_LEAF_LEVELS)] + [f"t{k}" for k in range(_TREE_LEVELS)]
+    joins, steps = [], []
+    for k in range(_LEAF_LEVELS):
+        joins.append(f"JOIN ls{k} l{k} ON l{k}.lang IS NOT DISTINCT FROM d.lang AND l{k}.pos = d.pos // {8**k}")
+    joins.append("JOIN t0 tree ON tree.lang IS NOT DISTINCT FROM d.lang")
+    for k in range(_TREE_LEVELS):
+        joins.append(f"JOIN ts{k} t{k} ON t{k}.pos = tree.pos // {8**k}")
+    for k, name in enumerate(way):
+        source = "j" if k == 0 else f"f{k - 1}"
+        steps.append(f"f{k} AS (SELECT * REPLACE (CASE WHEN {name}_l IS NULL THEN shown ELSE sha256({name}_l || shown || {name}_r) END AS shown) FROM {source})")
+    sides = ", ".join(f"{a}.lft AS {a}_l, {a}.rgt AS {a}_r" for a in way)
+    proof = " || ".join(f"coalesce({a}.lft || {a}.rgt, '')" for a in way)
+    return f"""
+        WITH d AS (
+          SELECT doc_id, lang, {_leaf_sql("text")} AS h,
+                 CASE WHEN doc_id IS NOT NULL AND {_CRC_SQL} % 3 = 0
+                      THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed,
+                 row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+          FROM documents WINDOW w AS (PARTITION BY lang ORDER BY doc_id NULLS FIRST, {_leaf_sql("text")})
+        ), l0 AS (SELECT lang, pos, n, h FROM d), {_levels_sql("l", _LEAF_LEVELS, "lang")},
+        t0 AS (SELECT 1 AS one, lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n, h FROM l{_LEAF_LEVELS}),
+        {_levels_sql("t", _TREE_LEVELS, "one")},
+        j AS (
+          SELECT d.doc_id, d.h AS leaf, tree.h AS subroot, top.h AS root, sha256({proof}) AS proof_sha256, coalesce(changed, d.h) AS shown, {sides}
+          FROM d {" ".join(joins)}, t{_TREE_LEVELS} top
+        ), {", ".join(steps)}
+        SELECT doc_id, leaf, subroot, root, proof_sha256, shown AS folded_root, shown = root AS verified FROM f{len(way) - 1}"""
+
+
 ORACLE = {
+    "op12_merkle_manifest": _manifest_sql(),
     "op7_mixing": r"""
         WITH d AS (
           SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
