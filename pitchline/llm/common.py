@@ -6,6 +6,7 @@ import string
 from collections.abc import Iterator
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,13 +16,30 @@ from pitchline.settings import materialize
 SPACE = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["SPACE", "WORD", "hashed_words", "held_out", "in_parts", "materialize", "sample_rate", "shingles", "small_batches", "table", "uniform"]
+__all__ = ["SPACE", "WORD", "hashed_words", "held_out", "in_parts", "materialize", "powers", "row_keys", "sample_rate", "shingles", "small_batches", "table", "uniform"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_keys(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``columns`` of every row, behind (part, at), a key that is the row's own and the same in every scan.
+
+    Rows of a table that is read from files as it stands are told apart by file and place in the
+    file, without a copy; any other table is written first.
+    """
+    chosen = [value.alias(name) for name, value in columns.items()]
+    try:
+        if "_metadata" not in docs.columns:
+            place = [F.xxhash64("_metadata.file_path").alias("part"), F.col("_metadata.row_index").alias("at")]
+            return docs.select(*place, *chosen)
+    except AnalysisException:  # not a scan of files with row numbers
+        pass
+    written = docs.select(*chosen, F.monotonically_increasing_id().alias("at"))
+    return materialize(written, "rows").select(F.lit(0).cast("long").alias("part"), "at", *columns)
+
+
 #: Rows of text that a Python worker is handed at once; with few rows a batch stays
 #: small where texts are long.
 BATCH_ROWS = 1000
@@ -74,7 +92,7 @@ _BACK = pow(_BASE, -1, 1 << 64)
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _power_tables(n: int) -> list[np.ndarray]:
+def powers(n: int) -> list[np.ndarray]:
     """Powers of an odd number and of its inverse modulo 2^64."""
     if len(_powers[0]) < n:
         for k, base in enumerate((_BASE, _BACK)):
@@ -96,7 +114,7 @@ def _hashed(data: np.ndarray, trim: bool) -> tuple[np.ndarray, np.ndarray]:
         left, right = np.searchsorted(core, first), np.searchsorted(core, end)
         some = left < right
         first, end = core[left[some]], core[right[some] - 1] + 1
-    up, down = _power_tables(len(data) + 1)
+    up, down = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
     return mix((sums[end] - sums[first]) * down[first] + (end - first).astype(np.uint64)), first

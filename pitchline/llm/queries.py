@@ -14,6 +14,7 @@ from pitchline.llm.jaccard_join import JaccardJoin
 from pitchline.llm.language_id import identify, train
 from pitchline.llm.mixing import in_training_order, mix
 from pitchline.llm.pii import find_pii
+from pitchline.llm.substring_dedup import substring_dedup
 from pitchline.llm.token_counts import token_counts
 from pitchline.llm.url_filter import Rule, url_filter
 
@@ -87,6 +88,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_documents(merkle.build(merkle.document_leaves(table(spark, sf_dir, "documents"))))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
@@ -99,6 +104,7 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pii": op10_pii,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
