@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import string
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from pitchline.settings import materialize
 SPACE = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["SPACE", "WORD", "hashed_words", "held_out", "in_parts", "materialize", "powers", "row_keys", "sample_rate", "shingles", "small_batches", "table", "uniform"]
+__all__ = ["SPACE", "WORD", "Bits", "bits_of", "hashed_words", "held_out", "in_parts", "materialize", "powers", "row_keys", "sample_rate", "span_hashes", "shingles", "small_batches", "table", "uniform"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -185,3 +187,52 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     for k in range(n):
         out = mix(out * _ODD[k % 3] + words[k : k + last] + np.uint64(k))
     return np.unique(out)
+
+
+_PLAIN_BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(257))
+
+
+def span_hashes(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte spans [first, end) of ``data``, by content alone."""
+    up, down = powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_PLAIN_BYTE[data] * up[: len(data)], out=sums[1:])
+    return mix((sums[end] - sums[first]) * down[first] + (end - first).astype(np.uint64))
+
+
+MOST_BITS, LEAST_BITS, PIECE_BITS = 29, 17, 17
+
+
+class Bits(NamedTuple):
+    """A set of 64-bit hashes as bits: it may hold more than the set, never less."""
+
+    bits: int
+    bitmap: np.ndarray
+
+    def may_hold(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes >> np.uint64(64 - self.bits)
+        return (self.bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def _bit_piece(piece: pa.Table) -> pa.Table:
+    at = piece.column("at").to_numpy()
+    bits = np.zeros(1 << PIECE_BITS, bool)
+    bits[at & ((1 << PIECE_BITS) - 1)] = True
+    packed = np.packbits(bits, bitorder="little").tobytes()
+    return pa.table({"piece": pa.array([int(at[0]) >> PIECE_BITS], pa.int64()), "packed": pa.array([packed], pa.binary())})
+
+
+def bits_of(hashes: DataFrame, column: str, size: int) -> Bits:
+    """The bits of a column of ``size`` evenly spread hashes: 16 to 32 a hash, but never more than 2^29 (64 MB).
+
+    Pieces are built in Spark; the driver sees the finished bits alone. Beyond some
+    thirty million hashes there are more false hits, which cost work, not results.
+    """
+    bits = min(MOST_BITS, max(LEAST_BITS, (16 * size).bit_length()))
+    places = hashes.select(F.expr(f"shiftrightunsigned({column}, {64 - bits})").alias("at"))
+    pieces = places.groupBy(F.shiftright("at", PIECE_BITS).alias("piece")).applyInArrow(_bit_piece, "piece long, packed binary")
+    bitmap = np.zeros(1 << bits - 3, np.uint8)
+    for piece, packed in pieces.toLocalIterator():
+        start = piece << PIECE_BITS - 3
+        bitmap[start : start + len(packed)] = np.frombuffer(packed, np.uint8)
+    return Bits(bits, bitmap)

@@ -8,7 +8,7 @@ Which suffixes to look at. Of any ``SPAN`` consecutive positions the one whose n
 ``GRAM`` words hash lowest is an anchor, so equal windows have equal anchors at
 equal places. The prefixes at anchors are counted over all texts; a window that holds
 an anchor whose prefix occurs once cannot be repeated. A filter of prefixes that occur
-more often, of at most ``2 ** MOST_BITS`` bits whatever the corpus, goes to all
+more often, of at most 64 MB whatever the corpus, goes to all
 tasks; false hits cost work, nothing else. Neighbouring windows left over that have
 the same first anchor travel as one slice of words, so a word travels about three
 times, not ``WINDOW`` times.
@@ -43,20 +43,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchline.llm.common import SPACE, in_parts, materialize, mix, powers, row_keys, small_batches
+from pitchline.llm.common import SPACE, Bits, bits_of, in_parts, materialize, mix, row_keys, small_batches, span_hashes
 
 WINDOW, SPAN, GRAM = 35, 16, 7
 #: Spans within a window.
 INNER = WINDOW - SPAN - GRAM + 2
-MOST_BITS = 29
-LEAST_BITS = 16
-PIECE_BITS = 20
 PART_BYTES = 2 << 20
 
 _SLICE = "key long, part long, at long, first int, windows int, words binary, copies int"
 _HIT = "part long, at long, first int, windows int"
 _FAR = np.uint64(0xFFFFFFFFFFFFFFFF)
-_BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(257))
 _BLANK = np.zeros(256, bool)
 _BLANK[list(SPACE)] = True
 
@@ -75,10 +71,7 @@ def words_of(texts: list[bytes | None]) -> Words:
     blank = _BLANK[data]
     edge = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).view(np.int8)))
     first, end = edge[::2], edge[1::2]
-    up, down = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
-    hashes = mix((sums[end] - sums[first]) * down[first] + (end - first).astype(np.uint64))
+    hashes = span_hashes(data, first, end)
     keep = ~blank
     keep[end[end < len(data)]] = True
     text = np.where(blank, np.uint8(32), data)[keep].tobytes()
@@ -128,42 +121,22 @@ def _count_anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 class Filter(NamedTuple):
     """Prefixes that occur more than once, as bits, and those too frequent for one group, sorted."""
 
-    bits: int
-    bitmap: np.ndarray
+    often: Bits
     hot: np.ndarray
 
-    def maybe(self, prefix: np.ndarray) -> np.ndarray:
-        at = prefix >> np.uint64(64 - self.bits)
-        return (self.bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
     def is_hot(self, prefix: np.ndarray) -> np.ndarray:
         if not len(self.hot):
             return np.zeros(len(prefix), bool)
         return self.hot[np.minimum(np.searchsorted(self.hot, prefix), len(self.hot) - 1)] == prefix
 
 
-def _bit_piece(piece: pa.Table) -> pa.Table:
-    at = piece.column("at").to_numpy()
-    bits = np.zeros(1 << PIECE_BITS, bool)
-    bits[at & ((1 << PIECE_BITS) - 1)] = True
-    packed = np.packbits(bits, bitorder="little").tobytes()
-    return pa.table({"piece": pa.array([int(at[0]) >> PIECE_BITS], pa.int64()), "bits": pa.array([packed], pa.binary())})
-
-
 def _filter(given: DataFrame, group_rows: int) -> Filter:
     counted = given.select("content").mapInArrow(_count_anchors, "prefix long, n long").groupBy("prefix").agg(F.sum("n").alias("n"))
     often = materialize(counted.where("n > 1"), "substring-prefixes")
     size, total = often.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    bits = min(MOST_BITS, max(LEAST_BITS, (16 * size).bit_length()))
     # At most 2^20 prefixes pass a bound that is at least a 2^20th of all occurrences.
     hot = [r[0] for r in often.where(F.col("n") > max(group_rows, total >> 20)).select("prefix").collect()]
-    places = often.select(F.expr(f"shiftrightunsigned(prefix, {64 - bits})").alias("at"))
-    pieces = places.groupBy(F.shiftright("at", PIECE_BITS).alias("piece")).applyInArrow(_bit_piece, "piece long, bits binary")
-    bitmap = np.zeros(max(1, 1 << bits - PIECE_BITS if bits > PIECE_BITS else 1) << PIECE_BITS - 3, np.uint8)
-    for piece, packed in pieces.toLocalIterator():
-        start = piece << PIECE_BITS - 3
-        bitmap[start : start + len(packed)] = np.frombuffer(packed, np.uint8)
-    return Filter(bits, bitmap, np.sort(np.array(hot, np.int64).view(np.uint64)))
+    return Filter(bits_of(often, "prefix", size), np.sort(np.array(hot, np.int64).view(np.uint64)))
 
 
 def candidate_slices(words: Words, seen: Filter) -> list[tuple[int, int, int, int]]:
@@ -172,7 +145,7 @@ def candidate_slices(words: Words, seen: Filter) -> list[tuple[int, int, int, in
     n = len(place)
     if n < WINDOW:
         return []
-    dead = np.concatenate([[0], np.cumsum(~(inside & seen.maybe(prefix[place])))])
+    dead = np.concatenate([[0], np.cumsum(~(inside & seen.often.may_hold(prefix[place])))])
     live = np.zeros(n, bool)
     last = n - INNER + 1
     live[:last] = dead[INNER:] == dead[:last]
@@ -204,7 +177,7 @@ def _slicer(shared):
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32()]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = Filter(*shared.value)
+        seen = shared.value
         for batch in batches:
             parts, places = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for texts, offset in _texts(batch):
@@ -317,7 +290,7 @@ def _keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_runs(given: DataFrame, group_rows: int = 20_000) -> DataFrame:
     """Runs of repeated windows of rows (part, at, content): part, at, first, windows."""
     seen = _filter(given, group_rows)
-    shared = given.sparkSession.sparkContext.broadcast(tuple(seen))
+    shared = given.sparkSession.sparkContext.broadcast(seen)
     slices = given.select("part", "at", "content").mapInArrow(_slicer(shared), _SLICE)
     return slices.repartition("key").sortWithinPartitions("key").mapInArrow(_subtrees, _HIT)
 

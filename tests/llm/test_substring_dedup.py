@@ -11,6 +11,7 @@ import pytest
 from helpers import docs, words
 
 from pitchline.llm import substring_dedup as sd
+from pitchline.llm.common import Bits
 from pitchline.llm.queries import op13_substring_dedup
 
 
@@ -83,8 +84,8 @@ def test_subtree_compares_words():
 def test_filter_has_no_false_misses():
     r = np.random.default_rng(1)
     prefixes = r.integers(0, 2**63, 500).astype(np.uint64)
-    bitmap = np.zeros(1 << 17, np.uint8)
+    bitmap = np.zeros(1 << 13, np.uint8)
     at = prefixes >> np.uint64(64 - 16)
     np.bitwise_or.at(bitmap, (at >> np.uint64(3)).astype(np.int64), (1 << (at & np.uint64(7))).astype(np.uint8))
-    seen = sd.Filter(16, bitmap, np.sort(prefixes[:5]))
-    assert seen.maybe(prefixes).all() and seen.is_hot(prefixes).sum() == 5
+    seen = sd.Filter(Bits(16, bitmap), np.sort(prefixes[:5]))
+    assert seen.often.may_hold(prefixes).all() and seen.is_hot(prefixes).sum() == 5
