@@ -13,6 +13,7 @@ from pitchline.llm.html_text import main_text
 from pitchline.llm.jaccard_join import JaccardJoin
 from pitchline.llm.language_id import identify, train
 from pitchline.llm.mixing import in_training_order, mix
+from pitchline.llm.phrases import collocations
 from pitchline.llm.pii import find_pii
 from pitchline.llm.substring_dedup import substring_dedup
 from pitchline.llm.token_counts import token_counts
@@ -84,6 +85,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_documents(merkle.build(merkle.document_leaves(table(spark, sf_dir, "documents"))))
 
@@ -103,6 +108,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pii": op10_pii,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_substring_dedup": op13_substring_dedup,
 }
@@ -212,7 +218,40 @@ def _manifest_sql() -> str:
         SELECT doc_id, leaf, subroot, root, proof_sha256, shown AS folded_root, shown = root AS verified FROM f{len(way) - 1}"""
 
 
+_PHRASES_SQL = r"""
+        WITH texts AS (
+          SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+        ), pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts
+        ), words AS (SELECT row_number() OVER () AS piece, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+        ), sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
+        ), spread AS (SELECT piece, lang, unnest(w) AS w1, generate_subscripts(w, 1) AS i FROM words
+        ), runs AS (
+          SELECT lang, w1, lead(w1) OVER p AS w2, lead(w1, 2) OVER p AS w3, lead(w1, 3) OVER p AS w4
+          FROM spread WINDOW p AS (PARTITION BY piece ORDER BY i)
+        ), grams AS (
+          SELECT lang, 1 AS m, w1 AS phrase FROM runs UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM runs WHERE w2 IS NOT NULL
+          UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM runs WHERE w3 IS NOT NULL
+          UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM runs WHERE w4 IS NOT NULL
+        ), f AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30
+        ), listed AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1
+        ), cuts AS (
+          SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r, (2000000::HUGEINT * a) // (l.f + r.f) AS score
+          FROM (SELECT *, array_to_string(list_slice(w, 1, k), ' ') AS head, array_to_string(list_slice(w, k + 1, m), ' ') AS rest
+                FROM listed, range(1, 4) ks(k) WHERE k < m) c
+          JOIN f l ON l.lang = c.lang AND l.phrase = head JOIN f r ON r.lang = c.lang AND r.phrase = rest
+        ), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), inner_phrases AS (
+          SELECT lang, array_to_string(list_slice(w, i, i + q - 1), ' ') AS phrase, max(a) AS longer
+          FROM listed, range(2, 4) qs(q), range(1, 4) starts(i) WHERE q < m AND i + q - 1 <= m GROUP BY ALL
+        ), kept AS (
+          SELECT best.* FROM best LEFT JOIN inner_phrases USING (lang, phrase) WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+        ), ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000"""
+
 ORACLE = {
+    "op11_phrase_collocations": _PHRASES_SQL,
     "op12_merkle_manifest": _manifest_sql(),
     "op7_mixing": r"""
         WITH d AS (
