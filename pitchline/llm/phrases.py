@@ -14,7 +14,8 @@ trie of a block: from state s the label c leads to t = base[s] + c if check[t] =
 Blocks are broadcast ``pass_blocks`` at a time, a bounded size, each group with a
 pass of its own. In a pass numpy advances the states of all text positions at once,
 one level for each word, and counts the states reached with bincount; a task sends
-one sum a state, and Spark adds the tasks' sums. These counts are exact.
+its sums as arrays, a row for ``RUN_STATES`` states, and Spark brings the rows of the
+same states together to be added. These counts are exact.
 
 Texts are lower-cased (A-Z) and split into pieces at ``.,;:!?`` and line ends, and
 pieces into words at blanks and tabs; phrases do not cross pieces. Everything is
@@ -299,7 +300,12 @@ def count_states(trie: Trie, words: Words, langs: Sequence[str], labels: pa.Arra
         state = trie.step(state, word[at + level].astype(np.int64))
         alive = state >= 0
         at, state = at[alive], state[alive]
-        counts += np.bincount(state, minlength=len(counts))
+        counts += np.bincount(state, minlength=len(counts))[: len(counts)]
+
+
+#: States whose sums travel in one row.
+RUN_STATES = 1024
+_SUMS = "block int, run int, sums binary"
 
 
 def _count_blocks(shared):
@@ -309,21 +315,45 @@ def _count_blocks(shared):
             names, base, check = pickle.loads(packed)
             tries[block] = Trie(names, np.frombuffer(base, np.int32).astype(np.int64), np.frombuffer(check, np.int32).astype(np.int64))
             labels[block] = pa.array([x.encode() for x in names], pa.binary())
-            counts[block] = np.zeros(len(check) // 4, np.int64)
+            counts[block] = np.zeros(-(-len(check) // (4 * RUN_STATES)) * RUN_STATES, np.int64)
         for words, langs in _parts(batches):
             if len(words.first):
                 for block, trie in tries.items():
                     count_states(trie, words, langs, labels[block], counts[block])
         for block, n in counts.items():
-            reached = np.flatnonzero(n)
+            runs = n.reshape(-1, RUN_STATES)
+            reached = np.flatnonzero(runs.any(axis=1))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * len(reached), pa.int32()), pa.array(reached.astype(np.int32)), pa.array(n[reached])],
-                names=["block", "state", "n"],
+                [pa.array([block] * len(reached), pa.int32()), pa.array(reached.astype(np.int32)), pa.array([runs[k].tobytes() for k in reached], pa.binary())],
+                names=["block", "run", "sums"],
             )
 
     return run
 
 
+def _add_shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add the shards' sums of each run of states, which come together, and give the states that were reached."""
+    current, total = None, np.zeros(RUN_STATES, np.int64)
+
+    def out() -> pa.RecordBatch:
+        reached = np.flatnonzero(total)
+        block, run = current
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block] * len(reached), pa.int32()), pa.array((reached + run * RUN_STATES).astype(np.int32)), pa.array(total[reached])],
+            names=["block", "state", "f"],
+        )
+
+    for batch in batches:
+        for block, run, sums in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (block, run) != current:
+                if current is not None:
+                    yield out()
+                current, total = (block, run), np.zeros(RUN_STATES, np.int64)
+            total = total + np.frombuffer(sums, np.int64)
+    if current is not None:
+        yield out()
+
+
 def exact_counts(texts: DataFrame, entries: DataFrame, block_entries: int = 250_000, pass_blocks: int = 4) -> DataFrame:
     """How often each entry (lang, phrase) occurs: lang, phrase, f. The entries must be distinct."""
     size = entries.count()
@@ -335,8 +365,8 @@ def exact_counts(texts: DataFrame, entries: DataFrame, block_entries: int = 250_
     for start in range(0, blocks, pass_blocks):
         here = built.where(F.col("trie").isNotNull() & F.col("block").between(start, start + pass_blocks - 1))
         shared = spark.sparkContext.broadcast([tuple(r) for r in here.select("block", "trie").collect()])
-        sums = texts.mapInArrow(_count_blocks(shared), "block int, state int, n long").groupBy("block", "state").agg(F.sum("n").alias("f"))
-        sums = materialize(sums, "phrase-counts")
+        shards = texts.mapInArrow(_count_blocks(shared), _SUMS).repartition("block", "run").sortWithinPartitions("block", "run")
+        sums = materialize(shards.mapInArrow(_add_shards, "block int, state int, f long"), "phrase-counts")
         counted = sums if counted is None else counted.unionByName(sums)
     return built.where("trie IS NULL").join(counted, ["block", "state"]).select("lang", "phrase", "f")
 
