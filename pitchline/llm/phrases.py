@@ -151,12 +151,26 @@ def _count_longer(shared):
     return run
 
 
+#: Hashes a task remembers as spelled; beyond, it forgets them and may spell again.
+REMEMBERED = 4_000_000
+
+
+def _letters(words: Words) -> tuple[bytes, np.ndarray]:
+    """The words with one blank after each, and where each starts."""
+    keep = _KIND[words.data] == 0
+    keep[words.end] = True  # every text ends with a mark, so there is a byte behind every word
+    start = np.concatenate([[0], np.cumsum(words.end - words.first + 1)])
+    return np.where(_KIND[words.data] == 0, words.data, np.uint8(32))[keep].tobytes(), start
+
+
 def _spell(shared):
-    """The candidates that the texts hold, spelled out once a part."""
+    """The candidates that the texts hold, spelled out once a task."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits: Bits = shared.value
+        known = np.zeros(0, np.uint64)
         for words, langs in _parts(batches):
+            text, start = _letters(words)
             lang_out, phrase_out, hash_out = [], [], []
             for k, (found, whole) in enumerate(phrase_hashes(words, langs)):
                 if k == 0:
@@ -164,11 +178,19 @@ def _spell(shared):
                 at = np.flatnonzero(whole)
                 at = at[bits.may_hold(found[at])]
                 hashes, where = np.unique(found[at], return_index=True)
-                for i in at[where].tolist():
-                    phrase_out.append(b" ".join(words.data[a:b].tobytes() for a, b in zip(words.first[i : i + k + 1], words.end[i : i + k + 1])).decode())
-                    lang_out.append(langs[words.text[i]])
-                hash_out += hashes.view(np.int64).tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(lang_out, pa.string()), pa.array(phrase_out, pa.string()), pa.array(hash_out, pa.int64())], names=["lang", "phrase", "hash"])
+                if len(known):
+                    new = known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] != hashes
+                    hashes, where = hashes[new], where[new]
+                at = at[where]
+                phrase_out += [text[a:b] for a, b in zip(start[at].tolist(), (start[at + k + 1] - 1).tolist(), strict=True)]
+                lang_out += [langs[t] for t in words.text[at].tolist()]
+                hash_out.append(hashes)
+            fresh = np.concatenate(hash_out)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lang_out, pa.string()), pa.array(phrase_out, pa.binary()).cast(pa.string()), pa.array(fresh.view(np.int64))],
+                names=["lang", "phrase", "hash"],
+            )
+            known = np.sort(np.concatenate([known, fresh]) if len(known) < REMEMBERED else fresh)
 
     return run
 
@@ -188,7 +210,8 @@ def candidates(texts: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFra
     longer, _ = frequent(_count_longer(context.broadcast(bits)), "phrase-longer")
     every = pairs.unionByName(longer).select("hash")
     all_bits = context.broadcast(bits_of(every, "hash", every.count()))
-    spelled = texts.mapInArrow(_spell(all_bits), "lang string, phrase string, hash long").distinct()
+    # Stored, so that each phrase meets the sums once and not once a task.
+    spelled = materialize(texts.mapInArrow(_spell(all_bits), "lang string, phrase string, hash long").distinct(), "phrase-spelled")
     found = spelled.join(every, "hash", "left_semi").select("lang", "phrase")
     return materialize(found, "phrase-candidates"), words.where("lang IS NOT NULL").select("lang", "n")
 
@@ -300,7 +323,7 @@ def count_states(trie: Trie, words: Words, langs: Sequence[str], labels: pa.Arra
         state = trie.step(state, word[at + level].astype(np.int64))
         alive = state >= 0
         at, state = at[alive], state[alive]
-        counts += np.bincount(state, minlength=len(counts))[: len(counts)]
+        counts += np.bincount(state, minlength=len(counts))
 
 
 #: States whose sums travel in one row.
