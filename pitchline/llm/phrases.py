@@ -234,8 +234,8 @@ class Trie(NamedTuple):
 def build_trie(paths: Sequence[Sequence[str]]) -> tuple[Trie, list[int]]:
     """The trie of ``paths`` and the state at the end of each.
 
-    Nodes with many children are placed first, each at the first base that leaves
-    its children's places free; a node with one child takes the next free place.
+    Nodes with many children are placed first, each at a base that leaves its children's
+    places free; the nodes with one child share out the places left over.
     """
     labels: dict[str, int] = {}
     children: list[dict[int, int]] = [{}]
@@ -250,17 +250,14 @@ def build_trie(paths: Sequence[Sequence[str]]) -> tuple[Trie, list[int]]:
                 children.append({})
             node = below
         ends.append(node)
-    size = 2 * len(children) + len(labels) + 2
-    used = np.zeros(size, bool)
+    used = np.zeros(2 * len(children) + len(labels) + 2, bool)
     used[0] = True
     state = np.zeros(len(children), np.int64)
     bases = np.zeros(len(children), np.int64)
-    low = 1
-    for node in sorted((k for k, c in enumerate(children) if c), key=lambda k: -len(children[k])):
+    begin = 1
+    for node in sorted((k for k, c in enumerate(children) if len(c) > 1), key=lambda k: -len(children[k])):
         wanted = np.array(sorted(children[node]), np.int64)
-        while low < len(used) and used[low]:
-            low += 1
-        start = low
+        start = begin
         while True:
             if start + wanted[-1] - wanted[0] + 1024 >= len(used):
                 used = np.concatenate([used, np.zeros(len(used) + int(wanted[-1]) + 2048, bool)])
@@ -270,10 +267,18 @@ def build_trie(paths: Sequence[Sequence[str]]) -> tuple[Trie, list[int]]:
                 base = int(free[np.argmax(fits)] - wanted[0])
                 break
             start += 1024
+        # What lies behind is nearly full; it is left to the nodes with one child.
+        begin = max(begin, start - 4096)
         used[base + wanted] = True
         bases[node] = base
         for label, below in children[node].items():
             state[below] = base + label
+    lone = [k for k, c in enumerate(children) if len(c) == 1]
+    used = np.concatenate([used, np.zeros(len(lone), bool)])
+    free = np.flatnonzero(~used)[: len(lone)]
+    label, below = (np.array(x, np.int64) for x in zip(*[next(iter(children[k].items())) for k in lone], strict=True)) if lone else (free, free)
+    state[below] = free
+    bases[lone] = free - label
     last = int(state.max()) + 1
     base_of, check = np.zeros(last, np.int32), np.full(last, -1, np.int32)
     base_of[state] = bases
