@@ -38,16 +38,16 @@ def chemistry_init(members: DataFrame) -> DataFrame:
     return pairs.selectExpr(*PAIR, f"{_START} AS chemistry")
 
 
-def pair_updates(history: DataFrame, keep_unchanged: bool = False) -> DataFrame:
+def pair_updates(history: DataFrame, keep_unchanged: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """One update per match and pair of players whose rating changed.
 
-    ``keep_unchanged`` also emits pairs without an update, with delta 0; stored
-    per-day tables use it so that a rewritten day never loses rows.
+    ``keep_unchanged`` also emits pairs without an update, with delta 0. Columns named
+    in ``carry`` come along for both players.
     """
-    rows = history.select("match_id", "match_day", "kickoff", "player_id", "team_id", "rating_change")
+    rows = history.select("match_id", "match_day", "kickoff", "player_id", "team_id", "rating_change", *carry)
     if not keep_unchanged:
         rows = rows.where(changed("rating_change"))
-    pairs = _same_match_pairs(rows, ["match_day", "kickoff", "team_id", "rating_change"])
+    pairs = _same_match_pairs(rows, ["match_day", "kickoff", "team_id", "rating_change", *carry])
     one, two = "rating_change_lo", "rating_change_hi"
     same_sign = f"({one} < 0 AND {two} < 0 OR {one} > 0 AND {two} > 0)"
     delta = f"abs({one} + {two}) / 2"
@@ -57,7 +57,7 @@ def pair_updates(history: DataFrame, keep_unchanged: bool = False) -> DataFrame:
     return pairs.selectExpr(
         "match_id", "match_day_lo AS match_day", "kickoff_lo AS kickoff", *PAIR,
         f"{delta} AS delta", f"(team_id_lo = team_id_hi) = {same_sign} AS up",
-        *([f"{both} AS updated"] if keep_unchanged else []),
+        *([f"{both} AS updated"] if keep_unchanged else []), *[f"{c}_{s}" for c in carry for s in ("lo", "hi")],
     )
 
 

@@ -16,8 +16,8 @@ def assigned(df: DataFrame) -> DataFrame:
     return df.where(f"player_id <> {NO_PLAYER}")
 
 
-def _count(rows: DataFrame, order: str, *extra: str) -> DataFrame:
-    return rows.groupBy("match_id", "player_id").agg(
+def _count(rows: DataFrame, order: str, *extra: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    return rows.groupBy(*keys, "match_id", "player_id").agg(
         F.expr(f"max_by(team_id, {order}) AS team_id"),
         F.expr(f"max({order}) AS last_event_id"),
         *[F.expr(f"sum({c}) AS {c}") for c in COUNTERS],
@@ -25,19 +25,19 @@ def _count(rows: DataFrame, order: str, *extra: str) -> DataFrame:
     )
 
 
-def count_by_player(facts: DataFrame) -> DataFrame:
-    """Sum the counters per (match, player).
+def count_by_player(facts: DataFrame, *extra: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Sum the counters per (match, player), within further ``keys`` if any.
 
     The sums and the team of the latest event all have fixed-width buffers, so
     this is a hash aggregate with a map-side partial: however hot a player or a
     match is, each task sends one row per key.
     """
-    return _count(facts, "event_id")
+    return _count(facts, "event_id", *extra, keys=keys)
 
 
-def merge_counts(partials: DataFrame, *extra: str) -> DataFrame:
+def merge_counts(partials: DataFrame, *extra: str, keys: tuple[str, ...] = ()) -> DataFrame:
     """Merge partial counts of the same (match, player), in any order and grouping."""
-    return _count(partials, "last_event_id", *extra)
+    return _count(partials, "last_event_id", *extra, keys=keys)
 
 
 def with_ratios(counts: DataFrame) -> DataFrame:

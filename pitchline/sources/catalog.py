@@ -1,22 +1,23 @@
-"""Stored tables: one place for paths, schemas, reads and writes.
+"""Where the stored tables of the streaming pipeline and published results live.
 
-Every table is Parquet with named columns and an explicit schema. Writes
-replace only the partitions they contain, so repeating a write after a failure
-leaves the same table.
+The pipeline's tables are described here and kept by ``sources.store``: every
+micro-batch adds runs and commits them with one manifest. Published results are
+folders of their own, named by a manifest as well.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession
 
-from pitchline.operators import answers
+from pitchline.functions import formulas
+from pitchline.operators import answers, stats
 from pitchline.operators.facts import COUNTERS
+from pitchline.sources.store import Manifests, Store, Table
 
-PLAYER_BUCKETS = 32
+#: Buckets of the tables keyed by match.
+MATCH_BUCKETS = 16
 
 _MEMBER = "STRUCT<playerId: BIGINT, goals: STRING, ownGoals: STRING, yellowCards: STRING, redCards: STRING>"
 _TEAM = (
@@ -24,50 +25,54 @@ _TEAM = (
     "substitutions: ARRAY<STRUCT<playerIn: BIGINT, playerOut: BIGINT, minute: INT>>, "
     f"lineup: ARRAY<{_MEMBER}>, bench: ARRAY<{_MEMBER}>>"
 )
-
+_RECORD = (
+    "match_id BIGINT, status STRING, kickoff TIMESTAMP, date STRING, label STRING, duration STRING, "
+    f"winner BIGINT, venue STRING, gameweek INT, teams ARRAY<{_TEAM}>, match_day DATE"
+)
 _COUNTED = "match_id BIGINT, player_id BIGINT, team_id BIGINT, last_event_id BIGINT, " + ", ".join(
     f"{c} BIGINT" for c in COUNTERS
 )
+_FIGURES = ", ".join(f"{c} DOUBLE" for c in formulas.RATIOS)
+_NODE = "level INT, part BIGINT, a DOUBLE, b DOUBLE, n BIGINT, batch_id BIGINT"
 
-# name -> (columns, partition columns)
-TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
-    # Counters that a micro-batch adds to matches with a record; readers merge them.
-    "player_count": (f"{_COUNTED}, match_day DATE, batch_id BIGINT", ("match_day", "batch_id")),
-    # Counters of a micro-batch whose match has no record yet.
-    "orphan_count": (f"{_COUNTED}, batch_id BIGINT", ("batch_id",)),
-    "match_record": (
-        "match_id BIGINT, status STRING, kickoff TIMESTAMP, date STRING, label STRING, duration STRING, "
-        f"winner BIGINT, venue STRING, gameweek INT, teams ARRAY<{_TEAM}>, match_day DATE, batch_id BIGINT",
-        ("match_day", "batch_id"),
-    ),
-    "dead_letter": ("value STRING, batch_id BIGINT", ("batch_id",)),
+
+def _sum_counts(rows: DataFrame) -> DataFrame:
+    return stats.merge_counts(rows, "max(batch_id) AS batch_id", "max(bucket) AS bucket")
+
+
+TABLES: dict[str, Table] = {
+    # Counters by match and player alone; a match's day and record are no matter.
+    "player_count": Table(f"{_COUNTED}, batch_id BIGINT, bucket INT", ("bucket",), merge=_sum_counts),
+    # The preferred record of every match: an index by match, not a log of versions.
+    "match_current": Table(f"{_RECORD}, content BIGINT, batch_id BIGINT, bucket INT", ("bucket",), ("match_id",)),
+    # Records without an id, which are no versions of each other.
+    "match_unnamed": Table(f"{_RECORD}, record_no BIGINT, batch_id BIGINT"),
+    "dead_letter": Table("value STRING, batch_id BIGINT"),
     # Participations with their rating; rating columns are NULL without events.
-    "player_match": (
-        "match_id BIGINT, kickoff TIMESTAMP, player_id BIGINT, team_id BIGINT, minutes INT, prior_matches BIGINT, "
-        "match_rating DOUBLE, rating DOUBLE, rating_change DOUBLE, match_day DATE",
-        ("match_day",),
+    "played": Table(
+        "match_key STRING, match_id BIGINT, player_id BIGINT, nth INT, match_day DATE, kickoff TIMESTAMP, team_id BIGINT, "
+        f"minutes INT, {_FIGURES}, fouls BIGINT, own_goal BIGINT, prior_matches BIGINT, match_rating DOUBLE, rating DOUBLE, "
+        "rating_change DOUBLE, gone BOOLEAN, batch_id BIGINT, chunk INT",
+        ("chunk",), ("player_id", "match_key", "match_day", "nth"),
     ),
-    # Chemistry of a day as one composite map per pair.
-    "pair_day": (
-        "player_lo BIGINT, player_hi BIGINT, n BIGINT, a DOUBLE, b DOUBLE, match_day DATE",
-        ("match_day",),
-    ),
-    # Where each player stands: before and after the last day played.
-    "player_state": (
-        "player_id BIGINT, last_day DATE, matches_before BIGINT, rating_before DOUBLE, "
-        "matches_after BIGINT, rating_after DOUBLE, player_bucket INT",
-        ("player_bucket",),
+    # Matches and rating of a player over intervals: n matches, and x' = a x + b for the rating.
+    "standing": Table(f"player_id BIGINT, {_NODE}", ("level",), ("player_id", "level", "part")),
+    # Chemistry of a pair over intervals.
+    "pair_node": Table(f"player_lo BIGINT, player_hi BIGINT, {_NODE}", ("level",), ("player_lo", "player_hi", "level", "part")),
+    # The last rated match of every player.
+    "latest": Table(
+        "player_id BIGINT, match_id BIGINT, team_id BIGINT, match_rating DOUBLE, rating DOUBLE, rating_change DOUBLE, "
+        "gone BOOLEAN, batch_id BIGINT",
+        (), ("player_id",),
     ),
 }
 
 
-_POINTER = "version BIGINT, stamp STRING, format STRING, names ARRAY<STRING>"
-
-
 class Catalog:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, fan: int = 8):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.store = Store(spark, self.path("tables"), TABLES, fan)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -76,61 +81,34 @@ class Catalog:
     def checkpoint(self) -> str:
         return self.path("_checkpoint")
 
-    def create(self) -> "Catalog":
-        """Make sure every table can be read; existing tables are left alone."""
-        for name in TABLES:
-            folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(folder)
-        return self
-
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[name][0]).parquet(self.path(name))
-
-    def write(self, name: str, df: DataFrame) -> None:
-        """Replace the partitions that occur in ``df``.
-
-        Rows are rebalanced by partition: small partitions become one file
-        each, large ones are split into files of advisory size.
-        """
-        schema, partitions = TABLES[name]
-        columns = T.StructType.fromDDL(schema).names
-        (
-            df.select(*columns)
-            .hint("rebalance", *partitions)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partitions)
-            .parquet(self.path(name))
-        )
-
-    def drop_partition(self, name: str, partition: str) -> None:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/{partition}")
-        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        """The current rows of a table, as the newest commit names them."""
+        return self.store.snapshot().current(name)
 
     def publish(self, results: dict[str, DataFrame], version: int, fmt: str = "parquet", keep: int = 2) -> None:
         """Store results as one new version; readers see all of it or none.
 
-        Each publication goes to folders of its own, and a one-row pointer, written
-        last, names them. A publication that fails leaves no pointer and is not seen.
-        Data of all but the newest ``keep`` publications go.
+        Each publication goes to folders of its own, and a small file, renamed into
+        place last, names them. A publication that fails is not seen. Data of all but
+        the last ``keep`` publications go.
         """
         stamp = uuid.uuid4().hex
         for name, df in results.items():
             df.write.format(fmt).save(f"{self.path('snapshot')}/data/{stamp}/{name}")
-        pointer = self.spark.createDataFrame([(version, stamp, fmt, sorted(results))], _POINTER)
-        pointer.coalesce(1).write.mode("append").json(f"{self.path('snapshot')}/published")
-        for old in self._published()[keep:]:
-            folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path('snapshot')}/data/{old['stamp']}")
-            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        published = self._published(keep)
+        kept = published.commit({"version": version, "stamp": stamp, "format": fmt, "names": sorted(results)})
+        folder = f"{self.path('snapshot')}/data"
+        for old in set(published.files.names(folder)) - {m["stamp"] for m in kept}:
+            published.files.remove(f"{folder}/{old}")
 
-    def _published(self) -> list[Row]:
-        """Pointers, newest first; one small row for each publication."""
-        rows = self.spark.read.schema(_POINTER).json(f"{self.path('snapshot')}/published")
-        return rows.select("*", "_metadata.file_modification_time").orderBy(F.desc("version"), F.desc("file_modification_time")).collect()
+    def _published(self, keep: int = 2) -> Manifests:
+        return Manifests(self.spark, f"{self.path('snapshot')}/published", keep)
 
     def read_snapshot(self, name: str, schema: str | None = None) -> DataFrame:
         """A result of the newest version that holds it."""
-        newest = next(row for row in self._published() if name in row["names"])
+        published = self._published()
+        pointers = sorted((published.read(n) for n in published.numbers()), key=lambda m: -m["version"])
+        newest = next(m for m in pointers if name in m["names"])
         reader = self.spark.read.format(newest["format"])
         if schema:
             reader = reader.schema(schema)

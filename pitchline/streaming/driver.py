@@ -1,15 +1,28 @@
 """The streaming pipeline: micro-batches of record lines into stored tables.
 
-State lives in tables, not in memory. A micro-batch adds its pre-aggregated
-events and its match records, then rewrites the match days it touches and all
-later ones, because ratings and chemistry run in match order. In a feed that
-arrives in order these are the partitions of one day. The result equals the
-batch composition over all lines read so far, wherever the batches are cut and
-in whatever order records arrive.
-
-Counters and records are only ever added, in partitions of their micro-batch; the
-tables derived from them are replaced by whole days. A micro-batch repeated after
-a failure gives the same tables, wherever it stopped.
+State lives in tables, not in memory. All tables of a micro-batch appear with one
+commit (``sources.store``): a reader, or the next micro-batch, meets all of them or
+none, and a micro-batch repeated after a failure changes nothing.
+
+A micro-batch costs its input and what follows from it, not the history:
+
+* records go to an index by match that holds the preferred version; the stored
+  records of touched matches alone are read, by bucket and range of ids;
+* counters are added by match and player, whatever the day of the match, so a record
+  that moves its match, or arrives last, changes no counter;
+* the players of touched matches whose participations differ from the stored ones
+  are rated again from their first differing day on. Where they stood before comes
+  from a few nodes of ``operators.intervals``. Other players' rows stay;
+* pairs are folded again for days on which a row of one of the two differs, and the
+  nodes above these days, a handful a pair.
+
+In a feed that arrives in order the differing rows are the new ones. A late match is
+followed by the later matches of its own players: the running rating is a mean over
+all matches, so a match put in between changes every later rating of a player, and
+with it every later change that chemistry is made of. No other player is touched.
+
+The result equals the batch composition over all lines read so far, wherever the
+batches are cut and in whatever order records arrive.
 """
 
 from __future__ import annotations
@@ -18,183 +31,269 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pitchline.operators import chemistry, lineup, ratings, stats, summary
+from pitchline.functions import formulas
+from pitchline.operators import chemistry, intervals, lineup, ratings, stats, summary
 from pitchline.operators.facts import event_facts
-from pitchline.settings import TIMELINE, materialize
+from pitchline.operators.scan import affine_fold, chunk_of
+from pitchline.settings import CHUNK_DAYS, TIMELINE, materialize
 from pitchline.sources import lines as line_source
-from pitchline.sources.catalog import PLAYER_BUCKETS, Catalog
+from pitchline.sources.catalog import MATCH_BUCKETS, TABLES, Catalog
+from pitchline.sources.store import Snapshot, Transaction
 
 TRIGGER = "5 seconds"
 
-_LATEST = f"max_by(rating, struct({', '.join(TIMELINE)}))"
+_START = formulas.double(formulas.START_RATING)
+_BUCKET = f"CAST(pmod(xxhash64(match_id), {MATCH_BUCKETS}) AS INT)"
+_CHUNK = f"CAST({chunk_of('match_day', CHUNK_DAYS)} AS INT)"
 
+_KEY = list(TABLES["played"].keys)
+_FACTS = ["kickoff", "team_id", "minutes", *formulas.RATIOS, "fouls", "own_goal"]
+_RATED = ["prior_matches", "match_rating", "rating", "rating_change"]
+_ROW = ["match_key", "match_id", "player_id", "nth", "match_day", *_FACTS]
 
-def current_records(catalog: Catalog, since=None) -> DataFrame:
-    """The preferred record of every match stored so far, by the rule of the batch run."""
-    records = line_source.first_match_records(catalog.read("match_record").drop("batch_id"))
-    return records if since is None else records.where(f"match_day >= DATE '{since}'")
 
+def _in(column: str, values) -> str:
+    return f"{column} IN ({', '.join(map(str, values))})" if values else "false"
 
-def _store_records(catalog: Catalog, routed: line_source.Routed, batch_id: int) -> None:
-    # Every version of a record is kept; readers pick the preferred one. Versions
-    # that earlier batches stored are left out, those of this batch are not, so
-    # that a repeated batch stores the same rows.
-    records = line_source.parse_matches(routed.matches)
-    records = records.withColumn("content", line_source.content_hash(records)).dropDuplicates(["match_id", "content"])
-    stored = catalog.read("match_record").where(f"batch_id < {batch_id}").drop("batch_id")
-    known = stored.select(F.col("match_id").alias("_id"), line_source.content_hash(stored).alias("_content"))
-    same = F.col("match_id").eqNullSafe(F.col("_id")) & (F.col("content") == F.col("_content"))
-    fresh = records.join(known, same, "left_anti")
-    catalog.write("match_record", fresh.selectExpr("* EXCEPT (content)", f"{batch_id}L AS batch_id"))
-    catalog.write("dead_letter", routed.dead_letters.selectExpr("value", f"{batch_id}L AS batch_id"))
 
+def _stamped(df: DataFrame, tx: Transaction, *extra: str) -> DataFrame:
+    return df.selectExpr("*", *extra, f"{tx.batch}L AS batch_id")
 
-def _first_touched_day(catalog: Catalog, partial: DataFrame, batch_id: int):
-    """First match day with new events or records; None if nothing can be rated.
 
-    All stored versions of a touched match count, since a new version may move it.
-    Events of matches without a record are put aside until it arrives.
-    """
-    versions = catalog.read("match_record").select("match_id", "match_day", "batch_id")
-    catalog.write(
-        "orphan_count",
-        partial.join(versions, "match_id", "left_anti").selectExpr("*", f"{batch_id}L AS batch_id"),
-    )
-    touched = partial.select("match_id").unionByName(versions.where(f"batch_id = {batch_id}").select("match_id")).distinct()
-    return versions.join(touched, "match_id", "left_semi").agg(F.min("match_day").alias("day")).first()["day"]
+def _differing(new: DataFrame, old: DataFrame, values: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``new`` that ``old`` lacks or holds with other values, and rows of ``old`` whose key is not in ``new``."""
+    known = old.select(*[F.col(c).alias(f"_{c}") for c in (*_KEY, *values)])
+    same = [F.col(c) == F.col(f"_{c}") for c in _KEY] + [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in values]
+    return new.join(known, same, "left_anti"), old.join(new.select(*_KEY), _KEY, "left_anti")
+
 
+# --- records and counters ---------------------------------------------------
 
-def _store_counts(catalog: Catalog, partial: DataFrame, batch_id: int) -> None:
-    """Append this micro-batch's counters, and those that waited for its records.
 
-    Nothing stored is read back and replaced: a micro-batch writes partitions of
-    its own, and a repeated one writes the same.
+class _Touched:
+    """The matches that a micro-batch brings events or records of, with their records before and now.
+
+    ``records`` holds their current records with ``fresh``, whether this micro-batch changed
+    them, and ``day_before``, the day of the record they had.
     """
-    versions = catalog.read("match_record").groupBy("match_id").agg(F.min("match_day").alias("match_day"), F.min("batch_id").alias("first_batch"))
-    waiting = catalog.read("orphan_count").where(f"batch_id < {batch_id}").drop("batch_id")
-    arrived = versions.where(f"first_batch = {batch_id}").select("match_id")
-    fresh = partial.unionByName(waiting.join(arrived, "match_id", "left_semi"))
-    catalog.write("player_count", fresh.join(versions.drop("first_batch"), "match_id").selectExpr("*", f"{batch_id}L AS batch_id"))
 
+    def __init__(self, now: Snapshot, parsed: DataFrame, partial: DataFrame):
+        ids = parsed.selectExpr("match_id", "true AS record").unionByName(partial.selectExpr("match_id", "false AS record"))
+        bounds = ids.agg(
+            F.expr(f"array_sort(collect_set({_BUCKET}) FILTER (WHERE match_id IS NOT NULL)) AS buckets"), F.min("match_id").alias("lo"),
+            F.max("match_id").alias("hi"), F.expr("count_if(record AND match_id IS NULL) AS nameless"),
+        ).first()
+        self.nameless = bounds["nameless"]
+        self.where = f"{_in('bucket', bounds['buckets'])} AND match_id BETWEEN {bounds['lo'] or 0} AND {bounds['hi'] or 0}"
+        stored = now.rows("match_current").where(self.where).join(ids, "match_id", "left_semi")
+        held = now.current("match_current", stored).selectExpr(
+            "match_id", "struct(* EXCEPT (match_id, content, batch_id, bucket)) AS old", "content AS old_content"
+        )
+        preferred = line_source.preferred_records(parsed)
+        offered = preferred.select(
+            "match_id", line_source.content_hash(preferred).alias("new_content"), F.struct(*[c for c in preferred.columns if c != "match_id"]).alias("new")
+        )
+        fresh = "new_content IS NOT NULL AND (old_content IS NULL OR new_content < old_content)"
+        both = held.join(offered, "match_id", "full").selectExpr("match_id", "old", "old_content", "new", "new_content", f"{fresh} AS fresh")
+        self._fields = [c for c in parsed.columns if c != "match_id"]
+        chosen = [F.when(F.col("fresh"), F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in self._fields]
+        content = F.when(F.col("fresh"), F.col("new_content")).otherwise(F.col("old_content")).alias("content")
+        self.records = materialize(both.select("match_id", *chosen, content, "fresh", F.col("old.match_day").alias("day_before")), "records")
+        told = self.records.agg(
+            F.expr("count(1) AS records"), F.expr("count_if(fresh) AS fresh"),
+            F.expr(f"array_sort(collect_set({_CHUNK.replace('match_day', 'day_before')}) FILTER (WHERE day_before IS NOT NULL)) AS chunks"),
+        ).first()
+        self.count, self.fresh, self.chunks = told
+        self.now = self.records.select("match_id", *self._fields)
+
+    def changed_records(self) -> DataFrame:
+        return self.records.where("fresh").selectExpr("match_id", *self._fields, "content", f"{_BUCKET} AS bucket")
+
+    def merged_counts(self, now: Snapshot, partial: DataFrame) -> DataFrame:
+        """Counters of the touched matches that have a record."""
+        stored = now.rows("player_count").where(self.where).drop("batch_id", "bucket")
+        mine = stored.unionByName(partial).join(self.records, "match_id", "left_semi")
+        return stats.merge_counts(stats.assigned(mine))
+
+
+def _unnamed(tx: Transaction, parsed: DataFrame) -> DataFrame:
+    """Records without an id, numbered so that equal ones stay apart."""
+    rows = parsed.withColumn("_content", line_source.content_hash(parsed)).where("match_id IS NULL")
+    numbered = rows.selectExpr(
+        "* EXCEPT (_content)",
+        f"xxhash64(_content, {tx.batch}L, row_number() OVER (PARTITION BY _content ORDER BY match_day)) AS record_no",
+    )
+    return materialize(numbered, "unnamed")
+
+
+def _participations(touched: _Touched, unnamed: DataFrame | None, counts: DataFrame, minutes_mode: str) -> DataFrame:
+    """Participations of the touched matches as their records and counters have them now."""
+    named = ratings.participations(stats.with_ratios(counts), lineup.appearances(touched.now, minutes_mode))
+    rows = named.selectExpr("*", "CAST(match_id AS STRING) AS match_key")
+    if unnamed is not None:
+        # Their number stands in for the id; no event names it.
+        apps = lineup.appearances(unnamed.selectExpr("* EXCEPT (match_id, record_no)", "record_no AS match_id"), minutes_mode)
+        nameless = ratings.participations(stats.with_ratios(counts.where("false")), apps)
+        rows = rows.unionByName(
+            nameless.selectExpr("* EXCEPT (match_id)", "CAST(NULL AS BIGINT) AS match_id", "concat('r', match_id) AS match_key")
+        )
+    nth = "CAST(row_number() OVER (PARTITION BY player_id, match_key, match_day ORDER BY minutes) AS INT) AS nth"
+    return rows.selectExpr("*", nth).select(*_ROW)
 
-def _drop_orphans(catalog: Catalog, batch_id: int) -> None:
-    """Remove put-aside partitions all of whose matches got a record in finished batches."""
-    orphans = catalog.read("orphan_count").where(f"batch_id < {batch_id}")
-    recorded = catalog.read("match_record").where(f"batch_id < {batch_id}").select("match_id").distinct()
-    waiting = orphans.join(recorded, "match_id", "left_anti").select("batch_id").distinct()
-    for row in orphans.select("batch_id").distinct().join(waiting, "batch_id", "left_anti").collect():
-        catalog.drop_partition("orphan_count", f"batch_id={row['batch_id']}")
 
+# --- ratings ------------------------------------------------------------------
 
-def _counts(catalog: Catalog, since=None) -> DataFrame:
-    """Counters per (match, player) of matches with a record, merged over the micro-batches."""
-    stored = catalog.read("player_count")
-    if since is not None:
-        stored = stored.where(f"match_day >= DATE '{since}'")
-    return stats.merge_counts(stats.assigned(stored.drop("match_day", "batch_id")))
 
+def _near(now: Snapshot, name: str, days: tuple[int, int]) -> DataFrame:
+    """Stored nodes that a question about these days can need; lower levels are cut to the days' neighbourhood."""
+    lo, hi = days
+    rows = now.rows(name)
+    parts = [
+        rows.where(f"level = {k} AND part BETWEEN {lo // intervals.FAN ** (k + 1) * intervals.FAN} AND {(hi // intervals.FAN ** (k + 1) + 1) * intervals.FAN}")
+        for k in (0, 1)
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(rows.where("level > 1"))
 
-def _seeds(catalog: Catalog, players: DataFrame, day) -> DataFrame:
-    """Matches and rating of the given players before ``day``.
 
-    ``player_state`` answers for players whose last day is ``day`` or earlier.
-    Only for players already seen on later days, that is when records arrive
-    late, the stored history before ``day`` is read.
-    """
-    cut = f"DATE '{day}'"
-    state = catalog.read("player_state").join(players, "player_id", "left_semi")
-    current = state.where(f"last_day <= {cut}").selectExpr(
-        "player_id",
-        f"if(last_day < {cut}, matches_after, matches_before) AS seed_matches",
-        f"if(last_day < {cut}, rating_after, rating_before) AS seed_rating",
-    )
-    late = state.where(f"last_day > {cut}").select("player_id")
-    if late.isEmpty():
-        return current
-    earlier = catalog.read("player_match").where(f"match_day < {cut}").join(late, "player_id", "left_semi")
-    return current.unionByName(_standing(earlier, "seed_matches", "seed_rating"))
+def _nodes(now: Snapshot, name: str, keys: list[str], asked: DataFrame, days: tuple[int, int]) -> DataFrame:
+    """Current nodes of the asked keys."""
+    rows = _near(now, name, days).join(asked.select(*keys).distinct(), keys, "left_semi")
+    return now.current(name, rows).drop("batch_id")
 
 
-def _standing(rows: DataFrame, matches: str, rating: str) -> DataFrame:
-    return rows.groupBy("player_id").agg(
-        F.expr(f"count(1) AS {matches}"), F.expr(f"{_LATEST} FILTER (WHERE rating IS NOT NULL) AS {rating}")
-    )
+def _store_nodes(now: Snapshot, tx: Transaction, name: str, keys: list[str], leaves: DataFrame, days: tuple[int, int]) -> None:
+    if now.runs(name):
+        beside = intervals.siblings(_nodes(now, name, keys, leaves, days), leaves, keys)
+    else:
+        beside = leaves.selectExpr(*keys, "0 AS level", "0L AS part", "a", "b", "n").where("false")
+    tx.write(name, _stamped(intervals.refresh(leaves, beside, keys), tx))
 
 
-def _store_state(catalog: Catalog, rows: DataFrame, seeds: DataFrame) -> None:
-    """Update the standing of the players in the rewritten days.
+def _seeds(now: Snapshot, affected: DataFrame, days: tuple[int, int]) -> DataFrame:
+    """Matches and rating of each affected player before the first differing day."""
+    nodes = _nodes(now, "standing", ["player_id"], affected, days)
+    stood = intervals.before(nodes, affected, ["player_id"])
+    return stood.selectExpr("player_id", "n AS seed_matches", f"a * {_START} + b AS seed_rating")
 
-    ``rows`` are all participations of these players from the first touched day
-    on, ``seeds`` their standing before it.
-    """
-    last = rows.groupBy("player_id").agg(F.max("match_day").alias("last_day"))
-    dated = rows.join(last, "player_id")
-    fresh = (
-        dated.groupBy("player_id", "last_day")
-        .agg(
-            F.expr("count_if(match_day < last_day) AS earlier"),
-            F.expr("count(1) AS total"),
-            F.expr(f"{_LATEST} FILTER (WHERE rating IS NOT NULL AND match_day < last_day) AS before"),
-            F.expr(f"{_LATEST} FILTER (WHERE rating IS NOT NULL) AS after"),
-        )
-        .join(seeds, "player_id", "left")
-        .selectExpr(
-            "player_id", "last_day",
-            "coalesce(seed_matches, 0) + earlier AS matches_before",
-            "coalesce(before, seed_rating) AS rating_before",
-            "coalesce(seed_matches, 0) + total AS matches_after",
-            "coalesce(after, seed_rating) AS rating_after",
-            f"int(pmod(player_id, {PLAYER_BUCKETS})) AS player_bucket",
-        )
-    )
-    fresh = materialize(fresh, "standings")
-    buckets = [r[0] for r in fresh.select("player_bucket").distinct().collect()]
-    stored = catalog.read("player_state")
-    kept = stored.where(stored.player_bucket.isin(buckets)).join(fresh.select("player_id"), "player_id", "left_anti")
-    catalog.write("player_state", materialize(kept.unionByName(fresh), "standings"))
-
-
-def _refresh(catalog: Catalog, records: DataFrame, day, minutes_mode: str) -> None:
-    """Rewrite ratings, chemistry and standings of every match day from ``day`` on."""
-    since = f"match_day >= DATE '{day}'"
-    measured = stats.with_ratios(_counts(catalog, day))
-    played = materialize(ratings.participations(measured, lineup.appearances(records, minutes_mode)), "participations")
-    seeds = materialize(_seeds(catalog, played.select("player_id").distinct(), day), "seeds")
-    rated = materialize(ratings.match_ratings(played, seeds), "match_ratings")
-    history = ratings.player_ratings(rated, seeds).select(
-        "match_id", "player_id", "prior_matches", "match_rating", "rating", "rating_change"
+
+def _rated(rows: DataFrame, seeds: DataFrame) -> DataFrame:
+    """All rows with the count before them, those with events with their rating."""
+    counted = materialize(lineup.prior_matches(rows, seeds), "counted")
+    steps = counted.where("pass_accuracy IS NOT NULL").selectExpr("*", f"{formulas.match_rating('minutes')} AS match_rating")
+    history = ratings.player_ratings(steps, seeds)
+    unrated = counted.where("pass_accuracy IS NULL").selectExpr("*", *[f"CAST(NULL AS DOUBLE) AS {c}" for c in _RATED[1:]])
+    return history.select(*_ROW, *_RATED).unionByName(unrated.select(*_ROW, *_RATED))
+
+
+def _standing_leaves(state: DataFrame, days: DataFrame) -> DataFrame:
+    """Composite of each differing day of a player; a day without a match left is the identity."""
+    last = f"max_by(rating, struct({', '.join(TIMELINE)})) FILTER (WHERE rating IS NOT NULL)"
+    held = state.join(days, ["player_id", "match_day"], "left_semi").groupBy("player_id", "match_day").agg(
+        F.expr("count(1) AS n"), F.expr(f"{last} AS last")
     )
-    rows = played.select("match_id", "kickoff", "player_id", "team_id", "minutes", "match_day").join(
-        history, ["match_id", "player_id"], "left"
+    return days.join(held, ["player_id", "match_day"], "left").selectExpr(
+        "player_id", "match_day AS day", "if(last IS NULL, 1D, 0D) AS a", "coalesce(last, 0D) AS b", "coalesce(n, 0L) AS n"
     )
-    catalog.write("player_match", rows)
-    _drop_empty_days(catalog, records, since)
-    written = catalog.read("player_match").where(since)
-    updates = chemistry.pair_updates(written.where("rating IS NOT NULL"), keep_unchanged=True)
-    catalog.write("pair_day", chemistry.fold_days(updates))
-    _store_state(catalog, written, seeds)
 
 
-def _drop_empty_days(catalog: Catalog, records: DataFrame, since: str) -> None:
-    """Remove the days that a new version of a record has left without a match."""
-    days = catalog.read("player_match").where(since).select("match_day").distinct()
-    for row in days.join(records.select("match_day"), "match_day", "left_anti").collect():
-        for name in ("player_match", "pair_day"):
-            catalog.drop_partition(name, f"match_day={row['match_day']}")
+def _latest(now: Snapshot, tx: Transaction, state: DataFrame, affected: DataFrame) -> DataFrame:
+    """The last rated row of each affected player."""
+    found = ratings.latest_ratings(state.where("rating IS NOT NULL"))
+    rows = found.selectExpr("*", "false AS gone")
+    lost = affected.join(found.select("player_id"), "player_id", "left_anti")
+    if now.runs("latest") and not (lost := materialize(lost, "lost")).isEmpty():
+        # Nothing rated is left from the differing day on: look before it.
+        earlier = now.rows("played").join(lost, "player_id").where("match_day < day").drop("day")
+        back = ratings.latest_ratings(now.current("played", earlier).where("rating IS NOT NULL")).selectExpr("*", "false AS gone")
+        none = lost.join(back.select("player_id"), "player_id", "left_anti").select("player_id")
+        rows = rows.unionByName(back).unionByName(none.selectExpr("player_id", "true AS gone"), allowMissingColumns=True)
+    return _stamped(rows, tx)
+
+
+# --- chemistry ----------------------------------------------------------------
+
+
+def _pairs_of_days(rows: DataFrame, days: DataFrame) -> DataFrame:
+    """Updates of the pairs one of whom has a row on a differing day of theirs."""
+    marked = rows.where("rating IS NOT NULL").join(days.withColumn("touched", F.lit(True)), ["player_id", "match_day"], "left")
+    return chemistry.pair_updates(marked, carry=("touched",)).where("touched_lo OR touched_hi").drop("touched_lo", "touched_hi")
+
+
+def _pair_leaves(before: DataFrame, after: DataFrame, days: DataFrame) -> DataFrame:
+    """Composite per pair and differing day; pairs that had one and have none any more get the identity."""
+    columns = [*chemistry.PAIR, "match_day", "kickoff", "match_id", "a", "b", "n"]
+    fresh = chemistry.pair_maps(_pairs_of_days(after, days)).selectExpr("*", "1L AS n").select(*columns)
+    ended = _pairs_of_days(before, days).selectExpr("*", "1D AS a", "0D AS b", "0L AS n").select(*columns)
+    folded = affine_fold(fresh.unionByName(ended), [*chemistry.PAIR, "match_day"], ["kickoff", "match_id"], "sum(n) AS n")
+    return folded.withColumnRenamed("match_day", "day")
+
+
+# --- one micro-batch ----------------------------------------------------------
+
+
+def _refresh(now: Snapshot, tx: Transaction, touched: _Touched, fresh: DataFrame) -> None:
+    """Ratings, standings and chemistry of everyone whose participations differ from the stored ones."""
+    touched_keys = touched.records.selectExpr("CAST(match_id AS STRING) AS match_key")
+    stored = now.current("played", now.rows("played").where(_in("chunk", touched.chunks)).join(touched_keys, "match_key", "left_semi"))
+    new, ended = _differing(fresh, stored, _FACTS)
+    differing = new.select("player_id", "match_day").unionByName(ended.select("player_id", "match_day"))
+    affected = materialize(differing.groupBy("player_id").agg(F.min("match_day").alias("day")), "affected")
+    first = affected.agg(F.expr("min(unix_date(day)) AS lo"), F.expr("max(unix_date(day)) AS hi")).first()
+    if first["lo"] is None:
+        return
+
+    # Everything these players played from their first differing day on, before and now.
+    from_chunk = first["lo"] // CHUNK_DAYS
+    later = now.rows("played").where(f"chunk >= {from_chunk}").join(affected, "player_id").where("match_day >= day").drop("day")
+    before = materialize(now.current("played", later), "before")
+    kept = before.join(touched_keys, "match_key", "left_anti").select(*_ROW)
+    rows = kept.unionByName(fresh.join(affected, "player_id").where("match_day >= day").select(*_ROW))
+    seeds = materialize(_seeds(now, affected, (first["lo"], first["hi"])), "seeds")
+    state = materialize(_rated(rows, seeds), "state")
+
+    changed, gone = _differing(state, before, [*_FACTS, *_RATED])
+    delta = changed.selectExpr("*", "false AS gone").unionByName(gone.select(*_ROW, *_RATED).selectExpr("*", "true AS gone"))
+    delta = materialize(delta, "delta")
+    days = delta.select("player_id", "match_day").distinct()
+    span = delta.agg(F.expr("min(unix_date(match_day))"), F.expr("max(unix_date(match_day))"), F.expr(f"array_sort(collect_set({_CHUNK}))")).first()
+    if span[0] is None:
+        return
+    tx.write("played", _stamped(delta, tx, f"{_CHUNK} AS chunk"))
+    tx.write("latest", _latest(now, tx, state, affected))
+    _store_nodes(now, tx, "standing", ["player_id"], materialize(_standing_leaves(state, days), "standing-leaves"), span[:2])
+
+    # All members of the matches that these players have on these days.
+    theirs = state.unionByName(before.select(*_ROW, *_RATED)).join(days, ["player_id", "match_day"], "left_semi")
+    here = now.rows("played").where(_in("chunk", span[2])).join(theirs, "match_key", "left_semi")
+    members = materialize(now.current("played", here).select(*_ROW, *_RATED), "members")
+    after = members.join(delta.select(*_KEY), _KEY, "left_anti").unionByName(delta.where("NOT gone").drop("gone"))
+    leaves = materialize(_pair_leaves(members, after, days), "pair-leaves")
+    _store_nodes(now, tx, "pair_node", chemistry.PAIR, leaves, span[:2])
 
 
 def process_batch(
     catalog: Catalog, lines: DataFrame, batch_id: int, minutes_mode: str = lineup.ON_FIELD
 ) -> None:
-    """Take one micro-batch of lines into the tables."""
+    """Take one micro-batch of lines into the tables; one that is committed already is left alone."""
+    now = catalog.store.snapshot()
+    if now.batch >= batch_id:
+        return
+    tx = catalog.store.begin(batch_id)
     kinds = line_source.split_by_kind(lines)
     partial = materialize(stats.count_by_player(event_facts(line_source.parse_events(kinds.events))), "partial_counts")
-    _store_records(catalog, kinds, batch_id)
-    day = _first_touched_day(catalog, partial, batch_id)
-    if day is not None:
-        _store_counts(catalog, partial, batch_id)
-        _refresh(catalog, current_records(catalog, day), day, minutes_mode)
-    _drop_orphans(catalog, batch_id)
+    parsed = materialize(line_source.parse_matches(kinds.matches), "parsed")
+    tx.write("dead_letter", _stamped(kinds.dead_letters, tx))
+    tx.write("player_count", _stamped(partial, tx, f"{_BUCKET} AS bucket"))
+    touched = _Touched(now, parsed, partial)
+    if touched.fresh:
+        tx.write("match_current", _stamped(touched.changed_records(), tx))
+    unnamed = _unnamed(tx, parsed) if touched.nameless else None
+    if unnamed is not None:
+        tx.write("match_unnamed", _stamped(unnamed, tx))
+    if touched.count or unnamed is not None:
+        rows = _participations(touched, unnamed, touched.merged_counts(now, partial), minutes_mode)
+        _refresh(now, tx, touched, materialize(rows, "participations"))
+    tx.commit()
 
 
 def run_stream(
@@ -205,7 +304,6 @@ def run_stream(
     publish_each_batch: bool = False,
 ) -> StreamingQuery:
     """Start the pipeline on a streaming DataFrame with a ``value`` column."""
-    catalog.create()
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         process_batch(catalog, batch, batch_id, minutes_mode)
@@ -221,23 +319,29 @@ def run_stream(
 
 
 def rating_history(catalog: Catalog) -> DataFrame:
-    return catalog.read("player_match").where("rating IS NOT NULL")
+    rows = catalog.read("played").where("rating IS NOT NULL")
+    return rows.select("match_id", "match_day", "kickoff", "player_id", "team_id", "minutes", *_RATED)
 
 
 def latest_ratings(catalog: Catalog) -> DataFrame:
-    return ratings.latest_ratings(rating_history(catalog))
+    """One stored row a player."""
+    return catalog.read("latest").drop("gone", "batch_id")
+
+
+def _root(catalog: Catalog, name: str) -> DataFrame:
+    """The top nodes of all keys, one row a key for some ninety years."""
+    now = catalog.store.snapshot()
+    return now.current(name, now.rows(name).where(f"level = {intervals.ROOT}"))
 
 
 def match_counts(catalog: Catalog) -> DataFrame:
-    """From the small state table; participations are counted as they are stored."""
-    return catalog.read("player_state").selectExpr("player_id", "matches_after AS matches_played")
+    """From the top nodes; participations are counted as they are stored."""
+    return _root(catalog, "standing").groupBy("player_id").agg(F.sum("n").alias("matches_played")).where("matches_played > 0")
 
 
 def player_match_stats(catalog: Catalog) -> DataFrame:
     """Of all events so far, those of matches without a record included."""
-    recorded = catalog.read("match_record").select("match_id")
-    waiting = catalog.read("orphan_count").join(recorded, "match_id", "left_anti").drop("batch_id")
-    return stats.with_ratios(stats.merge_counts(_counts(catalog).unionByName(stats.assigned(waiting))))
+    return stats.with_ratios(stats.assigned(catalog.read("player_count")))
 
 
 def player_profiles(catalog: Catalog) -> DataFrame:
@@ -246,12 +350,18 @@ def player_profiles(catalog: Catalog) -> DataFrame:
 
 def edges(catalog: Catalog) -> DataFrame:
     """Chemistry edges; pairs whose rating never changed together have none."""
-    days = catalog.read("pair_day").where("n > 0")
-    return chemistry.fold_maps(days.drop("n"))
+    return chemistry.apply_maps(intervals.fold(_root(catalog, "pair_node").where("n > 0"), chemistry.PAIR))
+
+
+def match_records(catalog: Catalog) -> DataFrame:
+    """The preferred record of every match, and all records without an id."""
+    now = catalog.store.snapshot()
+    named = now.current("match_current").drop("content", "batch_id", "bucket")
+    return named.unionByName(now.current("match_unnamed").drop("record_no", "batch_id"))
 
 
 def match_summaries(catalog: Catalog) -> DataFrame:
-    return summary.match_summaries(current_records(catalog))
+    return summary.match_summaries(match_records(catalog))
 
 
 RESULTS = {
@@ -270,4 +380,4 @@ def publish(catalog: Catalog, version: int, fmt: str = "parquet") -> None:
 
 
 def open_catalog(spark: SparkSession, root: str) -> Catalog:
-    return Catalog(spark, root).create()
+    return Catalog(spark, root)
