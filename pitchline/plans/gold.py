@@ -12,10 +12,11 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchline.operators import answers, chemistry, lineup, ratings, stats, summary
+from pitchline.operators import answers, chemistry, lineup, prediction, ratings, stats, summary
 from pitchline.operators.facts import event_facts
 from pitchline.settings import CHUNK_DAYS, materialize
 from pitchline.sources import lines as line_source
+from pitchline.sources import requests as request_source
 from pitchline.sources import warehouse
 from pitchline.sources.catalog import Catalog
 
@@ -28,12 +29,23 @@ class Gold:
         minutes_mode: str = lineup.ON_FIELD,
         chunk_days: int = CHUNK_DAYS,
         dead_letters: DataFrame | None = None,
+        only: DataFrame | None = None,
     ):
         self.counts = counts
         self.matches = matches
         self.minutes_mode = minutes_mode
         self.chunk_days = chunk_days
         self.dead_letters = dead_letters
+        self.only = only
+
+    def among(self, players: DataFrame) -> "Gold":
+        """The same for the given players (``player_id``) alone.
+
+        A player's ratings follow from the player's own matches, and an edge from those of
+        its two players, so the participations are cut before anything is rated or paired.
+        """
+        asked = materialize(players.select("player_id").where("player_id IS NOT NULL").distinct(), "asked_players")
+        return Gold(self.counts, self.matches, self.minutes_mode, self.chunk_days, self.dead_letters, asked)
 
     @classmethod
     def from_lines(cls, lines: DataFrame, **options) -> "Gold":
@@ -70,7 +82,10 @@ class Gold:
 
     @cached_property
     def participations(self) -> DataFrame:
-        return materialize(ratings.participations(self.player_match_stats, self.appearances), "participations")
+        apps = self.appearances
+        if self.only is not None:
+            apps = apps.join(self.only, "player_id", "left_semi")
+        return materialize(ratings.participations(self.player_match_stats, apps), "participations")
 
     @cached_property
     def match_ratings(self) -> DataFrame:
@@ -103,10 +118,11 @@ class Gold:
         return summary.match_summaries(self.matches)
 
     def answer(self, asked: DataFrame, players: DataFrame, teams: DataFrame) -> dict[str, DataFrame]:
-        """The answers to a mixed set of requests, one table per kind."""
+        """The answers to a mixed set of requests, one table per kind; edges are those of the requested players."""
+        members = prediction.lineups(request_source.routed(asked, "predict"), players)
         return answers.answer_all(
             asked, players, teams,
-            ratings=self.latest_ratings, chemistry=self.chemistry,
+            ratings=self.latest_ratings, chemistry=self.among(members).chemistry,
             profiles=self.player_profiles, summaries=self.match_summaries,
         )
 

@@ -390,6 +390,10 @@ ORACLE["stream_player_match_counters"] = ORACLE["player_match_counters"]
 ORACLE["stream_matches_played"] = ORACLE["matches_played"]
 ORACLE["stream_profile"] = ORACLE["career_profile"]
 ORACLE["stream_rating_latest"] = ORACLE["rating_latest"]
+ORACLE["stream_evicted_counters"] = ORACLE["player_match_counters"]
+ORACLE["stream_after_a_failure"] = ORACLE["rating_latest"]
+ORACLE["stored_match_details"] = ORACLE["match_details_answer"]
+ORACLE["stored_win_prediction"] = ORACLE["win_prediction"]
 ORACLE["stream_chemistry"] = ORACLE["chemistry_final"]
 ORACLE["stream_match_dedup"] = _statement(
     f"SELECT date, label, match_id, {big('n_goals')} AS n_goals FROM header", "header")

@@ -19,7 +19,7 @@ from pitchline.plans.gold import Gold
 from pitchline.settings import materialize, scratch_path
 from pitchline.sources import dimensions, lines, requests, warehouse
 from pitchline.sources.catalog import Catalog, write_responses
-from pitchline.streaming import driver, stateful
+from pitchline.streaming import driver, finalise, stateful
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -312,30 +312,33 @@ def formation_check(spark, sf_dir):
     return prediction.formation_check(_event_lineups(spark, sf_dir))
 
 
+def _asked(spark, sf_dir):
+    """The requested line-ups, and everything rated and paired for their players alone."""
+    gold = Gold.from_warehouse(spark, sf_dir)
+    requested = _prediction_requests(spark, sf_dir, gold.counts)
+    members = prediction.lineups(requested, players(spark, sf_dir))
+    return requested, members, gold.among(members)
+
+
 @query
 def player_mean_chemistry(spark, sf_dir):
     """Mean chemistry of each requested player with the team mates."""
-    gold = Gold.from_warehouse(spark, sf_dir)
-    members = prediction.lineups(_prediction_requests(spark, sf_dir, gold.counts), players(spark, sf_dir))
+    _, members, gold = _asked(spark, sf_dir)
     return prediction.mean_chemistry(members, gold.chemistry)
 
 
 @query
 def team_strength(spark, sf_dir):
     """Strength of the requested teams."""
-    gold = Gold.from_warehouse(spark, sf_dir)
-    members = prediction.lineups(_prediction_requests(spark, sf_dir, gold.counts), players(spark, sf_dir))
+    _, members, gold = _asked(spark, sf_dir)
     return prediction.team_strength(members, gold.chemistry, gold.latest_ratings)
 
 
 @query
 def win_prediction(spark, sf_dir):
     """Winning chances for all requested pairs of teams."""
-    gold = Gold.from_warehouse(spark, sf_dir)
-    return prediction.predict(
-        _prediction_requests(spark, sf_dir, gold.counts), players(spark, sf_dir),
-        gold.latest_ratings, gold.chemistry,
-    )
+    requested, _, gold = _asked(spark, sf_dir)
+    return prediction.predict(requested, players(spark, sf_dir), gold.latest_ratings, gold.chemistry)
 
 
 def _name_requests(spark, sf_dir):
@@ -403,6 +406,42 @@ def stored_match_rate_answer(spark, sf_dir):
     return _stored_answers(spark, sf_dir, "match_rate")
 
 
+def _answered_documents(spark, sf_dir, kind, documents):
+    """Answers to a table of request documents from published results."""
+    catalog = Catalog(spark, scratch_path(spark, "published"))
+    gold = Gold.from_warehouse(spark, sf_dir)
+    gold.publish(catalog, 1)
+    asked = requests.parse_requests(documents(gold))
+    return catalog.answer(asked, players(spark, sf_dir), teams(spark, sf_dir))[kind]
+
+
+@query
+def stored_match_details(spark, sf_dir):
+    """Details of every match, asked by date and label, from published results."""
+    def documents(gold):
+        body = F.to_json(F.struct("date", "label"))
+        return gold.match_summaries.select(F.col("match_id").alias("req_id"), body.alias("value"))
+
+    return _answered_documents(spark, sf_dir, "details", documents).select(
+        "req_id", "date", "label", "duration", "winner", "gameweek", "venue",
+        *[F.size(c).alias(f"n_{c}") for c in ("goals", "own_goals", "yellow_cards", "red_cards")], "error",
+    )
+
+
+@query
+def stored_win_prediction(spark, sf_dir):
+    """Winning chances for all requested pairs of teams, from published results."""
+    def side(team):
+        named = [F.col(f"{team}.players")[i].alias(f"player{i + 1}") for i in range(formulas.LINEUP_SIZE)]
+        return F.struct(F.col(f"{team}.name").alias("name"), *named).alias(team)
+
+    def documents(gold):
+        asked = _prediction_requests(spark, sf_dir, gold.counts)
+        return asked.select("req_id", F.to_json(F.struct(F.lit(1).alias("req_type"), side("team1"), side("team2"))).alias("value"))
+
+    return _answered_documents(spark, sf_dir, "predict", documents)
+
+
 def _match_answers(spark, sf_dir):
     summaries = materialize(_summaries(spark, sf_dir), "match_summaries")
     asked = summaries.select(F.col("match_id").alias("req_id"), "date", "label")
@@ -503,6 +542,14 @@ def stream_player_match_counters(spark, sf_dir):
     return _stateful(spark, counters, ["match_id", "player_id"])
 
 
+@query
+def stream_evicted_counters(spark, sf_dir):
+    """The same with state evicted behind a watermark, late events in a table of corrections."""
+    store = finalise.open_store(spark, scratch_path(spark, "evicted"))
+    _finish(finalise.run_stream(warehouse.events(_event_stream(spark, sf_dir)), store, available_now=True))
+    return finalise.counters(store).select("match_id", "player_id", "team_id", *COUNTERS)
+
+
 @query
 def stream_matches_played(spark, sf_dir):
     """Participations per player from a stream that sends every match line twice."""
@@ -536,6 +583,20 @@ def stream_rating_latest(spark, sf_dir):
     return driver.latest_ratings(_streamed(spark, sf_dir))
 
 
+@query
+def stream_after_a_failure(spark, sf_dir):
+    """Latest ratings after a writer that died before its commit, and a stream that went on from its checkpoint."""
+    catalog = Catalog(spark, scratch_path(spark, "stream"))
+    source = _line_stream(spark, _all_lines(spark, sf_dir))
+    dead = catalog.store.begin(0)
+    every = warehouse.counts(raw_events(spark, sf_dir))
+    dead.write("player_count", every.selectExpr("*", "0L AS batch_id", "0 AS bucket"))
+    dead.settle()
+    _finish(driver.run_stream(source, catalog, available_now=True))
+    _finish(driver.run_stream(source, catalog, available_now=True))
+    return driver.latest_ratings(catalog)
+
+
 @query
 def stream_chemistry(spark, sf_dir):
     """Chemistry kept up to date by the streaming pipeline."""

@@ -130,3 +130,18 @@ def test_mixed_requests_over_a_season(spark):
     last = gold.latest_ratings.where("player_id = 12").first()
     assert [(r.req_id, r.performance) for r in got["match_rate"]] == [(2, pytest.approx(10 * last.match_rating))]
     assert [(r.req_id, r.venue, r.error) for r in got["details"]] == [(3, "Ground", None)]
+
+
+def test_rating_and_pairing_the_requested_players_alone(spark):
+    """What is computed for some players equals their part of everything."""
+    whole = Gold.from_lines(lines(spark, season(days=4)))
+    some = [11, 12, 13, 21, 22, 31]
+    part = whole.among(spark.createDataFrame([(p,) for p in [*some, 999, None]], "player_id BIGINT"))
+    wanted = ", ".join(map(str, some))
+
+    def rows(df):
+        return sorted((tuple(round(v, 12) if isinstance(v, float) else v for v in r) for r in df.collect()), key=str)
+
+    assert rows(part.latest_ratings) == rows(whole.latest_ratings.where(f"player_id IN ({wanted})")) != []
+    assert rows(part.chemistry) == rows(whole.chemistry.where(f"player_lo IN ({wanted}) AND player_hi IN ({wanted})")) != []
+    assert {r.player_id for r in part.participations.select("player_id").distinct().collect()} == set(some)
