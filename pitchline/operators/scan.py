@@ -74,9 +74,8 @@ def affine_history(
     rows = _running_maps(df, part, order, "a", "b").selectExpr(
         "*", f"lag(_a) {_over(part, order)} AS _pa", f"lag(_b) {_over(part, order)} AS _pb"
     )
-    composite = affine_fold(df, part, order).withColumnsRenamed({"a": "_ca", "b": "_cb"})
-    starts = df.groupBy(*keys).agg(F.expr(f"max({init}) AS _init"))
-    chained = _running_maps(composite, keys, [chunk], "_ca", "_cb").join(starts, keys)
+    composite = affine_fold(df, part, order, f"max({init}) AS _init").withColumnsRenamed({"a": "_ca", "b": "_cb"})
+    chained = _running_maps(composite, keys, [chunk], "_ca", "_cb")
     earlier = _over(keys, [chunk])
     entry = chained.selectExpr(
         *part, f"coalesce(lag(_a) {earlier} * _init + lag(_b) {earlier}, _init) AS _entry"
