@@ -108,11 +108,12 @@ def answer_all(
     profiles: DataFrame,
     summaries: DataFrame,
 ) -> dict[str, DataFrame]:
-    """The answers to a mixed set of requests, one table per kind."""
+    """The answers to a mixed set of requests, one table per kind, and the documents that are no requests."""
     of = lambda kind: request_source.routed(asked, kind)
     return {
         "predict": prediction.predict(of("predict"), players, ratings, chemistry),
         "profile": profile_answers(of("profile"), players, profiles),
         "match_rate": rating_answers(of("match_rate"), players, ratings),
         "details": match_answers(of("details"), summaries, players, teams),
+        "rejected": request_source.rejected(asked),
     }

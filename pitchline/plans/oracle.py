@@ -386,6 +386,12 @@ ORACLE: dict[str, str] = {
              WHEN 5 THEN NULL ELSE 'details' END AS answer FROM users""", "users"),
 }
 
+ORACLE["rejected_requests"] = _statement(
+    """SELECT player_id AS req_id, '{"req_type": ' || player_id AS document, 'not a JSON object' AS error
+       FROM users WHERE player_id % 5 = 0""", "users")
+ORACLE["rejected_dimension_rows"] = """
+    SELECT CASE WHEN c_custkey % 7 = 0 THEN 'x' || c_custkey ELSE c_custkey::VARCHAR END AS id, c_name AS name,
+           CASE WHEN c_custkey % 7 = 0 THEN 'rejected' ELSE 'taken' END AS fate FROM customer"""
 ORACLE["stream_player_match_counters"] = ORACLE["player_match_counters"]
 ORACLE["stream_matches_played"] = ORACLE["matches_played"]
 ORACLE["stream_profile"] = ORACLE["career_profile"]

@@ -492,6 +492,28 @@ def request_routing(spark, sf_dir):
     return parsed.select("req_id", requests.route(F.col("req_type")).alias("answer"))
 
 
+@query
+def rejected_requests(spark, sf_dir):
+    """Documents that are no JSON object, told apart from requests for unknown things."""
+    documents = warehouse.request_documents(
+        raw_events(spark, sf_dir).select(F.col("user_id").alias("player_id")).distinct()
+    )
+    # Every fifth document breaks off.
+    broken = documents.withColumn("value", F.expr("if(req_id % 5 = 0, concat('{\"req_type\": ', req_id), value)"))
+    return requests.rejected(requests.parse_requests(broken))
+
+
+@query
+def rejected_dimension_rows(spark, sf_dir):
+    """Rows of a player file whose id is no number, beside those that the reader takes."""
+    root = scratch_path(spark, "dimension")
+    named = players(spark, sf_dir)
+    named.selectExpr("if(Id % 7 = 0, concat('x', Id), CAST(Id AS STRING)) AS Id", "name", "role").write.option("header", True).csv(root)
+    taken = dimensions.read_players(spark, root).selectExpr("CAST(Id AS STRING) AS id", "name", "'taken' AS fate")
+    left = dimensions.rejected_rows(spark, root).selectExpr("Id AS id", "name", "'rejected' AS fate")
+    return taken.unionByName(left)
+
+
 # --- streams --------------------------------------------------------------
 
 

@@ -16,24 +16,38 @@ def _side(name: str) -> Column:
     )
 
 
-def normalise(raw: DataFrame, req_id: Column) -> DataFrame:
-    """Requests with line-ups as arrays, one row per request."""
+_FIELDS = f"{schemas.REQUESTS}, {schemas.CORRUPT} STRING"
+
+#: What is said about a document that is no request at all.
+NO_REQUEST = "not a JSON object"
+
+
+def normalise(raw: DataFrame, req_id: Column, junk: Column) -> DataFrame:
+    """Requests with line-ups as arrays, one row per request; ``junk`` is the text of a document that is none."""
     return raw.select(
         req_id.alias("req_id"), "req_type", "name", "date", "label",
-        _side("team1").alias("team1"), _side("team2").alias("team2"),
+        _side("team1").alias("team1"), _side("team2").alias("team2"), junk.alias("junk"),
     )
 
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:
     """Multi-line JSON documents, one request per file; the full path of the file is the id."""
-    raw = spark.read.schema(schemas.REQUESTS).option("multiLine", True).json(path)
-    return normalise(raw, F.col("_metadata.file_path"))
+    files = spark.read.text(path, wholetext=True)
+    return parse_requests(files.select(F.col("_metadata.file_path").alias("req_id"), "value"))
 
 
 def parse_requests(documents: DataFrame) -> DataFrame:
     """Requests from a table of (req_id, value) with one JSON document each."""
-    raw = documents.select("req_id", F.from_json("value", schemas.REQUESTS).alias("r")).select("req_id", "r.*")
-    return normalise(raw, F.col("req_id"))
+    raw = documents.select("req_id", "value", F.from_json("value", _FIELDS).alias("r")).select("req_id", "value", "r.*")
+    # A text without a value, an empty one say, is no corrupt record and no object either.
+    object_like = F.coalesce(F.ltrim("value").startswith("{"), F.lit(False))
+    junk = F.when(F.col(schemas.CORRUPT).isNotNull() | ~object_like, F.coalesce("value", F.lit("")))
+    return normalise(raw, F.col("req_id"), junk)
+
+
+def rejected(requests: DataFrame) -> DataFrame:
+    """Documents that are no requests: req_id, the text and an error."""
+    return requests.where("junk IS NOT NULL").select("req_id", F.col("junk").alias("document"), F.lit(NO_REQUEST).alias("error"))
 
 
 def route(req_type: Column) -> Column:
@@ -48,4 +62,4 @@ def route(req_type: Column) -> Column:
 
 
 def routed(requests: DataFrame, answer: str) -> DataFrame:
-    return requests.where(route(F.col("req_type")) == answer)
+    return requests.where(F.col("junk").isNull() & (route(F.col("req_type")) == answer))

@@ -121,6 +121,27 @@ def test_request_files(spark, tmp_path):
     assert {r.req_id for r in requests.routed(rows, "details").collect()} == {base + "c.json"}
 
 
+def test_documents_that_are_no_requests(spark, tmp_path):
+    """Such a document is told apart from a request for an unknown match; other requests are answered."""
+    texts = {1: "junk", 2: '{"req_type": 2, "name": "Ann"', 3: "", 4: None, 5: '"text"', 6: '{"req_type": 2, "name": "Ann"}', 7: "{}"}
+    rows = requests.parse_requests(spark.createDataFrame(list(texts.items()), "req_id INT, value STRING"))
+    assert {r.req_id: r.document for r in requests.rejected(rows).collect()} == {k: texts[k] or "" for k in range(1, 6)}
+    assert [r.req_id for r in requests.routed(rows, "profile").collect()] == [6]
+    assert [r.req_id for r in requests.routed(rows, "details").collect()] == [7]
+    (tmp_path / "a.json").write_text('{"req_type": 2,\n')
+    (tmp_path / "b.json").write_text('{"req_type": 2,\n "name": "Ann"}')
+    read = requests.read_requests(spark, str(tmp_path))
+    assert [r.req_id.rsplit("/", 1)[1] for r in requests.rejected(read).collect()] == ["a.json"]
+    assert [r.name for r in requests.routed(read, "profile").collect()] == ["Ann"]
+
+
+def test_dimension_rows_without_a_number(spark, tmp_path):
+    (tmp_path / "players.csv").write_text("Id,name,role\nx2,Ann,GK\n1,Ann,DF\n,Bo,FW\n")
+    path = str(tmp_path / "players.csv")
+    assert [(r.Id, r.name) for r in dimensions.read_players(spark, path).collect()] == [(1, "Ann")]
+    assert [(r.Id, r.name, r.role) for r in dimensions.rejected_rows(spark, path).collect()] == [("x2", "Ann", "GK"), (None, "Bo", "FW")]
+
+
 def test_snapshots_and_responses(spark, tmp_path):
     store = catalog.Catalog(spark, str(tmp_path))
     store.publish({"rating": spark.range(3), "other": spark.range(1)}, 1)
