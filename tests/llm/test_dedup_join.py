@@ -113,13 +113,37 @@ def test_join_is_exact(spark, n, percent, hot, cells):
     assert len(found) == len(rows)
 
 
-def test_join_repeated_ids_and_empty(spark):
-    rows = [(1, "a b c d"), (1, "a b c d"), (2, "a b c d"), (3, None), (3, None), (4, "x y z"), (4, "x y z q r")]
-    found = sorted(tuple(r)[:3] for r in JaccardJoin(docs(spark, rows)).result().collect())
-    assert found == [(1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 0, 3), (3, 0, 3), (4, 3, 4), (4, 3, 4)]
+def test_join_tells_rows_apart(spark):
+    """Rows that share an id, or have none, are documents of their own."""
+    near = near_corpus(groups=3, copies=6)
+    r = random.Random(8)
+    rows = [(r.choice([None, 5, 5, 6, 7, 1000 + k]), t) for k, (_, t) in enumerate(near)] + [(1, "a b c d")] * 2 + [(None, "lone words of none")]
+    sets = shingle_sets(list(enumerate(t for _, t in rows)), 3)
+    at = brute_components(sets, 90)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            least[at[k]] = min(i, least.get(at[k], i))
+    expected = sorted(((i, len(sets[k]), least.get(at[k])) for k, (i, _) in enumerate(rows)), key=repr)
+    for hot in (100, 2):
+        found = JaccardJoin(docs(spark, rows), hot=hot, cells=1 << 14, block=4).result().collect()
+        assert sorted((tuple(f)[:3] for f in found), key=repr) == expected
+
+
+def test_join_empty(spark):
     assert JaccardJoin(docs(spark, [])).result().collect() == []
 
 
+@pytest.mark.parametrize("rows", [400, 800])
+def test_near_copies_give_links_in_proportion(spark, rows):
+    """Pages that share all but two words: no block of theirs meets another once pivots join them."""
+    shared = [f"s{k}" for k in range(40)]
+    pages = [(k, " ".join([*shared, f"x{k}", f"y{k}"])) for k in range(rows)]
+    join = JaccardJoin(docs(spark, pages), block=16)
+    assert join.links.count() <= 2 * rows
+    assert {tuple(r)[:3] for r in join.result().collect()} == {(k, 40, 0) for k in range(rows)}
+
+
 def test_least_overlap():
     for percent in (60, 80, 90):
         for n in range(1, 60):
