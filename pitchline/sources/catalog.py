@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pitchline.functions import formulas
 from pitchline.operators import answers, stats
 from pitchline.operators.facts import COUNTERS
+from pitchline.sources import requests as request_source
+from pitchline.sources.dimensions import players_by_name
 from pitchline.sources.store import Manifests, Store, Table
 
 #: Buckets of the tables keyed by match.
@@ -68,6 +71,16 @@ TABLES: dict[str, Table] = {
 }
 
 
+#: Published results that are asked for by key: dealt into a folder a bucket, sorted within.
+LOOKUP_KEYS = {"match_summary": ("date", "label"), "player_profile": ("player_id",)}
+LOOKUP_BUCKETS = 32
+_SLOT = "_slot"
+
+
+def _slot(buckets: int, *keys) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
 class Catalog:
     def __init__(self, spark: SparkSession, root: str, fan: int = 8):
         self.spark = spark
@@ -90,13 +103,22 @@ class Catalog:
 
         Each publication goes to folders of its own, and a small file, renamed into
         place last, names them. A publication that fails is not seen. Data of all but
-        the last ``keep`` publications go.
+        the last ``keep`` publications go. Results of LOOKUP_KEYS are dealt by their key,
+        so that a question reads the folders of the keys it asks for.
         """
         stamp = uuid.uuid4().hex
+        dealt = {}
         for name, df in results.items():
-            df.write.format(fmt).save(f"{self.path('snapshot')}/data/{stamp}/{name}")
+            path = f"{self.path('snapshot')}/data/{stamp}/{name}"
+            keys = LOOKUP_KEYS.get(name, ())
+            if keys and set(keys) <= set(df.columns):
+                dealt[name] = LOOKUP_BUCKETS
+                rows = df.withColumn(_SLOT, _slot(LOOKUP_BUCKETS, *keys)).repartition(LOOKUP_BUCKETS, _SLOT)
+                rows.sortWithinPartitions(_SLOT, *keys).write.format(fmt).partitionBy(_SLOT).save(path)
+            else:
+                df.write.format(fmt).save(path)
         published = self._published(keep)
-        kept = published.commit({"version": version, "stamp": stamp, "format": fmt, "names": sorted(results)})
+        kept = published.commit({"version": version, "stamp": stamp, "format": fmt, "names": sorted(results), "dealt": dealt})
         folder = f"{self.path('snapshot')}/data"
         for old in set(published.files.names(folder)) - {m["stamp"] for m in kept}:
             published.files.remove(f"{folder}/{old}")
@@ -104,22 +126,44 @@ class Catalog:
     def _published(self, keep: int = 2) -> Manifests:
         return Manifests(self.spark, f"{self.path('snapshot')}/published", keep)
 
-    def read_snapshot(self, name: str, schema: str | None = None) -> DataFrame:
-        """A result of the newest version that holds it."""
+    def _newest(self, name: str, schema: str | None = None) -> tuple[DataFrame, int | None]:
+        """A result of the newest version that holds it, and the number of its buckets."""
         published = self._published()
         pointers = sorted((published.read(n) for n in published.numbers()), key=lambda m: -m["version"])
         newest = next(m for m in pointers if name in m["names"])
         reader = self.spark.read.format(newest["format"])
         if schema:
             reader = reader.schema(schema)
-        return reader.load(f"{self.path('snapshot')}/data/{newest['stamp']}/{name}")
+        return reader.load(f"{self.path('snapshot')}/data/{newest['stamp']}/{name}"), newest.get("dealt", {}).get(name)
+
+    def read_snapshot(self, name: str, schema: str | None = None) -> DataFrame:
+        """A result of the newest version that holds it."""
+        rows, buckets = self._newest(name, schema)
+        return rows.drop(_SLOT) if buckets else rows
+
+    def look_up(self, name: str, wanted: DataFrame) -> DataFrame:
+        """The rows of a published result in the buckets of the ``wanted`` keys, columns in the order of LOOKUP_KEYS.
+
+        The buckets are folders and ``wanted`` is no larger than the questions, so Spark
+        prunes the scan by them at run time where it broadcasts them.
+        """
+        rows, buckets = self._newest(name)
+        if not buckets:
+            return rows
+        keys = LOOKUP_KEYS[name]
+        cast = [F.col(w).cast(rows.schema[key].dataType) for w, key in zip(wanted.columns, keys, strict=True)]
+        # The planner prunes by a side that a comparison cuts; the routing of requests is none.
+        slots = wanted.select(_slot(buckets, *cast).alias(_SLOT)).where(F.col(_SLOT) >= 0).distinct()
+        return rows.join(slots, _SLOT, "left_semi").drop(_SLOT)
 
     def answer(self, asked: DataFrame, players: DataFrame, teams: DataFrame) -> dict[str, DataFrame]:
         """The answers to a mixed set of requests from the published results."""
+        named = request_source.routed(asked, "profile").select("name").join(players_by_name(players), "name")
         return answers.answer_all(
             asked, players, teams,
             ratings=self.read_snapshot("player_rating"), chemistry=self.read_snapshot("chemistry"),
-            profiles=self.read_snapshot("player_profile"), summaries=self.read_snapshot("match_summary"),
+            profiles=self.look_up("player_profile", named.select("Id")),
+            summaries=self.look_up("match_summary", request_source.routed(asked, "details").select("date", "label")),
         )
 
 

@@ -1,6 +1,7 @@
 """Routing, parsing, dimensions, requests and stored results."""
 
 import json
+import random
 
 from records import event, formation, lines, match, member
 
@@ -33,6 +34,42 @@ def test_routing(spark):
     assert [_values(a) for a in split] == [_values(a) for a in routed]
 
 
+def _kinds(text):
+    """Kinds of a line by the standard parser, where both agree on what is JSON."""
+    try:
+        value = json.loads(text, parse_constant=lambda name: {}[name])
+    except (ValueError, KeyError):
+        return {"dead"}
+    if not isinstance(value, dict):
+        return {"dead"}
+    return {kind for kind, key in (("match", "wyId"), ("event", "eventId")) if key in value}
+
+
+def test_routing_of_broken_lines(spark):
+    """Each line goes where the standard parser would send it, broken ones included."""
+    r = random.Random(5)
+    good = [
+        BOTH, '{"eventId":null}', '{"wyId":{"a":1,"a":2}}', '{"eventId":1,"wyId":{"b":[1],"b":2}}', '{"eventId":1,"eventId":2}',
+        '{"b":1,"b":2,"wyId":1}', '{"x":{"eventId":1}}', '{"x":"wyId"}', '{"eventId":1,"x":"\\u00e9 wyId"}', '{"eventId":1e999}',
+        '{"eventId":NaN}', '{"wyId":1,"x":NaN}', ' {"eventId" : [1, {"wyId": 2}] } ', '{"eventId":' + "9" * 400 + "}", '{"\\u0077yId":1,"eventId":2}',
+    ]
+    texts = list(good)
+    for _ in range(400):
+        t = r.choice(good)
+        k = r.randrange(len(t))
+        texts.append(r.choice([t[:k] + t[k + 1 :], t[:k] + r.choice('{}[],:"1 ') + t[k:], t[:k]]))
+    # A bracket that closes the array early is not seen by either rule.
+    texts = sorted({t for t in texts if "]" not in t[t.rfind("}") + 1 :]})
+    split = line_source.split_by_kind(lines(spark, texts))
+    found = {t: set() for t in texts}
+    for kind, part in zip(("match", "event", "dead"), split, strict=True):
+        for value in _values(part):
+            found[value].add(kind)
+    assert {t: k for t, k in found.items() if k != _kinds(t)} == {}
+    routed = line_source.route_records(lines(spark, texts))
+    assert [_values(a) for a in split] == [_values(a) for a in routed]
+
+
 def test_one_pass_reading_equals_route_then_parse(spark):
     texts = [
         BOTH, '{"eventId":8}', '{"wyId":1}', '{"eventId":null,"playerId":4}', '[{"eventId":8}]', "junk{",
@@ -160,3 +197,26 @@ def test_player_without_counted_events_has_a_row(spark):
     counted = {r.player_id: r for r in count_by_player(event_facts(line_source.read_events(source))).collect()}
     assert counted[4].acc_pass == 0
     assert (counted[5].acc_pass, counted[5].team_id) == (2, 9)
+
+
+def test_published_results_are_looked_up_by_key(spark, tmp_path):
+    store = catalog.Catalog(spark, str(tmp_path / "store"))
+    played = spark.range(2000).selectExpr("concat('2024-', id % 50) AS date", "concat('match ', id) AS label", "id AS gameweek")
+    store.publish({"match_summary": played, "player_profile": spark.range(100).selectExpr("id AS player_id", "id AS goals")}, 1)
+    assert store.read_snapshot("match_summary").columns == played.columns
+    assert store.read_snapshot("match_summary").count() == 2000
+    documents = spark.createDataFrame(
+        [("a", '{"req_type":3,"date":"2024-7","label":"match 57"}'), ("b", '{"req_type":3,"date":"2024-8","label":"none"}'), ("c", "junk")],
+        "req_id string, value string",
+    )
+    documents.write.parquet(str(tmp_path / "asked"))
+    asked = requests.routed(requests.parse_requests(spark.read.parquet(str(tmp_path / "asked"))), "details").select("date", "label")
+    rows = store.look_up("match_summary", asked)
+    met = rows.collect()
+    assert len(met) < 2000 / 4 and len({r.label for r in met}) == len(met)
+    assert rows.join(asked, ["date", "label"]).collect()[0].gameweek == 57
+    assert "dynamicpruning" in rows._jdf.queryExecution().executedPlan().toString()
+    # Keys of another type than the published ones find their bucket too.
+    ids = spark.createDataFrame([(7,)], "Id int")
+    assert 7 in {r.player_id for r in store.look_up("player_profile", ids).collect()}
+    assert store.look_up("match_summary", asked.where("false")).count() == 0
