@@ -57,8 +57,8 @@ def small_batches(df: DataFrame) -> DataFrame:
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
-    """Whether a document is kept out of all learning."""
-    return F.crc32(F.col(doc_id).cast("string")) % 4 == 2
+    """Whether a document is kept out of all learning; one without an id is not."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
 def uniform(key: str, salt: int = 0) -> Column:

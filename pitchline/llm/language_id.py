@@ -16,8 +16,9 @@ whole.
 Texts are reduced before coding: ASCII letters to lower case, runs of other ASCII
 characters to one blank. Defined cases: a null text, or one without a letter of
 any script, is ``und`` with score 0; equal code lengths go to the first language
-in code-point order; without training rows every text is ``und``; columns other
-than those named are not read.
+in code-point order; without training rows every text is ``und``; a row without an
+id is predicted like any other and not held out; columns other than those named are
+not read.
 """
 
 from __future__ import annotations

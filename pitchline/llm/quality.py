@@ -15,7 +15,8 @@ computed once for every text, whole, and written; labels meet them by id.
 
 Defined cases: a null or empty text has zero statistics and is scored like any
 other; labels other than 0 and 1 are left out; an id with several labels counts
-with each; without training rows every score is 1/2; other columns are not read.
+with each; a row without an id is scored, meets no label and is not held out;
+without training rows every score is 1/2; other columns are not read.
 """
 
 from __future__ import annotations

@@ -298,3 +298,9 @@ def test_template_inside_articles(spark):
     assert all(found[k] == f"Head {k * 7} The story of day {k} is told at some length, so that there is more of it than of notices." for k in range(24))
     assert all("Share this with all friends The story" in found[100 + k] for k in range(5))
     assert all(found[200 + k] == f"One text on many pages of a host {k}" for k in range(12))
+
+
+def test_held_out(spark):
+    ids = [None, *range(60)]
+    found = spark.createDataFrame([(i,) for i in ids], "doc_id long").select("doc_id", held_out().alias("out")).collect()
+    assert {r.doc_id: r.out for r in found} == {i: i is not None and zlib.crc32(str(i).encode()) % 4 == 2 for i in ids}
