@@ -27,6 +27,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -197,12 +198,12 @@ def train(
         .mapInArrow(_counter(order), "lang string, gram long, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
-        .toPandas()
+        .toArrow()
     )
-    keys, at = np.unique(counted["gram"].to_numpy(np.int64).astype(np.uint64), return_inverse=True)
+    keys, at = np.unique(counted["gram"].to_numpy().astype(np.uint64), return_inverse=True)
     counts = np.zeros((len(keys), len(languages)), np.float64)
-    column = counted["lang"].map({lang: k for k, lang in enumerate(languages)}).to_numpy(np.int64)
-    counts[at, column] = counted["n"].to_numpy(np.float64)
+    column = pc.index_in(counted["lang"], pa.array(languages, counted["lang"].type)).to_numpy()
+    counts[at, column] = counted["n"].to_numpy()
     prior = np.array([present[lang] for lang in languages], float)
     return PpmModel(languages, prior / max(1.0, prior.sum()), keys, counts, order)
 

@@ -11,7 +11,8 @@ import numpy as np
 import pytest
 from helpers import docs, edited, words
 
-from pitchline.llm.common import hashed_words
+import pitchline.llm.components as components_module
+from pitchline.llm.common import BATCH_ROWS, hashed_words, materialize, small_batches
 from pitchline.llm.components import components
 from pitchline.llm.decontamination import align, decontaminate, find_matches
 from pitchline.llm.exact_dedup import ContentTable, exact_dedup, grace_groups
@@ -167,6 +168,44 @@ def slow_alignment(a, b):
     return max(map(max, h))
 
 
+def test_stars_need_no_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(components_module, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    star = [(k % 3, k) for k in range(3, 60)] + [(k, k % 3) for k in range(3, 9)]
+    found = components(spark.createDataFrame(star, "a long, b long"))
+    assert {(r.node, r.component) for r in found.collect()} == {(k, k % 3) for k in range(60)} and found.count() == 60
+    assert len(written) == 1  # the links themselves
+    path = components(spark.createDataFrame([(1, 2), (2, 3)], "a long, b long"))
+    assert {(r.node, r.component) for r in path.collect()} == {(1, 1), (2, 1), (3, 1)}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_join_brings_no_rows_to_the_driver_one_by_one(spark, monkeypatch):
+    def refused(self, *args, **kwargs):
+        raise AssertionError("rows are pickled for the driver")
+
+    rows = [(k, " ".join(words(40, k // 2, 4000))) for k in range(40)]
+    expected = {k: k // 2 * 2 for k in range(40)}
+    frame = docs(spark, rows)
+    for name in ("toPandas", "toLocalIterator"):
+        monkeypatch.setattr(type(frame), name, refused)
+    assert {r.doc_id: r.component_id for r in JaccardJoin(frame, cells=1 << 14).result().collect()} == expected
+
+
+def test_scans_decode_few_rows_at_once(spark):
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "4096")
+        small_batches(spark.range(1))
+        assert int(spark.conf.get(name)) == BATCH_ROWS
+        spark.conf.set(name, "100")
+        small_batches(spark.range(1))
+        assert spark.conf.get(name) == "100"
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_alignment_is_smith_waterman():
     r = random.Random(4)
     for _ in range(300):
