@@ -47,6 +47,20 @@ def test_languages_are_told_apart(spark):
     assert {r.language.lang_pred for r in identify(table, train(docs(spark, []), ~held_out())).collect()} == {"und"}
 
 
+def test_counts_of_languages_reach_the_driver_as_arrow(spark, monkeypatch):
+    table = docs(spark, [(k, sentence(lang, k), lang, "s") for k, lang in enumerate(list(SYLLABLES) * 8)] + [(99, "no lang")])
+
+    def refused(self, *args, **kwargs):
+        raise AssertionError("rows are pickled for the driver")
+
+    monkeypatch.setattr(type(table), "toPandas", refused)
+    model = train(table, ~held_out())
+    assert model.languages == sorted(SYLLABLES)
+    text = sentence("cc", 500).encode()
+    bits, coded = model.code_lengths([text])
+    assert int(bits[0].argmin()) == 2 and coded[0] > 0
+
+
 def test_code_lengths_follow_the_definition():
     order, texts = 2, [b"abab abc", b"ba"]
     data, _ = reduced(texts, order)
