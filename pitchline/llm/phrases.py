@@ -12,8 +12,10 @@ The candidates and all their parts are then spelled out and dealt into blocks of
 about ``block_entries`` by language and first words. A task builds the double-array
 trie of a block: from state s the label c leads to t = base[s] + c if check[t] = s.
 Blocks are broadcast ``pass_blocks`` at a time, a bounded size, each group with a
-pass of its own. In a pass numpy advances the states of all text positions at once,
-one level for each word, and counts the states reached with bincount; a task sends
+pass of its own. In a pass a text position is looked up in the block of its first word
+and in that of its first two alone, so the work does not grow with the number of
+blocks. numpy advances the states of all positions of a block at once, one level for
+each word, and counts the states reached; a task sends
 its sums as arrays, a row for ``RUN_STATES`` states, and Spark brings the rows of the
 same states together to be added. These counts are exact.
 
@@ -28,7 +30,9 @@ from __future__ import annotations
 
 import pickle
 import string
+import zlib
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -38,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitchline.llm.common import Bits, bits_of, in_parts, materialize, mix, small_batches, span_hashes
+from pitchline.llm.common import Bits, bits_of, in_parts, let_go, materialize, mix, small_batches, span_hashes
 
 LEAST = 30
 LONGEST = 4
@@ -130,7 +134,7 @@ def _shifted(flags: np.ndarray, by: int) -> np.ndarray:
 def _count_pairs(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words, langs in _parts(batches):
-            (one, _), (two, whole), *_ = phrase_hashes(words, langs)
+            (one, _), (two, whole) = islice(phrase_hashes(words, langs), 2)
             often = shared.value.may_hold(one)
             yield _counted(two[whole & often & _shifted(often, 1)], {})
 
@@ -201,6 +205,7 @@ def candidates(texts: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFra
     def frequent(counter, name: str) -> tuple[DataFrame, Bits]:
         sums = texts.mapInArrow(counter, _COUNTED).groupBy("lang", "hash").agg(F.sum("n").alias("n"))
         kept = materialize(sums.where((F.col("n") >= least) | F.col("lang").isNotNull()), name)
+        let_go(kept)
         hashes = kept.where("lang IS NULL")
         return kept, bits_of(hashes, "hash", hashes.count())
 
@@ -212,6 +217,7 @@ def candidates(texts: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFra
     all_bits = context.broadcast(bits_of(every, "hash", every.count()))
     # Stored, so that each phrase meets the sums once and not once a task.
     spelled = materialize(texts.mapInArrow(_spell(all_bits), "lang string, phrase string, hash long").distinct(), "phrase-spelled")
+    let_go(spelled)
     found = spelled.join(every, "hash", "left_semi").select("lang", "phrase")
     return materialize(found, "phrase-candidates"), words.where("lang IS NOT NULL").select("lang", "n")
 
@@ -296,7 +302,7 @@ def _build_block(entries: pa.Table) -> pa.Table:
     block = entries.column("block")[0].as_py()
     langs, phrases = entries.column("lang").to_pylist(), entries.column("phrase").to_pylist()
     trie, ends = build_trie([[_language(lang), *phrase.split(" ")] for lang, phrase in zip(langs, phrases, strict=True)])
-    packed = pickle.dumps((trie.labels, trie.base.tobytes(), trie.check.tobytes()))
+    packed = zlib.compress(pickle.dumps((trie.labels, trie.base.tobytes(), trie.check.tobytes())), 1)  # many places are free
     n = len(phrases)
     return pa.table(
         {
@@ -309,51 +315,107 @@ def _build_block(entries: pa.Table) -> pa.Table:
     )
 
 
-def count_states(trie: Trie, words: Words, langs: Sequence[str], labels: pa.Array, counts: np.ndarray) -> None:
-    """Add to ``counts`` how often each state is reached: all positions advance together, a word a level."""
+def _dealt(hashes: np.ndarray, blocks: int) -> np.ndarray:
+    return (hashes % np.uint64(blocks)).astype(np.int64)
+
+
+def _deal(blocks: int):
+    """The block of each entry, by language and its first two words (its one word, if it has no other)."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in in_parts(batch.column(1).to_pylist(), PART_BYTES):
+                here = batch.slice(a, b - a)
+                words = words_of([x.encode() for x in here.column(1).to_pylist()])
+                (one, _), (two, whole) = islice(phrase_hashes(words, here.column(0).to_pylist()), 2)
+                first = np.searchsorted(words.text, np.arange(b - a))
+                block = _dealt(np.where(whole, two, one)[first], blocks)
+                yield pa.RecordBatch.from_arrays([*here.columns[:2], pa.array(block, pa.int32())], names=["lang", "phrase", "block"])
+
+    return run
+
+
+def _word_array(words: Words) -> pa.Array:
     spans = np.zeros(len(words.data) + 1, np.int64)
     np.cumsum(_KIND[words.data] == 0, out=spans[1:])
     letters = words.data[_KIND[words.data] == 0].tobytes()
     offsets = np.append(spans[words.first], spans[-1]).astype(np.int32)
-    texts = pa.Array.from_buffers(pa.binary(), len(words.first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(letters)])
-    word = pc.fill_null(pc.index_in(texts, value_set=labels), -1).to_numpy()
-    of_lang = pc.fill_null(pc.index_in(pa.array([_language(x).encode() for x in langs], pa.binary()), value_set=labels), -1).to_numpy()
-    start = trie.step(np.zeros(len(langs), np.int64), of_lang.astype(np.int64))
-    at = np.flatnonzero(start[words.text] >= 0)
+    return pa.Array.from_buffers(pa.binary(), len(words.first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(letters)])
+
+
+def count_states(trie: Trie, words: Words, start: np.ndarray, word: np.ndarray, label: np.ndarray, at: np.ndarray, levels: range, counts: np.ndarray) -> None:
+    """Add to ``counts`` how often the positions ``at`` reach each state on ``levels``: all advance together, a word a level.
+
+    ``start`` holds the state of each text's language, ``word`` the number of each word and ``label`` the trie's label of each number.
+    """
     state = start[words.text[at]]
-    for level in range(LONGEST):
+    at, state = at[state >= 0], state[state >= 0]
+    for level in range(levels.stop):
         if level:
             goes_on = words.joined[at + level - 1]
             at, state = at[goes_on], state[goes_on]
-        state = trie.step(state, word[at + level].astype(np.int64))
+        state = trie.step(state, label[word[at + level]])
         alive = state >= 0
         at, state = at[alive], state[alive]
-        counts += np.bincount(state, minlength=len(counts))
+        if level in levels:
+            np.add.at(counts, state, 1)
 
 
-#: States whose sums travel in one row.
+#: States whose sums travel in one row, as the places that a task has reached and their sums.
 RUN_STATES = 1024
-_SUMS = "block int, run int, sums binary"
+_SUMS = "block int, run int, places binary, sums binary"
+
+
+def _by_slot(at: np.ndarray, slot: np.ndarray, slots: int) -> list[np.ndarray]:
+    """The positions ``at`` of each slot; those of slot -1 are in none."""
+    order = np.argsort(slot, kind="stable")
+    return np.split(at[order], np.searchsorted(slot[order], np.arange(slots + 1)))[1:-1]
 
 
 def _count_blocks(shared):
+    """Counts in the tries of one pass; a position is looked up in the block of its first word and in that of its first two words alone."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries, labels, counts = {}, {}, {}
-        for block, packed in shared.value:
-            names, base, check = pickle.loads(packed)
-            tries[block] = Trie(names, np.frombuffer(base, np.int32).astype(np.int64), np.frombuffer(check, np.int32).astype(np.int64))
-            labels[block] = pa.array([x.encode() for x in names], pa.binary())
-            counts[block] = np.zeros(-(-len(check) // (4 * RUN_STATES)) * RUN_STATES, np.int64)
+        blocks, packed = shared.value
+        slot_of = np.full(blocks, -1)
+        names, tries, counts = [], [], []
+        for slot, (block, trie) in enumerate(packed):
+            labels, base, check = pickle.loads(zlib.decompress(trie))
+            slot_of[block] = slot
+            names.append(pa.array([x.encode() for x in labels], pa.binary()))
+            tries.append(Trie(labels, np.frombuffer(base, np.int32), np.frombuffer(check, np.int32)))
+            counts.append(np.zeros(len(check) // 4, np.int64))
+        every = pa.chunked_array(names, pa.binary()).unique()  # a word is looked up once, not once a block
+        number = [np.full(len(every) + 1, -1) for _ in names]  # the last is for words that no trie has
+        for own, of_block in zip(names, number, strict=True):
+            of_block[pc.index_in(own, value_set=every).to_numpy()] = np.arange(len(own))
         for words, langs in _parts(batches):
-            if len(words.first):
-                for block, trie in tries.items():
-                    count_states(trie, words, langs, labels[block], counts[block])
-        for block, n in counts.items():
-            runs = n.reshape(-1, RUN_STATES)
-            reached = np.flatnonzero(runs.any(axis=1))
+            if not len(words.first):
+                continue
+            word = pc.fill_null(pc.index_in(_word_array(words), value_set=every), -1).to_numpy().astype(np.int64)
+            of_lang = pc.fill_null(pc.index_in(pa.array([_language(x).encode() for x in langs], pa.binary()), value_set=every), -1).to_numpy().astype(np.int64)
+            (one, _), (two, whole) = islice(phrase_hashes(words, langs), 2)
+            single = np.flatnonzero(word >= 0)
+            double = np.flatnonzero(whole & (word >= 0) & _shifted(word >= 0, 1))
+            singles = _by_slot(single, slot_of[_dealt(one[single], blocks)], len(tries))
+            doubles = _by_slot(double, slot_of[_dealt(two[double], blocks)], len(tries))
+            for slot, trie in enumerate(tries):
+                start = trie.step(np.zeros(len(langs), np.int64), number[slot][of_lang])
+                count_states(trie, words, start, word, number[slot], singles[slot], range(1), counts[slot])
+                count_states(trie, words, start, word, number[slot], doubles[slot], range(1, LONGEST), counts[slot])
+        for (block, _), n in zip(packed, counts, strict=True):
+            reached = np.flatnonzero(n)
+            runs, first = np.unique(reached // RUN_STATES, return_index=True)
+            spans = list(zip(first.tolist(), [*first.tolist()[1:], len(reached)], strict=True)) if len(first) else []
+            places, sums = (reached % RUN_STATES).astype(np.int16), n[reached]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * len(reached), pa.int32()), pa.array(reached.astype(np.int32)), pa.array([runs[k].tobytes() for k in reached], pa.binary())],
-                names=["block", "run", "sums"],
+                [
+                    pa.array([block] * len(runs), pa.int32()),
+                    pa.array(runs.astype(np.int32)),
+                    pa.array([places[a:b].tobytes() for a, b in spans], pa.binary()),
+                    pa.array([sums[a:b].tobytes() for a, b in spans], pa.binary()),
+                ],
+                names=["block", "run", "places", "sums"],
             )
 
     return run
@@ -372,29 +434,31 @@ def _add_shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
-        for block, run, sums in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for block, run, places, sums in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if (block, run) != current:
                 if current is not None:
                     yield out()
                 current, total = (block, run), np.zeros(RUN_STATES, np.int64)
-            total = total + np.frombuffer(sums, np.int64)
+            total[np.frombuffer(places, np.int16)] += np.frombuffer(sums, np.int64)
     if current is not None:
         yield out()
 
 
-def exact_counts(texts: DataFrame, entries: DataFrame, block_entries: int = 250_000, pass_blocks: int = 4) -> DataFrame:
+def exact_counts(texts: DataFrame, entries: DataFrame, block_entries: int = 250_000, pass_blocks: int = 16) -> DataFrame:
     """How often each entry (lang, phrase) occurs: lang, phrase, f. The entries must be distinct."""
     size = entries.count()
     blocks = max(1, -(-size // block_entries))
-    first = F.slice(F.split("phrase", " "), 1, 2)
-    dealt = entries.withColumn("block", F.pmod(F.xxhash64("lang", F.array_join(first, " ")), F.lit(blocks)).cast("int"))
+    dealt = entries.select("lang", "phrase").mapInArrow(_deal(blocks), "lang string, phrase string, block int")
     built = materialize(dealt.groupBy("block").applyInArrow(_build_block, "block int, state int, lang string, phrase string, trie binary"), "phrase-tries")
     spark, counted = texts.sparkSession, None
     for start in range(0, blocks, pass_blocks):
         here = built.where(F.col("trie").isNotNull() & F.col("block").between(start, start + pass_blocks - 1))
-        shared = spark.sparkContext.broadcast([tuple(r) for r in here.select("block", "trie").collect()])
+        tries = here.select("block", "trie").toArrow()  # a bounded number of bounded size
+        shared = spark.sparkContext.broadcast((blocks, list(zip(*(c.to_pylist() for c in tries.columns), strict=True))))
         shards = texts.mapInArrow(_count_blocks(shared), _SUMS).repartition("block", "run").sortWithinPartitions("block", "run")
         sums = materialize(shards.mapInArrow(_add_shards, "block int, state int, f long"), "phrase-counts")
+        shared.destroy()  # the sums are stored
+        let_go(sums)
         counted = sums if counted is None else counted.unionByName(sums)
     return built.where("trie IS NULL").join(counted, ["block", "state"]).select("lang", "phrase", "f")
 
@@ -405,7 +469,7 @@ def _exact(value: str) -> str:
 
 def collocations(
     docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = LEAST, top: int = TOP,
-    block_entries: int = 250_000, pass_blocks: int = 4,
+    block_entries: int = 250_000, pass_blocks: int = 16,
 ) -> DataFrame:
     """The first ``top`` phrases of every language: lang, rank, phrase, a, l, r, n, score."""
     texts = small_batches(docs).select(

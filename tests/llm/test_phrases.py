@@ -5,8 +5,11 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from helpers import docs
 
@@ -85,6 +88,38 @@ def test_trie_steps():
     assert trie.step(np.zeros(1, np.int64), np.array([-1], np.int64))[0] == -1
 
 
+def test_a_position_is_looked_up_in_the_blocks_of_its_first_words_alone(monkeypatch):
+    r = random.Random(3)
+    texts = [" ".join(f"w{int(r.paretovariate(0.8)) % 60}" for _ in range(60)) + ". w1" for _ in range(80)]
+    counts = Counter(tuple(w[i : i + k]) for t in texts for p in t.split(".") for w in [p.split()] for k in range(1, 5) for i in range(len(w) - k + 1))
+    listed = sorted(" ".join(p) for p in counts)
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array([t.encode() for t in texts])], names=["lang", "content"])
+    work = Counter()
+    step = phrases.Trie.step
+
+    def counted(self, state, label):
+        work[blocks] += len(state)
+        return step(self, state, label)
+
+    monkeypatch.setattr(phrases.Trie, "step", counted)
+    for blocks in (1, 20):
+        entries = pa.RecordBatch.from_arrays([pa.array(["en"] * len(listed)), pa.array(listed)], names=["lang", "phrase"])
+        dealt = pa.Table.from_batches(phrases._deal(blocks)([entries]))
+        built = [phrases._build_block(dealt.filter(pc.equal(dealt["block"], k))) for k in sorted(set(dealt["block"].to_pylist()))]
+        found, tries = {}, []
+        for t in built:
+            rows = t.to_pylist()
+            tries.append((rows[-1]["block"], rows[-1]["trie"]))
+            found |= {(x["block"], x["state"]): x["phrase"] for x in rows[:-1]}
+        got = Counter()
+        for b in phrases._count_blocks(SimpleNamespace(value=(blocks, tries)))([batch]):
+            for x in pa.Table.from_batches(phrases._add_shards([b])).to_pylist():
+                if (x["block"], x["state"]) in found:
+                    got[found[x["block"], x["state"]]] += x["f"]
+        assert got == {" ".join(p): n for p, n in counts.items()}
+    assert len(built) > 10 and work[20] < 1.2 * work[1]
+
+
 def test_scores_beyond_64_bits(spark):
     """The arithmetic of the score on counts whose products pass 64 bits."""
     a, left, right = 9 * 10**15, 10**16 + 1, 10**16
